@@ -301,24 +301,37 @@ def _(spark, sf):
 
 
 DOC_WORDS, DOC_VERBS = ["with", "from"], ["is", "was", "are", "by"]
+DOC_RULES = {"marker": "the", "stop_words": ["for", "by"], "verbs": ["is", "was", "are", "and"]}
 
 
 @query(
-    "evidence_documents",
-    "WITH docs AS (SELECT doc_id AS post_id, doc_id AS pos, text FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')), "
-    + f"""ev_in AS (SELECT * FROM docs WHERE {Q.word_match('text', DOC_WORDS)}),
-{Q.with_awards('ev_in', Q.drop_marks('text'), 'ev_a', marker='the', stop_words=['for', 'by'], verbs=['is', 'was', 'are', 'and'])}
+    "evidence_turns",
+    "WITH turns AS (SELECT conv_id * 100000 + turn AS post_id, conv_id * 100000 + turn AS pos, text FROM conversations "
+    "WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')), "
+    + f"""ev_in AS (SELECT * FROM turns WHERE {Q.word_match('text', DOC_WORDS)}),
+{Q.with_awards('ev_in', Q.drop_marks('text'), 'ev_a', **DOC_RULES)}
 SELECT post_id, pos, award, name FROM (SELECT *, coalesce({Q.subject('body', DOC_VERBS)}, {Q.first_entity('body')}) AS name FROM ev_a)
 WHERE award IS NOT NULL AND name IS NOT NULL""",
 )
 def _(spark, sf):
+    turns = D.turn_posts(spark, sf).where(~F.col("text").rlike(r"[^\x00-\x7F]"))
+    return _free_evidence(turns)
+
+
+def _free_evidence(posts):
+    rules = {"clause_verbs" if k == "verbs" else k: v for k, v in DOC_RULES.items()}
     return E.award_evidence(
-        D.ascii_documents(spark, sf), DOC_WORDS, filter_ignores_case=True, drop_artefacts=False,
-        verbs=DOC_VERBS, marker="the", stop_words=["for", "by"],
-        clause_verbs=["is", "was", "are", "and"],
+        posts, DOC_WORDS, filter_ignores_case=True, drop_artefacts=False, verbs=DOC_VERBS, **rules
     ).select(*EVIDENCE)
 
 
+# list functions in SQL are quadratic on long texts, so this one has no SQL; the same
+# rules are checked on the conversations above
+@query("evidence_documents")
+def _(spark, sf):
+    return _free_evidence(D.ascii_documents(spark, sf))
+
+
 def _hope_sql():
     rules = dict(stop_tokens=K.AFTER_STOP_TOKENS_HYPHEN, stop_words=[], max_marks=0)
     return f"""{Q.with_awards('posts', Q.drop_marks('text'), 'h', suffix_rule=False, **rules)},

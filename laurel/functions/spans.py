@@ -216,16 +216,16 @@ def two_part_patterns(text: Column) -> Column:
             rf"(?i:congratulations to) ({PERSON_ANY}) on winning (?:[Tt]he |[Aa]n? )?({CAPITAL_RUN})",
         ),
     ]
-    rows = [
-        F.zip_with(
+    def rows_of(label, pattern):
+        return F.zip_with(
             _all(text, pattern, 1),
             _all(text, pattern, 2),
-            lambda p, t, label=label: F.struct(
+            lambda p, t: F.struct(
                 F.lit(label).alias("label"), p.alias("person"), t.alias("target")
             ),
         )
-        for label, pattern in forms
-    ]
+
+    rows = [rows_of(*form) for form in forms]
     return F.concat(*rows)
 
 

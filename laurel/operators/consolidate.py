@@ -23,7 +23,9 @@ def _before(a, b):
 def _contained_pairs(nodes: DataFrame, gram=3) -> DataFrame:
     anchors = L.rarest_gram(nodes.where(F.col("name") != ""), gram)
     sizes = anchors.agg(F.collect_set("size")).scalar()
-    longer = nodes.select("name", "votes", F.inline(L._grams_of(F.col("name"), sizes)))
+    longer = nodes.withColumn("sizes", sizes).select(
+        "name", "votes", F.inline(L.grams_of(F.col("name"), F.col("sizes")))
+    )
     on = (
         (F.col("v.gram") == F.col("u.gram"))
         & (F.col("v.size") == F.col("u.size"))

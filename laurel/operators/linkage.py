@@ -203,21 +203,28 @@ def known_name_mentions(posts: DataFrame, names: DataFrame, limit=CHUNK, gram=4)
     listed = names.select("award").where(F.col("award") != "").distinct()
     if _is_short(listed, limit):
         all_names = listed.agg(F.collect_list("award")).scalar()
-        hits = F.filter(all_names, lambda a: P.contains_ignore_case(F.col("text"), a))
-        return posts.select("post_id", "pos", "text", F.explode(hits).alias("award"))
-    low = posts.select("post_id", "pos", "text", F.lower("text").alias("low"))
+        hits = F.filter("names", lambda a: P.contains_ignore_case(F.col("text"), a))
+        return posts.select("post_id", "pos", "text", all_names.alias("names")).select(
+            "post_id", "pos", "text", F.explode(hits).alias("award")
+        )
     anchors = rarest_gram(listed.select("award", F.lower("award").alias("name")), gram)
     sizes = anchors.agg(F.collect_set("size")).scalar()
-    return (
-        low.select("*", F.inline(_grams_of(F.col("low"), sizes)))
-        .join(anchors, ["gram", "size"])
-        .where(F.contains("low", "name"))
-        .select("post_id", "pos", "text", "award")
+    # narrow candidate rows first; the texts join back only where an anchor was found
+    candidates = (
+        posts.select("post_id", F.lower("text").alias("low"), sizes.alias("sizes"))
+        .select("post_id", F.inline(grams_of(F.col("low"), F.col("sizes"))))
+        .join(anchors.select("gram", "size", "award"), ["gram", "size"])
+        .select("post_id", "award")
         .distinct()
     )
+    return (
+        posts.select("post_id", "pos", "text")
+        .join(candidates, "post_id")
+        .where(P.contains_ignore_case(F.col("text"), F.col("award")))
+    )
 
 
-def _grams_of(value, sizes):
+def grams_of(value, sizes):
     """Distinct substrings of the given sizes, as (gram, size)."""
     def of_size(n):
         last = F.length(value) - n + 1
@@ -237,7 +244,7 @@ def rarest_gram(names: DataFrame, gram=3) -> DataFrame:
     Names shorter than that use themselves; ``size`` tells the length.
     """
     size = F.least(F.length("name"), F.lit(gram))
-    grams = names.select("*", F.inline(_grams_of(F.col("name"), F.array(size))))
+    grams = names.select("*", F.inline(grams_of(F.col("name"), F.array(size))))
     frequency = grams.groupBy("gram", "size").agg(F.count("*").alias("f"))
     others = [c for c in names.columns if c != "name"]
     return (
@@ -257,8 +264,8 @@ def drop_contained(names: DataFrame, gram=3) -> DataFrame:
     distinct = names.select(F.col("award").alias("name")).where(F.col("award").isNotNull()).distinct()
     anchors = rarest_gram(distinct.where(F.col("name") != ""), gram)
     sizes = anchors.agg(F.collect_set("size")).scalar()
-    longer = distinct.select(
-        F.col("name").alias("other"), F.inline(_grams_of(F.col("name"), sizes))
+    longer = distinct.withColumn("sizes", sizes).select(
+        F.col("name").alias("other"), F.inline(grams_of(F.col("name"), F.col("sizes")))
     )
     return (
         anchors.alias("a")

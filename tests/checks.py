@@ -2,18 +2,24 @@
 
 import glob
 import os
+import threading
 
 import duckdb
 import pandas as pd
 
 
-def sql_rows(sql, sf_dir):
+def sql_rows(sql, sf_dir, limit=60):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.basename(path)[: -len(".parquet")]
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
-    return con.execute(sql).df()
+    timer = threading.Timer(limit, con.interrupt)
+    timer.start()
+    try:
+        return con.execute(sql).df()
+    finally:
+        timer.cancel()
 
 
 def normal_form(df: pd.DataFrame):
