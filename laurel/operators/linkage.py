@@ -225,11 +225,10 @@ def known_name_mentions(posts: DataFrame, names: DataFrame, limit=CHUNK, gram=4)
 
 
 def grams_of(value, sizes):
-    """Distinct substrings of the given sizes, as (gram, size)."""
+    """Distinct substrings of the given sizes, as (gram, size); one linear regex pass."""
     def of_size(n):
-        last = F.length(value) - n + 1
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.array_distinct(F.transform(starts, lambda i: F.substring(value, i, n)))
+        pattern = F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))"))
+        return F.array_distinct(F.regexp_extract_all(value, pattern, F.lit(1)))
 
     return F.flatten(
         F.transform(
