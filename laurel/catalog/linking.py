@@ -18,11 +18,11 @@ def _texts(df, key):
     return df.select(F.col(key).alias("id"), F.col("text"))
 
 
-def _benchmark_to_documents(spark, sf, n, prune=True):
+def _benchmark_to_documents(spark, sf, n):
     best = L.tfidf_top_n(
         _texts(D.table(spark, sf, "benchmark"), "item_id"),
         _texts(D.table(spark, sf, "documents"), "doc_id"),
-        n, prune,
+        n,
     )
     return best.select(
         F.col("target").alias("item_id"), F.col("key").alias("doc_id"),

@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from laurel.functions import predicates as P
 from laurel.functions import similarity as M
 from laurel.functions import spans as S
 from laurel.functions import text as T
+from laurel.session import stage
 
-CHUNK = 2_000
+CHUNK = 2_000  # names handed to a task at once
+CELLS = 20_000_000  # numbers in a weight matrix handed to a task
 
 
 # --- TF-IDF cosine ------------------------------------------------------------------
@@ -31,104 +34,108 @@ def _counted(texts: DataFrame) -> DataFrame:
     )
 
 
-def tfidf_top_n(targets: DataFrame, keys: DataFrame, n=1, prune=True) -> DataFrame:
+def tfidf_top_n(targets: DataFrame, keys: DataFrame, n=1, cells=CELLS) -> DataFrame:
     """The ``n`` most similar keys per target: ``(target, key, sim, rank)``.
 
     ``targets`` and ``keys`` have columns ``(id, text)``.  Weights are smooth TF-IDF over
     both lists together, l2-normalised; ties go to the smaller key id; similarity 0 never
     matches.
 
-    A word such as "best" stands in most keys, and joining on it would pair everything
-    with everything.  With ``prune`` each target first scores the keys that share its
-    rarest words; the n-th best score L bounds the rest.  By Cauchy-Schwarz a key that
-    shares only words whose weights have a norm below L cannot reach L, so these common
-    words are left out of the candidate join.  The result is exact.
+    A word such as "best" stands in most keys, so a join on words would pair nearly
+    everything.  Instead each key becomes one row with its weights for words of the
+    canonical list; a task multiplies its keys with the weight matrix of the list and
+    sends on its ``n`` best keys per target.  The matrix goes out in chunks of at most
+    ``cells`` numbers; a longer list means more passes over the key rows.
     """
+    spark = targets.sparkSession
     total = targets.select("id").unionAll(keys.select("id")).agg(F.count("*")).scalar()
-    key_df = _posting(keys).groupBy("term").agg(F.count("*").alias("kdf"))
     target_df = _posting(targets).groupBy("term").agg(F.count("*").alias("tdf"))
-    idf = key_df.join(target_df, "term", "left").select(
-        "term", "kdf", M.smooth_idf(total, F.col("kdf") + F.coalesce("tdf", F.lit(0))).alias("idf")
+    key_df = _posting(keys).groupBy("term").agg(F.count("*").alias("kdf"))
+    by_term = Window.orderBy("term")
+    terms = key_df.join(
+        target_df.withColumn("j", F.row_number().over(by_term) - 1), "term", "full"
+    ).select(
+        "term",
+        "j",
+        M.smooth_idf(total, F.coalesce("kdf", F.lit(0)) + F.coalesce("tdf", F.lit(0))).alias("idf"),
     )
-    # target words that no key has still count for the norm of the target
-    target_x = (
-        _counted(targets)
-        .join(target_df, "term")
-        .join(key_df, "term", "left")
-        .select(
-            F.col("id").alias("target"),
-            "term",
-            F.coalesce("kdf", F.lit(0)).alias("kdf"),
-            (F.col("tf") * M.smooth_idf(total, F.col("tdf") + F.coalesce("kdf", F.lit(0)))).alias("x"),
+    terms = stage(terms, "terms")
+    entry = F.struct("j", (F.col("tf") * F.col("idf")).alias("x"))
+    vectors = (
+        _counted(keys)
+        .join(terms, "term")
+        .groupBy(F.col("id").alias("key"))
+        .agg(
+            F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"),
+            F.collect_list(F.when(F.col("j").isNotNull(), entry)).alias("v"),
         )
+        .where(F.size("v") > 0)
+        .select("key", "norm", F.col("v.j").alias("j"), F.col("v.x").alias("x"))
     )
-    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("target")))
-    target_w = target_x.select("target", "term", "kdf", (F.col("x") / norm).alias("w")).where("kdf > 0")
-
-    def scored(pairs):
-        """Cosine of candidate pairs; only candidate keys are counted and weighted."""
-        wanted = keys.join(pairs.select(F.col("key").alias("id")).distinct(), "id", "left_semi")
-        key_x = (
-            _counted(wanted)
-            .join(idf, "term")
-            .select(F.col("id").alias("key"), "term", (F.col("tf") * F.col("idf")).alias("x"))
-        )
-        weights = target_w.select("target", "term", "w")
-        return (
-            pairs.join(key_x, "key")
-            .join(weights, ["target", "term"], "left")
-            .groupBy("target", "key")
-            .agg((F.sum(F.col("x") * F.col("w")) / F.sqrt(F.sum(F.col("x") * F.col("x")))).alias("sim"))
-            .where(F.col("sim") > 0)
-        )
-
-    def candidates(words):
-        posting = _posting(keys).select(F.col("id").alias("key"), "term")
-        return posting.join(words.select("target", "term"), "term").select("target", "key").distinct()
-
-    # rounded, so that equal scores stay equal whatever the order of summation
+    weights = _counted(targets).join(terms, "term").select(
+        F.col("id").alias("target"), "j", (F.col("tf") * F.col("idf")).alias("x")
+    )
+    width = terms.agg(F.max("j")).first()[0]
+    ids = targets.select(F.col("id").alias("target")).distinct()
+    order = ids.withColumn("i", F.row_number().over(Window.orderBy("target")) - 1)
+    n_ids = ids.count()
+    chunk = max(1, cells // ((width or 0) + 1))
+    if n_ids > chunk:
+        vectors = stage(vectors, "vectors")
+    types = {f.name: f.dataType.simpleString() for f in [targets.schema["id"], *vectors.schema]}
+    schema = f"target {types['id']}, key {types['key']}, sim double"
+    passes = []
+    for start in range(0, max(n_ids, 1), chunk):
+        part = order.where(F.col("i").between(start, start + chunk - 1))
+        rows = part.join(weights, "target").select("target", "i", "j", "x").toPandas()
+        matrix = np.zeros(((width or 0) + 1, min(chunk, max(n_ids - start, 1))))
+        matrix[rows["j"].to_numpy(int), rows["i"].to_numpy(int) - start] = rows["x"]
+        matrix /= np.maximum(np.sqrt((matrix**2).sum(axis=0)), 1e-300)
+        names = rows.drop_duplicates("i").set_index("i")["target"].to_dict()
+        sent = spark.sparkContext.broadcast(matrix)
+        passes.append(vectors.mapInPandas(_top_in_task(sent, names, start, n), schema))
+    best = reduce(DataFrame.unionByName, passes)
     by_sim = Window.partitionBy("target").orderBy(F.desc(F.round("sim", 12)), "key")
-    if not prune:
-        return _ranked(scored(candidates(target_w)), by_sim, n)
+    return best.withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= n)
 
-    rare_first = Window.partitionBy("target").orderBy("kdf", "term")
-    # words up to the first one that n keys have: at least n candidates if there are n
-    seen_enough = F.max((F.col("kdf") >= n).cast("int")).over(
-        rare_first.rowsBetween(Window.unboundedPreceding, -1)
-    )
-    seeds = target_w.withColumn("enough", seen_enough).where(F.coalesce("enough", F.lit(0)) == 0)
-    bound = (
-        _ranked(scored(candidates(seeds)), by_sim, n)
-        .where(F.col("rank") == n)
-        .select("target", F.col("sim").alias("bound"))
-    )
-    common_first = Window.partitionBy("target").orderBy(F.desc("kdf"), "term")
-    mass = F.sqrt(
-        F.sum(F.col("w") * F.col("w")).over(
-            common_first.rowsBetween(Window.unboundedPreceding, 0)
-        )
-    )
-    needed = (
-        target_w.withColumn("mass", mass)
-        .join(bound, "target", "left")
-        .where(F.col("mass") >= F.coalesce("bound", F.lit(0.0)) - 1e-9)
-    )
-    return _ranked(scored(candidates(needed)), by_sim, n)
 
+def _top_in_task(sent, names, start, n):
+    """Per task: the best ``n`` keys of each target, with the same ties as the final rank."""
+    def run(batches):
+        matrix = sent.value
+        best_key, best_sim = {}, {}
+        for batch in batches:
+            keys = batch["key"].to_numpy()
+            sims = np.vstack(
+                [x @ matrix[j] / norm for j, x, norm in zip(batch["j"], batch["x"], batch["norm"])]
+            )
+            for i in names:
+                column = sims[:, i - start]
+                hit = np.flatnonzero(column > 0)
+                if len(hit) == 0:
+                    continue
+                key = np.concatenate([best_key.get(i, keys[:0]), keys[hit]])
+                sim = np.concatenate([best_sim.get(i, column[:0]), column[hit]])
+                place = np.argsort(np.argsort(key, kind="stable"), kind="stable")
+                keep = np.lexsort((place, -np.round(sim, 12)))[:n]
+                best_key[i], best_sim[i] = key[keep], sim[keep]
+        for i, key in best_key.items():
+            yield pd.DataFrame({"target": [names[i]] * len(key), "key": key, "sim": best_sim[i]})
 
-def _ranked(scores, window, n):
-    return scores.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= n)
+    return run
 
 
-def link_values(awards: DataFrame, values: DataFrame, n=1, prune=True) -> DataFrame:
+def link_values(awards: DataFrame, values: DataFrame, n=1) -> DataFrame:
     """Canonical awards with the values of their ``n`` most similar extracted awards.
 
     ``awards`` has one column ``award``; ``values`` has ``award`` (unique) and any value
     columns.  Rows ``(award, rank, key, sim, <values>)``; every award stays, with nulls if
     nothing is similar.
     """
+    # reduced frames that the plan reads several times: compute their posts once
+    values = stage(values, "values")
     as_text = [F.col("award").alias("id"), F.col("award").alias("text")]
-    best = tfidf_top_n(awards.select(*as_text), values.select(*as_text), n, prune)
+    best = tfidf_top_n(awards.select(*as_text), values.select(*as_text), n)
     found = best.join(values.withColumnRenamed("award", "key"), "key").withColumnRenamed(
         "target", "award"
     )
@@ -260,7 +267,10 @@ def drop_contained(names: DataFrame, gram=3) -> DataFrame:
     Containment is transitive, so testing every longer name equals testing the kept ones.
     Each name looks once, under its rarest substring, for a longer one that holds it.
     """
-    distinct = names.select(F.col("award").alias("name")).where(F.col("award").isNotNull()).distinct()
+    distinct = stage(
+        names.select(F.col("award").alias("name")).where(F.col("award").isNotNull()).distinct(),
+        "names",
+    )
     anchors = rarest_gram(distinct.where(F.col("name") != ""), gram)
     sizes = anchors.agg(F.collect_set("size")).scalar()
     longer = distinct.withColumn("sizes", sizes).select(
