@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from laurel.functions import text as T
 from laurel.plans import questions as Q
+from laurel.session import stage
 
 
 def _one_row(answers: DataFrame, k=2):
@@ -82,7 +83,11 @@ def _order(section, group, i):
 
 
 def full_report(posts: DataFrame, awards: DataFrame, people: DataFrame = None, n=10) -> DataFrame:
-    """All questions over cleaned posts; ``awards`` is ``(award_id, award)``."""
+    """All questions over cleaned posts; ``awards`` is ``(award_id, award)``.
+
+    The cleaned posts are written once and read by all questions.
+    """
+    posts = stage(posts, "clean")
     names = awards.select("award")
     return report_lines(
         awards,
