@@ -38,41 +38,46 @@ WORDINGS = [
 _CASE = "CASE event_id % {} {} END".format(
     len(WORDINGS), " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(WORDINGS))
 )
-_PARTS = f"""
-  split_part('{CATS}', ',', k % 8 + 1) AS cat, split_part('{CAPS}', ',', k % 8 + 1) AS ccat,
-  split_part('{MEDIA}', ',', k % 5 + 1) AS med, split_part('{MEDIA_CAPS}', ',', k % 5 + 1) AS cmed,
-  'src' || (user_id % 7) AS h"""
+
+_PARTS = [
+    f"split_part('{CATS}', ',', k % 8 + 1) AS cat",
+    f"split_part('{CAPS}', ',', k % 8 + 1) AS ccat",
+    f"split_part('{MEDIA}', ',', k % 5 + 1) AS med",
+    f"split_part('{MEDIA_CAPS}', ',', k % 5 + 1) AS cmed",
+    "'src' || (user_id % 7) AS h",
+]
+
+SMALL_BYTES = 256 << 20
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_small(df):
+    """Spread the rows of a small file over the cores.
+
+    One small file is one row group and one task; the text rules need more hands.  Inputs
+    above ``SMALL_BYTES`` have many splits and stay as they are read.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(size) > SMALL_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def event_posts(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select(
+    events = spread_small(table(spark, sf_dir, "events")).select(
         "event_id", "ts", "user_id", F.expr("user_id % 199").alias("u"),
         F.expr("cast(regexp_extract(props, '[0-9]+', 0) as int)").alias("k"),
     )
     names = table(spark, sf_dir, "part").select("p_partkey", F.initcap("p_name").alias("p"))
     others = names.select((F.col("p_partkey") - 1).alias("u"), F.col("p").alias("q"))
-    worded = (
-        events.join(names, F.col("u") == F.col("p_partkey"))
-        .join(others, "u")
-        .selectExpr("*", *[part.strip() for part in _split_parts()])
-    )
-    return as_posts(
-        worded, "event_id", _CASE, ts="ts", account="'user' || user_id"
-    )
-
-
-def _split_parts():
-    return [
-        f"split_part('{CATS}', ',', k % 8 + 1) AS cat",
-        f"split_part('{CAPS}', ',', k % 8 + 1) AS ccat",
-        f"split_part('{MEDIA}', ',', k % 5 + 1) AS med",
-        f"split_part('{MEDIA_CAPS}', ',', k % 5 + 1) AS cmed",
-        "'src' || (user_id % 7) AS h",
-    ]
+    worded = events.join(names, F.col("u") == F.col("p_partkey")).join(others, "u")
+    parts = worded.selectExpr("*", *_PARTS)
+    # a generator, so that later filters on the text do not repeat its wording
+    text = parts.select("event_id", "ts", "user_id", F.explode(F.array(F.expr(_CASE))).alias("text"))
+    return as_posts(text, "event_id", "text", ts="ts", account="'user' || user_id")
 
 
 def clean_event_posts(spark, sf_dir):
@@ -80,7 +85,9 @@ def clean_event_posts(spark, sf_dir):
 
 
 def document_posts(spark, sf_dir):
-    return as_posts(table(spark, sf_dir, "documents"), "doc_id", "text", account="source")
+    return as_posts(
+        spread_small(table(spark, sf_dir, "documents")), "doc_id", "text", account="source"
+    )
 
 
 def ascii_documents(spark, sf_dir):
@@ -91,7 +98,7 @@ def ascii_documents(spark, sf_dir):
 
 def turn_posts(spark, sf_dir):
     return as_posts(
-        table(spark, sf_dir, "conversations"), "conv_id * 100000 + turn", "text", account="role"
+        spread_small(table(spark, sf_dir, "conversations")), "conv_id * 100000 + turn", "text", account="role"
     )
 
 
@@ -120,7 +127,7 @@ _NAME = (
 )
 NAMES_SQL = f"names AS (SELECT p_partkey, {_NAME} AS p FROM part)"
 RAW_SQL = f"""{NAMES_SQL}, worded AS (
-  SELECT e.*, n.p, o.p AS q, {_PARTS}
+  SELECT e.*, n.p, o.p AS q, {", ".join(_PARTS)}
   FROM (SELECT event_id, ts, user_id, user_id % 199 AS u,
                CAST(regexp_extract(props, '[0-9]+', 0) AS INTEGER) AS k FROM events) e
   JOIN names n ON n.p_partkey = e.u JOIN names o ON o.p_partkey = e.u + 1

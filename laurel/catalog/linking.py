@@ -21,7 +21,7 @@ def _texts(df, key):
 def _benchmark_to_documents(spark, sf, n):
     best = L.tfidf_top_n(
         _texts(D.table(spark, sf, "benchmark"), "item_id"),
-        _texts(D.table(spark, sf, "documents"), "doc_id"),
+        _texts(D.spread_small(D.table(spark, sf, "documents")), "doc_id"),
         n,
     )
     return best.select(
@@ -138,7 +138,7 @@ def _(spark, sf):
         .unionByName(part.select(F.explode(F.split("p_name", " ")).alias("award")))
         .unionByName(part.select(F.concat("p_name", F.lit(" "), "p_type").alias("award")))
         .unionByName(
-            D.table(spark, sf, "conversations").select(F.explode(T.sentences(F.col("text"))).alias("award"))
+            D.turn_posts(spark, sf).select(F.explode(T.sentences(F.col("text"))).alias("award"))
         )
     )
     return L.drop_contained(names).where("award <> ''")

@@ -20,7 +20,7 @@ def _before(a, b):
     return rank(a) < rank(b)
 
 
-def _contained_pairs(nodes: DataFrame, gram=3) -> DataFrame:
+def _contained_pairs(nodes: DataFrame, gram=6) -> DataFrame:
     anchors = L.rarest_gram(nodes.where(F.col("name") != ""), gram)
     sizes = anchors.agg(F.collect_set("size")).scalar()
     longer = nodes.withColumn("sizes", sizes).select(

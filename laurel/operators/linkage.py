@@ -201,18 +201,44 @@ def _is_short(names: DataFrame, limit) -> bool:
     return len(names.limit(limit + 1).collect()) <= limit
 
 
+WORD = r"[\p{L}\p{N}_]+"
+INNER_WORD = r"(?<=[^\p{L}\p{N}_])[\p{L}\p{N}_]+(?=[^\p{L}\p{N}_])"
+
+
 def known_name_mentions(posts: DataFrame, names: DataFrame, limit=CHUNK, gram=4) -> DataFrame:
     """Rows ``(post_id, pos, text, award)``: the name stands in the text, any case.
 
-    Up to ``limit`` names fit one scalar array that every post is tested against; nothing
-    is shuffled.  A longer list is joined by each name's rarest ``gram`` characters.
+    Up to ``limit`` names fit one scalar array and nothing is shuffled.  A word inside a
+    name is a whole word of any text that holds the name, so a name is only searched in
+    texts that have its longest inner word; names without one are searched everywhere.
+    A longer list is joined by each name's rarest ``gram`` characters.
     """
     listed = names.select("award").where(F.col("award") != "").distinct()
     if _is_short(listed, limit):
-        all_names = listed.agg(F.collect_list("award")).scalar()
-        hits = F.filter("names", lambda a: P.contains_ignore_case(F.col("text"), a))
-        return posts.select("post_id", "pos", "text", all_names.alias("names")).select(
-            "post_id", "pos", "text", F.explode(hits).alias("award")
+        inner = F.regexp_extract_all("low", F.lit(INNER_WORD), F.lit(0))
+        wanted = (
+            listed.select("award", F.lower("award").alias("low"))
+            .select("award", "low", S.longest(inner).alias("anchor"))
+            .agg(
+                F.collect_list(F.struct("award", "low", "anchor")).alias("names"),
+                F.collect_set("anchor").alias("anchors"),
+            )
+            .select(F.struct("names", "anchors"))
+        )
+        seen = F.array_intersect(
+            F.array_distinct(F.regexp_extract_all("low", F.lit(WORD), F.lit(0))), "w.anchors"
+        )
+        hits = F.filter(
+            "w.names",
+            lambda n: (n["anchor"].isNull() | F.array_contains("seen", n["anchor"]))
+            & F.contains(F.col("low"), n["low"]),
+        )
+        return (
+            posts.select("post_id", "pos", "text", F.lower("text").alias("low"), wanted.scalar().alias("w"))
+            # generators keep the lower-cased text and the seen words from being redone per name
+            .select("*", F.explode(F.array(seen)).alias("seen"))
+            .select("post_id", "pos", "text", F.explode(hits).alias("hit"))
+            .select("post_id", "pos", "text", "hit.award")
         )
     anchors = rarest_gram(listed.select("award", F.lower("award").alias("name")), gram)
     sizes = anchors.agg(F.collect_set("size")).scalar()
@@ -244,12 +270,14 @@ def grams_of(value, sizes):
     )
 
 
-def rarest_gram(names: DataFrame, gram=3) -> DataFrame:
+def rarest_gram(names: DataFrame, gram=6) -> DataFrame:
     """Each ``name`` with the least frequent of its substrings of length ``gram``.
 
-    Names shorter than that use themselves; ``size`` tells the length.
+    Shorter names use three characters or, if even shorter, themselves; ``size`` tells
+    the length, and takes four values at most.
     """
-    size = F.least(F.length("name"), F.lit(gram))
+    length = F.length("name")
+    size = F.when(length >= gram, gram).otherwise(F.least(length, F.lit(min(3, gram))))
     grams = names.select("*", F.inline(grams_of(F.col("name"), F.array(size))))
     frequency = grams.groupBy("gram", "size").agg(F.count("*").alias("f"))
     others = [c for c in names.columns if c != "name"]
@@ -261,7 +289,7 @@ def rarest_gram(names: DataFrame, gram=3) -> DataFrame:
     )
 
 
-def drop_contained(names: DataFrame, gram=3) -> DataFrame:
+def drop_contained(names: DataFrame, gram=6) -> DataFrame:
     """Distinct names that stand in no longer name.
 
     Containment is transitive, so testing every longer name equals testing the kept ones.

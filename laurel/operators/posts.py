@@ -8,12 +8,20 @@ from laurel.functions import predicates as P
 from laurel.functions import text as T
 
 
+def _cleaned(posts, text, value):
+    """All columns with a new text, made by a generator: filters on the cleaned text
+    then read it instead of cleaning again."""
+    return [
+        F.explode(F.array(value)).alias(text) if c == text else F.col(c) for c in posts.columns
+    ]
+
+
 def clean_posts(posts: DataFrame, strict_ascii=False, text="text") -> DataFrame:
     """Drop foreign-character and blank posts, clean the others.  One narrow stage."""
     raw = F.col(text)
     return (
         posts.where(raw.isNotNull() & ~T.has_foreign_characters(raw, strict_ascii))
-        .withColumn(text, T.clean(raw))
+        .select(*_cleaned(posts, text, T.clean(raw)))
         .where(F.col(text) != "")
     )
 
@@ -22,7 +30,7 @@ def clean_posts_alternate(posts: DataFrame, text="text") -> DataFrame:
     raw = F.col(text)
     return (
         posts.where(raw.isNotNull() & ~raw.rlike(K.RETWEET_POST))
-        .withColumn(text, T.clean_alternate(raw))
+        .select(*_cleaned(posts, text, T.clean_alternate(raw)))
         .where(F.col(text) != "")
     )
 
