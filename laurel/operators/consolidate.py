@@ -22,13 +22,11 @@ def _before(a, b):
 
 def _contained_pairs(nodes: DataFrame, gram=6) -> DataFrame:
     anchors = L.rarest_gram(nodes.where(F.col("name") != ""), gram)
-    sizes = anchors.agg(F.collect_set("size")).scalar()
-    longer = nodes.withColumn("sizes", sizes).select(
-        "name", "votes", F.inline(L.grams_of(F.col("name"), F.col("sizes")))
+    longer = nodes.withColumn("sizes", L.gram_sizes(anchors)).select(
+        "name", F.explode(L.grams_of(F.col("name"), F.col("sizes"))).alias("gram")
     )
     on = (
         (F.col("v.gram") == F.col("u.gram"))
-        & (F.col("v.size") == F.col("u.size"))
         & (F.length("u.name") > F.length("v.name"))
         & F.contains(F.col("u.name"), F.col("v.name"))
         & P.may_merge(F.col("u.name"), F.col("v.name"))

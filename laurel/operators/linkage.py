@@ -241,12 +241,11 @@ def known_name_mentions(posts: DataFrame, names: DataFrame, limit=CHUNK, gram=4)
             .select("post_id", "pos", "text", "hit.award")
         )
     anchors = rarest_gram(listed.select("award", F.lower("award").alias("name")), gram)
-    sizes = anchors.agg(F.collect_set("size")).scalar()
     # narrow candidate rows first; the texts join back only where an anchor was found
     candidates = (
-        posts.select("post_id", F.lower("text").alias("low"), sizes.alias("sizes"))
-        .select("post_id", F.inline(grams_of(F.col("low"), F.col("sizes"))))
-        .join(anchors.select("gram", "size", "award"), ["gram", "size"])
+        posts.select("post_id", F.lower("text").alias("low"), gram_sizes(anchors).alias("sizes"))
+        .select("post_id", F.explode(grams_of(F.col("low"), F.col("sizes"))).alias("gram"))
+        .join(anchors.select("gram", "award"), "gram")
         .select("post_id", "award")
         .distinct()
     )
@@ -258,37 +257,38 @@ def known_name_mentions(posts: DataFrame, names: DataFrame, limit=CHUNK, gram=4)
 
 
 def grams_of(value, sizes):
-    """Distinct substrings of the given sizes, as (gram, size); one linear regex pass."""
+    """Distinct substrings of the given sizes; one linear regex pass per size."""
     def of_size(n):
         pattern = F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))"))
         return F.array_distinct(F.regexp_extract_all(value, pattern, F.lit(1)))
 
-    return F.flatten(
-        F.transform(
-            sizes, lambda n: F.transform(of_size(n), lambda g: F.struct(g.alias("gram"), n.alias("size")))
-        )
-    )
+    return F.flatten(F.transform(sizes, of_size))
 
 
 def rarest_gram(names: DataFrame, gram=6) -> DataFrame:
     """Each ``name`` with the least frequent of its substrings of length ``gram``.
 
-    Shorter names use three characters or, if even shorter, themselves; ``size`` tells
-    the length, and takes four values at most.
+    Shorter names use three characters or, if even shorter, themselves; so there are four
+    lengths at most.
     """
     length = F.length("name")
     size = F.when(length >= gram, gram).otherwise(F.least(length, F.lit(min(3, gram))))
-    grams = names.select("*", F.inline(grams_of(F.col("name"), F.array(size))))
-    frequency = grams.groupBy("gram", "size").agg(F.count("*").alias("f"))
+    grams = names.select("*", F.explode(grams_of(F.col("name"), F.array(size))).alias("gram"))
+    frequency = grams.groupBy("gram").agg(F.count("*").alias("f"))
     others = [c for c in names.columns if c != "name"]
     return (
-        grams.join(frequency, ["gram", "size"])
+        grams.join(frequency, "gram")
         .groupBy("name", *others)
-        .agg(F.min(F.struct("f", "gram", "size")).alias("m"))
-        .select("name", *others, "m.gram", "m.size")
+        .agg(F.min(F.struct("f", "gram")).alias("m"))
+        .select("name", *others, "m.gram")
     )
 
 
+def gram_sizes(anchors: DataFrame):
+    """The few gram lengths in use, as a scalar array."""
+    return anchors.agg(F.collect_set(F.length("gram"))).scalar()
+
+
 def drop_contained(names: DataFrame, gram=6) -> DataFrame:
     """Distinct names that stand in no longer name.
 
@@ -299,17 +299,15 @@ def drop_contained(names: DataFrame, gram=6) -> DataFrame:
         names.select(F.col("award").alias("name")).where(F.col("award").isNotNull()).distinct(),
         "names",
     )
-    anchors = rarest_gram(distinct.where(F.col("name") != ""), gram)
-    sizes = anchors.agg(F.collect_set("size")).scalar()
-    longer = distinct.withColumn("sizes", sizes).select(
-        F.col("name").alias("other"), F.inline(grams_of(F.col("name"), F.col("sizes")))
+    anchors = stage(rarest_gram(distinct.where(F.col("name") != ""), gram), "anchors")
+    longer = distinct.withColumn("sizes", gram_sizes(anchors)).select(
+        F.col("name").alias("other"), F.explode(grams_of(F.col("name"), F.col("sizes"))).alias("gram")
     )
     return (
         anchors.alias("a")
         .join(
             longer.alias("b"),
             (F.col("a.gram") == F.col("b.gram"))
-            & (F.col("a.size") == F.col("b.size"))
             & (F.length("other") > F.length("name"))
             & F.contains(F.col("other"), F.col("name")),
             "left_anti",

@@ -1,0 +1,5 @@
+"""Streams.
+
+There is no streaming operator to rebuild.  Cleaning, keyword filters and evidence
+extraction are stateless, so they run unchanged on a streaming DataFrame.
+"""
