@@ -47,9 +47,6 @@ _PARTS = [
     "'src' || (user_id % 7) AS h",
 ]
 
-SMALL_BYTES = 256 << 20
-
-
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -57,13 +54,11 @@ def table(spark, sf_dir, name):
 def spread_small(df):
     """Spread the rows of a small file over the cores.
 
-    One small file is one row group and one task; the text rules need more hands.  Inputs
-    above ``SMALL_BYTES`` have many splits and stay as they are read.
+    A small file is one task, and the text rules need more hands.  Input with at least one
+    split per core, so any large one, stays as it is read.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(size) > SMALL_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def event_posts(spark, sf_dir):

@@ -1,5 +1,7 @@
 """Merging near-duplicate names and moving their votes."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,42 +73,36 @@ def merge_edges(nodes: DataFrame, threshold=0.85) -> DataFrame:
 def leaders(nodes: DataFrame, threshold=0.85) -> DataFrame:
     """Rows ``(name, leader)``: the greedy consolidation by falling rank.
 
-    Rounds on the edge list: an undecided name with no undecided predecessor leads; its
-    successors are absorbed.  Owners are given only at the end, as the best-ranked leader
-    among the predecessors, since such a leader may turn up in a later round.
+    Rounds on the open edges: a name that nothing open points at leads, and its successors
+    are absorbed; both leave the open edges.  A name that is never absorbed leads itself.
+    Owners are given only at the end, as the best-ranked leader among the predecessors,
+    since such a leader may turn up in a later round.
     """
     nodes = stage(nodes.select("name", "votes"), "names")
     edges = stage(merge_edges(nodes, threshold), "edges")
-    open_edges, lead, done = edges, None, None
-    # a name without an edge leads itself; only the others take part in the rounds
-    undecided = stage(
-        edges.select(F.col("u").alias("name")).union(edges.select("v")).distinct(), "undecided"
-    )
-    while not undecided.isEmpty():
-        blocked = open_edges.select(F.col("v").alias("name")).distinct()
-        new = stage(undecided.join(blocked, "name", "left_anti"), "leaders")
-        absorbed = (
-            open_edges.join(new.withColumnRenamed("name", "u"), "u", "left_semi")
-            .select(F.col("v").alias("name"))
-            .distinct()
+    open_edges, absorbed = edges, []
+    while not open_edges.isEmpty():
+        heads = open_edges.select("u").distinct().join(
+            open_edges.select(F.col("v").alias("u")), "u", "left_anti"
+        )
+        new = stage(open_edges.join(heads, "u", "left_semi").select("v").distinct(), "absorbed")
+        absorbed.append(new)
+        gone = heads.unionByName(new.withColumnRenamed("v", "u"))
+        open_edges = stage(
+            open_edges.join(gone, "u", "left_anti").join(new, "v", "left_anti"), "open"
         )
-        decided = stage(new.unionByName(absorbed), "decided")
-        lead = new if lead is None else lead.unionByName(new)
-        undecided = stage(undecided.join(decided, "name", "left_anti"), "undecided")
-        for side in ("u", "v"):
-            open_edges = open_edges.join(
-                decided.withColumnRenamed("name", side), side, "left_anti"
-            )
-        open_edges = stage(open_edges, "open")
-    if lead is None:
+    if not absorbed:
         return nodes.select("name", F.col("name").alias("leader"))
+    taken = reduce(DataFrame.unionByName, absorbed)
     rank = nodes.select(
         F.col("name").alias("u"),
-        F.struct((-F.length("name")).alias("l"), (-F.col("votes")).alias("m"), F.col("name").alias("x")).alias("r"),
+        F.struct(
+            (-F.length("name")).alias("l"), (-F.col("votes")).alias("m"), F.col("name").alias("x")
+        ).alias("r"),
     )
     owners = (
-        edges.join(lead.withColumnRenamed("name", "u"), "u", "left_semi")
-        .join(lead.withColumnRenamed("name", "v"), "v", "left_anti")
+        edges.join(taken, "v", "left_semi")
+        .join(taken.withColumnRenamed("v", "u"), "u", "left_anti")
         .join(rank, "u")
         .groupBy("v")
         .agg(F.min_by("u", "r").alias("leader"))

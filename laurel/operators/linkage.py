@@ -198,7 +198,7 @@ def _best_in_task(names, ignore_case):
 
 
 def _is_short(names: DataFrame, limit) -> bool:
-    return len(names.limit(limit + 1).collect()) <= limit
+    return names.limit(limit + 1).count() <= limit
 
 
 WORD = r"[\p{L}\p{N}_]+"

@@ -98,3 +98,26 @@ def test_gold_and_grid(spark, tmp_path):
     assert grid[("hosts", "spelling")] == 1.0
     only = G.score_grid(predicted, frame, categories=("hosts",))
     assert {r.category for r in only.collect()} == {"hosts"}
+
+
+def test_grade_runs_end_to_end(spark, tmp_path):
+    source = tmp_path / "posts.json"
+    write_tweets(source)
+    posts = Q.clean_data(R.read_posts_json(spark, str(source)))
+    (tmp_path / "gold.json").write_text(
+        json.dumps(
+            {
+                "hosts": ["amy poehler"],
+                "award_data": {
+                    "best director - motion picture": {
+                        "nominees": ["ang lee"], "presenters": ["sofia vergara", "kerry washington"], "winner": "ben affleck",
+                    }
+                },
+            }
+        )
+    )
+    gold = R.read_gold(spark, str(tmp_path / "gold.json"))
+    grid = {(r.category, r.metric): r.value for r in api.grade(posts, gold, gold.where("category = 'winner'").select("award")).collect()}
+    assert grid[("winner", "spelling")] == 1.0
+    assert grid[("presenters", "spelling")] == 1.0 and grid[("presenters", "completeness")] == 1.0
+    assert grid[("nominees", "completeness")] == 0.0
