@@ -15,6 +15,14 @@ from laurel.functions import text as T
 # --- extraction -----------------------------------------------------------------
 
 
+def _once(value):
+    """A one-row generator: filters above it read the value instead of making it again.
+
+    ``inline(array(struct(…)))`` below serves the same end for several values.
+    """
+    return F.explode(F.array(value))
+
+
 def award_evidence(
     posts: DataFrame,
     words=tuple(K.WINNER_WORDS),
@@ -36,9 +44,8 @@ def award_evidence(
     award = S.award_name(body, show_names, suffix_rule, **rules)
     found = (
         posts.where(P.has_word(F.col("text"), words, filter_ignores_case))
-        .select("post_id", "pos", T.drop_retweet_marks(F.col("text")).alias("body"))
+        .select("post_id", "pos", _once(T.drop_retweet_marks(F.col("text"))).alias("body"))
         .where(P.has_word(body, words))
-        # one generator evaluates both span rules once; filters then see plain columns
         .select("post_id", "pos", F.inline(F.array(F.struct(award.alias("award"), name.alias("name")))))
         .where(P.both_present(F.col("award"), F.col("name")))
     )
@@ -62,7 +69,7 @@ def hope_triples(posts: DataFrame, words=tuple(K.WINNER_WORDS_CAPTURE), **rules)
     )
     role = F.when(P.has_word(text, K.HOPE_WORDS, whole=False), "nominee").otherwise("winner")
     return (
-        posts.select("post_id", "pos", "text", T.drop_retweet_marks(text).alias("body"))
+        posts.select("post_id", "pos", "text", _once(T.drop_retweet_marks(text)).alias("body"))
         .where(P.has_word(body, words))
         .select(
             "post_id",
@@ -80,7 +87,7 @@ def nominee_triples(posts: DataFrame, words=tuple(K.NOMINEE_WORDS_HOPE), **rules
     body = F.col("body")
     name = F.coalesce(S.subject(body), S.first_entity(body))
     return (
-        posts.select("post_id", "pos", T.drop_retweet_marks(F.col("text")).alias("body"))
+        posts.select("post_id", "pos", _once(T.drop_retweet_marks(F.col("text"))).alias("body"))
         .where(P.has_word(body, words))
         .select(
             "post_id",
@@ -247,11 +254,21 @@ def phrase_mentions(posts: DataFrame, phrases, person=S.PERSON_ANY) -> DataFrame
 
 
 def mention_counts(named: DataFrame) -> DataFrame:
-    """Rows ``(name, n, first_pos, first_idx)``; the first place breaks ties."""
+    """Rows ``(name, n, first_pos, first_idx)``; the first place breaks ties.
+
+    Place and index travel as one number, which a hash aggregate can hold; the minimum of
+    a struct would sort all mentions.
+    """
+    place = F.col("pos").cast("decimal(19,0)") * F.lit(10**9) + F.col("idx")
     return (
         named.groupBy("name")
-        .agg(F.count("*").alias("n"), F.min(F.struct("pos", "idx")).alias("first"))
-        .select("name", "n", F.col("first.pos").alias("first_pos"), F.col("first.idx").alias("first_idx"))
+        .agg(F.count("*").alias("n"), F.min(place).alias("first"))
+        .select(
+            "name",
+            "n",
+            F.expr("first div 1000000000").cast("bigint").alias("first_pos"),
+            (F.col("first") % F.lit(10**9)).cast("int").alias("first_idx"),
+        )
     )
 
 
@@ -263,11 +280,20 @@ def ranked_mentions(counts: DataFrame, k=None, skip=0) -> DataFrame:
     return ordered if k is None else ordered.limit(k)
 
 
+def _last_rows(evidence: DataFrame) -> DataFrame:
+    """Rows of each award's last post, with the place where the award was seen first.
+
+    Both places come from a hash aggregate; the rows are joined back to it.
+    """
+    places = evidence.groupBy("award").agg(
+        F.max("pos").alias("pos"), F.min("pos").alias("key_order")
+    )
+    return evidence.join(places, ["award", "pos"])
+
+
 def last_value(evidence: DataFrame) -> DataFrame:
     """Per award the value of its last post, and where the award was seen first."""
-    return evidence.groupBy("award").agg(
-        F.max_by("name", "pos").alias("name"), F.min("pos").alias("key_order")
-    )
+    return _last_rows(evidence).select("award", "name", "key_order")
 
 
 def majority_value(evidence: DataFrame) -> DataFrame:
@@ -285,9 +311,8 @@ def majority_value(evidence: DataFrame) -> DataFrame:
 
 def last_names(pairs: DataFrame) -> DataFrame:
     """Per award all names of its last post, as one short sorted array."""
-    last = pairs.groupBy("award").agg(F.max("pos").alias("pos"), F.min("pos").alias("key_order"))
     return (
-        pairs.join(last, ["award", "pos"])
+        _last_rows(pairs)
         .groupBy("award", "key_order")
         .agg(F.array_sort(F.collect_set("name")).alias("names"))
     )
@@ -299,18 +324,18 @@ def first_wins(evidence: DataFrame, distinct=False) -> DataFrame:
     The winner comes from a partial aggregate, so an award with very many posts is never
     sorted in one task.  ``distinct``: each other name once, by its first place.
     """
-    first = evidence.groupBy("award").agg(F.min(F.struct("pos", "name")).alias("w"))
-    rest = (
-        evidence.select("award", "name", "pos")
-        .join(first, "award")
-        .where(F.col("pos") != F.col("w.pos"))
+    first = evidence.groupBy("award").agg(F.min("pos").alias("first_pos"))
+    placed = evidence.select("award", "name", "pos").join(first, "award")
+    is_first = F.col("pos") == F.col("first_pos")
+    role = F.when(is_first, "winner").otherwise("nominee").alias("role")
+    if not distinct:
+        return placed.select("award", role, "name", "pos")
+    # a later value equal to the winner still becomes a nominee, once
+    return (
+        placed.groupBy("award", role, "name")
+        .agg(F.min("pos").alias("pos"))
+        .select("award", "role", "name", "pos")
     )
-    if distinct:
-        # a value equal to the winner still becomes a nominee, once
-        rest = rest.groupBy("award", "name").agg(F.min("pos").alias("pos"))
-    rest = rest.select("award", F.lit("nominee").alias("role"), "name", "pos")
-    winner = first.select("award", F.lit("winner").alias("role"), "w.name", "w.pos")
-    return winner.unionByName(rest)
 
 
 def presenters_by_award(pairs: DataFrame) -> DataFrame:
