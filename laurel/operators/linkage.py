@@ -303,6 +303,8 @@ def drop_contained(names: DataFrame, gram=6) -> DataFrame:
     longer = distinct.withColumn("sizes", gram_sizes(anchors)).select(
         F.col("name").alias("other"), F.explode(grams_of(F.col("name"), F.col("sizes"))).alias("gram")
     )
+    # only substrings that some name looks for need to travel
+    longer = longer.join(anchors.select("gram").distinct(), "gram", "left_semi")
     return (
         anchors.alias("a")
         .join(
