@@ -1,11 +1,26 @@
-"""Session set-up and stage tables."""
+"""Session set-up, the package for the workers, and stage tables."""
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shipped = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package (code only) to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        base = os.path.join(tempfile.mkdtemp(prefix="laurel-package-"), "laurel")
+        context.addPyFile(shutil.make_archive(base, "zip", ROOT, "laurel"))
+        _shipped.add(context.applicationId)
+
+
 def build_session(master=None, app_name="laurel", shuffle_partitions=None, extra=None):
     """A session with the settings the jobs rely on.
 
@@ -26,7 +41,9 @@ def build_session(master=None, app_name="laurel", shuffle_partitions=None, extra
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def stage_dir(spark: SparkSession) -> str:
