@@ -4,7 +4,9 @@ import functools
 
 from pyspark.sql import functions as F
 
-from laurel.llm import digest_index, hamming_dedup, language_id, mixing, packing
+from laurel.llm import (
+    chat_format, digest_index, forest_ann, gam_quality, hamming_dedup, hpylm, html_blocks, language_id, mixing, packing,
+)
 from laurel.llm.common import held_out, ship, table
 
 QUERIES = {}
@@ -40,6 +42,56 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op3_forest_ann")
+def op3_forest_ann(spark, sf_dir):
+    return forest_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op4_html_blocks")
+def op4_html_blocks(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return html_blocks.extract(pages, html_blocks.learn(pages))
+
+
+OP5_SQL = r"""WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\\[\]<]', '', 'g')) + CASE role WHEN 'system' THEN 13
+    WHEN 'user' THEN 15 WHEN 'assistant' THEN 17
+    ELSE 16 + length(role) + length(regexp_replace(role, '[^\\\[\]<]', '', 'g')) END AS chars FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+
+@query("op5_chat_format", OP5_SQL)
+def op5_chat_format(spark, sf_dir):
+    names = ["conv_id", "turn", "role", "text"]
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_format.conversation_digests(table(spark, sf_dir, "conversations").select(names).union(more))
+
+
+@query("op6_pitman_yor")
+def op6_pitman_yor(spark, sf_dir):
+    return hpylm.score_documents(table(spark, sf_dir, "documents"), held_out("doc_id", 5, 1))
+
+
+@query("op7_gam_quality")
+def op7_gam_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out("doc_id", 5, 0)
+    gam = gam_quality.learn(docs, labels.where(~out))
+    # a generator between, so that the score is worked out once
+    scored = docs.select("doc_id", out.alias("held_out"), F.explode(F.array(gam_quality.quality_of(F.col("text"), gam))).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 OP8_SQL = r"""WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
