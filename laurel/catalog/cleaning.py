@@ -145,12 +145,12 @@ def _(spark, sf):
 
 @query(
     "keyword_filter_documents",
-    f"""WITH {D.ASCII_SQL} SELECT post_id, {Q.word_match('text', ['that'], False)} AS that,
+    f"""WITH {D.DOCUMENTS_SQL} SELECT post_id, {Q.word_match('text', ['that'], False)} AS that,
       {Q.word_match('text', ['from', 'with'])} AS from_with, {Q.word_match('text', ['th'], True, False)} AS th
     FROM posts WHERE {Q.word_match('text', ['from', 'with', 'that'])}""",
 )
 def _(spark, sf):
-    posts = O.keyword_posts(D.ascii_documents(spark, sf), ["from", "with", "that"])
+    posts = O.keyword_posts(D.document_posts(spark, sf), ["from", "with", "that"])
     return posts.select(
         "post_id",
         P.has_word(F.col("text"), ["that"], ignore_case=False).alias("that"),

@@ -1,6 +1,5 @@
 """Counts, votes, records and set operations."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from laurel import constants as K
@@ -18,7 +17,6 @@ from laurel.plans import questions as P
 from laurel.sources import sinks
 
 NAMED = exploded(PEOPLE_SPANS)
-ANY_NAMED = exploded(f"regexp_extract_all(text, '{Q.PERSON_ANY}')")
 COUNTED = """counted AS (SELECT name, n, first_pos, first_idx::INTEGER AS first_idx FROM (
   SELECT name, count(*) AS n, min(pos) AS first_pos, arg_min(idx, pos * 1000 + idx) AS first_idx FROM spans GROUP BY name))"""
 RANKED = "ORDER BY n DESC, first_pos, first_idx"
@@ -34,11 +32,11 @@ DOC_NAMED = exploded(f"regexp_extract_all(text, '{Q.PERSON_ANY}')")
 
 @query(
     "mention_top_documents",
-    f"WITH {D.ASCII_SQL}, {DOC_NAMED}, {COUNTED.replace('pos * 1000', 'pos * 100000')} SELECT name, n, first_pos, first_idx FROM counted {RANKED} LIMIT 20",
+    f"WITH {D.DOCUMENTS_SQL}, {DOC_NAMED}, {COUNTED.replace('pos * 1000', 'pos * 100000')} SELECT name, n, first_pos, first_idx FROM counted {RANKED} LIMIT 20",
 )
 def _(spark, sf):
     spans = S.person_spans(F.col("text"), S.PERSON_ANY)
-    counts = E.mention_counts(E.mentions(D.ascii_documents(spark, sf), spans))
+    counts = E.mention_counts(E.mentions(D.document_posts(spark, sf), spans))
     return E.ranked_mentions(counts, 20)
 
 
@@ -361,9 +359,8 @@ def _(spark, sf):
 
 @query(
     "top_names_listing",
-    with_sql(NAMED, COUNTED, select=f"SELECT name, n, row_number() OVER ({RANKED}) AS rank FROM counted {RANKED} LIMIT 25"),
+    with_sql(NAMED, COUNTED, select=f"SELECT name, n, first_pos, first_idx FROM counted"),
 )
 def _(spark, sf):
-    top = E.ranked_mentions(E.mention_counts(E.mentions(posts_of(spark, sf))), 25)
-    order = Window.orderBy(F.desc("n"), "first_pos", "first_idx")
-    return top.select("name", "n", F.row_number().over(order).cast("bigint").alias("rank"))
+    # the whole listing; its order is a global sort, not a rank given in one task
+    return E.ranked_mentions(E.mention_counts(E.mentions(posts_of(spark, sf))))

@@ -51,24 +51,34 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_small(df):
-    """Spread the rows of a small file over the cores.
+SPLITS = 8
 
-    A small file is one task, and the text rules need more hands.  Input with at least one
-    split per core, so any large one, stays as it is read.
+
+def dealt_out(df):
+    """A table of fewer than eight splits, so of a GB at most, in eight parts.
+
+    The test files have one row group each, and so one split; the text rules need more hands.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(SPLITS) if df.rdd.getNumPartitions() < SPLITS else df
+
+
+def part_name():
+    """A part's name with its key spelt in letters, so that each part has a name of its own."""
+    serial = F.translate(F.col("p_partkey").cast("string"), "0123456789", "abcdefghij")
+    return F.initcap(F.concat_ws(" ", F.col("p_name"), serial))
 
 
 def event_posts(spark, sf_dir):
-    events = spread_small(table(spark, sf_dir, "events")).select(
-        "event_id", "ts", "user_id", F.expr("user_id % 199").alias("u"),
+    """One post for each event; a user speaks of thirteen parts and those next to them."""
+    part = table(spark, sf_dir, "part")
+    n = part.agg(F.count("*")).scalar()
+    events = dealt_out(table(spark, sf_dir, "events")).select(
+        "event_id", "ts", "user_id", ((F.col("user_id") * 13 + F.col("event_id") % 13) % n).alias("u"),
         F.expr("cast(regexp_extract(props, '[0-9]+', 0) as int)").alias("k"),
     )
-    names = table(spark, sf_dir, "part").select("p_partkey", F.initcap("p_name").alias("p"))
-    others = names.select((F.col("p_partkey") - 1).alias("u"), F.col("p").alias("q"))
-    worded = events.join(names, F.col("u") == F.col("p_partkey")).join(others, "u")
+    names = part.select(F.col("p_partkey").alias("u"), part_name().alias("p"))
+    others = part.select(((F.col("p_partkey") + n - 1) % n).alias("u"), part_name().alias("q"))
+    worded = events.join(names, "u").join(others, "u")
     parts = worded.selectExpr("*", *_PARTS)
     # a generator, so that later filters on the text do not repeat its wording
     text = parts.select("event_id", "ts", "user_id", F.explode(F.array(F.expr(_CASE))).alias("text"))
@@ -81,28 +91,21 @@ def clean_event_posts(spark, sf_dir):
 
 def document_posts(spark, sf_dir):
     return as_posts(
-        spread_small(table(spark, sf_dir, "documents")), "doc_id", "text", account="source"
+        dealt_out(table(spark, sf_dir, "documents")), "doc_id", "text", account="source"
     )
 
 
-def ascii_documents(spark, sf_dir):
-    """Documents in ASCII: word bounds mean the same in every regex dialect."""
-    posts = document_posts(spark, sf_dir)
-    return posts.where(~F.col("text").rlike(r"[^\x00-\x7F]"))
-
-
 def turn_posts(spark, sf_dir):
     return as_posts(
-        spread_small(table(spark, sf_dir, "conversations")), "conv_id * 100000 + turn", "text", account="role"
+        dealt_out(table(spark, sf_dir, "conversations")), "conv_id * 100000 + turn", "text", account="role"
     )
 
 
 def people(spark, sf_dir):
-    """Every second part name as a person page; the summary names a role."""
+    """Every part name as a person page; the summary names a role, and some say "born"."""
     return (
         table(spark, sf_dir, "part")
-        .where("p_partkey % 2 = 0")
-        .groupBy(F.initcap("p_name").alias("name"))
+        .groupBy(part_name().alias("name"))
         .agg(F.min("p_partkey").alias("id"))
         .select(
             "name",
@@ -118,14 +121,16 @@ def people(spark, sf_dir):
 
 _NAME = (
     "upper(substr(split_part(p_name,' ',1),1,1)) || substr(split_part(p_name,' ',1),2) || ' ' || "
-    "upper(substr(split_part(p_name,' ',2),1,1)) || substr(split_part(p_name,' ',2),2)"
+    "upper(substr(split_part(p_name,' ',2),1,1)) || substr(split_part(p_name,' ',2),2) || ' ' || "
+    "upper(substr(translate(p_partkey::VARCHAR,'0123456789','abcdefghij'),1,1)) || "
+    "substr(translate(p_partkey::VARCHAR,'0123456789','abcdefghij'),2)"
 )
 NAMES_SQL = f"names AS (SELECT p_partkey, {_NAME} AS p FROM part)"
 RAW_SQL = f"""{NAMES_SQL}, worded AS (
   SELECT e.*, n.p, o.p AS q, {", ".join(_PARTS)}
-  FROM (SELECT event_id, ts, user_id, user_id % 199 AS u,
+  FROM (SELECT event_id, ts, user_id, (user_id * 13 + event_id % 13) % (SELECT count(*) FROM part) AS u,
                CAST(regexp_extract(props, '[0-9]+', 0) AS INTEGER) AS k FROM events) e
-  JOIN names n ON n.p_partkey = e.u JOIN names o ON o.p_partkey = e.u + 1
+  JOIN names n ON n.p_partkey = e.u JOIN names o ON o.p_partkey = (e.u + 1) % (SELECT count(*) FROM part)
 ), raw AS (
   SELECT event_id AS post_id, event_id AS pos, ts, 'user' || user_id AS account, {_CASE} AS text
   FROM worded
@@ -147,13 +152,10 @@ POSTS_SQL = f"""{RAW_SQL}, posts AS (
     SELECT *, {clean_sql('text')} AS t FROM raw WHERE text IS NOT NULL AND NOT {FOREIGN_SQL}
   ) WHERE t <> ''
 )"""
-ASCII_SQL = r"""posts AS (
-  SELECT doc_id AS post_id, doc_id AS pos, source AS account, text FROM documents
-  WHERE NOT regexp_matches(text, '[^\x00-\x7F]')
-)"""
+DOCUMENTS_SQL = """posts AS (SELECT doc_id AS post_id, doc_id AS pos, source AS account, text FROM documents)"""
 PEOPLE_SQL = f"""people AS (
   SELECT p AS name, CASE min(p_partkey) % 3 WHEN 0 THEN 'American Actor born in ' || min(p_partkey)
     WHEN 1 THEN 'An Actress, Born ' || min(p_partkey)
     ELSE 'film Director since ' || min(p_partkey) END AS summary
-  FROM names WHERE p_partkey % 2 = 0 GROUP BY p
+  FROM names GROUP BY p
 )"""

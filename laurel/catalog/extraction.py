@@ -23,7 +23,6 @@ def with_sql(*ctes, select):
 
 PEOPLE_SPANS = f"regexp_extract_all(text, '{Q.PERSON}')"
 ENTITIES = f"regexp_extract_all(text, '{Q.ENTITY}')"
-ANY_PERSON = f"regexp_extract_all(text, '{Q.PERSON_ANY}')"
 
 
 def exploded(spans, source="posts", name="spans"):
@@ -43,22 +42,22 @@ def _(spark, sf):
 
 @query(
     "document_entity_spans",
-    f"WITH {D.ASCII_SQL}, {exploded(ENTITIES)} SELECT post_id, idx::INTEGER AS idx, name FROM spans",
+    f"WITH {D.DOCUMENTS_SQL}, {exploded(ENTITIES)} SELECT post_id, idx::INTEGER AS idx, name FROM spans",
 )
 def _(spark, sf):
     spans = S.entity_spans(F.col("text"))
-    return E.mentions(D.ascii_documents(spark, sf), spans).select("post_id", "idx", "name")
+    return E.mentions(D.document_posts(spark, sf), spans).select("post_id", "idx", "name")
 
 
 @query(
     "first_entity",
-    f"""WITH {D.ASCII_SQL}, u AS (SELECT post_id, text FROM posts UNION ALL
+    f"""WITH {D.DOCUMENTS_SQL}, u AS (SELECT post_id, text FROM posts UNION ALL
       SELECT -conv_id * 100000 - turn - 1, text FROM conversations)
     SELECT post_id, {Q.first_entity('text')} AS name FROM u""",
 )
 def _(spark, sf):
     turns = D.turn_posts(spark, sf).withColumn("post_id", -F.col("post_id") - 1)
-    both = D.ascii_documents(spark, sf).unionByName(turns)
+    both = D.document_posts(spark, sf).unionByName(turns)
     return both.select("post_id", S.first_entity(F.col("text")).alias("name"))
 
 
@@ -66,19 +65,13 @@ def _(spark, sf):
     "persons_not_listed",
     with_sql(
         exploded(PEOPLE_SPANS),
-        select=f"SELECT post_id, idx::INTEGER AS i, name FROM spans WHERE lower(trim(name)) NOT IN ({Q.listed(K.SHOW_NAMES, True)})",
+        select=f"""SELECT post_id, (row_number() OVER (PARTITION BY post_id ORDER BY idx) - 1)::INTEGER AS i, name
+          FROM spans WHERE lower(trim(name)) NOT IN ({Q.listed(K.SHOW_NAMES, True)})""",
     ),
 )
 def _(spark, sf):
     spans = S.person_spans_not_listed(F.col("text"), K.SHOW_NAMES)
-    kept = E.mentions(posts_of(spark, sf), spans)
-    # positions count all spans, so number them before the filter as the check does
-    every = E.mentions(posts_of(spark, sf))
-    return (
-        every.where(~P.is_listed(F.col("name"), K.SHOW_NAMES))
-        .join(kept.select("post_id", "name").distinct(), ["post_id", "name"], "left_semi")
-        .select("post_id", F.col("idx").alias("i"), "name")
-    )
+    return E.mentions(posts_of(spark, sf), spans).select("post_id", F.col("idx").alias("i"), "name")
 
 
 GAZETTEER_SQL = """gaz AS (SELECT p AS name, CASE WHEN min(p_partkey) % 2 = 0 THEN 'PERSON' ELSE 'WORK_OF_ART' END AS label
@@ -88,7 +81,7 @@ GAZETTEER_SQL = """gaz AS (SELECT p AS name, CASE WHEN min(p_partkey) % 2 = 0 TH
 def gazetteer(spark, sf):
     return (
         D.table(spark, sf, "part")
-        .groupBy(F.initcap("p_name").alias("name"))
+        .groupBy(D.part_name().alias("name"))
         .agg(F.min("p_partkey").alias("id"))
         .select(
             "name", F.when(F.col("id") % 2 == 0, "PERSON").otherwise("WORK_OF_ART").alias("label")
@@ -115,12 +108,12 @@ def _(spark, sf):
     with_sql(
         GAZETTEER_SQL,
         f"toks AS (SELECT post_id, {Q.tokens('lower(text)')} AS t FROM posts)",
-        "runs AS (SELECT post_id, i - 1 AS idx, array_to_string(t[i:i+1], ' ') AS k FROM (SELECT post_id, t, unnest(range(1, len(t)+1)) AS i FROM toks))",
+        "runs AS (SELECT post_id, i - 1 AS idx, array_to_string(t[i:i+2], ' ') AS k FROM (SELECT post_id, t, unnest(range(1, len(t)+1)) AS i FROM toks))",
         select="SELECT post_id, idx::INTEGER AS idx, name, label FROM runs JOIN gaz ON lower(name) = k",
     ),
 )
 def _(spark, sf):
-    found = E.gazetteer_spans(posts_of(spark, sf), gazetteer(spark, sf), 2)
+    found = E.gazetteer_spans(posts_of(spark, sf), gazetteer(spark, sf))
     return found.select("post_id", "idx", "name", "label")
 
 
@@ -129,12 +122,12 @@ def _(spark, sf):
     with_sql(
         GAZETTEER_SQL,
         f"toks AS (SELECT post_id, pos, {Q.tokens('lower(text)')} AS t FROM posts)",
-        "runs AS (SELECT post_id, pos, i, array_to_string(t[i:i+1], ' ') AS k FROM (SELECT post_id, pos, t, unnest(range(1, len(t)+1)) AS i FROM toks))",
+        "runs AS (SELECT post_id, pos, i, array_to_string(t[i:i+2], ' ') AS k FROM (SELECT post_id, pos, t, unnest(range(1, len(t)+1)) AS i FROM toks))",
         select="SELECT post_id, pos, name FROM runs JOIN gaz ON lower(name) = k QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY i) = 1",
     ),
 )
 def _(spark, sf):
-    return E.first_spans(E.gazetteer_spans(posts_of(spark, sf), gazetteer(spark, sf), 2))
+    return E.first_spans(E.gazetteer_spans(posts_of(spark, sf), gazetteer(spark, sf)))
 
 
 # --- subjects and award names ---------------------------------------------------------------
@@ -150,12 +143,11 @@ def _(spark, sf):
 
 @query(
     "subject_spans_documents",
-    f"SELECT doc_id AS post_id, {Q.subject('text', ['is', 'was', 'are'])} AS name FROM documents WHERE lang = 'en'",
+    f"SELECT doc_id AS post_id, {Q.subject('text', ['is', 'was', 'are'])} AS name FROM documents",
 )
 def _(spark, sf):
-    english = D.table(spark, sf, "documents").where("lang = 'en'")
-    return english.select(
-        F.col("doc_id").alias("post_id"), S.subject(F.col("text"), ["is", "was", "are"]).alias("name")
+    return D.document_posts(spark, sf).select(
+        "post_id", S.subject(F.col("text"), ["is", "was", "are"]).alias("name")
     )
 
 
@@ -306,16 +298,14 @@ DOC_RULES = {"marker": "the", "stop_words": ["for", "by"], "verbs": ["is", "was"
 
 @query(
     "evidence_turns",
-    "WITH turns AS (SELECT conv_id * 100000 + turn AS post_id, conv_id * 100000 + turn AS pos, text FROM conversations "
-    "WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')), "
+    "WITH turns AS (SELECT conv_id * 100000 + turn AS post_id, conv_id * 100000 + turn AS pos, text FROM conversations), "
     + f"""ev_in AS (SELECT * FROM turns WHERE {Q.word_match('text', DOC_WORDS)}),
 {Q.with_awards('ev_in', Q.drop_marks('text'), 'ev_a', **DOC_RULES)}
 SELECT post_id, pos, award, name FROM (SELECT *, coalesce({Q.subject('body', DOC_VERBS)}, {Q.first_entity('body')}) AS name FROM ev_a)
 WHERE award IS NOT NULL AND name IS NOT NULL""",
 )
 def _(spark, sf):
-    turns = D.turn_posts(spark, sf).where(~F.col("text").rlike(r"[^\x00-\x7F]"))
-    return _free_evidence(turns)
+    return _free_evidence(D.turn_posts(spark, sf))
 
 
 def _free_evidence(posts):
@@ -325,11 +315,18 @@ def _free_evidence(posts):
     ).select(*EVIDENCE)
 
 
-# list functions in SQL are quadratic on long texts, so this one has no SQL; the same
-# rules are checked on the conversations above
-@query("evidence_documents")
+@query(
+    "evidence_documents",
+    f"""WITH ev_in AS (SELECT doc_id AS post_id, doc_id AS pos, {Q.drop_marks('text')} AS body FROM documents WHERE {Q.word_match('text', DOC_WORDS)}),
+ev_tk AS (SELECT *, string_split(body, ' ') AS tk FROM ev_in),
+{Q.longest_phrase_rows('ev_tk', 'ev_ph', **DOC_RULES)},
+ev_a AS (SELECT post_id, pos, body, {Q.not_show('aw0')} AS award FROM (
+  SELECT t.post_id, pos, body, coalesce(phrase, {Q.award_suffix('body')}) AS aw0 FROM ev_tk t LEFT JOIN ev_ph USING (post_id)))
+SELECT post_id, pos, award, name FROM (SELECT *, coalesce({Q.subject('body', DOC_VERBS)}, {Q.first_entity('body')}) AS name FROM ev_a)
+WHERE award IS NOT NULL AND name IS NOT NULL""",
+)
 def _(spark, sf):
-    return _free_evidence(D.ascii_documents(spark, sf))
+    return _free_evidence(D.document_posts(spark, sf))
 
 
 def _hope_sql():
@@ -425,15 +422,13 @@ TURN_RULES = {"marker": "of", "stop_words": ["for", "by", "is"]}
 
 @query(
     "presenter_pairs_turns",
-    "WITH turns AS (SELECT conv_id * 100000 + turn AS post_id, conv_id * 100000 + turn AS pos, text FROM conversations "
-    "WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')), "
+    "WITH turns AS (SELECT conv_id * 100000 + turn AS post_id, conv_id * 100000 + turn AS pos, text FROM conversations), "
     + presenter_sql("sentence", "[A-Z][a-z]+", "turns", ["with"], **TURN_RULES)
     + " SELECT * FROM pairs",
 )
 def _(spark, sf):
-    turns = D.turn_posts(spark, sf).where(~F.col("text").rlike(r"[^\x00-\x7F]"))
     return E.presenter_pairs(
-        turns, "sentence", ["with"], person="[A-Z][a-z]+", **TURN_RULES
+        D.turn_posts(spark, sf), "sentence", ["with"], person="[A-Z][a-z]+", **TURN_RULES
     ).select(*EVIDENCE)
 
 
@@ -538,7 +533,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     posts = D.document_posts(spark, sf)
-    found = L.known_name_mentions(posts, _benchmark_names(spark, sf), limit=0, gram=12)
+    found = L.known_name_mentions(posts, _benchmark_names(spark, sf), gram=12)
     return found.select("post_id", "award")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from laurel import constants as K
 from laurel.catalog import data as D
 from laurel.catalog import sql as Q
-from laurel.catalog.extraction import posts_of, presenter_sql, with_sql
+from laurel.catalog.extraction import HOPE_SQL, posts_of, presenter_sql, with_sql
 from laurel.catalog.registry import query
 from laurel.functions import text as T
 from laurel.operators import consolidate as C
@@ -21,7 +21,7 @@ def _texts(df, key):
 def _benchmark_to_documents(spark, sf, n):
     best = L.tfidf_top_n(
         _texts(D.table(spark, sf, "benchmark"), "item_id"),
-        _texts(D.spread_small(D.table(spark, sf, "documents")), "doc_id"),
+        _texts(D.dealt_out(D.table(spark, sf, "documents")), "doc_id"),
         n,
     )
     return best.select(
@@ -160,10 +160,15 @@ def _(spark, sf):
     return L.update_existing(records, linked.select("award", "name")).select("award", "winner")
 
 
-# --- sequence measures: no SQL, brute-force tests instead ---------------------------------------
+# --- sequence measures ------------------------------------------------------------------------
 
 
-@query("token_set_best")
+@query(
+    "token_set_best",
+    f"""WITH t AS (SELECT DISTINCT p_type || ' ' || string_split(p_name, ' ')[-1] AS target FROM part),
+    k AS (SELECT DISTINCT p_name || ' ' || p_type AS key FROM part), tk AS (SELECT * FROM t, k),
+    {Q.token_set_best('tk')} SELECT target, key, score FROM t LEFT JOIN best USING (target)""",
+)
 def _(spark, sf):
     part = D.table(spark, sf, "part")
     targets = part.select(F.concat_ws(" ", "p_type", F.element_at(F.split("p_name", " "), -1)).alias("target")).distinct()
@@ -171,25 +176,58 @@ def _(spark, sf):
     return L.token_set_best(targets, keys)
 
 
-@query("token_set_winners")
+_LAST = f"{Q.evidence(K.WINNER_WORDS)}, vals AS (SELECT award, arg_max(name, pos) AS name FROM evidence GROUP BY award)"
+
+
+@query(
+    "token_set_winners",
+    with_sql(
+        _LAST, CANON_SQL, "tk AS (SELECT c.award AS target, v.award AS key FROM canon c, vals v)", Q.token_set_best("tk"),
+        select="""SELECT c.award, b.key, b.score, v.name FROM canon c LEFT JOIN best b ON b.target = c.award
+          LEFT JOIN vals v ON v.award = b.key""",
+    ),
+)
 def _(spark, sf):
     values = E.last_value(E.award_evidence(posts_of(spark, sf))).select("award", "name")
     return P.fuzzy_values(P.canonical_awards(spark), values)
 
 
-@query("merged_awards")
+def _merged_sql(ctes, names, select):
+    """Consolidated names over ``with_sql`` CTEs; the block search needs a recursive WITH."""
+    return with_sql(*ctes, f"names_in AS ({names})", Q.greedy("names_in"), select=select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(
+    "merged_awards",
+    _merged_sql(
+        [HOPE_SQL], "SELECT award AS name, count(*) AS votes FROM hope GROUP BY award",
+        "SELECT leader AS name, sum(votes)::BIGINT AS votes FROM owner JOIN names_in USING (name) GROUP BY leader",
+    ),
+)
 def _(spark, sf):
     votes = E.award_votes(E.hope_triples(posts_of(spark, sf))).withColumnRenamed("award", "name")
     return C.merged_votes(votes)
 
 
-@query("consolidated_votes")
+@query(
+    "consolidated_votes",
+    _merged_sql(
+        [HOPE_SQL, """said AS (SELECT award, role, name, count(*) AS n FROM (SELECT string_split(name || ' | ' || award || ' | ' || role, ' | ') AS p FROM hope),
+          LATERAL (SELECT p[1] AS name, p[2] AS award, p[3] AS role) WHERE len(p) = 3 GROUP BY ALL)"""],
+        "SELECT DISTINCT award AS name, 1 AS votes FROM said",
+        """SELECT leader AS award, role, s.name, sum(n)::BIGINT AS n FROM said s JOIN owner o ON o.name = s.award GROUP BY ALL""",
+    ),
+)
 def _(spark, sf):
     lines = E.triples(E.hope_triples(posts_of(spark, sf)))
     return P.vote_summary(lines)
 
 
-@query("merged_part_names")
+@query(
+    "merged_part_names",
+    f"""WITH RECURSIVE names_in AS (SELECT p_name || ' ' || p_type AS name, count(*) AS votes FROM part GROUP BY 1),
+    {Q.greedy('names_in')} SELECT name, leader FROM owner""",
+)
 def _(spark, sf):
     names = D.table(spark, sf, "part").groupBy(F.concat_ws(" ", "p_name", "p_type").alias("name")).agg(
         F.count("*").alias("votes")

@@ -13,20 +13,19 @@ from laurel.sources.posts import list_frame
 
 PHRASES = ["of the", "that is", "in the", "to be", "with and"]
 PHRASE_PATTERNS = {
-    "of the": None, "that is": r"\bthat\s*is\b", "in the": None, "to be": r"\bto\s*be\b",
-    "with and": r"\bwith\s*and\b",
+    "of the": None, "that is": r"that\s*is", "in the": None, "to be": r"to\s*be", "with and": r"with\s*and",
 }
 _hits = " UNION ALL ".join(
-    f"SELECT '{name}' AS award, post_id, pos FROM posts WHERE regexp_matches(text, '{pattern}')"
+    f"SELECT '{name}' AS award, post_id, pos FROM posts WHERE regexp_matches(text, '(?:^|[^\\p{{L}}\\p{{N}}_])(?:{pattern})(?:$|[^\\p{{L}}\\p{{N}}_])')"
     for name, pattern in PHRASE_PATTERNS.items()
     if pattern
 )
 
 
-@query("pattern_mentions", f"WITH {D.ASCII_SQL} {_hits}")
+@query("pattern_mentions", f"WITH {D.DOCUMENTS_SQL} {_hits}")
 def _(spark, sf):
     names = list_frame(spark, PHRASES)
-    return L.pattern_mentions(D.ascii_documents(spark, sf), names)
+    return L.pattern_mentions(D.document_posts(spark, sf), names)
 
 
 CANON = [f"best {c} {m}" for c in ("actor", "actress", "director") for m in ("in a drama", "in a series")]

@@ -18,22 +18,6 @@ def has_word(text: Column, words, ignore_case=True, whole=True) -> Column:
     return F.coalesce(text.rlike(word_pattern(words, ignore_case, whole)), F.lit(False))
 
 
-def has_winner_word(text, words=tuple(K.WINNER_WORDS), ignore_case=False):
-    return has_word(text, words, ignore_case)
-
-
-def has_nominee_word(text, words=tuple(K.NOMINEE_WORDS), ignore_case=False):
-    return has_word(text, words, ignore_case)
-
-
-def has_presenter_word(text, words=tuple(K.PRESENTER_WORDS)):
-    return has_word(text, words)
-
-
-def has_host_word(text, words=tuple(K.HOST_WORDS)):
-    return has_word(text, words)
-
-
 def has_award_word(text, words=tuple(K.AWARD_WORDS)):
     return has_word(F.lower(text), words, ignore_case=False)
 

@@ -64,7 +64,7 @@ def first_entity(text: Column) -> Column:
 def subject(text: Column, verbs=tuple(K.SUBJECT_VERBS)) -> Column:
     """The capitalised run, with an article, directly before one of the verbs."""
     pattern = (
-        r"((?:(?:[Tt]he|[Aa]n?) )?[A-Z][A-Za-z0-9-]*(?: [A-Z][A-Za-z0-9-]*){0,5})"
+        r"((?:(?:[Tt]he|[Aa]n?) )?[A-Z][A-Za-z0-9-]*(?: [A-Z][A-Za-z0-9-]*)*)"
         rf" (?:{_options(verbs)})(?: |$)"
     )
     return T.empty_to_null(F.regexp_extract(text, pattern, 1))

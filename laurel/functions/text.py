@@ -35,10 +35,6 @@ def clean(text: Column) -> Column:
     return squeeze(strip_emoji(strip_urls(text)))
 
 
-def is_blank(text: Column) -> Column:
-    return ~text.rlike(r"\S")
-
-
 def clean_alternate(text: Column) -> Column:
     """Lower-case words and handles only; a retweet becomes an empty text."""
     bare = F.regexp_replace(strip_urls(text), K.EMOJI_BLOCKS, "")

@@ -176,30 +176,28 @@ def labelled_entities(posts: DataFrame, gazetteer: DataFrame, labels=None, spans
     )
 
 
-def gazetteer_spans(posts: DataFrame, gazetteer: DataFrame, max_words=6) -> DataFrame:
+def gazetteer_spans(posts: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Gazetteer names found as word runs of a post, any case.
 
-    For lower-case posts, where capitals give no hint.  Each post emits its word runs up
-    to ``max_words``; a hash join keeps the known ones.
+    For lower-case posts, where capitals give no hint.  Each post emits its word runs of
+    the lengths that the gazetteer has; a hash join keeps the known ones.
     """
     toks = T.tokens(F.lower(F.col("text")))
     known = gazetteer.select(
-        T.token_text(F.lower("name")).alias("key"), F.col("name"), "label"
-    ).distinct()
+        T.tokens(F.lower("name")).alias("toks"), F.col("name"), "label"
+    ).where(F.size("toks") > 0)
+    lengths = known.agg(F.collect_set(F.size("toks"))).scalar()
+    known = known.select(F.array_join("toks", " ").alias("key"), "name", "label").distinct()
+    fitting = F.filter("lengths", lambda n: n <= F.size("toks") - F.col("idx"))
     return (
-        posts.select("post_id", "pos", toks.alias("toks"))
-        .select("post_id", "pos", "toks", F.posexplode("toks").alias("idx", "first"))
+        posts.select("post_id", "pos", toks.alias("toks"), lengths.alias("lengths"))
+        .select("post_id", "pos", "toks", "lengths", F.posexplode("toks").alias("idx", "first"))
         .select(
             "post_id",
             "pos",
             "idx",
             F.explode(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.lit(1), F.lit(max_words)),
-                        lambda n: F.array_join(F.slice("toks", F.col("idx") + 1, n), " "),
-                    )
-                )
+                F.transform(fitting, lambda n: F.array_join(F.slice("toks", F.col("idx") + 1, n), " "))
             ).alias("key"),
         )
         .join(known, "key")
@@ -383,26 +381,24 @@ def parse_triples(lines: DataFrame, column="triple", lower=False) -> DataFrame:
 ROLES = ["winner", "nominee", "presenter"]
 
 
-def award_records(votes: DataFrame, part_size=10_000, counted=True) -> DataFrame:
-    """One record per award: name, role lists and votes, for the JSON sinks.
+def award_records(votes: DataFrame, counted=True) -> DataFrame:
+    """One record per award, at any size: name, role lists and votes, for the JSON sinks.
 
-    An award with more than ``part_size`` entries is written as several records with a
-    ``part`` number, so that no task collects an unbounded list.
+    A record is one JSON object, so it is as large as its award's list of names; the rows of
+    ``votes`` with ``award_votes`` hold the same facts without lists.
     """
-    sizes = votes.groupBy("award").agg(
-        F.sum("n").alias("votes"), F.ceil(F.count("*") / F.lit(part_size)).alias("parts")
-    )
     entry = F.struct("name", "n") if counted else F.col("name")
 
     def role_list(role):
         return F.array_sort(F.collect_list(F.when(F.col("role") == role, entry)))
 
     return (
-        votes.join(sizes, "award")
-        .withColumn("part", F.pmod(F.xxhash64("name"), "parts"))
-        .groupBy("award", "votes", "part")
-        .agg(*[role_list(r).alias(a) for r, a in zip(ROLES, ["winner", "nominees", "presenters"])])
-        .select(F.col("award").alias("name"), "winner", "nominees", "presenters", "votes", "part")
+        votes.groupBy("award")
+        .agg(
+            F.sum("n").alias("votes"),
+            *[role_list(r).alias(a) for r, a in zip(ROLES, ["winner", "nominees", "presenters"])],
+        )
+        .select(F.col("award").alias("name"), "winner", "nominees", "presenters", "votes")
     )
 
 

@@ -197,55 +197,60 @@ def _best_in_task(names, ignore_case):
 # --- containment ----------------------------------------------------------------------
 
 
-def _is_short(names: DataFrame, limit) -> bool:
-    return names.limit(limit + 1).count() <= limit
-
-
 WORD = r"[\p{L}\p{N}_]+"
 INNER_WORD = r"(?<=[^\p{L}\p{N}_])[\p{L}\p{N}_]+(?=[^\p{L}\p{N}_])"
 
 
-def known_name_mentions(posts: DataFrame, names: DataFrame, limit=CHUNK, gram=4) -> DataFrame:
+def anchors_of(names: DataFrame, gram=6) -> DataFrame:
+    """``names`` (with ``name``) and the ``key`` that any text holding the name has.
+
+    A word inside a name is a whole word of such a text: the longest one is the key.  A name
+    without one is filed under the rarest of its substrings.  ``size`` is the substring's
+    length, 0 for a word.
+    """
+    word = S.longest(F.regexp_extract_all("name", F.lit(INNER_WORD), F.lit(0)))
+    marked = stage(names.withColumn("word", word), "anchored")
+    by_word = marked.where(F.col("word").isNotNull())
+    by_gram = rarest_gram(marked.where(F.col("word").isNull()).drop("word"), gram)
+    others = [c for c in names.columns]
+    return by_word.select(*others, F.lit(0).alias("size"), _key("word", F.lit(0)).alias("key")).unionByName(
+        by_gram.select(*others, F.length("gram").alias("size"), _key("gram", F.length("gram")).alias("key"))
+    )
+
+
+def _key(part, size):
+    return F.xxhash64(size, F.col(part))
+
+
+def keys_in(text, sizes):
+    """The keys of all words of a text, and of its substrings of the given sizes."""
+    words = F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    grams = F.flatten(
+        F.transform(
+            F.filter(sizes, lambda n: n > 0),
+            lambda n: F.transform(grams_of(text, F.array(n)), lambda g: F.xxhash64(n, g)),
+        )
+    )
+    return F.concat(F.transform(words, lambda w: F.xxhash64(F.lit(0), w)), grams)
+
+
+def sizes_of(anchors: DataFrame):
+    """The few key sizes in use, as a scalar array."""
+    return anchors.agg(F.collect_set("size")).scalar()
+
+
+def known_name_mentions(posts: DataFrame, names: DataFrame, gram=4) -> DataFrame:
     """Rows ``(post_id, pos, text, award)``: the name stands in the text, any case.
 
-    Up to ``limit`` names fit one scalar array and nothing is shuffled.  A word inside a
-    name is a whole word of any text that holds the name, so a name is only searched in
-    texts that have its longest inner word; names without one are searched everywhere.
-    A longer list is joined by each name's rarest ``gram`` characters.
+    Narrow rows of keys meet the names' anchors; texts join back only where one was found.
+    A short list is small enough for Spark to send it to the posts; a long one is a join.
     """
     listed = names.select("award").where(F.col("award") != "").distinct()
-    if _is_short(listed, limit):
-        inner = F.regexp_extract_all("low", F.lit(INNER_WORD), F.lit(0))
-        wanted = (
-            listed.select("award", F.lower("award").alias("low"))
-            .select("award", "low", S.longest(inner).alias("anchor"))
-            .agg(
-                F.collect_list(F.struct("award", "low", "anchor")).alias("names"),
-                F.collect_set("anchor").alias("anchors"),
-            )
-            .select(F.struct("names", "anchors"))
-        )
-        seen = F.array_intersect(
-            F.array_distinct(F.regexp_extract_all("low", F.lit(WORD), F.lit(0))), "w.anchors"
-        )
-        hits = F.filter(
-            "w.names",
-            lambda n: (n["anchor"].isNull() | F.array_contains("seen", n["anchor"]))
-            & F.contains(F.col("low"), n["low"]),
-        )
-        return (
-            posts.select("post_id", "pos", "text", F.lower("text").alias("low"), wanted.scalar().alias("w"))
-            # generators keep the lower-cased text and the seen words from being redone per name
-            .select("*", F.explode(F.array(seen)).alias("seen"))
-            .select("post_id", "pos", "text", F.explode(hits).alias("hit"))
-            .select("post_id", "pos", "text", "hit.award")
-        )
-    anchors = rarest_gram(listed.select("award", F.lower("award").alias("name")), gram)
-    # narrow candidate rows first; the texts join back only where an anchor was found
+    anchors = stage(anchors_of(listed.select("award", F.lower("award").alias("name")), gram), "anchors")
+    low = posts.select("post_id", F.explode(F.array(F.lower("text"))).alias("low"), sizes_of(anchors).alias("sizes"))
     candidates = (
-        posts.select("post_id", F.lower("text").alias("low"), gram_sizes(anchors).alias("sizes"))
-        .select("post_id", F.explode(grams_of(F.col("low"), F.col("sizes"))).alias("gram"))
-        .join(anchors.select("gram", "award"), "gram")
+        low.select("post_id", F.explode(keys_in(F.col("low"), F.col("sizes"))).alias("key"))
+        .join(anchors.select("key", "award"), "key")
         .select("post_id", "award")
         .distinct()
     )
@@ -293,29 +298,24 @@ def drop_contained(names: DataFrame, gram=6) -> DataFrame:
     """Distinct names that stand in no longer name.
 
     Containment is transitive, so testing every longer name equals testing the kept ones.
-    Each name looks once, under its rarest substring, for a longer one that holds it.
+    Each name looks once, under its anchor, for a longer one that holds it.  Ids and lengths
+    travel to the join; the names themselves only meet where a key and the lengths fit.
     """
-    distinct = stage(
-        names.select(F.col("award").alias("name")).where(F.col("award").isNotNull()).distinct(),
-        "names",
-    )
-    anchors = stage(rarest_gram(distinct.where(F.col("name") != ""), gram), "anchors")
-    longer = distinct.withColumn("sizes", gram_sizes(anchors)).select(
-        F.col("name").alias("other"), F.explode(grams_of(F.col("name"), F.col("sizes"))).alias("gram")
+    distinct = names.select(F.col("award").alias("name")).where(F.col("award").isNotNull()).distinct()
+    numbered = stage(distinct.where(F.col("name") != "").withColumn("id", F.monotonically_increasing_id()), "names")
+    anchors = stage(anchors_of(numbered, gram), "anchors")
+    longer = numbered.select("id", F.length("name").alias("n"), F.col("name"), sizes_of(anchors).alias("sizes")).select(
+        F.col("id").alias("other"), F.col("n").alias("other_n"), F.explode(keys_in(F.col("name"), F.col("sizes"))).alias("key")
     )
-    # only substrings that some name looks for need to travel
-    longer = longer.join(anchors.select("gram").distinct(), "gram", "left_semi")
-    return (
-        anchors.alias("a")
-        .join(
-            longer.alias("b"),
-            (F.col("a.gram") == F.col("b.gram"))
-            & (F.length("other") > F.length("name"))
-            & F.contains(F.col("other"), F.col("name")),
-            "left_anti",
-        )
-        .select(F.col("name").alias("award"))
+    looked = anchors.select("key", "id", F.length("name").alias("n"))
+    pairs = longer.join(looked, "key").where("other_n > n").select("id", "other").distinct()
+    held = (
+        pairs.join(numbered.select(F.col("id").alias("other"), F.col("name").alias("whole")), "other")
+        .join(numbered, "id")
+        .where(F.contains("whole", "name"))
+        .select("id")
     )
+    return numbered.join(held, "id", "left_anti").select(F.col("name").alias("award"))
 
 
 def longest_first(names: DataFrame, k=None) -> DataFrame:

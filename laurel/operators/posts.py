@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from laurel import constants as K
 from laurel.functions import predicates as P
 from laurel.functions import text as T
+from laurel.session import stage
 
 
 def _cleaned(posts, text, value):
@@ -35,6 +36,29 @@ def clean_posts_alternate(posts: DataFrame, text="text") -> DataFrame:
     )
 
 
+def dense_positions(rows: DataFrame, *order, name="pos") -> DataFrame:
+    """Add the row's place in the order, from 0 on without gaps.
+
+    Rows are dealt out by range and sorted within the parts; a part's first place is the
+    number of rows in the parts before it.  Only one count for each part meets in one task.
+    """
+    dealt = stage(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "ordered",
+    )
+    # the number is part << 33 | row, and parts ascend with the order
+    part = F.shiftright("_at", 33).alias("_part")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(part).agg(F.count("*").alias("n")).select(
+        "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")
+    )
+    placed = dealt.withColumn("_part", F.shiftright("_at", 33)).join(starts, "_part")
+    place = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    others = [c for c in rows.columns if c != name]
+    return placed.select(*others, place.alias(name)).select(*dict.fromkeys([*rows.columns, name]))
+
+
 def account_counts(posts: DataFrame, account=None) -> DataFrame:
     """Rows ``(account, n, first_pos)``; null accounts are skipped."""
     account = T.retweet_token(F.col("text")) if account is None else account
@@ -56,7 +80,7 @@ def reputable_posts(posts: DataFrame, top_accounts: DataFrame, legacy=False) ->
 
     ``top_accounts`` comes from ``top_k``, so its names fit one scalar array and no
     post is shuffled.  An account counts if it stands as a token of the post, with or
-    without a colon.  ``legacy``: one unescaped alternation, any case, where the
+    without a colon.  ``legacy``: one alternation, any case, where the
     retweet mark binds to the first account only.
     """
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("r"), "first_pos", "account")))
@@ -64,7 +88,9 @@ def reputable_posts(posts: DataFrame, top_accounts: DataFrame, legacy=False) ->
         F.transform("a", lambda x: x["account"]).alias("names")
     )
     if legacy:
-        pattern = names.select(F.concat(F.lit(r"(?i)RT\s"), F.array_join("names", "|")))
+        # \Q..\E: an account is data and may hold any character
+        quoted = F.transform("names", lambda a: F.concat(F.lit(r"\Q"), F.replace(a, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")))
+        pattern = names.select(F.concat(F.lit(r"(?i)RT\s"), F.array_join(quoted, "|")))
         return posts.where(F.rlike("text", pattern.scalar()))
     plain = names.select(
         F.transform("names", lambda a: F.lower(F.regexp_replace(a, "^@|:$", "")))

@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
+from laurel.operators.posts import dense_positions
+
 RAW_POST = ST.StructType(
     [
         ST.StructField("text", ST.StringType()),
@@ -27,41 +29,46 @@ GOLD = (
 
 
 def read_posts_json(
-    spark: SparkSession, path, one_array=True, default_text=None, schema=RAW_POST
+    spark: SparkSession, path, one_array=False, default_text=None, schema=RAW_POST
 ) -> DataFrame:
     """Posts with keys ``(post_id, pos, ts, account, text)``.
 
-    ``one_array``: the file is one JSON array, which Spark reads in one task; large
-    inputs should be JSON lines (``one_array=False``), which are split.
+    Files are JSON lines, which are split.  ``one_array``: a file is one JSON array, which
+    Spark reads in one task.  ``pos`` is the place by time and id, from 0 without gaps.
     """
     raw = spark.read.schema(schema).json(path, multiLine=one_array)
     text = F.col("text")
     if default_text is not None:
         text = F.coalesce(text, F.lit(default_text))
-    return raw.select(
+    posts = raw.select(
         F.col("id").alias("post_id"),
-        # post ids grow with time, so they give the order of the posts
-        F.col("id").alias("pos"),
         F.timestamp_millis(F.col("timestamp_ms")).alias("ts"),
         F.col("user.screen_name").alias("account"),
         text.alias("text"),
     )
+    return dense_positions(posts, "ts", "post_id").select("post_id", "pos", "ts", "account", "text")
+
 
+def read_text_csv(spark: SparkSession, path, schema="text STRING", header=True, multi_line=True) -> DataFrame:
+    """``multi_line``: quoted values may hold line ends, so a file is read in one task."""
+    return spark.read.schema(schema).csv(path, header=header, multiLine=multi_line, quote='"', escape='"')
 
-def read_text_csv(spark: SparkSession, path, schema="text STRING", header=True) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=header, multiLine=True, quote='"', escape='"')
 
+def as_posts(df: DataFrame, post_id, text, pos=None, ts=None, account=None, dense=True) -> DataFrame:
+    """Any table with a text column as a post table.
 
-def as_posts(df: DataFrame, post_id, text, pos=None, ts=None, account=None) -> DataFrame:
-    """Any table with a text column as a post table."""
+    ``dense``: the position counts posts, with few gaps.  Else it gives the order only, and
+    is replaced by the place in that order.
+    """
     pos = post_id if pos is None else pos
-    return df.select(
+    posts = df.select(
         F.expr(post_id).cast("bigint").alias("post_id"),
         F.expr(pos).cast("bigint").alias("pos"),
         (F.expr(ts) if ts else F.lit(None)).cast("timestamp").alias("ts"),
         (F.expr(account) if account else F.lit(None)).cast("string").alias("account"),
         F.expr(text).alias("text"),
     )
+    return posts if dense else dense_positions(posts, "pos")
 
 
 def first_posts(posts: DataFrame, n: int) -> DataFrame:

@@ -30,10 +30,6 @@ def write_json(df: DataFrame, path, mode="overwrite"):
     df.write.mode(mode).json(path)
 
 
-def write_parquet(df: DataFrame, path, mode="overwrite"):
-    df.write.mode(mode).parquet(path)
-
-
 def record_text(records: DataFrame, pretty=True) -> DataFrame:
     """One JSON document per record, as column ``value``."""
     options = {"pretty": "true"} if pretty else {}

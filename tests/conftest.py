@@ -15,7 +15,7 @@ from laurel.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "local[8]", "tests", 8,
+        os.environ.get("LAUREL_MASTER", "local[8]"), "tests", 8,
         {
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",

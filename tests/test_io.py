@@ -3,7 +3,10 @@
 import json
 
 from laurel.operators import evidence as E
+from laurel.operators import linkage as L
+from laurel.operators import posts as O
 from laurel.operators import scoring as G
+from laurel.operators import timing as TI
 from laurel.plans import api
 from laurel.plans import questions as Q
 from laurel.sources import posts as R
@@ -31,9 +34,9 @@ def write_tweets(path):
 def test_json_to_answers(spark, tmp_path):
     source = tmp_path / "posts.json"
     write_tweets(source)
-    raw = R.read_posts_json(spark, str(source), default_text="")
+    raw = R.read_posts_json(spark, str(source), one_array=True, default_text="")
     assert raw.count() == 8 and raw.where("text = ''").count() == 1
-    assert str(raw.orderBy("pos").first().ts) == "2013-01-14 00:49:56"
+    assert [(r.post_id, str(r.ts)[:10]) for r in raw.orderBy("pos").collect()][:2] == [(99, "1970-01-01"), (0, "2013-01-14")]
     posts = Q.clean_data(raw)
     awards = R.list_frame(spark, ["best director - motion picture", "best original song - motion picture", "cecil b. demille award"])
     won = {r.award: r.name for r in Q.winners(posts, awards).collect()}
@@ -60,7 +63,7 @@ def test_sinks(spark, tmp_path):
     got = json.loads(spark.read.text(str(tmp_path / "r")).first().value)
     assert got["name"] == "a" and got["winner"] == [{"name": "x", "n": 2}] and got["votes"] == 3
     W.write_csv(records, str(tmp_path / "c"))
-    back = R.read_text_csv(spark, str(tmp_path / "c"), "name string, winner string, nominees string, presenters string, votes bigint, part bigint")
+    back = R.read_text_csv(spark, str(tmp_path / "c"), "name string, winner string, nominees string, presenters string, votes bigint")
     assert json.loads(back.first().winner) == [{"name": "x", "n": 2}]
     text = spark.createDataFrame([('say "hi", ok\nnext',)], "text string")
     W.write_csv(text, str(tmp_path / "q"))
@@ -103,7 +106,7 @@ def test_gold_and_grid(spark, tmp_path):
 def test_grade_runs_end_to_end(spark, tmp_path):
     source = tmp_path / "posts.json"
     write_tweets(source)
-    posts = Q.clean_data(R.read_posts_json(spark, str(source)))
+    posts = Q.clean_data(R.read_posts_json(spark, str(source), one_array=True))
     (tmp_path / "gold.json").write_text(
         json.dumps(
             {
@@ -121,3 +124,31 @@ def test_grade_runs_end_to_end(spark, tmp_path):
     assert grid[("winner", "spelling")] == 1.0
     assert grid[("presenters", "spelling")] == 1.0 and grid[("presenters", "completeness")] == 1.0
     assert grid[("nominees", "completeness")] == 0.0
+
+
+def test_positions_of_sparse_ids(spark, tmp_path):
+    """Ids of 18 digits: places count rows, so windows and first parts mean rows."""
+    rows = [
+        {"text": ("best actor to " if 40 <= i < 60 else "about ") + f"Name Number{'abcdefghij'[i % 10]} hosting",
+         "user": {"screen_name": "u"}, "id": 290621738394464256 + i * 7_919_000_000, "timestamp_ms": 1358124596000 + i * 700}
+        for i in range(100)
+    ]
+    (tmp_path / "posts.json").write_text("\n".join(json.dumps(r) for r in reversed(rows)))
+    posts = R.read_posts_json(spark, str(tmp_path / "posts.json"))
+    assert [r.pos for r in posts.orderBy("post_id").collect()] == list(range(100))
+    assert [r.pos for r in O.first_fraction(posts, 0.1).orderBy("pos").collect()] == list(range(10))
+    awards = R.list_frame(spark, ["best actor"])
+    stats = TI.position_stats(L.pattern_mentions(posts, awards), half_width=5)
+    assert TI.posts_in_windows(posts, stats, 5).count() == 9  # strictly within 44 and 54
+    people = spark.createDataFrame([(f"Name Number{c}", "An Actor") for c in "abcdefghij"], "name string, summary string")
+    found = Q.timing_candidates(posts, awards, people, half_width=5)
+    assert sum(r.n for r in found.collect()) == 9
+    made = R.as_posts(posts.drop("pos"), "post_id", "text", dense=False)
+    assert [r.pos for r in made.orderBy("post_id").collect()] == list(range(100))
+
+
+def test_people_table(spark, tmp_path):
+    (tmp_path / "people.json").write_text('{"name": "Amy Poehler", "summary": "Born 1971"}\n{"name": "Argo", "summary": "a film"}')
+    people = R.read_people(spark, str(tmp_path / "people.json"))
+    named = spark.createDataFrame([("Amy Poehler",), ("Argo",)], "name string")
+    assert [r.name for r in L.known_people(named, people).collect()] == ["Amy Poehler"]

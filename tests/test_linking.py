@@ -1,7 +1,7 @@
 """Linking, consolidation and scoring against brute force in plain Python."""
 
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 from difflib import SequenceMatcher
 from math import log, sqrt
 
@@ -66,11 +66,21 @@ def test_measures():
         a, b = rng.choice(values), rng.choice(values)
         assert M.common_subsequence(a, b) == lcs(a, b)
     assert round(M.block_ratio("Best Supporting Actor in a Motion Picture", "Best Actor in a Motion Picture"), 3) == 0.845
-    assert M.overlap_score("art", "artist") == 1.0
-    assert M.overlap_score("a b c d", "a b x d") == 0.5
+    assert M.common_blocks("a b c d".split(), "a b x d".split()) == [2, 1]
+    assert M.common_blocks("a b c a b d".split(), "a b d a b c".split()) == [3]
+    assert M.block_share("a b c d".split(), "a b x d".split()) == 0.5
+    assert M.block_share("a b c d".split(), "d x y z".split()) == 0.25
+    assert M.block_share("a b".split(), "b c".split()) == 0.0
+    assert M.block_share([], ["a"]) == M.block_share(["a"], ["b"]) == 0.0
     assert M.token_set_ratio("best actor", "actor best drama") == 100.0
 
 
+def test_overlap_of_contained_texts(spark):
+    rows = [("art", "artist", 1.0), ("a b", "x a b c", 0.5), ("a b c d", "a b x d", 0.5), ("", "", 0.0), ("a", "", 0.0)]
+    got = M.with_overlap(spark.createDataFrame(rows, "x string, y string, want double"), "x", "y").collect()
+    assert len(got) == 5 and all(r.m == r.want for r in got)
+
+
 def test_token_set_matches_definition():
     rng = random.Random(2)
     values = names(rng, 40)
@@ -120,8 +130,8 @@ def test_drop_contained_and_mentions(spark):
     texts = [" ".join(rng.choice(values) for _ in range(3)).upper() for _ in range(60)]
     posts = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "post_id int, pos int, text string")
     expected = {(i, v) for i, t in enumerate(texts) for v in values if v.lower() in t.lower()}
-    for limit in (0, 1000):
-        found = L.known_name_mentions(posts, column(spark, values, "award"), limit)
+    for gram in (2, 6):
+        found = L.known_name_mentions(posts, column(spark, values, "award"), gram)
         assert {(r.post_id, r.award) for r in found.collect()} == expected
 
 
@@ -170,41 +180,18 @@ def test_golden_consolidation(spark):
     }
 
 
-# --- scoring: the walk over ranked answers, in plain Python ------------------------------------
+# --- scoring: cases worked by hand, and what a mutual best means ----------------------------------
 
 
 def norm(s):
     return "".join(c.lower() for c in s if c.isalnum() or c.isspace())
 
 
-def walk(results, answers, aliases):
-    r_map, a_map = {norm(r): r for r in results}, {norm(a): a for a in answers}
-    scores = {a_map[x]: [1.0] for x in set(r_map) & set(a_map)}
-    translated = {r_map[x]: a_map[x] for x in set(r_map) & set(a_map)}
-    open_results = sorted(set(r_map) - set(a_map))
-    table = {r: {a: M.overlap_score(r, a) for a in a_map} for r in open_results}
-    spell = lambda x, y: 1 - levenshtein(x, y) / max(len(x), len(y))
-    for r in open_results:
-        for a in sorted(table[r], key=lambda a: (-table[r][a], a)):
-            best = min(open_results, key=lambda o: (-table[o][a], o))
-            if table[r][a] < 0.45:
-                hits = sorted((-M.overlap_score(r, h), h) for h in aliases)
-                if hits and -hits[0][0] > 0.45:
-                    target = aliases[hits[0][1]]
-                    translated[r_map[r]] = target
-                    scores.setdefault(target, []).append(0.5 * spell(r, hits[0][1]))
-                break
-            if best == r:
-                translated[r_map[r]] = a_map[a]
-                scores.setdefault(a_map[a], []).append(spell(r, a))
-                break
-    total = []
-    for chain in scores.values():
-        value = chain[0]
-        for nxt in chain[1:]:
-            value = (value + nxt) / 2
-        total.append(value)
-    return (sum(total) / len(total) if total else 0.0), translated
+def overlap(a, b):
+    x, y = a.split(), b.split()
+    if a in b or b in a:
+        return min(len(x), len(y)) / max(len(x), len(y)) if x or y else 0.0
+    return M.block_share(x, y)
 
 
 def levenshtein(a, b):
@@ -226,31 +213,63 @@ def complete(result, answer):
     return k / u * f
 
 
-def test_scores_equal_walk(spark):
-    rng = random.Random(7)
-    aliases = {"hans zimmer": "interstellar", "best song": "annie"}
-    gold, predicted = {}, defaultdict(list)
-    for g in range(40):
-        gold[f"award {g}"] = names(rng, 4)[: rng.randint(1, 4)]
-        pool = gold[f"award {g}"] + names(rng, 4) + ["Hans  Zimmer", "hans zimmer", "the best song"]
-        predicted[f"award {g}"] = sorted(set(rng.sample(pool, rng.randint(1, 4))))
-        seen = {}
-        for p in predicted[f"award {g}"]:
-            seen[norm(p)] = p
-        predicted[f"award {g}"] = sorted(seen.values())
-    gold_frame = spark.createDataFrame([("nominees", a, v) for a, v in gold.items()], "category string, award string, answers array<string>")
+def translated(spark, predicted, gold, aliases):
+    gold_rows = [("nominees", a, v) for a, v in gold.items()]
     rows = [("nominees", a, r) for a, v in predicted.items() for r in v]
+    gold_frame = spark.createDataFrame(gold_rows, "category string, award string, answers array<string>")
     pred_frame = spark.createDataFrame(rows, "category string, award string, result string")
     found = G.translations(pred_frame, gold_frame, G.alias_frame(spark, aliases))
-    got = defaultdict(dict)
-    for r in found.collect():
-        if r.target is not None:
-            got[r.award][r.result] = r.target
     spelling = {r.award: r.spelling for r in G.spelling_scores(found).collect()}
     done = {r.award: r.completeness for r in G.completeness_scores(pred_frame, found, gold_frame).collect()}
-    for award in gold:
-        score, translated = walk(predicted[award], gold[award], aliases)
-        assert got[award] == translated, award
-        assert abs(spelling.get(award, 0.0) - score) < 1e-9, award
-        final = [translated.get(r, r) for r in predicted[award]]
-        assert abs(done[award] - complete(final, gold[award])) < 1e-9, award
+    return {(r.award, r.result): r for r in found.collect()}, spelling, done
+
+
+def test_scores_worked_by_hand(spark):
+    gold = {
+        "exact": ["Ann Bee", "Cy Dee"], "fuzzy": ["best film of the year"], "alias": ["interstellar"],
+        "superset": ["x y"], "none": ["q"], "two": ["red blue green", "red blue black"],
+    }
+    predicted = {
+        "exact": ["ann bee!", "Cy Dee"], "fuzzy": ["best film of the years"], "alias": ["the hans zimmer"],
+        "superset": ["x y", "k"], "none": ["other"], "two": ["red blue white"],
+    }
+    found, spelling, done = translated(spark, predicted, gold, {"hans zimmer": "interstellar"})
+    kinds = {(a, r): (x.target, x.kind) for (a, r), x in found.items()}
+    assert kinds == {
+        ("exact", "ann bee!"): ("Ann Bee", "exact"), ("exact", "Cy Dee"): ("Cy Dee", "exact"),
+        ("fuzzy", "best film of the years"): ("best film of the year", "fuzzy"),
+        # two of three words: 2/3 against the alias, which stands in it
+        ("alias", "the hans zimmer"): ("interstellar", "alias"),
+        ("superset", "x y"): ("x y", "exact"), ("superset", "k"): (None, None), ("none", "other"): (None, None),
+        # equal overlaps: the answer first by name
+        ("two", "red blue white"): ("red blue black", "fuzzy"),
+    }
+    assert spelling["exact"] == 1.0 and abs(spelling["fuzzy"] - (1 - 1 / 22)) < 1e-9
+    assert abs(spelling["alias"] - 0.5 * (1 - 4 / 15)) < 1e-9 and "none" not in spelling
+    assert (done["exact"], done["fuzzy"], done["alias"]) == (1.0, 1.0, 1.0)
+    assert (done["superset"], done["none"], done["two"]) == (0.5 * 0.9, 0.0, 0.5 * 0.95)
+
+
+def test_fuzzy_pairs_are_mutual_bests(spark):
+    rng = random.Random(7)
+    gold, predicted = {}, {}
+    for g in range(40):
+        gold[f"award {g}"] = names(rng, 4)[: rng.randint(1, 4)]
+        pool = gold[f"award {g}"] + names(rng, 4)
+        predicted[f"award {g}"] = sorted({norm(p): p for p in rng.sample(pool, rng.randint(1, min(4, len(pool))))}.values())
+    found, _, done = translated(spark, predicted, gold, {"zz qq": "none"})
+    assert sum(r.kind == "fuzzy" for r in found.values()) >= 3
+    for award, answers in gold.items():
+        keys = {norm(a) for a in answers}
+        open_ = [norm(p) for p in predicted[award] if norm(p) not in keys]
+        for p in predicted[award]:
+            row, r = found[award, p], norm(p)
+            if r in keys:
+                assert row.kind == "exact" and norm(row.target) == r
+                continue
+            # answers this result could take: good enough, and it is the best open result for them
+            wanted = [a for a in keys if overlap(r, a) >= 0.45 and min(open_, key=lambda o: (-overlap(o, a), o)) == r]
+            best = min(wanted, key=lambda a: (-overlap(r, a), a)) if wanted else None
+            assert (norm(row.target) if row.target else None) == best, (award, p)
+        final = [found[award, p].target or p for p in predicted[award]]
+        assert abs(done[award] - complete(final, answers)) < 1e-9

@@ -136,12 +136,28 @@ def test_last_and_first_values(spark):
     assert got == [("a", "nominee", "x"), ("a", "nominee", "y"), ("a", "winner", "x"), ("b", "winner", "z")]
 
 
-def test_records_in_parts(spark):
-    rows = [("a", "winner", f"n{i:03d}", 1) for i in range(200)]
+def test_one_record_for_an_award_of_any_size(spark):
+    rows = [("a", "winner", f"n{i:05d}", 1) for i in range(10_500)] + [("b", "nominee", "x", 2)]
     votes = spark.createDataFrame(rows, "award string, role string, name string, n bigint")
-    parts = E.award_records(votes, part_size=50).collect()
-    assert len(parts) > 1 and {p.votes for p in parts} == {200}
-    assert sorted(e.name for p in parts for e in p.winner) == [r[2] for r in rows]
+    records = {r.name: r for r in E.award_records(votes).collect()}
+    assert [(k, r.votes) for k, r in sorted(records.items())] == [("a", 10_500), ("b", 2)]
+    assert [e.name for e in records["a"].winner] == [r[2] for r in rows[:-1]]
+
+
+def test_long_names_are_found_whole(spark):
+    long = "The Great Long Walk Home To Rome"
+    frame = posts(spark, [f"they say {long} wins", "The Lord Of The Rings The Return Of The King wins", "rome"])
+    names = spark.createDataFrame([(long, "W"), ("Rome", "P"), ("", "W")], "name string, label string")
+    found = {(r.post_id, r.name) for r in E.gazetteer_spans(frame, names).collect()}
+    assert found == {(0, long), (0, "Rome"), (2, "Rome")}
+    subjects = [r.s for r in frame.orderBy("pos").select(S.subject(F.col("text")).alias("s")).collect()]
+    assert subjects == [long, "The Lord Of The Rings The Return Of The King", None]
+
+
+def test_accounts_are_data_not_patterns(spark):
+    frame = posts(spark, ["RT @a(: hello", "RT @b: x", "nothing"])
+    top = spark.createDataFrame([("@a(:", 2, 0)], "account string, n bigint, first_pos bigint")
+    assert [r.post_id for r in O.reputable_posts(frame, top, legacy=True).collect()] == [0]
 
 
 def test_clean_runs_on_a_stream(spark, tmp_path):
