@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from laurel.llm.common import Hashes, batches_of, mix64, stage, word_list
 
-COMMON = 65_536  # words counted on the driver
-CONTEXTS = 63  # frequent words that open a context; one more stands for a text's start
+COMMON = 32_768  # words counted on the driver
+CONTEXTS = 31  # frequent words that open a context; one more stands for a text's start
 START = CONTEXTS
 DISCOUNT, STRENGTH = (0.8, 0.6), (10.0, 20.0)  # of the parent and of the contexts
 NOVEL = 0.5  # the base's share for words that were never seen
