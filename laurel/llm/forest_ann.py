@@ -106,7 +106,7 @@ def nearest(vectors: DataFrame, queries, k: int = 20, id_: str = "vec_id", vecto
     points = stage(points.withColumn("point", F.col("ids")[0]), "points")
     n = points.count()
     some = points.orderBy(F.xxhash64("point"), "point").limit(sample).select("v").collect()
-    forest = Forest(np.array([r.v for r in some], float).reshape(len(some), -1), trees, depth)
+    forest = Forest(np.array([r.v for r in some], float) if some else np.empty((0, 0)), trees, depth)
     sent = spark.sparkContext.broadcast(forest)
 
     def file(batches):

@@ -148,7 +148,7 @@ def plain_label(path: tuple[str, ...], page_has_content: bool) -> int:
 
 
 def sample_sequences(pages: list[list[Block]], rng) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each page as it is, and twice with other surroundings worked in."""
+    """Each page as it is, and twice with other surroundings and an article of another length."""
     out = []
     spare = [b.text for p in pages for b in p] or ["text"]
     for page in pages:
@@ -170,7 +170,12 @@ def sample_sequences(pages: list[list[Block]], rng) -> list[tuple[np.ndarray, np
                         marks.append(0)
 
             add(ASIDE_PATHS, base, rng.integers(4))
-            for b, label in zip(page, labels):
+            own = [i for i, label in enumerate(labels) if label]
+            order = list(range(len(page)))
+            if own:  # the article's blocks, some left out or said again
+                drawn = np.sort(rng.choice(own, int(np.exp(rng.uniform(0, np.log(120))))))
+                order = [*range(own[0]), *drawn.tolist(), *range(own[-1] + 1, len(page))]
+            for b, label in ((page[i], labels[i]) for i in order):
                 if label:
                     mixed.append(Block(home + (b.path[-1] if b.path else "p",), b.text, b.linked))
                 else:

@@ -138,7 +138,7 @@ def test_large_key_is_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(hamming_dedup, "BLOCK", 16)
     rows = [(i, f"{BASE} {BASE.replace('the', f'a{i // 2}')}") for i in range(80)]
     got = hamming_dedup.near_duplicates(frame(spark, rows)).collect()
-    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(rows)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_groups(rows)
 
 
 def test_every_pair_within_the_distance_shares_a_key(spark):
@@ -330,7 +330,7 @@ def brute_base(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("common", [8, 65_536])
+@pytest.mark.parametrize("common", [8, 32_768])
 def test_counts_and_base_against_brute_force(odd, empty, monkeypatch, common):
     monkeypatch.setattr(hpylm, "COMMON", common)
     words = hpylm.common_words
@@ -345,14 +345,15 @@ def test_counts_and_base_against_brute_force(odd, empty, monkeypatch, common):
 
 
 def test_chances_of_a_context_add_up_to_one():
+    contexts = hpylm.CONTEXTS + 1
     rng = np.random.default_rng(4)
-    word, context = np.divmod(np.unique(rng.integers(0, 64 * 40, 900)), 64)
+    word, context = np.divmod(np.unique(rng.integers(0, contexts * 40, 900)), contexts)
     dishes = hpylm.Dishes(word, context, rng.integers(1, 200, len(word)), 40)
     for _ in range(3):
         dishes.sweep(dishes.totals(), rng)
     totals = dishes.totals()
     seen = hpylm._common_chances(dishes, totals).sum(axis=1)
-    novel = totals.known(np.arange(64), 0, 0, totals.root(0, 0, hpylm.NOVEL))
+    novel = totals.known(np.arange(contexts), 0, 0, totals.root(0, 0, hpylm.NOVEL))
     assert np.allclose(seen + novel, 1)
 
 

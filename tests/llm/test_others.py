@@ -179,7 +179,10 @@ def test_conversations_with_odd_rows(spark):
 
 def test_pipeline_on_odd_documents(spark, tmp_path):
     text = "the small dog runs over the green hill and then it sleeps under the old tree "
-    rows = [(i, f"{text * 3} number {i * i} {'word' * (i % 5)}", "en", f"src{i % 4}", 0, "x") for i in range(60)]
+    rng = np.random.default_rng(5)
+    some = lambda: " ".join(rng.permutation(text.split() * 3))
+    rows = [(i, some(), "en", f"src{i % 4}", 0, "x") for i in range(58)]
+    rows += [(58 + i, f"{rows[0][1]} {i}", "en", "src0", 0, "x") for i in range(2)]  # near copies of the first
     rows += [(100, rows[5][1], "en", "src1", 0, "x"), (100, rows[5][1], "en", "src1", 0, "x"), (101, None, None, None, None, None), (102, "", "en", "src1", 0, "x"),
              (103, "!!! 123", "en", "src1", 0, "x"), (None, text + "unnumbered", "en", "src2", 0, "x")]
     shape = "doc_id long, text string, lang string, source string, n_chars long, language string"
@@ -196,6 +199,8 @@ def test_pipeline_on_odd_documents(spark, tmp_path):
             assert docs.where("doc_id IN (101, 102, 103)").count() == 0 and docs.where("doc_id IS NULL").count() == 1
         if name == "exact_dedup":
             assert docs.where("doc_id = 100").count() == 0 and docs.count() == 61
+        if name == "near_dedup":
+            assert docs.where("doc_id IN (58, 59)").count() == 0 and docs.count() == 59
     assert docs.where("length > 4096 OR offset < 0").count() == 0 and docs.count() > 0
     spark.createDataFrame([], shape).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
