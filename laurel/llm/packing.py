@@ -8,12 +8,14 @@ on ``size`` only.  Spark tokenises, numbers the pieces of each length, and reads
 piece's place off the plan.
 """
 
+import functools
+import itertools
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -23,9 +25,10 @@ from laurel.llm.common import stage
 SIZE = 4096
 END = 1
 
-# The word pattern of the tokenizer file.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PLAIN = regex.compile("[!-~¡-ÿ]+")
+# The word pattern of the tokenizer file, for lower-case Latin-1.
+_LETTER, _NUMBER = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^ \n{_LETTER}{_NUMBER}]+")
+PLAIN = re.compile("[ \n!-~\u00a1-\u00ff]*")
 
 
 def byte_letters() -> dict[int, str]:
@@ -35,49 +38,64 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class WordTokens(dict):
-    """Token ids of the stretches between blanks, cached.
+class Recent(dict):
+    """Values made once and kept while in use, in bounded memory.
 
-    No token spans a blank, so a text's ids are those of its stretches in a row.  Stretches
-    of printable Latin-1 go straight to the tokenizer's merge model, word by word; others
-    go through the whole tokenizer.  The cache forgets all when it is full.
+    When ``limit`` keys are held they become the old ones, and the old ones before them go;
+    an old key that is asked for again is held anew.
     """
 
-    def __init__(self, path: str, limit=150_000):
-        self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
-        self.find = regex.compile(WORD_PATTERN).findall
-        self.letters = byte_letters()
-        self.limit, self.words = limit, {}
+    def __init__(self, make, limit):
+        self.make, self.limit, self.old = make, limit, {}
 
-    def __missing__(self, stretch):
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        if not stretch:
-            ids = []
-        elif PLAIN.fullmatch(stretch) and "<|" not in stretch:
-            ids = []
-            for word in self.find(stretch.lower()):
-                ids += self.words.get(word) or self._word(word)
-        else:
-            ids = self.whole.encode(stretch, add_special_tokens=False).ids
-        self[stretch] = ids
-        return ids
+        self[key] = value
+        return value
+
+
+class WordTokens:
+    """Token ids of texts, word by word through a cache.
+
+    No token spans two words of the tokenizer's pattern.  Printable Latin-1 is split here
+    and its words go straight to the tokenizer's merge model; any other text is cut at
+    blanks, where no token passes either, and its stretches go through the whole tokenizer
+    unless they are plain themselves.
+    """
+
+    def __init__(self, path: str, limit=200_000):
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        self.letters = byte_letters()
+        self.numbers = list(range(self.whole.get_vocab_size()))  # one object for each id
+        self.words = Recent(self._word, limit)
 
     def _word(self, word):
-        if len(self.words) >= self.limit:
-            self.words.clear()
         spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        ids = self.words[word] = [t.id for t in self.model.tokenize(spelt)]
-        return ids
+        return tuple([self.numbers[t.id] for t in self.model.tokenize(spelt)])
 
     def encode(self, text: str | None) -> list[int]:
+        text = text or ""
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return list(itertools.chain.from_iterable(map(self.words.__getitem__, WORD.findall(text.lower()))))
         ids: list[int] = []
-        for stretch in (text or "").replace("\n", " ").split(" "):
-            ids += self[stretch]
+        for part in text.replace("\n", " ").split(" "):
+            plain = PLAIN.fullmatch(part) and "<|" not in part
+            ids += self.encode(part) if plain else self.whole.encode(part, add_special_tokens=False).ids
         return ids
 
 
+@functools.lru_cache(1)
+def word_tokens(path: str) -> WordTokens:
+    """One for each worker, kept from task to task."""
+    return WordTokens(path)
+
+
 def token_pieces(docs: DataFrame, size=SIZE, tokenizer=None, with_ids=False) -> DataFrame:
     """Cut each document's tokens, closed by an end token, into pieces of at most ``size``.
 
@@ -89,7 +107,7 @@ def token_pieces(docs: DataFrame, size=SIZE, tokenizer=None, with_ids=False) ->
     shape = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def cut(batches):
-        words = WordTokens(path)
+        words = word_tokens(path)
         for batch in batches:
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
