@@ -1,5 +1,6 @@
 """Session set-up, the package for the workers, and stage tables."""
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped = set()
+_staged = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -56,6 +58,7 @@ def stage_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="laurel-stages-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -69,4 +72,15 @@ def stage(df: DataFrame, name="stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage tables of this process, once their results are written; returns how many."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped = 0
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        dropped += path.getFileSystem(conf).delete(path, True)
+    return dropped

@@ -1,7 +1,9 @@
 """Readers, writers and the precompute-then-serve jobs."""
 
 import json
+import os
 
+from laurel import session
 from laurel.operators import evidence as E
 from laurel.operators import linkage as L
 from laurel.operators import posts as O
@@ -152,3 +154,11 @@ def test_people_table(spark, tmp_path):
     people = R.read_people(spark, str(tmp_path / "people.json"))
     named = spark.createDataFrame([("Amy Poehler",), ("Argo",)], "name string")
     assert [r.name for r in L.known_people(named, people).collect()] == ["Amy Poehler"]
+
+
+def test_stage_tables_are_dropped(spark):
+    session.drop_stages(spark)
+    kept = session.stage(spark.range(5), "kept")
+    assert kept.count() == 5 and session.drop_stages(spark) == 1
+    path = kept.inputFiles()
+    assert path and not os.path.exists(path[0].replace("file://", ""))

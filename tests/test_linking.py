@@ -255,7 +255,7 @@ def test_fuzzy_pairs_are_mutual_bests(spark):
     gold, predicted = {}, {}
     for g in range(40):
         gold[f"award {g}"] = names(rng, 4)[: rng.randint(1, 4)]
-        pool = gold[f"award {g}"] + names(rng, 4)
+        pool = [*gold[f"award {g}"], *(f"{a} tonight" for a in gold[f"award {g}"]), *names(rng, 3)]
         predicted[f"award {g}"] = sorted({norm(p): p for p in rng.sample(pool, rng.randint(1, min(4, len(pool))))}.values())
     found, _, done = translated(spark, predicted, gold, {"zz qq": "none"})
     assert sum(r.kind == "fuzzy" for r in found.values()) >= 3
