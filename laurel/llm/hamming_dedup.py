@@ -9,7 +9,8 @@ symbols on average; that none of its chunks qualifies has a chance below 1e-8.
 
 Documents with equal sets form a class and enter once.  Links are confirmed on full sets.
 To find groups without listing all pairs of a large one, each class is first linked to one
-near leader; after that only pairs that cross the groups found so far are listed, all of them.
+near leader, then to its nearest neighbour in another group; after that only pairs that cross
+the groups found so far are listed, all of them, each once.
 """
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laurel.llm.common import Hashes, batches_of, free_name, mix64, stage, word_list
-from laurel.llm.graph import components
+from laurel.llm.graph import components, grouped
 
 WORDS = 5
 CHUNKS, CHUNK = 14, 4
@@ -129,12 +130,11 @@ def nearest_leader(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return best.select(F.col("m.leader").alias("a"), F.col("node").alias("b"))
 
 
-def crossing_pairs(filed: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs ``a < b`` that share a key, lie within the threshold and in different groups.
+def _mixed_rows(filed: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the keys with several groups, with signatures, dealt for comparison.
 
-    ``filed`` (key, node) holds the keys with several nodes.  Only keys with several groups
-    are opened.  Rows of a large key are dealt into blocks, and blocks are compared two by
-    two, so that no task holds more than two blocks of a key.
+    Rows of a large key are dealt into blocks, and blocks are compared two by two, so that no
+    task holds more than two blocks of a key.
     """
     named = filed.join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("label"))
     named = stage(named, "labelled")
@@ -148,46 +148,144 @@ def crossing_pairs(filed: DataFrame, labels: DataFrame, classes: DataFrame) -> D
     rows = rows.select(
         "key", F.least("mine", "met").alias("p"), F.greatest("mine", "met").alias("q"), "mine", "node", "label", "sig"
     )
+    return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
-    names = ["key", "p", "q", "mine", "node", "label", "sig"]
-    dealt = rows.select(names).repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
-    def compare(batches):
-        held = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, now]) if held is not None else now
-            columns = [np.asarray(held.column(c)) for c in ("key", "p", "q")]
-            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-            if len(new):
-                yield _near(held.slice(0, new[-1]), [0, *new.tolist()])
-                held = held.slice(new[-1]).combine_chunks()
-        if held is not None and held.num_rows:
-            yield _near(held, [0, held.num_rows])
-
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
-
-
-def _near(rows: pa.Table, bounds: list[int]) -> pa.RecordBatch:
-    """Pairs within the threshold and across groups, in each run of rows between ``bounds``."""
-    nodes, labels, mine, ps, qs = (np.asarray(rows.column(c)) for c in ("node", "label", "mine", "p", "q"))
-    sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
-    found_a, found_b = [nodes[:0]], [nodes[:0]]
-    for start, end in zip(bounds, bounds[1:]):
-        left = start + np.flatnonzero(mine[start:end] == ps[start])
-        right = left if ps[start] == qs[start] else start + np.flatnonzero(mine[start:end] == qs[start])
+class _Rows:
+    """The columns of dealt rows, and where a new key or pair of blocks begins."""
+
+    def __init__(self, table: pa.Table, bounds: list[int]):
+        self.table, self.bounds = table, bounds
+        self.nodes, self.labels, self.mine, self.p, self.q, self.keys = (
+            np.asarray(table.column(c)) for c in ("node", "label", "mine", "p", "q", "key")
+        )
+        self.sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+
+    def runs(self):
+        return zip(self.bounds, self.bounds[1:])
+
+    def compared(self, start: int, end: int):
+        """Parts of one run: rows of either side, their distances, and which are close.
+
+        Close pairs lie within the threshold and in different groups.
+        """
+        left = start + np.flatnonzero(self.mine[start:end] == self.p[start])
+        two_blocks = self.p[start] != self.q[start]
+        right = start + np.flatnonzero(self.mine[start:end] == self.q[start]) if two_blocks else left
         for i in range(0, len(left), 256):
             some = left[i : i + 256]
-            near = (labels[some][:, None] != labels[right][None, :]) & (apart(sigs[some], sigs[right]) <= MOST_APART)
-            if right is left:
-                near &= nodes[some][:, None] < nodes[right][None, :]
-            x, y = np.nonzero(near)
-            x, y = nodes[some[x]], nodes[right[y]]
-            found_a.append(np.minimum(x, y))
-            found_b.append(np.maximum(x, y))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(found_a), pa.int64()), pa.array(np.concatenate(found_b), pa.int64())], ["a", "b"]
-    )
+            d = apart(self.sigs[some], self.sigs[right])
+            close = (self.labels[some][:, None] != self.labels[right][None, :]) & (d <= MOST_APART)
+            if close.any():
+                yield some, right, d, close
+
+    def own_pairs(self, start: int, end: int):
+        """Close pairs that have this key as the first of those they share, each once."""
+        for some, right, _, close in self.compared(start, end):
+            a, b = (side[at] for side, at in zip((some, right), np.nonzero(close)))
+            if self.p[start] == self.q[start]:  # each pair stands here twice
+                a, b = (side[self.nodes[a] < self.nodes[b]] for side in (a, b))
+            same = (self.sigs[a] == self.sigs[b]).reshape(len(a), CHUNKS, CHUNK)
+            alike = same.sum(axis=2)
+            chunk = (alike >= CHUNK - 1).argmax(axis=1)
+            row = np.arange(len(a))
+            out = np.where(alike[row, chunk] == CHUNK, 0, same[row, chunk].argmin(axis=1))
+            first = chunk * CHUNK + out == self.keys[start] & 63
+            yield a[first], b[first]
+
+
+def _whole_runs(batches):
+    """Rows sorted by key and blocks, in tables of whole runs."""
+    held = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, now]) if held is not None else now
+        columns = [np.asarray(held.column(c)) for c in ("key", "p", "q")]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        if len(new):
+            yield _Rows(held.slice(0, new[-1]), [0, *new.tolist()])
+            held = held.slice(new[-1]).combine_chunks()
+    if held is not None and held.num_rows:
+        yield _Rows(held, [0, held.num_rows])
+
+
+def nearest_crossings(filed: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """For each node of a mixed key its nearest partner in another group: ``a < b``."""
+
+    def find(batches):
+        for rows in _whole_runs(batches):
+            found = [(rows.nodes[:0], rows.nodes[:0], rows.nodes[:0])]
+            for run in rows.runs():
+                for some, right, d, close in rows.compared(*run):
+                    d = np.where(close, d, SYMBOLS + 1).astype(np.int64)
+                    x, y = np.flatnonzero(close.any(axis=1)), np.flatnonzero(close.any(axis=0))
+                    over, down = d.argmin(axis=1)[x], d.argmin(axis=0)[y]
+                    found.append((rows.nodes[some[x]], rows.nodes[right[over]], d[x, over]))
+                    found.append((rows.nodes[right[y]], rows.nodes[some[down]], d[down, y]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["a", "b", "d"])
+
+    found = _mixed_rows(filed, labels, classes).mapInArrow(find, "a long, b long, d long")
+    best = found.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def crossing_links(filed: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between different groups: every close pair is looked at, in one key each.
+
+    ``filed`` (key, node) holds the keys with several nodes.  First the rows are kept that
+    belong to some close pair; their sets then come to the key, once a row and not once a
+    pair.  Groups that a link has joined here need no second one.
+    """
+
+    def keep(batches):
+        for rows in _whole_runs(batches):
+            used = [np.concatenate(pair) for run in rows.runs() for pair in rows.own_pairs(*run)]
+            yield from rows.table.take(pa.array(np.unique(np.concatenate([np.empty(0, np.int64), *used])))).to_batches()
+
+    def confirm(batches):
+        for rows in _whole_runs(batches):
+            out = []
+            for run in rows.runs():
+                root: dict[int, int] = {}
+
+                def group(x, root=root):
+                    while root.get(x, x) != x:
+                        x = root[x]
+                    return x
+
+                for a, b in rows.own_pairs(*run):
+                    order = np.argsort(a, kind="stable")
+                    for part in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+                        if len(part):
+                            out += _linked(rows, int(a[part[0]]), b[part], group, root, percent)
+            found = np.array(out, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    mixed = _mixed_rows(filed, labels, classes)
+    close = stage(mixed.mapInArrow(keep, mixed.schema), "close")
+    rows = close.join(sets, "node").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+    return rows.mapInArrow(confirm, "a long, b long")
+
+
+def _linked(rows: _Rows, one: int, others: np.ndarray, group, root: dict, percent: int):
+    """Links of row ``one`` to ``others``, of each group at most one; joins the groups in ``root``."""
+    mine = group(int(rows.labels[one]))
+    others = np.array([i for i in others.tolist() if group(int(rows.labels[i])) != mine], np.int64)
+    found = []
+    if len(others):
+        sets = rows.table.column("found")
+        x = np.frombuffer(sets[one].as_buffer(), "<u8")
+        ys = [np.frombuffer(sets[i].as_buffer(), "<u8") for i in others.tolist()]
+        sizes = np.array([len(y) for y in ys])
+        values = np.concatenate(ys)
+        hit = x[np.minimum(np.searchsorted(x, values), len(x) - 1)] == values
+        same = np.add.reduceat(hit, np.concatenate([[0], np.cumsum(sizes)[:-1]]), dtype=np.int64)
+        for i in others[100 * same >= percent * (len(x) + sizes - same)].tolist():
+            theirs = group(int(rows.labels[i]))
+            if theirs != mine:
+                root[theirs] = mine
+                found.append((int(rows.nodes[one]), int(rows.nodes[i])))
+    return found
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
@@ -244,10 +342,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     filed = stage(keys.join(leaders, "key"), "filed")
     stars = nearest_leader(filed.where("node <> leader").select("node", "leader").distinct(), classes)
     sets = stage(shingle_sets(docs, filed.select("node"), classes), "sets")
-    first = stage(confirmed(stars, sets, percent), "links")
-    labels = components(first)
-    second = confirmed(crossing_pairs(filed.select("key", "node"), labels, classes), sets, percent)
-    links = first.union(second)
+    pairs = filed.select("key", "node")
+    links = stage(confirmed(stars, sets, percent), "links")
+    labels = grouped(links)
+    # a copy that isn't like its leader is, as a rule, like its nearest neighbour
+    links = links.union(stage(confirmed(nearest_crossings(pairs, labels, classes), sets, percent), "links"))
+    labels = grouped(links)
+    links = links.union(crossing_links(pairs, labels, classes, sets, percent))
     roots = components(links)
     rep = classes.select("set_key", "node")
     out = signed.join(rep, "set_key", "left").join(roots, "node", "left")
