@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from laurel.session import ship, stage
 
-__all__ = ["Hashes", "batches_of", "free_name", "held_out", "mix64", "ship", "stage", "table", "word_list"]
+__all__ = ["Hashes", "batches_of", "bounded_sample", "free_name", "held_out", "mix64", "ship", "stage", "table", "word_list"]
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,6 +28,18 @@ def held_out(doc_id, modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))
 
 
+def bounded_sample(rows: DataFrame, most: int, n: int, *key: str) -> DataFrame:
+    """The ``most`` rows of smallest key hash, or nearly as many; the same rows in any order.
+
+    ``n`` is the number of rows.  A hash below a bound lets about twice as many through, so
+    that what tasks report for the final choice doesn't grow with the input.
+    """
+    place = F.xxhash64(*key)
+    if n > 2 * most:
+        rows = rows.where(F.pmod(place, F.lit(1 << 40)) < int(2 * most / n * (1 << 40)))
+    return rows.orderBy(place, *key).limit(most)
+
+
 def word_list(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased; bytes methods touch ASCII only."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

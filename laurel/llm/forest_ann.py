@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from laurel.llm.common import stage
+from laurel.llm.common import bounded_sample, stage
 
 TREES, DEPTH = 6, 5
 #: Vectors that the trees' cuts are fitted on, at most; all vectors are indexed.
@@ -105,7 +105,7 @@ def nearest(vectors: DataFrame, queries, k: int = 20, id_: str = "vec_id", vecto
     points = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     points = stage(points.withColumn("point", F.col("ids")[0]), "points")
     n = points.count()
-    some = points.orderBy(F.xxhash64("point"), "point").limit(sample).select("v").collect()
+    some = bounded_sample(points.select("point", "v"), sample, n, "point").select("v").collect()
     forest = Forest(np.array([r.v for r in some], float) if some else np.empty((0, 0)), trees, depth)
     sent = spark.sparkContext.broadcast(forest)
 

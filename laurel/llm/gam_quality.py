@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from laurel.llm.common import bounded_sample
+
 #: A labelled sample of at most this many rows is enough to fit some 20 small tables.
 MOST_LABELLED = 20_000
 FEATURES = [
@@ -169,7 +171,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Gam:
     rows = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select(
         F.col("doc_id").alias("labelled_id"), F.col("quality").cast("int").alias("label")
     )
-    some = rows.orderBy(F.xxhash64("labelled_id"), "labelled_id", "label").limit(most)
+    some = bounded_sample(rows, most, rows.count(), "labelled_id", "label")
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:

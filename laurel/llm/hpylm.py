@@ -150,8 +150,8 @@ def contexts_of(ranks: np.ndarray) -> np.ndarray:
 def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
     """Hashes of the end mark and the words most frequent in ``docs``, most frequent first.
 
-    Each task reports its ``most`` best, so a word at the edge may be missed; that changes
-    where it is counted, not its count.
+    Each task reports its ``most`` best, and a word needs a 32nd of an equal share of what was
+    reported; one at the edge may be missed, which changes where it is counted, not its count.
     """
 
     def best(batches):
@@ -179,8 +179,11 @@ def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
         yield pa.RecordBatch.from_arrays([pa.array(words[keep].astype(np.int64)), pa.array(ns[keep])], ["word", "n"])
 
     rows = docs.where("text IS NOT NULL").select(F.col("text").cast("string").alias("text"))
-    counts = rows.mapInArrow(best, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(most - 1).collect()
+    counts = stage(rows.mapInArrow(best, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "frequent")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    # at most 32 x ``most`` words have so large a share, so no more reach the driver
+    top = counts.where(F.col("n") * (32 * most) >= total)
+    top = top.orderBy(F.desc("n"), "word").limit(most - 1).collect()
     return [int(END), *(r.word % 2**64 for r in top)]
 
 

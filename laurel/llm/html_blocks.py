@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from laurel.llm.common import bounded_sample
+
 #: Pages to learn from, at most; there is little to learn beyond the structures in use.
 MOST_PAGES = 192
 PATH, WORDS, MEASURES, UNITS = 256, 64, 6, 16
@@ -304,8 +306,8 @@ def train(pages: list[list[Block]], seed: int = 1) -> Lstm:
 
 def learn(pages: DataFrame, most: int = MOST_PAGES) -> Lstm:
     """Fit on a bounded sample: of pages under 100,000 characters the ``most`` of smallest hash."""
-    some = pages.where("html IS NOT NULL AND length(html) < 100000").select(F.col("html").cast("string").alias("html"))
-    picked = some.orderBy(F.xxhash64("html"), "html").limit(most).collect()
+    some = pages.where("html IS NOT NULL AND length(html) < 100000").select("page_id", F.col("html").cast("string").alias("html"))
+    picked = bounded_sample(some, most, pages.count(), "page_id", "html").collect()
     return train([b for b in (blocks(r.html) for r in picked) if b])
 
 
