@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laurel.llm.common import free_name
-from laurel.session import stage_dir
+from laurel.session import stage, stage_dir
 
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -47,26 +47,32 @@ class DigestIndex:
 
     def add(self, docs: DataFrame) -> DataFrame:
         rows = docs.select("doc_id", text_digest(F.col("text")).alias("digest"))
-        groups = rows.groupBy("digest").agg(
-            F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("group_size")
-        )
-        self.batches += 1
-        fresh = groups
-        if self.batches > 1:
-            fresh = groups.join(self.table().hint("merge"), "digest", "left_anti")
-        self._append(fresh)
+        groups = self._register(rows)
         known = self.table().select("digest", "keep_id")
         decided = groups.join(known.hint("merge"), "digest").select("digest", "keep_id", "group_size")
-        return rows.join(decided.hint("merge"), "digest").select(
+        # written first: a join of two shuffled sides lets Spark split the rows of a hot text
+        decided = stage(decided, "decided")
+        return rows.join(decided, "digest").select(
             "doc_id", "keep_id", "group_size",
             F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
             F.col("digest").alias("text_sha256"),
         )
 
-    def _append(self, fresh: DataFrame) -> None:
+    def _register(self, rows: DataFrame) -> DataFrame:
+        """Append the digests that are new; returns the batch's groups of equal texts."""
+        groups = rows.groupBy("digest").agg(
+            F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("group_size")
+        )
+        self.batches += 1
+        entries = groups.select("digest", F.col("first_id").alias("keep_id"), F.lit(self.batches).alias("batch"))
+        if not self.spark.catalog.tableExists(self.name):
+            self._append(entries.limit(0))
+        self._append(entries.join(self.table().select("digest").hint("merge"), "digest", "left_anti"))
+        return groups
+
+    def _append(self, entries: DataFrame) -> None:
         (
-            fresh.select("digest", F.col("first_id").alias("keep_id"), F.lit(self.batches).alias("batch"))
-            .repartition(self.buckets, "digest")
+            entries.repartition(self.buckets, "digest")
             .write.format("parquet").mode("append")
             .option("path", f"{stage_dir(self.spark)}/{self.name}")
             .bucketBy(self.buckets, "digest").sortBy("digest")
@@ -82,7 +88,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """
     index = index or DigestIndex(docs.sparkSession)
     digest, rank = free_name(docs, "digest"), free_name(docs, "keep_id")
-    index.add(docs)
+    index._register(docs.select("doc_id", text_digest(F.col("text")).alias("digest")))
     stays = index.table().where(F.col("batch") == index.batches)
     stays = stays.select(F.col("digest").alias(digest), F.col("keep_id").alias(rank))
     keyed = docs.withColumn(digest, text_digest(F.col("text")))
