@@ -1,14 +1,16 @@
 """Language-model scoring by a hierarchical Pitman-Yor model (operator 6).
 
-A word's context is the last frequent word before it.  Each context has a restaurant, and
-all share one parent, the restaurant of words without context.  Dishes are words; a
-dish's customers are seated by the Chinese-restaurant rule, and each of its tables sends
-one customer to the parent.  Gibbs sweeps seat each dish anew, given all others, and the
+A word's context is the word before it; a text's first word follows an end mark.  Each
+context seen has a restaurant, and all share one parent, the restaurant of words without
+context; a context never seen gives the parent's chances.  Dishes are words; a dish's
+customers are seated by the Chinese-restaurant rule, and each of its tables sends one
+customer to the parent.  Gibbs sweeps seat each dish anew, given all others, and the
 predictive probabilities of the last sweeps are averaged.
 
-Words are counted in two ways that make no difference to any figure: the common ones, a
-bounded list, in tables that the driver holds; all others in Spark, keyed by word, where no
-key is hot, since the common words are out of the way.  A word is known by a 64-bit hash.
+Dishes are Spark rows keyed by context and word, and so grow with the corpus.  A dish of one
+customer always has one table: only larger ones are seated by a sweep, the others count in
+the sums of their context and word.  A word is known by a 64-bit hash; the common ones, a
+bounded list, by their rank, which is short to store and makes no difference to any figure.
 """
 
 import numpy as np
@@ -17,17 +19,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laurel.llm.common import Hashes, batches_of, mix64, stage, word_list
+from laurel.llm.common import Hashes, batches_of, stage, word_list
 
-COMMON = 32_768  # words counted on the driver
-CONTEXTS = 31  # frequent words that open a context; one more stands for a text's start
-START = CONTEXTS
+COMMON = 32_768  # words known by their rank
+CONTEXTS = 31  # of ``Dishes``, less one, where no number is given
 DISCOUNT, STRENGTH = (0.8, 0.6), (10.0, 20.0)  # of the parent and of the contexts
 NOVEL = 0.5  # the base's share for words that were never seen
 SWEEPS, BURN_IN = 6, 3
 ONE_BY_ONE = 32
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line end
-CHUNK_ROWS = 400_000
+CHUNK_CHARS = 2_000_000
 
 
 def seat(customers: np.ndarray, appeal: np.ndarray, discount: float, rng) -> np.ndarray:
@@ -59,22 +60,12 @@ def seat(customers: np.ndarray, appeal: np.ndarray, discount: float, rng) -> np.
 
 
 class Totals:
-    """Customers and tables of every restaurant, from both ways of counting."""
+    """Customers and tables of every restaurant."""
 
     def __init__(self, customers, tables, root_customers, root_tables, words):
         self.customers, self.tables = np.asarray(customers, float), np.asarray(tables, float)
         self.root_customers, self.root_tables, self.words = float(root_customers), float(root_tables), int(words)
 
-    def __add__(self, other):
-        return Totals(
-            self.customers + other.customers, self.tables + other.tables,
-            self.root_customers + other.root_customers, self.root_tables + other.root_tables, self.words + other.words,
-        )
-
-    @staticmethod
-    def none():
-        return Totals(np.zeros(CONTEXTS + 1), np.zeros(CONTEXTS + 1), 0, 0, 0)
-
     def base(self) -> float:
         """The base's share for each word seen."""
         return (1 - NOVEL) / max(self.words, 1)
@@ -92,17 +83,18 @@ class Totals:
 
 
 class Dishes:
-    """Dishes ``(word, context, customers)`` sorted by word, and their seating."""
+    """The model of a corpus that fits in memory: dishes ``(word, context, customers)`` and their seating."""
 
-    def __init__(self, word: np.ndarray, context: np.ndarray, customers: np.ndarray, n_words: int):
-        self.word, self.context, self.customers, self.n_words = word, context, customers, n_words
+    def __init__(self, word: np.ndarray, context: np.ndarray, customers: np.ndarray, n_words: int, n_contexts: int = CONTEXTS + 1):
+        self.word, self.context, self.customers = word, context, customers
+        self.n_words, self.n_contexts = n_words, n_contexts
         self.tables = np.minimum(customers, 1)
         self.root_customers = np.bincount(word, self.tables, n_words).astype(np.int64)
         self.root_tables = np.minimum(self.root_customers, 1)
 
     def totals(self) -> Totals:
         return Totals(
-            np.bincount(self.context, self.customers, CONTEXTS + 1), np.bincount(self.context, self.tables, CONTEXTS + 1),
+            np.bincount(self.context, self.customers, self.n_contexts), np.bincount(self.context, self.tables, self.n_contexts),
             self.root_customers.sum(), self.root_tables.sum(),
             np.count_nonzero(np.bincount(self.word, self.customers, self.n_words)),
         )
@@ -139,19 +131,19 @@ def tokens_of(text: str | None, hashes: Hashes) -> np.ndarray:
     return np.append(hashes.of(word_list(text)), END)
 
 
-def contexts_of(ranks: np.ndarray) -> np.ndarray:
-    """The context of each token: the last word before it that opens one."""
-    # rank 0 is the end mark, which opens none
-    opens = np.where((ranks > 0) & (ranks <= CONTEXTS), np.arange(len(ranks)), -1)
-    last = np.concatenate([[-1], np.maximum.accumulate(opens)[:-1]])
-    return np.where(last < 0, START, ranks[np.maximum(last, 0)] - 1)
+def pairs_of(text: str | None, lexicon: Lexicon, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """The context of each token, which is the token before it, and the token."""
+    h = tokens_of(text, hashes)
+    ranks = lexicon.ranks(h)
+    code = np.where(ranks >= 0, ranks, h.astype(np.int64))
+    return np.append(code[-1:], code[:-1]), code
 
 
 def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
     """Hashes of the end mark and the words most frequent in ``docs``, most frequent first.
 
     Each task reports its ``most`` best, and a word needs a 32nd of an equal share of what was
-    reported; one at the edge may be missed, which changes where it is counted, not its count.
+    reported; one at the edge may be missed, which changes how it is stored, not its count.
     """
 
     def best(batches):
@@ -191,166 +183,133 @@ def _document_key(doc_id, text) -> int:
     return xxhash.xxh3_64_intdigest(f"{doc_id}\n{text}".encode("utf-8", "surrogatepass")) - 2**63
 
 
-def token_rows(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """What the corpus holds, of three kinds.
+def _summed(n: np.ndarray, *keys: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows of ``keys``, and the sum of ``n`` of each."""
+    order = np.lexsort(keys)
+    keys = [k[order] for k in keys]
+    new = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+    return [*(k[new] for k in keys), np.add.reduceat(n[order], new)]
 
-    kind 0: common words of training texts, ``word`` (rank), ``context``, ``n``, summed by task.
-    kind 1: other words, ``word`` (hash), ``context``, ``n`` of each document ``key``; ``train``.
-    kind 2: one row for each document ``key``.
-    """
-    names = ["kind", "word", "context", "key", "n", "train"]
-    kinds = [pa.int8(), pa.int64(), pa.int8(), pa.int64(), pa.int32(), pa.bool_()]
-
-    def rows(kind, word, context, key, n, train):
-        size = len(word)
-        full = lambda v, t: pa.array(np.full(size, v), t)
-        return pa.RecordBatch.from_arrays(
-            [full(kind, kinds[0]), pa.array(word, kinds[1]), pa.array(context, kinds[2]), pa.array(key, kinds[3]),
-             pa.array(n, kinds[4]), pa.array(train, kinds[5])], names
-        )
+
+def pair_counts(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``context, word, n``, summed by batch: every pair in the texts, with its count in training texts."""
 
     def read(batches):
         hashes = Hashes()
-        table = np.zeros(lexicon.size * (CONTEXTS + 1), np.int64)
         for whole in batches:
-            for batch in batches_of(whole, "text", 2_000_000):
-                out: list[list] = [[], [], [], [], []]
-                keys = []
-                for doc_id, text, held in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "held"))):
-                    h = tokens_of(text, hashes)
-                    ranks = lexicon.ranks(h)
-                    contexts = contexts_of(ranks)
-                    key = _document_key(doc_id, text)
-                    keys.append(key)
-                    if not held:
-                        common = ranks >= 0
-                        np.add.at(table, ranks[common] * (CONTEXTS + 1) + contexts[common], 1)
-                    rare = np.flatnonzero(ranks < 0)
-                    if len(rare):
-                        pair = np.stack([h[rare], contexts[rare].astype(np.uint64)], axis=1)
-                        pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
-                        new = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]).any(axis=1)))
-                        out[0].append(pair[new, 0].astype(np.int64))
-                        out[1].append(pair[new, 1].astype(np.int8))
-                        out[2].append(np.full(len(new), key))
-                        out[3].append(np.diff(np.append(new, len(pair))).astype(np.int32))
-                        out[4].append(np.full(len(new), not held))
-                if out[0]:
-                    yield rows(1, *(np.concatenate(c) for c in out))
-                zero = np.zeros(len(keys), np.int64)
-                yield rows(2, zero, zero, np.array(keys), zero + 1, zero > 0)
-        used = np.flatnonzero(table)
-        for i in range(0, len(used), CHUNK_ROWS):
-            part = used[i : i + CHUNK_ROWS]
-            zero = np.zeros(len(part), np.int64)
-            yield rows(0, part // (CONTEXTS + 1), part % (CONTEXTS + 1), zero, table[part], zero == 0)
-
-    shape = "kind byte, word long, context byte, key long, n int, train boolean"
-    return docs.mapInArrow(read, shape)
-
-
-def _word_chunks(batches):
-    """Columns of whole words from rows sorted by word."""
-    held = None
-    for batch in batches:
-        now = pa.Table.from_batches([batch])
-        held = pa.concat_tables([held, now]) if held is not None else now
-        if held.num_rows < CHUNK_ROWS:
-            continue
-        word = np.asarray(held.column("word"))
-        new = np.flatnonzero(word[1:] != word[:-1])
-        if len(new):
-            cut = int(new[-1]) + 1
-            yield [np.asarray(c) for c in held.slice(0, cut).columns]
-            held = held.slice(cut)
-    if held is not None and held.num_rows:
-        yield [np.asarray(c) for c in held.columns]
-
-
-def _dishes_of(word, context, n, train):
-    """Dishes of a chunk's training rows, and the dish and word of every row."""
-    new = np.append(True, (word[1:] != word[:-1]) | (context[1:] != context[:-1]))
-    dish = np.cumsum(new) - 1
-    number = np.cumsum(np.append(True, word[1:] != word[:-1])) - 1
-    customers = np.bincount(dish, np.where(train, n, 0)).astype(np.int64)
-    first = np.flatnonzero(new)
-    return Dishes(number[first], context[first].astype(np.int64), customers, int(number[-1]) + 1), dish, number
-
-
-def rare_totals(rare: DataFrame, around: Totals, seed: int) -> Totals:
-    """Totals of the other words after sweeps within each chunk of words."""
+            for batch in batches_of(whole, "text", CHUNK_CHARS):
+                found = [pairs_of(t, lexicon, hashes) for t in batch.column("text").to_pylist()]
+                sizes = [len(word) for _, word in found]
+                n = np.repeat([0 if held else 1 for held in batch.column("held").to_pylist()], sizes)
+                columns = _summed(n, *(np.concatenate(c) for c in zip(*found)))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["context", "word", "n"])
 
-    def run(batches):
-        total = Totals.none()
-        for word, context, key, n, train in _word_chunks(batches):
-            dishes, _, _ = _dishes_of(word, context, n, train)
-            rng = np.random.default_rng(int(mix64(word[:1].astype(np.uint64))[0] % 2**32) + seed)
-            for _ in range(2):
-                dishes.sweep(around, rng)
-            total = total + dishes.totals()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([total.customers.tolist()]), pa.array([total.tables.tolist()]), pa.array([total.root_customers]),
-             pa.array([total.root_tables]), pa.array([total.words])], ["c", "t", "rc", "rt", "w"],
-        )
+    return docs.mapInArrow(read, "context long, word long, n long")
 
-    parts = rare.mapInArrow(run, "c array<double>, t array<double>, rc double, rt double, w long").collect()
-    return sum((Totals(r.c, r.t, r.rc, r.rt, r.w) for r in parts), Totals.none())
 
+def document_pairs(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``key, context, word, n`` of each document."""
 
-def rare_scores(rare: DataFrame, totals: Totals, seed: int) -> DataFrame:
-    """``key, score, base, known`` of each row of ``rare``; base without its denominator."""
+    def read(batches):
+        hashes = Hashes()
+        for whole in batches:
+            for batch in batches_of(whole, "text", CHUNK_CHARS):
+                texts = batch.column("text").to_pylist()
+                found = [pairs_of(t, lexicon, hashes) for t in texts]
+                keys = [_document_key(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), texts)]
+                key = np.repeat(np.array(keys, np.int64), [len(word) for _, word in found])
+                context, word = (np.concatenate(c) for c in zip(*found))
+                context, word, key, n = _summed(np.ones(len(key), np.int64), context, word, key)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, context, word, n)], ["key", "context", "word", "n"])
 
-    def run(batches):
-        for word, context, key, n, train in _word_chunks(batches):
-            dishes, dish, number = _dishes_of(word, context, n, train)
-            rng = np.random.default_rng(int(mix64(word[:1].astype(np.uint64))[0] % 2**32) + seed)
-            chance = np.zeros(len(dishes.word))
-            for i in range(SWEEPS):
-                dishes.sweep(totals, rng)
-                if i >= BURN_IN:
-                    root = dishes.root(totals)[dishes.word]
-                    chance += totals.known(dishes.context, dishes.customers, dishes.tables, root) / (SWEEPS - BURN_IN)
-            count = np.bincount(number, np.where(train, n, 0))
-            seen = count[dishes.word] > 0
-            novel = totals.known(dishes.context, 0, 0, totals.root(0, 0, NOVEL))
-            log = np.log10(np.where(seen, chance, novel))
-            base = np.log10(count + 0.5)
+    return docs.mapInArrow(read, "key long, context long, word long, n long")
+
+
+def document_sizes(docs: DataFrame) -> DataFrame:
+    """``doc_id, held, key, n_tokens`` of every row."""
+
+    def read(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            keys = [_document_key(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), texts)]
+            sizes = [len(word_list(t)) + 1 for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(n * log[dish]), pa.array(n * base[number]),
-                 pa.array(np.where(count[number] > 0, n, 0).astype(np.int64))], ["key", "score", "base", "known"],
+                [batch.column("doc_id"), batch.column("held"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())],
+                ["doc_id", "held", "key", "n_tokens"],
             )
 
-    return rare.mapInArrow(run, "key long, score double, base double, known long")
+    return docs.mapInArrow(read, "doc_id long, held boolean, key long, n_tokens long")
 
 
-def common_scores(docs: DataFrame, lexicon: Lexicon, count: np.ndarray, log: np.ndarray) -> DataFrame:
-    """What common words give each document: ``doc_id, held, key, n_tokens, known, base, score``."""
-    context = docs.sparkSession.sparkContext
-    sent = context.broadcast((lexicon, count, log))
+def seated(rows: DataFrame, discount: float, seed: int) -> DataFrame:
+    """``rows`` with the ``tables`` of their ``customers``; their ``appeal`` goes."""
+    kept = [c for c in rows.columns if c != "appeal"]
+    keys = [c for c in ("word", "context") if c in kept]
 
-    def read(batches):
-        lexicon, count, log = sent.value
-        base, hashes = np.log10(count + 0.5), Hashes()
-        for whole in batches:
-            for batch in batches_of(whole, "text"):
-                out = []
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    h = tokens_of(text, hashes)
-                    ranks = lexicon.ranks(h)
-                    contexts = contexts_of(ranks)
-                    at = ranks >= 0
-                    mine = ranks[at]
-                    out.append((
-                        _document_key(doc_id, text), len(h), int(np.count_nonzero(count[mine])),
-                        float(base[mine].sum()), float(log[contexts[at], mine].sum(dtype=float)),
-                    ))
-                columns = [pa.array(c) for c in zip(*out)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("held"), *columns],
-                    ["doc_id", "held", "key", "n_tokens", "known", "base", "score"],
-                )
-
-    return docs.mapInArrow(read, "doc_id long, held boolean, key long, n_tokens long, known long, base double, score double")
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rng = np.random.default_rng([seed, *(batch.column(c)[0].as_py() % 2**64 for c in keys)])
+            customers, appeal = (np.asarray(batch.column(c)) for c in ("customers", "appeal"))
+            tables = pa.array(seat(customers, appeal, discount, rng))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), tables], [*kept, "tables"])
+
+    # in order, so that a task that runs again draws the same
+    shape = rows.select(kept).schema.add("tables", "long")
+    return rows.sortWithinPartitions(*keys).mapInArrow(run, shape)
+
+
+def pair_chances(dishes: DataFrame, seed: int) -> tuple[DataFrame, int, int]:
+    """``context, word, chance, count`` of each dish, the training tokens and the number of their words.
+
+    ``dishes`` has context, word and customers, which may be 0.  ``count`` is the word's.
+    """
+    alone = F.count_if(F.col("customers") == 1).alias("alone")
+    contexts = stage(dishes.groupBy("context").agg(F.sum("customers").alias("all"), alone), "contexts")
+    words = stage(
+        dishes.groupBy("word").agg(
+            F.sum("customers").alias("count"), alone, F.count_if(F.col("customers") > 0).alias("customers")
+        ).withColumn("tables", F.least("customers", F.lit(1))), "words",
+    )
+    tokens, n_words = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
+    many = dishes.where("customers > 1").join(contexts.select("context", "alone"), "context").withColumn("tables", F.lit(1))
+
+    def totals_and_root():
+        sums = words.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("customers", "tables"))).first()
+        totals = Totals((), (), *sums, n_words)
+        base = F.when(F.col("count") > 0, totals.base()).otherwise(NOVEL)
+        return totals, totals.root(F.col("customers"), F.col("tables"), base)
+
+    kept = []
+    totals, root = totals_and_root()
+    for i in range(SWEEPS):
+        mine = many.groupBy("context").agg((F.first("alone") + F.sum("tables")).alias("context_tables"))
+        rows = many.drop("tables").join(mine, "context").join(words.select("word", root.alias("root")), "word")
+        rows = rows.withColumn("appeal", (STRENGTH[1] + DISCOUNT[1] * F.col("context_tables")) * F.col("root"))
+        many = stage(seated(rows.drop("context_tables", "root"), DISCOUNT[1], seed + 2 * i), "seated")
+        sent = many.groupBy("word").agg(F.sum("tables").alias("sent"))
+        customers = F.col("alone") + F.coalesce("sent", F.lit(0))
+        new = (STRENGTH[0] + DISCOUNT[0] * totals.root_tables) * totals.base()
+        rows = words.drop("customers", "tables").join(sent, "word", "left").withColumn("customers", customers)
+        rows = rows.drop("sent").withColumn("appeal", F.lit(new))
+        words = stage(seated(rows, DISCOUNT[0], seed + 2 * i + 1), "words")
+        totals, root = totals_and_root()
+        if i >= BURN_IN:
+            kept.append(i)
+            many = many.withColumn(f"tables_{i}", F.col("tables"))
+            words = words.withColumn(f"root_{i}", root)
+    mean = lambda columns: sum(columns[1:], columns[0]) / len(kept)
+    more = many.groupBy("context").agg(*(F.sum(f"tables_{i}").alias(f"more_{i}") for i in kept))
+    around = contexts.join(more, "context", "left").select(
+        "context", "all", *((F.col("alone") + F.coalesce(f"more_{i}", F.lit(0))).alias(f"in_{i}") for i in kept)
+    )
+    few = dishes.where("customers <= 1").select("context", "word", "customers", F.col("customers").cast("double").alias("seats"))
+    rows = many.select("context", "word", "customers", mean([F.col(f"tables_{i}") for i in kept]).alias("seats")).unionByName(few)
+    rows = rows.join(around, "context").join(words.select("word", "count", *(f"root_{i}" for i in kept)), "word")
+    parent = mean([(STRENGTH[1] + DISCOUNT[1] * F.col(f"in_{i}")) * F.col(f"root_{i}") for i in kept])
+    chance = (F.col("customers") - DISCOUNT[1] * F.col("seats") + parent) / (STRENGTH[1] + F.col("all"))
+    return rows.select("context", "word", chance.alias("chance"), "count"), tokens, n_words
 
 
 def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
@@ -366,46 +325,29 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), held.alias("held"),
     )
     lexicon = Lexicon(common_words(rows.where("NOT held")))
-    found = stage(token_rows(rows, lexicon), "corpus_tokens")
-    code = F.col("word") * (CONTEXTS + 1) + F.col("context")
-    counted = found.where("kind = 0").groupBy(code.alias("code")).agg(F.sum("n").alias("n")).toPandas().sort_values("code")
-    code, n = counted["code"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)
-    common = Dishes(code // (CONTEXTS + 1), code % (CONTEXTS + 1), n, max(lexicon.size, 1))
-    rare = found.where("kind = 1").select("word", "context", "key", "n", "train")
-    rare = rare.repartition("word").sortWithinPartitions("word", "context")
-    rng = np.random.default_rng(seed)
-    # the two ways of counting take turns: each is swept given the other's totals
-    others = rare_totals(rare, common.totals(), seed)
-    log = np.zeros((CONTEXTS + 1, common.n_words))
-    for i in range(SWEEPS):
-        common.sweep(common.totals() + others, rng)
-        if i >= BURN_IN:
-            log += _common_chances(common, common.totals() + others) / (SWEEPS - BURN_IN)
-    totals = common.totals() + others
-    count = np.bincount(common.word, common.customers, common.n_words)
-    novel = totals.known(np.arange(CONTEXTS + 1), 0, 0, totals.root(0, 0, NOVEL))
-    log = np.log10(np.where(count[None, :] > 0, log, novel[:, None])).astype(np.float32)
-    train_tokens = int(totals.customers.sum())
-    each = F.lit(float(np.log10(train_tokens + 0.5 * (totals.words + 1))))
-    own = common_scores(rows, lexicon, count, log)
-    none = (F.lit(0.0).alias("score"), F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("known"))
-    parts = rare_scores(rare, totals, seed).withColumn("copies", F.lit(0))
-    parts = parts.unionByName(found.where("kind = 2").select("key", *none, F.lit(1).alias("copies")))
-    # rows of equal id and text share a key; each has its part of their sum
-    sums = parts.groupBy("key").agg(*(F.sum(c).alias(f"rare_{c}") for c in ("score", "base", "known", "copies")))
-    out = own.join(sums, "key")
-    share = lambda c: F.col(f"rare_{c}") / F.col("rare_copies")
-    return out.select(
-        "doc_id", F.col("held").alias("held_out"), "n_tokens", (F.col("known") + share("known")).cast("long").alias("n_known"),
-        F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + share("base") - F.col("n_tokens") * each).alias("base_score"),
-        (F.col("score") + share("score")).alias("score"),
+    # pairs of held-out texts are dishes without customers, so that each pair meets its chance in one join
+    dishes = pair_counts(rows, lexicon).groupBy("context", "word").agg(F.sum("n").alias("customers"))
+    chances, train_tokens, n_words = pair_chances(stage(dishes, "dishes"), seed)
+    each = float(np.log10(train_tokens + 0.5 * (n_words + 1)))
+    chances = chances.select(
+        "context", "word", F.log10("chance").alias("score"), F.log10(F.col("count") + 0.5).alias("base"),
+        (F.col("count") > 0).cast("long").alias("known"),
+    )
+    found = document_pairs(rows, lexicon).join(stage(chances, "chances"), ["context", "word"])
+    # rows of equal id and text share a key; each has its part of their sum, and one end mark (rank 0)
+    copies = F.sum(F.when(F.col("word") == 0, F.col("n")))
+    share = lambda c: (F.sum(F.col("n") * F.col(c)) / copies).alias(c)
+    sums = found.groupBy("key").agg(*(share(c) for c in ("score", "base", "known")))
+    return document_sizes(rows).join(sums, "key").select(
+        "doc_id", F.col("held").alias("held_out"), "n_tokens", F.col("known").cast("long").alias("n_known"),
+        F.lit(train_tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * each).alias("base_score"),
+        "score",
     )
 
 
 def _common_chances(dishes: Dishes, totals: Totals) -> np.ndarray:
-    """Predictive probabilities of all common words in all contexts, context by word."""
-    contexts = np.arange(CONTEXTS + 1)
+    """Predictive probabilities of all words in all contexts, context by word."""
+    contexts = np.arange(dishes.n_contexts)
     root = dishes.root(totals)
     out = totals.appeal(contexts)[:, None] * root[None, :]
     np.add.at(out, (dishes.context, dishes.word), dishes.customers - DISCOUNT[1] * dishes.tables)

@@ -371,6 +371,16 @@ def test_tables_follow_the_restaurant_rule():
     assert hpylm.seat(np.array([0, 1]), np.ones(2), discount, rng).tolist() == [0, 1]
 
 
+def test_the_word_before_counts_however_rare(spark):
+    rng = np.random.default_rng(8)
+    said = lambda shift: " ".join(f"a{i} b{(i + shift) % 150}" for i in rng.permutation(150))
+    rows = [(i, said(0)) for i in range(12)] + [(100, said(0)), (101, said(7))]
+    got = {r.doc_id: r for r in hpylm.score_documents(frame(spark, rows), F.col("doc_id") >= 100).collect()}
+    # the words are equally frequent, and only the right pairs were seen
+    assert got[100].base_score == pytest.approx(got[101].base_score)
+    assert got[100].score > got[101].score + 50
+
+
 # --- mixing ------------------------------------------------------------------------
 
 def test_shortage_stays_among_siblings(spark):
