@@ -381,6 +381,38 @@ def test_the_word_before_counts_however_rare(spark):
     assert got[100].score > got[101].score + 50
 
 
+def in_memory(rows, seed=1):
+    """Scores by ``Dishes``: all pairs in memory."""
+    tokens = lambda t: [*t.split(), "\n"]
+    number = {w: i for i, w in enumerate({w: 0 for _, t, _ in rows for w in tokens(t)})}
+    pairs = lambda t: list(zip(["\n", *t.split()], tokens(t)))
+    count = collections.Counter((number[w], number[c]) for _, t, held in rows if not held for c, w in pairs(t))
+    word, context, n = (np.array(c) for c in zip(*((*k, v) for k, v in sorted(count.items()))))
+    dishes, rng = hpylm.Dishes(word, context, n, len(number), len(number)), np.random.default_rng(seed)
+    chance = 0
+    for i in range(hpylm.SWEEPS):
+        dishes.sweep(dishes.totals(), rng)
+        if i >= hpylm.BURN_IN:
+            totals = dishes.totals()
+            now = hpylm._common_chances(dishes, totals)
+            novel = totals.known(np.arange(len(number)), 0, 0, totals.root(0, 0, hpylm.NOVEL))
+            seen = np.bincount(word, minlength=len(number)) > 0
+            chance = chance + np.where(seen, now, novel[:, None]) / (hpylm.SWEEPS - hpylm.BURN_IN)
+    return {i: sum(math.log10(chance[number[c], number[w]]) for c, w in pairs(t)) for i, t, _ in rows}
+
+
+@pytest.mark.parametrize("common", [4, 32_768])
+def test_scores_do_not_depend_on_how_words_are_counted(spark, monkeypatch, common):
+    words = hpylm.common_words
+    monkeypatch.setattr(hpylm, "common_words", lambda docs: words(docs, common))
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.pareto(0.7, 80) if x < 1e4), i % 5 == 1) for i in range(60)]
+    got = hpylm.score_documents(frame(spark, [r[:2] for r in rows]), F.col("doc_id") % 5 == 1).collect()
+    want = in_memory(rows)
+    assert all(abs(r.score - want[r.doc_id]) < 0.02 * abs(want[r.doc_id]) for r in got)
+    assert abs(sum(r.score for r in got) / sum(want.values()) - 1) < 0.003
+
+
 # --- mixing ------------------------------------------------------------------------
 
 def test_shortage_stays_among_siblings(spark):
