@@ -4,8 +4,9 @@ A signature has 56 symbols of 16 bits, each the low bits of one MinHash of the s
 shingles.  It is split into 14 chunks of four.  Two signatures that differ in at most 27
 symbols have, by pigeonhole, a chunk in which they differ in at most one.  So each signature
 is filed under every chunk with each one symbol left out (the allowed error): 56 keys, and
-every pair within the threshold meets under a key.  A pair of similarity 0.75 differs in 14
-symbols on average; that none of its chunks qualifies has a chance below 1e-8.
+every such pair meets under a key.  A pair of similarity 0.75 differs in 14 symbols on
+average; that none of its chunks qualifies has a chance of 7.1e-9.  Pairs that meet are
+confirmed up to 36 differing symbols, which leaves out another 1.1e-10: together below 1e-8.
 
 Documents with equal sets form a class and enter once.  Links are confirmed on full sets.
 To find groups without listing all pairs of a large one, each class is first linked to one
@@ -25,7 +26,8 @@ from laurel.llm.graph import components, grouped
 WORDS = 5
 CHUNKS, CHUNK = 14, 4
 SYMBOLS = CHUNKS * CHUNK
-MOST_APART = 2 * CHUNKS - 1
+MOST_APART = 2 * CHUNKS - 1  # every such pair shares a key
+LOOSE = 36  # pairs that share a key are confirmed on full sets up to this distance
 BLOCK = 2048  # rows of one key that are compared at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix64(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
@@ -112,7 +114,7 @@ def apart(sigs_a: np.ndarray, sigs_b: np.ndarray) -> np.ndarray:
 
 
 def nearest_leader(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of ``node, leader`` the nearest leader of each node within the threshold."""
+    """Of ``node, leader`` the nearest leader of each node within the loose distance."""
     one = classes.select("node", "sig")
     other = classes.select(F.col("node").alias("leader"), F.col("sig").alias("leader_sig"))
 
@@ -122,7 +124,7 @@ def nearest_leader(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             d = (a != b).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("leader"), pa.array(d.astype(np.int32))], ["node", "leader", "d"]
-            ).filter(pa.array(d <= MOST_APART))
+            ).filter(pa.array(d <= LOOSE))
 
     near = pairs.join(one, "node").join(other, "leader").select("node", "leader", "sig", "leader_sig")
     near = near.mapInArrow(measure, "node long, leader long, d int")
@@ -167,7 +169,7 @@ class _Rows:
     def compared(self, start: int, end: int):
         """Parts of one run: rows of either side, their distances, and which are close.
 
-        Close pairs lie within the threshold and in different groups.
+        Close pairs lie within the loose distance and in different groups.
         """
         left = start + np.flatnonzero(self.mine[start:end] == self.p[start])
         two_blocks = self.p[start] != self.q[start]
@@ -175,7 +177,7 @@ class _Rows:
         for i in range(0, len(left), 256):
             some = left[i : i + 256]
             d = apart(self.sigs[some], self.sigs[right])
-            close = (self.labels[some][:, None] != self.labels[right][None, :]) & (d <= MOST_APART)
+            close = (self.labels[some][:, None] != self.labels[right][None, :]) & (d <= LOOSE)
             if close.any():
                 yield some, right, d, close
 

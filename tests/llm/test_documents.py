@@ -157,6 +157,20 @@ def test_every_pair_within_the_distance_shares_a_key(spark):
     assert all(found[0] & found[i] for i in range(1, 40))
 
 
+def test_pairs_that_share_a_key_are_confirmed_far_apart(spark):
+    one = np.arange(hamming_dedup.SYMBOLS, dtype="<u2")
+    other = one.copy()
+    other[-(hamming_dedup.MOST_APART + 5) :] += 1000  # 32 symbols; similar sets have that at times
+    classes = spark.createDataFrame([(1, bytearray(one.tobytes())), (2, bytearray(other.tobytes()))], "node long, sig binary")
+    found = [(i, bytearray(np.arange(n, dtype="<u8").tobytes())) for i, n in ((1, 75), (2, 100))]
+    sets = spark.createDataFrame(found, "node long, found binary")
+    filed, labels = hamming_dedup.chunk_keys(classes), spark.createDataFrame([], "node long, root long")
+    pairs = spark.createDataFrame([(2, 1)], "node long, leader long")
+    assert collected(hamming_dedup.nearest_leader(pairs, classes)) == [(1, 2)]
+    assert collected(hamming_dedup.nearest_crossings(filed, labels, classes)) == [(1, 2)]
+    assert [sorted(r) for r in collected(hamming_dedup.crossing_links(filed, labels, classes, sets, 75))] == [[1, 2]]
+
+
 # --- language ----------------------------------------------------------------------
 
 def brute_grams(text, most):
