@@ -1,7 +1,7 @@
 """Main text of web pages by a recurrent block labeller (operator 4).
 
-A page is read as its leaf blocks in order.  Each block is a vector of hashed tag-path steps,
-hashed words and a few measures; a bidirectional LSTM in numpy reads the whole sequence and
+A page is read as its leaf blocks in order.  Each block is a vector of the hashed steps of its
+whole tag path, hashed words and a few measures; a bidirectional LSTM in numpy reads the whole sequence and
 says of every block whether it belongs to the article.
 
 It learns from a bounded sample of the pages themselves: structure that plainly marks
@@ -81,7 +81,7 @@ def blocks(page: str | None) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             outer = [s for s in stack if s.split(".", 1)[0] not in INLINE or s.startswith("a")]
-            found.append(Block(tuple(outer[-8:]), text, min(linked / len(text), 1.0)))
+            found.append(Block(tuple(outer), text, min(linked / len(text), 1.0)))
         parts.clear()
         linked = 0
 
@@ -124,7 +124,7 @@ def features(page: list[Block]) -> np.ndarray:
     """A row for each block."""
     out = np.zeros((len(page), PATH + WORDS + MEASURES), np.float32)
     for i, b in enumerate(page):
-        for step in b.path:
+        for step in set(b.path):
             for name in {step.split(".", 1)[0], *step.split(".")[1:]}:
                 for part in {name, *re.split(r"[-_]", name)}:
                     out[i, slot("p:" + part, PATH)] = 1

@@ -102,6 +102,20 @@ def test_extraction_leaves_surroundings_out(spark, model):
     assert html_blocks.extract(pages.where("false"), html_blocks.learn(pages.where("false"))).count() == 0
 
 
+def test_paths_are_whole_however_deep(spark, model):
+    reply = '<div class="comments">' + "<ol><li><div>" * 4 + "<p>I do not agree with this at all.</p>" + "</div></li></ol>" * 4 + "</div>"
+    page = PAGE.format(n=5).replace("<article>", "<article>" + "<section><div>" * 6).replace("</article>", "</div></section>" * 6 + "</article>")
+    found = html_blocks.blocks(page.replace("<footer>", reply + "<footer>"))
+    labels = {b.text: html_blocks.plain_label(b.path, True) for b in found}
+    assert [t for t, label in labels.items() if label] == [
+        "Title & more 5", "First line of text 5.", "Second paragraph with a link inside 5."]
+    at = html_blocks.slot("p:comments", html_blocks.PATH)
+    assert [b.text for b, row in zip(found, html_blocks.features(found)) if row[at]] == ["I do not agree with this at all."]
+    deep = spark.createDataFrame([(1, "u", page.replace("<footer>", reply + "<footer>"))], "page_id long, url string, html string")
+    text = html_blocks.extract(deep, model).first().text
+    assert text == "Title & more 5\nFirst line of text 5.\nSecond paragraph with a link inside 5."
+
+
 def test_gradients_of_the_lstm():
     rng = np.random.default_rng(0)
     model = html_blocks.Lstm(rng)
