@@ -28,7 +28,8 @@ EPOCHS, GROUP, RATE = 8, 16, 0.02
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|title|svg|math|iframe|object|canvas|textarea|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*/>"  # holds nothing
+    r"|<(?P<raw>script|style|noscript|template|title|svg|iframe|object|canvas|textarea|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",
@@ -38,7 +39,11 @@ NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 # Elements of HTML that stand in a line of text, and those that hold nothing.
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr input button".split()
+    "strike strong sub sup time tt u var wbr input button "
+    # formulas, whose text stays
+    "math maction annotation annotation-xml menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded "
+    "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none "
+    "semantics".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # What marks surroundings for the labels of the sample.

@@ -102,6 +102,18 @@ def test_extraction_leaves_surroundings_out(spark, model):
     assert html_blocks.extract(pages.where("false"), html_blocks.learn(pages.where("false"))).count() == 0
 
 
+def test_images_end_and_formulas_stay(spark, model):
+    texts = lambda page: [b.text for b in html_blocks.blocks(page)]
+    assert texts('<p>a <svg class="x>y" /> b</p><p>c</p>') == ["a b", "c"]
+    assert texts("<p>a <svg><path d='m'/><text>no</text></svg> b</p><svg/><p>c</p>") == ["a b", "c"]
+    assert texts("<p>a <math/> b</p><p>c</p>") == ["a b", "c"]
+    assert texts('<p>If <math display="inline"><mrow><mi>x</mi><mo>=</mo><msup><mn>2</mn><mi>n</mi></msup></mrow></math> then</p>') == ["If x=2n then"]
+    page = PAGE.format(n=5).replace("<h1>", "<svg/><math/><h1>").replace("inside 5", "inside <math><mi>x</mi></math> 5")
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    text = html_blocks.extract(pages, model).first().text
+    assert text == "Title & more 5\nFirst line of text 5.\nSecond paragraph with a link inside x 5."
+
+
 def test_paths_are_whole_however_deep(spark, model):
     reply = '<div class="comments">' + "<ol><li><div>" * 4 + "<p>I do not agree with this at all.</p>" + "</div></li></ol>" * 4 + "</div>"
     page = PAGE.format(n=5).replace("<article>", "<article>" + "<section><div>" * 6).replace("</article>", "</div></section>" * 6 + "</article>")
