@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 64  # turns that are rendered again once a conversation is twice as long
+WINDOW = 64  # turns that an append-only template renders again once a conversation is twice as long
 
 # The marks of the default template.
 MARKS = {"system": ("[SYS] ", " [/SYS]"), "user": ("[INST] ", " [/INST]"), "assistant": ("[OUT] ", " [/OUT]</s>")}
@@ -58,6 +58,9 @@ def bracket_template(messages: list[Message]) -> str:
     return "".join(parts)
 
 
+bracket_template.append_only = True
+
+
 def read_turn(span: str) -> Message:
     """The role and text of a span of the default template."""
     found = TURN.fullmatch(span)
@@ -83,13 +86,14 @@ def _same_start(a: str, b: str) -> int:
 def spans(messages: Iterable[Message], template: Callable = bracket_template, window: int = WINDOW) -> Iterator[Span]:
     """The span of each turn, as turns come in.
 
-    A conversation of up to two windows is rendered from its start.  A longer one goes on from
-    its last ``window`` turns, if the template renders those, without what came before, as it
-    had rendered them; else from its start as before.
+    A template sees every prefix from the start, so that a rewriting of any turn shows.  Only
+    one with a true attribute ``append_only``, which says that what it adds for a turn depends
+    on that turn alone, goes on from the last ``window`` turns once there are twice as many,
+    if it renders those, without what came before, as it had rendered them.
     """
     held: list[Message] = []
     texts: list[str] = []
-    base, sound, shift = "", True, True
+    base, sound, shift = "", True, getattr(template, "append_only", False)
     for message in messages:
         if shift and len(held) >= 2 * window:
             tail = template(held[-window:])

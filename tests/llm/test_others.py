@@ -189,6 +189,19 @@ def test_templates_that_rewrite_history_are_seen():
     assert "".join(s.text for s in chat_format.spans(many, counting, window=4)) == counting(many)
 
 
+def test_history_is_watched_however_long():
+    def recent(messages):
+        return "".join(f"({t})" for _, t in messages[-200:])
+
+    def edited(messages):
+        return "".join("(cut)" if len(messages) > 200 and i < 2 else f"({t})" for i, (_, t) in enumerate(messages))
+
+    many = [chat_format.Message("user", str(i)) for i in range(300)]
+    for template in (recent, edited):
+        found = [s.text for s in chat_format.spans(many, template)]
+        assert found == [f"({i})" for i in range(200)] + [None] * 100
+
+
 def test_conversations_with_odd_rows(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", ODD[1]), (1, 1, "assistant", ODD[1]), (2, None, None, None),
             (None, 0, "user", "a"), (None, 1, "assistant", None)]
