@@ -23,6 +23,8 @@ from laurel.llm.common import bounded_sample
 
 #: Pages to learn from, at most; there is little to learn beyond the structures in use.
 MOST_PAGES = 192
+LONG = 100_000  # characters of a page that is read by a task, and what the driver gets of it to learn from
+SOME_BLOCKS, SOME_TEXT = 300, 500
 PATH, WORDS, MEASURES, UNITS = 256, 64, 6, 16
 EPOCHS, GROUP, RATE = 8, 16, 0.02
 
@@ -310,10 +312,38 @@ def train(pages: list[list[Block]], seed: int = 1) -> Lstm:
 
 
 def learn(pages: DataFrame, most: int = MOST_PAGES) -> Lstm:
-    """Fit on a bounded sample: of pages under 100,000 characters the ``most`` of smallest hash."""
-    some = pages.where("html IS NOT NULL AND length(html) < 100000").select("page_id", F.col("html").cast("string").alias("html"))
-    picked = bounded_sample(some, most, pages.count(), "page_id", "html").collect()
-    return train([b for b in (blocks(r.html) for r in picked) if b])
+    """Fit on a bounded sample: the ``most`` pages of smallest hash; long ones where the others are too few."""
+    rows = pages.where("trim(html) <> ''").select("page_id", F.col("html").cast("string").alias("html"))
+    short = rows.where(F.length("html") < LONG)
+    picked = bounded_sample(short, most, short.count(), "page_id", "html").collect()
+    found = [b for b in (blocks(r.html) for r in picked) if b]
+    if len(found) < most:
+        found += long_pages(rows.where(F.length("html") >= LONG), most)[: most - len(found)]
+    return train(found)
+
+
+def long_pages(rows: DataFrame, most: int) -> list[list[Block]]:
+    """Blocks of up to ``most`` long pages, read by the tasks: of each page some from all over, with the start of their text."""
+    rows = rows.withColumn("place", F.xxhash64("page_id", "html"))
+    places = rows.select("place").distinct()
+    picked = [r.place for r in bounded_sample(places, most, places.count(), "place").collect()]
+
+    def read(batches):
+        for batch in batches:
+            for place, page in zip(batch.column("place").to_pylist(), batch.column("html")):
+                found = blocks(page.as_py())
+                at = np.unique(np.linspace(0, len(found) - 1, SOME_BLOCKS).astype(int)) if found else []
+                some = [found[i] for i in at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([place]), pa.array([[list(b.path) for b in some]], pa.list_(pa.list_(pa.string()))),
+                     pa.array([[b.text[:SOME_TEXT] for b in some]], pa.list_(pa.string())),
+                     pa.array([[float(b.linked) for b in some]], pa.list_(pa.float64()))], ["place", "paths", "texts", "linked"],
+                )
+
+    shape = "place long, paths array<array<string>>, texts array<string>, linked array<double>"
+    found = rows.where(F.col("place").isin(picked)).select("place", "html").mapInArrow(read, shape)
+    pages = [r for r in found.dropDuplicates(["place"]).orderBy("place").collect() if r.texts]
+    return [[Block(tuple(p), t, x) for p, t, x in zip(r.paths, r.texts, r.linked)] for r in pages]
 
 
 def extract(pages: DataFrame, model: Lstm) -> DataFrame:

@@ -128,6 +128,19 @@ def test_paths_are_whole_however_deep(spark, model):
     assert text == "Title & more 5\nFirst line of text 5.\nSecond paragraph with a link inside 5."
 
 
+def test_few_short_pages_are_all_learned_from_and_long_ones(spark, monkeypatch):
+    monkeypatch.setattr(html_blocks, "train", lambda pages, seed=1: pages)
+    filler = f"<!--{'x' * 100_000}-->"
+    shape = "page_id long, url string, html string"
+    long = [(i, "u", PAGE.format(n=i) + filler) for i in range(60)]
+    short = [(100 + i, "u", PAGE.format(n=100 + i)) for i in range(4)]
+    got = html_blocks.learn(spark.createDataFrame(long + short + long[:1] * 3, shape), 8)
+    numbers = {int(page[1].text.split()[1]) for page in got}
+    assert len(got) == 8 and {100, 101, 102, 103} < numbers and len(numbers) == 8
+    assert all([b.text for b in page][3] == f"Title & more {int(page[1].text.split()[1])}" for page in got)
+    assert len(html_blocks.learn(spark.createDataFrame(long, shape), 8)) == 8
+
+
 def test_gradients_of_the_lstm():
     rng = np.random.default_rng(0)
     model = html_blocks.Lstm(rng)
