@@ -5,7 +5,8 @@ import functools
 from pyspark.sql import functions as F
 
 from laurel.llm import (
-    chat_format, digest_index, forest_ann, gam_quality, hamming_dedup, hpylm, html_blocks, language_id, mixing, packing,
+    chat_format, collocations, digest_index, divergence, forest_ann, gam_quality, hamming_dedup, hpylm, html_blocks,
+    language_id, mixing, packing, token_counts,
 )
 from laurel.llm.common import held_out, ship, table
 
@@ -186,6 +187,86 @@ def op10_mixing(spark, sf_dir):
     )
 
 
+OP11_SQL = r"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), spans AS (
+  SELECT lang, w, unnest(range(1, least(k, len(w)) + 1)) AS k, unnest_at AS i
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS unnest_at, 5 AS k FROM words)
+), f AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS c FROM spans
+  WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (SELECT lang, sum(c) AS n FROM f WHERE k = 1 GROUP BY lang
+), cand AS (SELECT lang, phrase, k, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 100
+), starts AS (SELECT *, unnest(range(1, k + 1)) AS i FROM cand
+), inner_ AS (SELECT lang, w, k, a, i, unnest(range(2, k)) AS m FROM starts
+), held AS (
+  SELECT DISTINCT lang, phrase FROM (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, a AS longer FROM inner_ WHERE i + m - 1 <= k)
+  JOIN (SELECT lang, phrase, a FROM cand) USING (lang, phrase) WHERE 100 * longer >= 100 * a
+), cuts AS (
+  SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS j FROM cand ANTI JOIN held USING (lang, phrase)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, j, l.c AS l, r.c AS r, n,
+    1000::HUGEINT * c.a::HUGEINT * n::HUGEINT // (l.c::HUGEINT * r.c::HUGEINT) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ') JOIN totals t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= 2000"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), kept AS (SELECT lang, term FROM d GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3
+), sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), counts AS (SELECT lang, source, term, count(*) AS c FROM d JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL
+), shares AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c,
+    1 + 1000000000::HUGEINT * (coalesce(c, 0) + 1) // (coalesce(n, 0) + v) AS p
+  FROM groups JOIN sizes USING (lang) JOIN kept USING (lang)
+  LEFT JOIN totals USING (lang, source) LEFT JOIN counts USING (lang, source, term)
+), usual AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(c) + 1) // (any_value(n) + any_value(v)) AS q
+  FROM counts JOIN (SELECT lang, sum(n) AS n FROM totals GROUP BY lang) USING (lang) JOIN sizes USING (lang) GROUP BY lang, term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares JOIN usual USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 200"""
+
+
+@query("op12_divergence", OP12_SQL)
+def op12_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
