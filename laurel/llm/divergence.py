@@ -24,7 +24,7 @@ from laurel.llm.textscan import KeyFilter, Words, byte_kinds, gather, grouped
 LETTERS = {*range(65, 91), *range(97, 123), *range(128, 256)}
 KINDS = byte_kinds(b"", bytes(sorted(set(range(256)) - LETTERS)))
 LEAST = 3
-FIRST_WIDTH = 2
+FIRST_WIDTH = 3  # almost every shorter prefix is kept
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 SLICE = 8_000_000  # characters a task reads at once
@@ -267,7 +267,8 @@ def audit(docs: DataFrame, least=LEAST, top=TOP_TERMS, first_width=FIRST_WIDTH)
     )
 
     whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("all"))
-    totals = sums.groupBy("lang").agg(F.sum("total").alias("lang_total")).join(sizes, "lang")
+    # written first: Spark then knows how small it is, and needn't deal the terms by language
+    totals = stage(sums.groupBy("lang").agg(F.sum("total").alias("lang_total")).join(sizes, "lang"), "totals")
     usual = whole.join(totals, "lang").select("lang", "term", _share(F.col("all"), F.col("lang_total"), F.col("v")).alias("q"))
     term_rows = terms.join(usual, ["lang", "term"]).where("p > q").select(
         "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), _gap(F.col("p"), F.col("q")).alias("value")
