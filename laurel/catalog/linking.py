@@ -45,6 +45,19 @@ def _(spark, sf):
     return _benchmark_to_documents(spark, sf, 10)
 
 
+@query(
+    "tfidf_questions",
+    f"""WITH rows AS (SELECT conv_id * 100000 + turn AS id, role, text FROM conversations),
+    bt AS (SELECT id, text FROM rows WHERE role = 'user'), dk AS (SELECT id, text FROM rows WHERE role = 'assistant'),
+    {Q.tfidf('bt', 'dk', 1)} SELECT target AS question, key AS answer, round(sim, 6) AS sim FROM ranked WHERE rank = 1 AND sim > 0""",
+)
+def _(spark, sf):
+    """The answer most like each question: both lists grow with the table."""
+    turns = D.table(spark, sf, "conversations").selectExpr("conv_id * 100000 + turn AS id", "role", "text")
+    best = L.tfidf_top_n(turns.where("role = 'user'").drop("role"), turns.where("role = 'assistant'").drop("role"))
+    return best.select(F.col("target").alias("question"), F.col("key").alias("answer"), F.round("sim", 6).alias("sim"))
+
+
 CANON_SQL = """canon AS (SELECT unnest([{}]) AS award)""".format(Q.listed(K.CANONICAL_AWARDS))
 
 

@@ -2,7 +2,6 @@
 
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,114 +14,120 @@ from laurel.functions import text as T
 from laurel.session import stage
 
 CHUNK = 2_000  # names handed to a task at once
-CELLS = 20_000_000  # numbers in a weight matrix handed to a task
+SEED = 1_000  # index entries that a target's first bound is made of
+PRODUCTS = 4_000_000  # products of one term in one group
 
 
 # --- TF-IDF cosine ------------------------------------------------------------------
 
 
-def _posting(texts: DataFrame) -> DataFrame:
-    """Distinct ``(id, term)`` rows, made row by row."""
-    return texts.select("id", F.explode(F.array_distinct(M.tfidf_terms(F.col("text")))).alias("term"))
+def counted_terms(texts: DataFrame) -> DataFrame:
+    """Rows ``(id, term, tf)``, made text by text from its sorted words, so without a shuffle."""
+    words = texts.select("id", F.explode(F.array(F.array_sort(M.tfidf_terms(F.col("text"))))).alias("w"))
+    word = lambda i: F.get("w", i - 1)
+    first = lambda i: (i == 1) | (word(i) != word(i - 1))
+    marked = words.where(F.size("w") > 0).select(
+        "id", "w", F.explode(F.array(F.filter(F.sequence(F.lit(1), F.size("w")), first))).alias("at")
+    )
+    runs = F.transform(
+        "at", lambda i, j: F.struct(word(i).alias("term"), (F.coalesce(F.get("at", j + 1), F.size("w") + 1) - i).alias("tf"))
+    )
+    return marked.select("id", F.explode(runs).alias("r")).select("id", "r.term", "r.tf")
 
 
-def _counted(texts: DataFrame) -> DataFrame:
+def _term_weights(targets: DataFrame, keys: DataFrame, products: int) -> DataFrame:
+    """All terms with ``idf``, how many texts of each side hold them, and into how many ``splits`` they go."""
+    total = targets.select("id").unionAll(keys.select("id")).agg(F.count("*")).scalar()
+    frequency = lambda texts, name: counted_terms(texts).groupBy("term").agg(F.count("*").alias(name))
+    none = F.lit(0)
     return (
-        texts.select("id", F.explode(M.tfidf_terms(F.col("text"))).alias("term"))
-        .groupBy("id", "term")
-        .agg(F.count("*").alias("tf"))
+        frequency(keys, "kdf").join(frequency(targets, "tdf"), "term", "full")
+        .select("term", F.coalesce("kdf", none).alias("kdf"), F.coalesce("tdf", none).alias("tdf"))
+        .withColumn("idf", M.smooth_idf(total, F.col("kdf") + F.col("tdf")))
+        .withColumn("splits", (1 + F.floor(F.col("kdf") * F.col("tdf") / products)).cast("int"))
+    )
+
+
+def _postings(vectors: DataFrame) -> DataFrame:
+    """Rows ``(key, term, salt, w)`` of the key vectors; ``salt`` deals a hot term over its splits."""
+    entry = vectors.select("key", "norm", F.explode("entries").alias("e"))
+    return entry.select(
+        "key", F.col("e.term").alias("term"), F.pmod(F.xxhash64("key"), F.col("e.splits")).cast("int").alias("salt"),
+        (F.col("e.x") / F.col("norm")).alias("w"),
     )
 
 
-def tfidf_top_n(targets: DataFrame, keys: DataFrame, n=1, cells=CELLS) -> DataFrame:
+def tfidf_top_n(targets: DataFrame, keys: DataFrame, n=1, seed=SEED, products=PRODUCTS) -> DataFrame:
     """The ``n`` most similar keys per target: ``(target, key, sim, rank)``.
 
-    ``targets`` and ``keys`` have columns ``(id, text)``.  Weights are smooth TF-IDF over
-    both lists together, l2-normalised; ties go to the smaller key id; similarity 0 never
-    matches.
+    ``targets`` and ``keys`` have columns ``(id, text)``, ids once each.  Weights are smooth
+    TF-IDF over both lists together, l2-normalised; ties go to the smaller key id; similarity
+    0 never matches.  Null and empty texts match nothing but count as texts.
 
-    A word such as "best" stands in most keys, so a join on words would pair nearly
-    everything.  Instead each key becomes one row with its weights for words of the
-    canonical list; a task multiplies its keys with the weight matrix of the list and
-    sends on its ``n`` best keys per target.  The matrix goes out in chunks of at most
-    ``cells`` numbers; a longer list means more passes over the key rows.
+    An inverted index of the keys meets the targets term by term, rare terms first:
+
+    1. A target's rarest terms, with up to ``seed`` index entries, give partial products;
+       the n-th largest is a lower bound of what the target's last place needs.
+    2. A target's most frequent terms are left out of the join as long as what they can add
+       together (the norm of their weights) stays below half of that bound.  The other terms
+       meet the index; a term with more than ``products`` products is split by key.
+    3. Pairs whose partial product and left-out norm reach the bound get the rest of their
+       product from the key's own vector.  The bounds lose no key, so the result is exact.
+
+    Lists of any length are frames only: nothing passes through the driver, and Spark sends
+    the targets' side to all tasks only where its files are small enough.
     """
-    spark = targets.sparkSession
-    total = targets.select("id").unionAll(keys.select("id")).agg(F.count("*")).scalar()
-    target_df = _posting(targets).groupBy("term").agg(F.count("*").alias("tdf"))
-    key_df = _posting(keys).groupBy("term").agg(F.count("*").alias("kdf"))
-    by_term = Window.orderBy("term")
-    terms = key_df.join(
-        target_df.withColumn("j", F.row_number().over(by_term) - 1), "term", "full"
-    ).select(
-        "term",
-        "j",
-        M.smooth_idf(total, F.coalesce("kdf", F.lit(0)) + F.coalesce("tdf", F.lit(0))).alias("idf"),
-    )
-    terms = stage(terms, "terms")
-    entry = F.struct("j", (F.col("tf") * F.col("idf")).alias("x"))
+    terms = stage(_term_weights(targets, keys, products), "terms")
+    x = F.col("tf") * F.col("idf")
+    entry = F.struct("term", "splits", x.alias("x"))
     vectors = (
-        _counted(keys)
-        .join(terms, "term")
-        .groupBy(F.col("id").alias("key"))
-        .agg(
-            F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"),
-            F.collect_list(F.when(F.col("j").isNotNull(), entry)).alias("v"),
-        )
-        .where(F.size("v") > 0)
-        .select("key", "norm", F.col("v.j").alias("j"), F.col("v.x").alias("x"))
+        counted_terms(keys).join(terms, "term").groupBy(F.col("id").alias("key"))
+        .agg(F.sqrt(F.sum(x * x)).alias("norm"), F.collect_list(F.when(F.col("tdf") > 0, entry)).alias("entries"))
+        .where(F.size("entries") > 0)
     )
-    weights = _counted(targets).join(terms, "term").select(
-        F.col("id").alias("target"), "j", (F.col("tf") * F.col("idf")).alias("x")
+    vectors = stage(vectors, "vectors")
+
+    own = Window.partitionBy("target")
+    rare_first = own.orderBy("kdf", "term")
+    weights = (
+        counted_terms(targets).join(terms, "term")
+        .select(F.col("id").alias("target"), "term", "kdf", "splits", x.alias("x"))
+        .withColumn("w", F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(own))).where("kdf > 0")
+        .withColumn("upto", F.sum("kdf").over(rare_first))
+        .withColumn("tail", F.sqrt(F.sum(F.col("w") * F.col("w")).over(
+            rare_first.rowsBetween(Window.currentRow, Window.unboundedFollowing))))
+        .select("target", "term", "splits", "w", "tail", (F.greatest(F.lit(seed), F.col("kdf")) >= F.col("upto")).alias("is_seed"))
+    )
+    weights = stage(weights, "weights")
+
+    best_first = Window.partitionBy("target").orderBy(F.desc("part"))
+    product = F.sum(F.col("p.w") * F.col("t.w")).alias("part")
+    seeds = _postings(vectors).alias("p").join(weights.where("is_seed").alias("t"), "term")
+    found = seeds.groupBy("key", "target").agg(product)
+    bounds = found.withColumn("i", F.row_number().over(best_first)).where(F.col("i") == n).select("target", F.col("part").alias("low"))
+    bounded = stage(
+        weights.drop("is_seed").join(bounds, "target", "left").withColumn("low", F.coalesce("low", F.lit(0.0))), "bounded"
     )
-    width = terms.agg(F.max("j")).first()[0]
-    ids = targets.select(F.col("id").alias("target")).distinct()
-    order = ids.withColumn("i", F.row_number().over(Window.orderBy("target")) - 1)
-    n_ids = ids.count()
-    chunk = max(1, cells // ((width or 0) + 1))
-    if n_ids > chunk:
-        vectors = stage(vectors, "vectors")
-    types = {f.name: f.dataType.simpleString() for f in [targets.schema["id"], *vectors.schema]}
-    schema = f"target {types['id']}, key {types['key']}, sim double"
-    passes = []
-    for start in range(0, max(n_ids, 1), chunk):
-        part = order.where(F.col("i").between(start, start + chunk - 1))
-        rows = part.join(weights, "target").select("target", "i", "j", "x").toPandas()
-        matrix = np.zeros(((width or 0) + 1, min(chunk, max(n_ids - start, 1))))
-        matrix[rows["j"].to_numpy(int), rows["i"].to_numpy(int) - start] = rows["x"]
-        matrix /= np.maximum(np.sqrt((matrix**2).sum(axis=0)), 1e-300)
-        names = rows.drop_duplicates("i").set_index("i")["target"].to_dict()
-        sent = spark.sparkContext.broadcast(matrix)
-        passes.append(vectors.mapInPandas(_top_in_task(sent, names, start, n), schema))
-    best = reduce(DataFrame.unionByName, passes)
-    by_sim = Window.partitionBy("target").orderBy(F.desc(F.round("sim", 12)), "key")
-    return best.withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= n)
-
-
-def _top_in_task(sent, names, start, n):
-    """Per task: the best ``n`` keys of each target, with the same ties as the final rank."""
-    def run(batches):
-        matrix = sent.value
-        best_key, best_sim = {}, {}
-        for batch in batches:
-            keys = batch["key"].to_numpy()
-            sims = np.vstack(
-                [x @ matrix[j] / norm for j, x, norm in zip(batch["j"], batch["x"], batch["norm"])]
-            )
-            for i in names:
-                column = sims[:, i - start]
-                hit = np.flatnonzero(column > 0)
-                if len(hit) == 0:
-                    continue
-                key = np.concatenate([best_key.get(i, keys[:0]), keys[hit]])
-                sim = np.concatenate([best_sim.get(i, column[:0]), column[hit]])
-                place = np.argsort(np.argsort(key, kind="stable"), kind="stable")
-                keep = np.lexsort((place, -np.round(sim, 12)))[:n]
-                best_key[i], best_sim[i] = key[keep], sim[keep]
-        for i, key in best_key.items():
-            yield pd.DataFrame({"target": [names[i]] * len(key), "key": key, "sim": best_sim[i]})
 
-    return run
+    joined = F.col("tail") >= F.col("low") / 2
+    heads = bounded.where(joined).select(
+        "target", "term", "w", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt")
+    )
+    rest = bounded.groupBy("target").agg(
+        F.max("low").alias("low"), F.coalesce(F.max(F.when(~joined, F.col("tail"))), F.lit(0.0)).alias("left_out"),
+        F.collect_list(F.when(~joined, F.struct("term", "w"))).alias("rest"),
+    )
+    by_key = vectors.repartition("key")
+    parts = _postings(by_key).alias("p").join(heads.alias("t"), ["term", "salt"]).groupBy("key", "target").agg(product)
+    likely = parts.join(stage(rest, "rest"), "target").where(F.col("part") + F.col("left_out") >= F.col("low") - 1e-9)
+    by_term = F.map_from_entries(F.transform("entries", lambda e: F.struct(e["term"], e["x"])))
+    held = by_key.select("key", "norm", by_term.alias("of"))
+    more = F.aggregate(
+        "rest", F.lit(0.0), lambda sum_, r: sum_ + r["w"] * F.coalesce(F.try_element_at("of", r["term"]), F.lit(0.0))
+    )
+    sims = likely.join(held, "key").select("target", "key", (F.col("part") + more / F.col("norm")).alias("sim"))
+    by_sim = Window.partitionBy("target").orderBy(F.desc(F.round("sim", 12)), "key")
+    return sims.withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= n)
 
 
 def link_values(awards: DataFrame, values: DataFrame, n=1) -> DataFrame:

@@ -99,10 +99,13 @@ def test_token_set_best(spark):
             assert got[target] == (best[1] if best[0] < 0 else None)
 
 
-@pytest.mark.parametrize("cells", [40, 10_000])
-def test_tfidf(spark, cells):
+@pytest.mark.parametrize("seed,products,n", [(1, 5, 3), (30, 10_000, 1), (1000, 10_000, 3)])
+def test_tfidf(spark, seed, products, n):
     rng = random.Random(4)
     targets, keys = names(rng, 8), names(rng, 40)
+    # every text has the same two words, which are left out of the join where a bound allows
+    targets, keys = [f"{t} best award" for t in targets] + ["best"], [f"{k} best award" for k in keys] + targets[:3]
+    keys = sorted(set(keys)) + ["", "x"]
     docs = [t.lower() for t in targets + keys]
     terms = [Counter(w for w in d.split() if len(w) > 1) for d in docs]
     df = Counter(w for t in terms for w in t)
@@ -116,12 +119,26 @@ def test_tfidf(spark, cells):
             a, b = vectors[i], vectors[len(targets) + j]
             sim = sum(x * b.get(w, 0) for w, x in a.items()) / norm(a) / norm(b)
             scored.append((-round(sim, 12), key))
-        expected |= {(target, k) for s, k in sorted(scored)[:3] if s < 0}
+        expected |= {(target, k) for s, k in sorted(scored)[:n] if s < 0}
     frame = lambda v: column(spark, v, "id").withColumn("text", F.col("id"))
-    got = {(r.target, r.key) for r in L.tfidf_top_n(frame(targets), frame(keys), 3, cells).collect()}
+    got = {(r.target, r.key) for r in L.tfidf_top_n(frame(targets), frame(keys), n, seed, products).collect()}
     assert got == expected
 
 
+def test_counted_terms(spark):
+    texts = [(1, "b a  B a_1 a_1 c a_1"), (2, None), (3, ""), (4, "zz")]
+    found = L.counted_terms(spark.createDataFrame(texts, "id int, text string")).collect()
+    assert {tuple(r) for r in found} == {(1, "a_1", 3), (4, "zz", 1)}
+
+
+def test_plans_of_linking_keep_the_driver_out(spark, tmp_path):
+    """Many targets and keys with one hot word: no list goes through the driver."""
+    targets = spark.range(3000).selectExpr("id", "concat('best ', 'w', id % 500, ' v', id) AS text")
+    keys = spark.range(20000).selectExpr("id", "concat('best w', id % 500, ' v', id % 3000) AS text")
+    found = L.tfidf_top_n(targets, keys, 1)
+    assert found.where("key % 3000 <> target").count() == 0 and found.count() == 3000
+
+
 def test_drop_contained_and_mentions(spark):
     rng = random.Random(5)
     values = names(rng, 80) + ["a", "be", "best"]
