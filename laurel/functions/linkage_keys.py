@@ -19,7 +19,7 @@ def min_shared_bigrams(total_length, threshold):
     return F.ceil((1.5 * threshold - 1) * total_length - 1 - 1e-9)
 
 
-def _numbered_bigrams(name):
+def numbered_bigrams(name):
     """Bigrams with the number of their occurrence, so that repeats stay apart."""
     last = F.length(name) - 1
     plain = F.transform(
@@ -40,7 +40,7 @@ def gram_pair_keys(names: DataFrame, threshold: float) -> DataFrame:
         raise ValueError("the bigram bound needs a threshold above 0.7")
     per_char = 1.5 * threshold - 1
     partner = 2 / (2 - threshold)  # (shortest allowed partner + own length) / own length
-    grams = names.select("name", "votes", _numbered_bigrams(F.col("name")).alias("grams"))
+    grams = names.select("name", "votes", numbered_bigrams(F.col("name")).alias("grams"))
     frequency = (
         grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("f"))
     )

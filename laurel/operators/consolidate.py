@@ -7,110 +7,130 @@ from pyspark.sql import functions as F
 
 from laurel.functions import predicates as P
 from laurel.functions import similarity as M
-from laurel.functions.linkage_keys import gram_pair_keys, min_shared_bigrams
+from laurel.functions.linkage_keys import gram_pair_keys, min_shared_bigrams, numbered_bigrams
 from laurel.operators import linkage as L
 from laurel.session import stage
 
 
-def _before(a, b):
-    """``a`` ranks before ``b``: longer, then more votes, then name."""
-    def rank(side):
-        return F.struct(
-            (-F.length(F.col(f"{side}.name"))), (-F.col(f"{side}.votes")), F.col(f"{side}.name")
-        )
+PAIRS_PER_ROW = 32  # candidate pairs a key row, beyond which heads go first
+CONTAINS, SIMILAR = 0, 1
+
+
+def _ranked(nodes: DataFrame) -> DataFrame:
+    """Rows ``(id, name, rank)``; the smaller rank comes first: longer, more votes, then name."""
+    rank = F.struct((-F.length("name")).alias("l"), (-F.col("votes")).alias("m"), F.col("name").alias("x"))
+    return nodes.select(F.monotonically_increasing_id().alias("id"), "name", "votes", rank.alias("rank"))
 
-    return rank(a) < rank(b)
 
+def _keys(nodes: DataFrame, threshold) -> DataFrame:
+    """Rows ``(key, kind, id, rank, looks, holds)``.
 
-def _contained_pairs(nodes: DataFrame, gram=6) -> DataFrame:
-    anchors = L.rarest_gram(nodes.where(F.col("name") != ""), gram)
-    longer = nodes.withColumn("sizes", L.gram_sizes(anchors)).select(
-        "name", F.explode(L.grams_of(F.col("name"), F.col("sizes"))).alias("gram")
+    If ``u`` may absorb ``v``, some key has ``u`` as a holder and ``v`` as a looker.  Similar
+    names share a pair of rare bigrams, and each is both.  A contained name looks under its
+    anchor; the longer one holds it.
+    """
+    alike = gram_pair_keys(nodes.select("name", "votes"), threshold).select(
+        F.xxhash64(F.lit(SIMILAR), "key").alias("key"), F.lit(SIMILAR).alias("kind"), "name",
+        F.lit(True).alias("looks"), F.lit(True).alias("holds"),
     )
-    on = (
-        (F.col("v.gram") == F.col("u.gram"))
-        & (F.length("u.name") > F.length("v.name"))
-        & F.contains(F.col("u.name"), F.col("v.name"))
-        & P.may_merge(F.col("u.name"), F.col("v.name"))
+    anchors = stage(L.anchors_of(nodes.where(F.col("name") != "").select("name")).select("key", "name", "size"), "anchors")
+    inner = nodes.select("name", L.sizes_of(anchors).alias("sizes")).select(
+        F.explode(L.keys_in(F.col("name"), F.col("sizes"))).alias("key"), "name"
     )
-    return longer.alias("u").join(anchors.alias("v"), on).select(
-        F.col("u.name").alias("u"), F.col("v.name").alias("v")
+    contained = anchors.select("key", F.lit(CONTAINS).alias("kind"), "name", F.lit(True).alias("looks"), F.lit(False).alias("holds"))
+    longer = inner.join(anchors.select("key").distinct(), "key", "left_semi").select(
+        "key", F.lit(CONTAINS).alias("kind"), "name", F.lit(False).alias("looks"), F.lit(True).alias("holds")
     )
+    return alike.unionByName(contained).unionByName(longer).join(nodes.select("name", "id", "rank"), "name").drop("name")
 
 
-def _similar_pairs(nodes: DataFrame, threshold) -> DataFrame:
-    keyed = gram_pair_keys(nodes, threshold)
-    total = F.length("u.name") + F.length("v.name")
-    shorter = F.least(F.length("u.name"), F.length("v.name"))
-    on = (
-        (F.col("u.key") == F.col("v.key"))
-        & _before("u", "v")
-        & (2.0 * shorter / total >= threshold)
-        & P.may_merge(F.col("u.name"), F.col("v.name"))
-        & (
-            F.size(F.array_intersect("u.grams", "v.grams"))
-            >= min_shared_bigrams(total, threshold)
-        )
-    )
-    pairs = (
-        keyed.alias("u")
-        .join(keyed.alias("v"), on)
-        .select(F.col("u.name").alias("u"), F.col("v.name").alias("v"))
-        .distinct()
-    )
-    return pairs.where(M.block_ratio_udf("u", "v") >= threshold)
+def _candidates(holders: DataFrame, lookers: DataFrame, threshold) -> DataFrame:
+    """Distinct ids ``(u, v)`` that share a key, with lengths that allow a merge; ``u`` ranks first."""
+    shorter, longer = -F.col("v.rank.l"), -F.col("u.rank.l")
+    fits = F.when(F.col("u.kind") == CONTAINS, longer > shorter).otherwise(2.0 * shorter / (longer + shorter) >= threshold)
+    on = (F.col("u.key") == F.col("v.key")) & (F.col("u.kind") == F.col("v.kind")) & (F.col("u.rank") < F.col("v.rank")) & fits
+    pairs = holders.where("holds").alias("u").join(lookers.where("looks").alias("v"), on)
+    return pairs.select(F.col("u.id").alias("u"), F.col("v.id").alias("v")).distinct()
+
 
+def _verified(pairs: DataFrame, nodes: DataFrame, threshold) -> DataFrame:
+    """The pairs whose first name may absorb the second: it contains it, or the ratio is high enough."""
+    side = lambda c: nodes.select(F.col("id").alias(c), F.col("name").alias(f"{c}_name"), F.col("grams").alias(f"{c}_grams"))
+    both = pairs.join(side("u"), "u").join(side("v"), "v").where(P.may_merge(F.col("u_name"), F.col("v_name")))
+    total = F.length("u_name") + F.length("v_name")
+    inside = F.contains("u_name", "v_name") & (F.length("u_name") > F.length("v_name"))
+    enough = F.size(F.array_intersect("u_grams", "v_grams")) >= min_shared_bigrams(total, threshold)
+    similar = both.where(~inside & (2.0 * F.length("v_name") / total >= threshold) & enough)
+    similar = similar.where(M.block_ratio_udf("u_name", "v_name") >= threshold)
+    return both.where(inside).select("u", "v").unionByName(similar.select("u", "v"))
 
-def merge_edges(nodes: DataFrame, threshold=0.85) -> DataFrame:
-    """Rows ``(u, v)``: ``u`` ranks before ``v`` and may absorb it.
 
-    ``u`` contains ``v``, or their sequence ratio reaches the threshold, and both hold the
-    same guard words.  Candidate pairs come from two equi-joins that lose no pair.
+def _absorbed_in(edges: DataFrame) -> DataFrame | None:
+    """Ids ``v`` that the greedy order absorbs, given all edges between names that are open.
+
+    In rounds: a name that nothing open points at leads, and its successors are absorbed;
+    both leave the open edges.
     """
-    return _contained_pairs(nodes).unionByName(_similar_pairs(nodes, threshold)).distinct()
+    absorbed = []
+    while not edges.isEmpty():
+        heads = edges.select("u").distinct().join(edges.select(F.col("v").alias("u")), "u", "left_anti")
+        new = stage(edges.join(heads, "u", "left_semi").select("v").distinct(), "absorbed")
+        absorbed.append(new)
+        gone = heads.unionByName(new.withColumnRenamed("v", "u"))
+        edges = stage(edges.join(gone, "u", "left_anti").join(new, "v", "left_anti"), "open")
+    return reduce(DataFrame.unionByName, absorbed) if absorbed else None
+
+
+def _without(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    return rows.join(ids.toDF("id"), "id", "left_anti")
 
 
-def leaders(nodes: DataFrame, threshold=0.85) -> DataFrame:
+def leaders(nodes: DataFrame, threshold=0.85, pairs_per_row=PAIRS_PER_ROW) -> DataFrame:
     """Rows ``(name, leader)``: the greedy consolidation by falling rank.
 
-    Rounds on the open edges: a name that nothing open points at leads, and its successors
-    are absorbed; both leave the open edges.  A name that is never absorbed leads itself.
-    Owners are given only at the end, as the best-ranked leader among the predecessors,
-    since such a leader may turn up in a later round.
+    Names share keys; a name that no open name of better rank shares a key with can't be
+    absorbed and leads.  Where the open names would make too many pairs, as in a large group
+    of copies, such heads are taken first: they meet all names under their keys, and what
+    they absorb is compared with nothing but leaders from then on, so that a group of copies
+    costs about as many comparisons as it has names.  Once few pairs are left, or a round of
+    heads no longer helps, the open names meet each other.  Both ways are exact, and a name's
+    owner is the best-ranked of all leaders that may absorb it, whenever they turn up.
     """
-    nodes = stage(nodes.select("name", "votes"), "names")
-    edges = stage(merge_edges(nodes, threshold), "edges")
-    open_edges, absorbed = edges, []
-    while not open_edges.isEmpty():
-        heads = open_edges.select("u").distinct().join(
-            open_edges.select(F.col("v").alias("u")), "u", "left_anti"
-        )
-        new = stage(open_edges.join(heads, "u", "left_semi").select("v").distinct(), "absorbed")
-        absorbed.append(new)
-        gone = heads.unionByName(new.withColumnRenamed("v", "u"))
-        open_edges = stage(
-            open_edges.join(gone, "u", "left_anti").join(new, "v", "left_anti"), "open"
-        )
-    if not absorbed:
-        return nodes.select("name", F.col("name").alias("leader"))
-    taken = reduce(DataFrame.unionByName, absorbed)
-    rank = nodes.select(
-        F.col("name").alias("u"),
-        F.struct(
-            (-F.length("name")).alias("l"), (-F.col("votes")).alias("m"), F.col("name").alias("x")
-        ).alias("r"),
-    )
-    owners = (
-        edges.join(taken, "v", "left_semi")
-        .join(taken.withColumnRenamed("v", "u"), "u", "left_anti")
-        .join(rank, "u")
-        .groupBy("v")
-        .agg(F.min_by("u", "r").alias("leader"))
-        .withColumnRenamed("v", "name")
-    )
-    return nodes.select("name").join(owners, "name", "left").select(
-        "name", F.coalesce("leader", "name").alias("leader")
-    )
+    nodes = stage(_ranked(nodes.select("name", "votes").where(F.col("name").isNotNull())).withColumn("grams", numbered_bigrams(F.col("name"))), "names")
+    keyed = stage(_keys(nodes, threshold), "keys")
+    open_keys, ids, followers = keyed, nodes.select("id"), keyed.where("looks")
+    edges, taken, led, before = [], [], [], None
+    while True:
+        sums = open_keys.groupBy("key").agg(F.sum(F.col("holds").cast("double")).alias("h"), F.sum(F.col("looks").cast("double")).alias("l"))
+        pairs, rows = sums.agg(F.sum(F.col("h") * F.col("l")), F.sum(F.col("h") + F.col("l"))).first()
+        if not pairs or pairs <= pairs_per_row * rows or (before and pairs > 0.9 * before):
+            break
+        before = pairs
+        best = open_keys.where("holds").groupBy("key").agg(F.min("rank").alias("best"))
+        beaten = open_keys.where("looks").join(best, "key").where("best < rank").select("id").distinct()
+        heads = stage(_without(ids, beaten), "heads")
+        followers = followers.join(heads, "id", "left_anti")
+        holders = keyed.join(heads, "id", "left_semi")
+        found = stage(_verified(_candidates(holders, followers, threshold), nodes, threshold), "edges")
+        new = stage(found.select(F.col("v").alias("id")).distinct().join(ids, "id", "left_semi"), "absorbed")
+        ids = stage(_without(_without(ids, heads), new), "open")
+        open_keys = stage(open_keys.join(ids, "id", "left_semi"), "keys")
+        edges.append(found)
+        taken.append(new)
+        led.append(heads)
+    among = stage(_verified(_candidates(open_keys, open_keys, threshold), nodes, threshold), "edges")
+    absorbed = _absorbed_in(among)
+    last = ids if absorbed is None else _without(ids, absorbed)
+    edges.append(among.join(last.withColumnRenamed("id", "u"), "u", "left_semi"))
+    if taken:
+        # names that heads have absorbed may belong to a better-ranked leader found since
+        gone = followers.join(reduce(DataFrame.unionByName, taken), "id", "left_semi")
+        edges.append(_verified(_candidates(keyed.join(last, "id", "left_semi"), gone, threshold), nodes, threshold))
+    names = nodes.select(F.col("id").alias("u"), F.col("name").alias("leader"), "rank")
+    owners = reduce(DataFrame.unionByName, edges).join(names, "u").groupBy(F.col("v").alias("id")).agg(
+        F.min_by("leader", "rank").alias("leader")
+    )
+    return nodes.select("id", "name").join(owners, "id", "left").select("name", F.coalesce("leader", "name").alias("leader"))
 
 
 def consolidate_votes(votes: DataFrame, threshold=0.85, name_votes=None) -> DataFrame:

@@ -170,13 +170,29 @@ def greedy(votes, threshold=0.85):
     return owner
 
 
-def test_leaders_equal_greedy(spark):
+@pytest.mark.parametrize("pairs_per_row", [0, 32])
+def test_leaders_equal_greedy(spark, pairs_per_row):
     rng = random.Random(6)
     values = names(rng, 90) + ["abc", "abcd", "ab", "xbcd", "motion picture drama", "motion pictures drama"]
     votes = {v: rng.randint(1, 4) for v in values}
     frame = spark.createDataFrame(list(votes.items()), "name string, votes bigint")
+    got = {r.name: r.leader for r in C.leaders(frame, pairs_per_row=pairs_per_row).collect()}
+    assert got == greedy(votes)
+
+
+def test_leaders_of_a_large_group_of_copies(spark, monkeypatch):
+    """Thousands of near copies meet leaders, not each other."""
+    rng = random.Random(7)
+    serial = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    values = {f"Best Performance in a Motion Picture or Series {serial()}" for _ in range(4000)}
+    values |= {f"Best Song {serial()}" for _ in range(40)} | {"Best Performance in a Motion Picture or Series"}
+    votes = {v: rng.randint(1, 3) for v in values}
+    looked_at, plain = [], C._verified
+    monkeypatch.setattr(C, "_verified", lambda pairs, *rest: (looked_at.append(pairs.count()), plain(pairs, *rest))[1])
+    frame = spark.createDataFrame(list(votes.items()), "name string, votes bigint")
     got = {r.name: r.leader for r in C.leaders(frame).collect()}
     assert got == greedy(votes)
+    assert sum(looked_at) < 20 * len(values)
 
 
 def test_golden_consolidation(spark):
