@@ -80,12 +80,16 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
-def loose_pattern(name: Column, stop_words=None) -> Column:
-    """A regex that finds the name's main words with any blanks between them."""
+def loose_words(name: Column, stop_words=None) -> Column:
+    """The name's main words, lower-cased, in order."""
     stop = K.PATTERN_STOP_WORDS if stop_words is None else stop_words
     parts = words(F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}_\s]", " "))
-    kept = F.filter(parts, lambda w: ~w.isin(list(stop)))
-    return F.concat(F.lit(r"\b"), F.array_join(kept, r"\s*"), F.lit(r"\b"))
+    return F.filter(parts, lambda w: ~w.isin(list(stop)))
+
+
+def loose_pattern(name: Column, stop_words=None) -> Column:
+    """A regex that finds the name's main words with any blanks between them."""
+    return F.concat(F.lit(r"\b"), F.array_join(loose_words(name, stop_words), r"\s*"), F.lit(r"\b"))
 
 
 def sentences(text: Column) -> Column:

@@ -139,6 +139,7 @@ def consolidate_votes(votes: DataFrame, threshold=0.85, name_votes=None) -> Data
     ``name_votes`` ranks awards of equal length, ``(name, votes)``; by default each award
     has one vote, and a merged award has as many votes as names went into it.
     """
+    votes = stage(votes, "votes")  # read twice
     if name_votes is None:
         name_votes = votes.select(F.col("award").alias("name")).distinct().withColumn(
             "votes", F.lit(1)
@@ -153,6 +154,7 @@ def consolidate_votes(votes: DataFrame, threshold=0.85, name_votes=None) -> Data
 
 def merged_votes(name_votes: DataFrame, threshold=0.85) -> DataFrame:
     """Rows ``(name, votes)`` of the awards that remain, votes summed."""
+    name_votes = stage(name_votes, "votes")  # read twice
     owner = leaders(name_votes, threshold)
     return (
         name_votes.join(owner, "name")

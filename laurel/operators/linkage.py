@@ -345,25 +345,66 @@ def award_nominees_by_name(posts: DataFrame, names: DataFrame, words=tuple(K.NOM
 # --- patterns and people ------------------------------------------------------------------
 
 
-def pattern_mentions(posts: DataFrame, names: DataFrame, ignore_case=False, chunk=256) -> DataFrame:
+def pattern_keys(names: DataFrame) -> DataFrame:
+    """Rows ``(award, pattern, key)``: a text that the loose pattern fits has one of the keys as a word.
+
+    The words of a pattern may stand apart or run together, so a chosen word of it lies in a
+    text's word that is a run of the pattern's words around it.  Chosen is the word that the
+    fewest patterns have, the longest of those; the keys are all runs that hold it.
+    """
+    listed = names.select(
+        "award", T.loose_pattern(F.col("award")).alias("pattern"), T.loose_words(F.col("award")).alias("w")
+    ).where(F.size("w") > 0).distinct()
+    each = listed.select("award", F.posexplode("w").alias("i", "word"))
+    frequency = each.groupBy("word").agg(F.count("*").alias("f"))
+    chosen = each.join(frequency, "word").groupBy("award").agg(
+        F.min(F.struct("f", -F.length("word"), "word", "i")).alias("m")
+    ).select("award", F.col("m.i").alias("i"))
+    run = lambda first, last: F.array_join(F.slice("w", first + 1, last - first + 1), "")
+    runs = F.flatten(F.transform(
+        F.sequence(F.lit(0), F.col("i")),
+        lambda first: F.transform(F.sequence(F.col("i"), F.size("w") - 1), lambda last: run(first, last)),
+    ))
+    return listed.join(chosen, "award").select("award", "pattern", F.explode(F.array_distinct(runs)).alias("key"))
+
+
+def _between_borders(word):
+    """A word cut where the regex engine sees a word border inside it, as beside a fraction sign."""
+    return F.filter(F.split(word, r"\b"), lambda p: p != "")
+
+
+def _pattern_words(text, most):
+    """Words of a text, and of words with borders inside all runs of up to ``most`` parts."""
+    words = F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    cut = F.filter(F.transform(words, _between_borders), lambda p: F.size(p) > 1)
+    runs = lambda p: F.flatten(F.transform(
+        F.sequence(F.lit(1), F.size(p)),
+        lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(most, F.size(p) - i + 1)), lambda n: F.array_join(F.slice(p, i, n), "")
+        ),
+    ))
+    return F.array_distinct(F.concat(words, F.flatten(F.transform(cut, runs))))
+
+
+def pattern_mentions(posts: DataFrame, names: DataFrame, ignore_case=False) -> DataFrame:
     """Rows ``(award, post_id, pos)``: the loose pattern of the award occurs in the post.
 
-    The canonical list becomes literal patterns, compiled once per task, ``chunk`` at a
-    time; a longer list means more passes over the posts.
+    Words of the posts meet the patterns' keys in one scan, however many patterns there are;
+    texts join back where one was found, and the regex itself decides.  An award that is
+    listed twice counts once; one without main words is never found.
     """
-    patterns = names.select("award", T.loose_pattern(F.col("award")).alias("pattern")).where(
-        F.col("pattern") != r"\b\b"
+    keys = stage(pattern_keys(names), "patterns")
+    text = F.lower("text") if ignore_case else F.col("text")
+    most = keys.agg(F.coalesce(F.max(F.size(_between_borders(F.col("key")))), F.lit(1))).scalar()
+    texts = posts.select("post_id", F.explode(F.array(text)).alias("t"), most.alias("most"))
+    words = texts.select("post_id", F.explode(_pattern_words(F.col("t"), F.col("most"))).alias("key"))
+    found = words.join(keys.select("key", "award"), "key").select("post_id", "award").distinct()
+    pattern = F.concat(F.lit("(?i)" if ignore_case else ""), "pattern")
+    return (
+        posts.select("post_id", "pos", "text").join(found, "post_id")
+        .join(keys.select("award", "pattern").distinct(), "award")
+        .where(F.rlike("text", pattern)).select("award", "post_id", "pos")
     )
-    numbered = patterns.withColumn("i", F.row_number().over(Window.orderBy("award")) - 1)
-    total = patterns.count()
-    flag = "(?i)" if ignore_case else ""
-    passes = []
-    for start in range(0, max(total, 1), chunk):
-        part = numbered.where(F.col("i").between(start, start + chunk - 1)).collect()
-        hits = [F.when(F.col("text").rlike(flag + r.pattern), F.lit(r.award)) for r in part]
-        found = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-        passes.append(posts.select(F.explode(found).alias("award"), "post_id", "pos"))
-    return reduce(DataFrame.unionByName, passes)
 
 
 def known_people(named: DataFrame, people: DataFrame, pattern="born") -> DataFrame:

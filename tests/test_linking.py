@@ -306,3 +306,22 @@ def test_fuzzy_pairs_are_mutual_bests(spark):
             assert (norm(row.target) if row.target else None) == best, (award, p)
         final = [found[award, p].target or p for p in predicted[award]]
         assert abs(done[award] - complete(final, answers)) < 1e-9
+
+
+# --- loose patterns -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("ignore_case", [False, True])
+def test_pattern_mentions(spark, ignore_case):
+    rng = random.Random(9)
+    parts = ["best", "actor", "in", "a", "drama", "été", "série", "x_1", "½", "Best", "ACTOR", "-", "!", "2013"]
+    awards = sorted({" ".join(rng.choices(parts, k=rng.randint(1, 5))) for _ in range(60)}) + ["in a", "", None]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", " ", "", "\t", "  "]) for _ in range(8)) for _ in range(300)]
+    posts = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts + [None, ""])], "post_id int, pos int, text string")
+    names_ = column(spark, awards, "award")
+    plain = names_.distinct().select("award", L.T.loose_pattern(F.col("award")).alias("p")).where(F.col("p") != r"\b\b")
+    flag = "(?i)" if ignore_case else ""
+    every = posts.crossJoin(plain).where(F.rlike("text", F.concat(F.lit(flag), "p")))
+    expected = {(r.award, r.post_id, r.pos) for r in every.collect()}
+    got = [(r.award, r.post_id, r.pos) for r in L.pattern_mentions(posts, names_, ignore_case).collect()]
+    assert len(expected) > 50 and sorted(got) == sorted(expected)
