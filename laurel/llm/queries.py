@@ -130,7 +130,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 
 @query("op9_digest_index", OP9_SQL)
 def op9_digest_index(spark, sf_dir):
-    return digest_index.DigestIndex(spark).add(table(spark, sf_dir, "documents"))
+    index = digest_index.DigestIndex(spark)
+    decided = index.add(table(spark, sf_dir, "documents"))
+    index.close()
+    return decided
 
 
 def _level_sql(source, out, parent, name, weight):

@@ -81,6 +81,43 @@ def test_later_batches_meet_the_index(spark):
     assert digest_index.exact_dedup(frame(spark, [(5, "c"), (6, "new"), (6, "new")]), again).count() == 1
 
 
+def test_the_index_outlives_its_session(spark):
+    """A later session has another catalog and other settings; the files are the index."""
+    first = digest_index.DigestIndex(spark, buckets=4)
+    first.add(frame(spark, [(10, "same text"), (11, "c")])).collect()
+    first.close()
+    assert not spark.catalog.tableExists(first.name)
+    later = spark.newSession()
+    later.conf.set("spark.sql.shuffle.partitions", "3")
+    index = digest_index.DigestIndex(later, first.name)
+    assert (index.buckets, index.batches) == (4, 1)
+    got = {r.doc_id: r for r in index.add(frame(later, [(1, "same  text"), (2, "d")])).collect()}
+    assert (got[1].keep_id, got[1].kept, got[2].kept) == (10, False, True)
+    assert sorted(r.batch for r in index.table().collect()) == [1, 1, 2]
+    with pytest.raises(ValueError):
+        digest_index.DigestIndex(later, first.name, buckets=8)
+
+
+def test_a_failed_batch_is_added_again(spark):
+    index = digest_index.DigestIndex(spark, buckets=4)
+    index.add(frame(spark, [(10, "a")])).collect()
+    batch = [(1, "a"), (2, "b"), (3, "b"), (4, "c")]
+    # the first try writes a part of its digests and dies
+    index._register(frame(spark, batch[:2]).select("doc_id", digest_index.text_digest(F.col("text")).alias("digest")), 2)
+    again = digest_index.DigestIndex(spark, index.name)
+    got = {r.doc_id: (r.keep_id, r.kept) for r in again.add(frame(spark, batch), batch=2).collect()}
+    assert got == {1: (10, False), 2: (2, True), 3: (2, False), 4: (4, True)}
+    assert again.table().count() == 3
+    kept = digest_index.exact_dedup(frame(spark, batch), again, batch=2)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 4]
+
+
+def test_no_table_is_left_in_the_catalog(spark, odd):
+    before = {t.name for t in spark.catalog.listTables()}
+    kept = digest_index.exact_dedup(odd)
+    assert kept.count() > 0 and {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_exact_dedup_keeps_one_row_and_all_columns(odd):
     kept = digest_index.exact_dedup(odd)
     assert kept.columns == odd.columns
