@@ -38,7 +38,8 @@ def counted_terms(texts: DataFrame) -> DataFrame:
 def _term_weights(targets: DataFrame, keys: DataFrame, products: int) -> DataFrame:
     """All terms with ``idf``, how many texts of each side hold them, and into how many ``splits`` they go."""
     total = targets.select("id").unionAll(keys.select("id")).agg(F.count("*")).scalar()
-    frequency = lambda texts, name: counted_terms(texts).groupBy("term").agg(F.count("*").alias(name))
+    terms_of = lambda texts: texts.select(F.explode(F.array_distinct(M.tfidf_terms(F.col("text")))).alias("term"))
+    frequency = lambda texts, name: terms_of(texts).groupBy("term").agg(F.count("*").alias(name))
     none = F.lit(0)
     return (
         frequency(keys, "kdf").join(frequency(targets, "tdf"), "term", "full")
