@@ -9,6 +9,7 @@ content or its surroundings gives the labels, and surroundings of many kinds are
 the sampled pages, so that the model knows them where the pages at hand have few.
 """
 
+import collections
 import functools
 import html
 import re
@@ -26,16 +27,14 @@ MOST_PAGES = 192
 LONG = 100_000  # characters of a page that is read by a task, and what the driver gets of it to learn from
 SOME_BLOCKS, SOME_TEXT = 300, 500
 PATH, WORDS, MEASURES, UNITS = 256, 64, 6, 16
-EPOCHS, GROUP, RATE = 8, 16, 0.02
+VARIANTS, EPOCHS, GROUP, RATE = 4, 8, 16, 0.02
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<svg\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*/>"  # holds nothing
-    r"|<(?P<raw>script|style|noscript|template|title|svg|iframe|object|canvas|textarea|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",
-    re.DOTALL | re.IGNORECASE,
+    re.DOTALL,
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 # Elements of HTML that stand in a line of text, and those that hold nothing.
@@ -48,12 +47,21 @@ INLINE = set(
     "semantics".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+# Elements whose content is no text of the page; without an end tag only the first two run to the end of the page.
+RAW = "script style title textarea iframe template svg".split()
+END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
+# Elements that show their content where they can't show something else: they leave no step in a path.
+CLEAR = set("object canvas audio video".split())
+# An open element that ends where one of these starts.
+ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+IN_SELECT = {"option", "optgroup"}
 # What marks surroundings for the labels of the sample.
-AROUND_TAGS = set("nav header footer aside form menu dialog button fieldset".split())
+AROUND_TAGS = set("nav header footer aside form menu dialog button fieldset select noscript".split())
 AROUND_NAMES = re.compile(
     r"(?:^|[-_ ])(?:ad|ads|advert\w*|sponsor\w*|banner|cookie\w*|consent|notice|alert|sidebar|menu|nav\w*|comment\w*|disqus|repl(?:y|ies)|promo"
     r"|share|social|related|newsletter|subscribe|popup|modal|breadcrumbs?|footer|header|masthead|login|signup|widget)(?:$|[-_ ])"
 )
+ADVERT_NAMES = re.compile(r"(?:^|[-_ ])(?:ad|ads|advert\w*|sponsor\w*|promo)(?:$|[-_ ])")  # also inside a line of text
 # Surroundings that are worked into sampled pages: steps below the body, or below the article.
 ASIDE_PATHS = [
     "header p", "header h2", "header.site-header div", "nav.menu li a", "aside p", "aside.sidebar li", "div.sidebar p",
@@ -61,41 +69,113 @@ ASIDE_PATHS = [
     "form p", "div.newsletter form p", "div.comments p", "section.comments div.comment p", "ul.breadcrumb li",
     "footer p", "footer li a", "div.footer p", "div.popup p", "div.social a", "div.share li", "div.login form",
 ]
-INNER_PATHS = ["aside p", "div.ad", "div.comments p", "form label", "div.related li a", "footer p", "div.share", "nav li a"]
-CONTENT_PATHS = ["article", "main", "main article", "div.content", "div.post", "section.entry", "div.article-body", "main div"]
+INNER_PATHS = ["aside p", "div.ad", "div.comments p", "form label", "div.related li a", "footer p", "div.share", "nav li a",
+    "p button", "p span.ad", "p select option", "noscript p",
+]
+CONTENT_PATHS = [
+    "article", "main", "main article", "div.content", "div.post", "section.entry", "div.article-body", "main div",
+    "div", "div.container div.text", "div.story", "table tr td", "div.wrapper section",
+]
+# What an article holds: steps below it.
+TEXT_PATHS = [
+    "p", "p", "h1", "h2", "h3", "h4", "ul li", "ol li", "ul li p", "ul li ul li", "dl dt", "dl dd", "blockquote", "blockquote p",
+    "pre", "table tr td", "table tbody tr td", "table thead tr th", "figure figcaption", "div", "div p", "section p",
+    "section h2", "section div p", "header h1", "div ul li", "details p", "address",
+]
+
+
+class Node:
+    """An element and all above it: its step, the hashed steps of the path as bits, and what they mark."""
+
+    __slots__ = ("step", "parent", "bits", "around", "inside")
+
+    def __init__(self, step, parent, bits, around, inside):
+        self.step, self.parent, self.bits, self.around, self.inside = step, parent, bits, around, inside
+
+    def below(self, step: str) -> "Node":
+        bits, tag, named, inside = marks_of(step)
+        # the header of an article is part of it, one of the page is not
+        around = named or tag in AROUND_TAGS and not (tag == "header" and self.inside)
+        return Node(step, self, self.bits | bits, self.around or around, self.inside or inside)
+
+    def path(self) -> tuple[str, ...]:
+        steps, node = [], self
+        while node.parent is not None:
+            steps.append(node.step)
+            node = node.parent
+        return tuple(reversed(steps))
+
+
+TOP = Node("", None, 0, False, False)
+
+
+def node_of(path) -> Node:
+    return functools.reduce(Node.below, path, TOP)
 
 
 class Block:
-    __slots__ = ("path", "text", "linked")
+    __slots__ = ("node", "text", "linked")
 
-    def __init__(self, path, text, linked):
-        self.path, self.text, self.linked = path, text, linked
+    def __init__(self, node, text, linked):
+        self.node, self.text, self.linked = node, text, linked
+
+    @property
+    def path(self):
+        return self.node.path()
 
 
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks with text, in order.  A run of text and inline elements is one block.
 
     Unclosed elements end with the one around them, a paragraph with the next; end tags
-    without a start are ignored.  ``br`` is white space.
+    without a start are ignored.  ``br`` is white space.  A button, a choice or an inline
+    element named as an advert is a block of its own, and the text around it stays one block.
+    The time grows with the length of the page, however deep it nests.
     """
+    page = page or ""
     found: list[Block] = []
-    stack: list[str] = []
+    stack: list[tuple[str, Node]] = []
+    opened: collections.Counter = collections.Counter()
+    endless: set[str] = set()
     parts: list[str] = []
-    linked = links = 0
+    linked = 0
+    around = None  # while in a marked inline element: the stack's height, and the text before it
 
-    def close():
+    def emit():
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            outer = [s for s in stack if s.split(".", 1)[0] not in INLINE or s.startswith("a")]
-            found.append(Block(tuple(outer), text, min(linked / len(text), 1.0)))
+            found.append(Block(stack[-1][1] if stack else TOP, text, min(linked / len(text), 1.0)))
         parts.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page or ""):
+    def close():
+        nonlocal parts, linked, around
+        if around is not None:
+            height, before, were = around
+            rest = "".join(before)
+            if rest.strip():
+                text = " ".join(html.unescape(rest).split())
+                if text:
+                    found.append(Block(stack[height - 1][1] if height else TOP, text, min(were / len(text), 1.0)))
+            around = (height, [], 0)
+        emit()
+
+    def pop():
+        nonlocal parts, linked, around
+        if around is not None and len(stack) == around[0] + 1:
+            emit()
+            _, parts, linked = around
+            around = None
+        opened[stack.pop()[0]] -= 1
+
+    at = 0
+    while at < len(page):
+        m = TOKEN.match(page, at)
+        at = m.end()
         if m["text"] is not None:
             parts.append(m["text"])
-            if links:
+            if opened["a"]:
                 linked += len(m["text"].strip())
             continue
         if m["tag"] is None:
@@ -104,24 +184,60 @@ def blocks(page: str | None) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag not in INLINE:
+        empty = tag in VOID or m["more"].rstrip().endswith("/")
+        if tag in END and not m["end"]:
+            over = None if empty or tag in endless else END[tag].search(page, at)
+            if over:
+                at = over.end()
+            elif not empty:
+                endless.add(tag)
+                if tag in ("script", "style"):
+                    break
+            continue
+        names = "" if m["end"] else " ".join(next(filter(None, g), "") for g in NAMED.findall(m["more"])).lower()
+        lifted = tag in ("button", "select") or (tag in INLINE and bool(ADVERT_NAMES.search(names)))
+        inline = tag in INLINE or tag in ("select", "option", "optgroup")
+        if not inline:
             close()
         if m["end"]:
-            tags = [s.split(".", 1)[0] for s in stack]
-            if tag in tags:
-                del stack[len(tags) - 1 - tags[::-1].index(tag) :]
-        elif tag not in VOID and not m["more"].rstrip().endswith("/"):
-            if tag not in INLINE and any(s.split(".", 1)[0] == "p" for s in stack):
-                del stack[next(i for i, s in enumerate(stack) if s.split(".", 1)[0] == "p") :]
-            if tag == "li" and stack and stack[-1].split(".", 1)[0] == "li":
-                stack.pop()
-            names = " ".join(next(filter(None, g), "") for g in NAMED.findall(m["more"])).lower()
-            stack.append(f"{tag}.{'.'.join(names.split())}" if names else tag)
-        links = any(s == "a" or s.startswith("a.") for s in stack)
-    close()
+            if opened[tag]:
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
+        elif not empty:
+            if not inline:
+                while opened["p"] or opened["select"]:
+                    pop()
+            if tag in ENDED_BY and stack and stack[-1][0] in ENDED_BY[tag]:
+                pop()
+            if lifted and around is None:
+                around = (len(stack), parts, linked)
+                parts, linked = [], 0
+            elif tag in IN_SELECT:
+                parts.append(" ")
+            node = stack[-1][1] if stack else TOP
+            if tag not in CLEAR and (not inline or lifted or tag == "a"):
+                node = node.below(f"{tag}.{'.'.join(names.split())}" if names else tag)
+            opened[tag] += 1
+            stack.append((tag, node))
+    while stack:
+        close()
+        pop()
+    emit()
     return found
 
 
+@functools.lru_cache(100_000)
+def marks_of(step: str) -> tuple[int, str, bool, bool]:
+    """Hashed parts of a step as bits, its tag, whether its names mark surroundings, whether it is an article."""
+    tag, _, names = step.partition(".")
+    bits = 0
+    for name in {tag, *step.split(".")[1:]}:
+        for part in {name, *re.split(r"[-_]", name)}:
+            bits |= 1 << slot("p:" + part, PATH)
+    return bits, tag, bool(AROUND_NAMES.search(names.replace(".", " "))), tag in ("article", "main")
+
+
 @functools.lru_cache(100_000)
 def slot(word: str, slots: int) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % slots
@@ -130,13 +246,11 @@ def slot(word: str, slots: int) -> int:
 def features(page: list[Block]) -> np.ndarray:
     """A row for each block."""
     out = np.zeros((len(page), PATH + WORDS + MEASURES), np.float32)
+    bits = np.frombuffer(b"".join(b.node.bits.to_bytes(PATH // 8, "little") for b in page), np.uint8)
+    out[:, :PATH] = np.unpackbits(bits, bitorder="little").reshape(len(page), PATH)
     for i, b in enumerate(page):
-        for step in set(b.path):
-            for name in {step.split(".", 1)[0], *step.split(".")[1:]}:
-                for part in {name, *re.split(r"[-_]", name)}:
-                    out[i, slot("p:" + part, PATH)] = 1
-        if b.path:
-            out[i, slot("last:" + b.path[-1], PATH)] = 1
+        if b.node.step:
+            out[i, slot("last:" + b.node.step, PATH)] = 1
         words = b.text.lower().split()
         out[i, PATH : PATH + WORDS] = np.bincount([slot(w, WORDS) for w in words], minlength=WORDS) / len(words)
         end = b.text[-1] in ".!?…\"'”)"
@@ -148,23 +262,32 @@ def features(page: list[Block]) -> np.ndarray:
 
 def plain_label(path: tuple[str, ...], page_has_content: bool) -> int:
     """1 for content, as the structure around a block says."""
-    for step in path:
-        tag, _, names = step.partition(".")
-        if tag in AROUND_TAGS or AROUND_NAMES.search(names.replace(".", " ")):
-            return 0
-    inside = any(s.split(".", 1)[0] in ("article", "main") for s in path)
-    return int(inside or not page_has_content)
+    return label_of(node_of(path), page_has_content)
+
+
+def label_of(node: Node, page_has_content: bool) -> int:
+    return int(not node.around and (node.inside or not page_has_content))
+
+
+def deeper(rng) -> tuple[str, ...]:
+    """Steps as articles and their surroundings hold them, nested up to four times, some under names that say nothing."""
+    steps: list[str] = []
+    for _ in range(rng.integers(1, 5) if rng.random() < 0.3 else 1):
+        if rng.random() < 0.2:
+            steps.append(f"div.n{rng.integers(10_000)}")
+        steps += TEXT_PATHS[rng.integers(len(TEXT_PATHS))].split()
+    return tuple(steps)
 
 
 def sample_sequences(pages: list[list[Block]], rng) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each page as it is, and twice with other surroundings and an article of another length."""
+    """Each page as it is, and ``VARIANTS`` times with other surroundings and an article of another length and structure."""
     out = []
     spare = [b.text for p in pages for b in p] or ["text"]
     for page in pages:
-        has = any(s.split(".", 1)[0] in ("article", "main") for b in page for s in b.path)
-        labels = [plain_label(b.path, has) for b in page]
+        has = any(b.node.inside for b in page)
+        labels = [label_of(b.node, has) for b in page]
         out.append((page, labels))
-        for _ in range(2):
+        for _ in range(VARIANTS):
             base = ("html", "body")
             home = base + tuple(CONTENT_PATHS[rng.integers(len(CONTENT_PATHS))].split())
             mixed, marks = [], []
@@ -172,21 +295,28 @@ def sample_sequences(pages: list[list[Block]], rng) -> list[tuple[np.ndarray, np
             def add(paths, under, times, mixed=mixed, marks=marks):
                 for _ in range(times):
                     path = under + tuple(paths[rng.integers(len(paths))].split())
+                    if rng.random() < 0.5:
+                        path += deeper(rng)
                     for _ in range(1 + rng.integers(3)):
                         text = spare[rng.integers(len(spare))]
                         text = text if rng.random() < 0.3 else " ".join(text.split()[: 1 + rng.integers(12)])
-                        mixed.append(Block(path, text, float(path[-1] == "a")))
+                        mixed.append(Block(node_of(path), text, float(path[-1] == "a")))
                         marks.append(0)
 
             add(ASIDE_PATHS, base, rng.integers(4))
             own = [i for i, label in enumerate(labels) if label]
             order = list(range(len(page)))
+            keep = rng.random(2) < 0.5  # many pages begin or end with the article
             if own:  # the article's blocks, some left out or said again
                 drawn = np.sort(rng.choice(own, int(np.exp(rng.uniform(0, np.log(120))))))
-                order = [*range(own[0]), *drawn.tolist(), *range(own[-1] + 1, len(page))]
+                before, after = range(own[0]), range(own[-1] + 1, len(page))
+                order = [*(i for i in before if keep[0]), *drawn.tolist(), *(i for i in after if keep[1])]
             for b, label in ((page[i], labels[i]) for i in order):
                 if label:
-                    mixed.append(Block(home + (b.path[-1] if b.path else "p",), b.text, b.linked))
+                    kind = deeper(rng) if rng.random() < 0.6 else (b.node.step or "p",)
+                    kind = kind if home[-1] in ("article", "main") else tuple(k for k in kind if k != "header")
+                    text = b.text if rng.random() < 0.7 else " ".join(b.text.split()[: 1 + rng.integers(6)])
+                    mixed.append(Block(node_of(home + tuple(kind)), text, b.linked))
                 else:
                     mixed.append(b)
                 marks.append(label)
@@ -194,7 +324,13 @@ def sample_sequences(pages: list[list[Block]], rng) -> list[tuple[np.ndarray, np
                     add(INNER_PATHS, home, 1)
             add(ASIDE_PATHS, base, rng.integers(4))
             out.append((mixed, marks))
-    return [(features(p), np.array(m, np.float32)) for p, m in out if p]
+    return [(without_some_words(features(p), rng), np.array(m, np.float32)) for p, m in out if p]
+
+
+def without_some_words(rows: np.ndarray, rng) -> np.ndarray:
+    """Words and measures of half the blocks are blanked, so that the model doesn't learn the sample's texts by heart."""
+    rows[:, PATH:] *= rng.random((len(rows), 1)) < 0.5
+    return rows
 
 
 class Lstm:
@@ -335,15 +471,22 @@ def long_pages(rows: DataFrame, most: int) -> list[list[Block]]:
                 at = np.unique(np.linspace(0, len(found) - 1, SOME_BLOCKS).astype(int)) if found else []
                 some = [found[i] for i in at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([place]), pa.array([[list(b.path) for b in some]], pa.list_(pa.list_(pa.string()))),
+                    [pa.array([place]), pa.array([[b.node.step for b in some]], pa.list_(pa.string())),
+                     pa.array([[b.node.bits.to_bytes(PATH // 8, "little") for b in some]], pa.list_(pa.binary())),
+                     pa.array([[b.node.around for b in some]], pa.list_(pa.bool_())),
+                     pa.array([[b.node.inside for b in some]], pa.list_(pa.bool_())),
                      pa.array([[b.text[:SOME_TEXT] for b in some]], pa.list_(pa.string())),
-                     pa.array([[float(b.linked) for b in some]], pa.list_(pa.float64()))], ["place", "paths", "texts", "linked"],
+                     pa.array([[float(b.linked) for b in some]], pa.list_(pa.float64()))], ["place", "steps", "bits", "around", "inside", "texts", "linked"],
                 )
 
-    shape = "place long, paths array<array<string>>, texts array<string>, linked array<double>"
+    shape = "place long, steps array<string>, bits array<binary>, around array<boolean>, inside array<boolean>, texts array<string>, linked array<double>"
     found = rows.where(F.col("place").isin(picked)).select("place", "html").mapInArrow(read, shape)
     pages = [r for r in found.dropDuplicates(["place"]).orderBy("place").collect() if r.texts]
-    return [[Block(tuple(p), t, x) for p, t, x in zip(r.paths, r.texts, r.linked)] for r in pages]
+    return [
+        [Block(Node(s, TOP, int.from_bytes(b, "little"), a, i), t, x)
+         for s, b, a, i, t, x in zip(r.steps, r.bits, r.around, r.inside, r.texts, r.linked)]
+        for r in pages
+    ]
 
 
 def extract(pages: DataFrame, model: Lstm) -> DataFrame:
