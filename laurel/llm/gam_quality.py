@@ -60,10 +60,16 @@ class Gam:
         out = np.full(len(x), self.start)
         for i, t in enumerate(self.tables):
             out += t[bins[:, i]]
+        coarse = self.coarse(bins)
         for i, j, t in self.pairs:
-            out += t[bins[:, i] * PAIR_BINS // BINS, bins[:, j] * PAIR_BINS // BINS]
+            out += t[coarse[:, i], coarse[:, j]]
         return out
 
+    def coarse(self, bins: np.ndarray) -> np.ndarray:
+        """Bins of the pair tables; a feature with few bins of its own keeps them all."""
+        own = np.array([len(e) + 1 for e in self.edges])
+        return np.where(own > PAIR_BINS, bins * PAIR_BINS // own, bins)
+
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.raw(x), -30, 30)))
 
@@ -137,7 +143,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Gam:
             step = RATE * shallow_tree(g, h)
             gam.tables[i] += step
             raw += step[bins[:, i]]
-    coarse = bins * PAIR_BINS // BINS
+    coarse = gam.coarse(bins)
     g, h = slopes()
 
     def sums(i, j, g, h):
