@@ -14,6 +14,7 @@ from laurel.session import stage
 
 PAIRS_PER_ROW = 32  # candidate pairs a key row, beyond which heads go first
 CONTAINS, SIMILAR = 0, 1
+TAKERS = 1024  # awards of one person under one pair of words that a task compares
 
 
 def _ranked(nodes: DataFrame) -> DataFrame:
@@ -170,30 +171,42 @@ def move_subset_votes(votes: DataFrame) -> DataFrame:
     whose words are a strict superset.  Among several it takes one that gives nothing
     itself, with the fewest award votes, then by name.  Counts add up.
 
-    A superset holds the giver's rarest word, so each giver looks under one word only.
+    A superset holds the giver's two rarest words, so each giver looks under that pair only.
+    The pairs that an award holds are found once an award, not once a vote.  Where a person
+    has many awards under one pair, those that may take are dealt into parts.
     """
+    votes = stage(votes, "votes")  # read three times
     award_votes = votes.groupBy("award").agg(F.sum("n").alias("votes"))
-    tokens = award_votes.select(
-        "award", "votes", F.array_sort(F.array_distinct(F.split("award", r"\s+"))).alias("words")
+    tokens = stage(
+        award_votes.select("award", "votes", F.array_sort(F.array_distinct(F.split("award", r"\s+"))).alias("words")), "words"
     )
-    frequency = tokens.select(F.explode("words").alias("word")).groupBy("word").agg(
-        F.count("*").alias("f")
+    listed = tokens.select("award", F.explode("words").alias("word"))
+    frequency = listed.groupBy("word").agg(F.count("*").alias("f"))
+    rare = F.slice(F.array_sort(F.collect_list(F.struct("f", "word"))), 1, 2)  # of the words of one award
+    anchors = listed.join(frequency, "word").groupBy("award").agg(rare.alias("rare")).select(
+        "award", F.col("rare")[0]["word"].alias("first"), F.element_at("rare", -1)["word"].alias("second")
     )
-    rare = (
-        tokens.select("award", F.explode("words").alias("word"))
-        .join(frequency, "word")
-        .groupBy("award")
-        .agg(F.min(F.struct("f", "word")).alias("m"))
-        .select("award", F.col("m.word").alias("word"))
+    anchors = stage(anchors, "anchors")
+    held = (
+        tokens.select("award", "words", F.explode("words").alias("first"))
+        .join(anchors.select("first", "second").distinct(), "first")
+        .where(F.array_contains("words", F.col("second")))
+        .select("award", "first", "second")
     )
-    rows = votes.join(tokens, "award").select("award", "role", "name", "votes", "words")
-    givers = rows.join(rare, "award").alias("a")
-    takers = rows.select("*", F.explode("words").alias("word")).alias("b")
-    pairs = givers.join(
-        takers,
-        (F.col("a.word") == F.col("b.word"))
-        & (F.col("a.role") == F.col("b.role"))
-        & (F.col("a.name") == F.col("b.name"))
+    rows = votes.select("award", "role", "name").distinct().join(tokens, "award")
+    keys = ["first", "second", "role", "name"]
+    takers = stage(rows.join(held, "award"), "takers")
+    crowds = takers.groupBy(keys).agg(F.ceil(F.count("*") / TAKERS).cast("int").alias("parts")).where("parts > 1")
+    whole = F.coalesce("parts", F.lit(1))
+    takers = takers.join(crowds, keys, "left").withColumn("part", F.pmod(F.xxhash64("award"), whole).cast("int"))
+    givers = rows.join(anchors, "award").join(crowds, keys, "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), whole - 1))
+    )
+    a, b = givers.alias("a"), takers.alias("b")
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "part"]]
+    pairs = a.join(
+        b,
+        reduce(lambda x, y: x & y, same)
         & (F.size("a.words") < F.size("b.words"))
         & (F.size(F.array_except("a.words", "b.words")) == 0),
     ).select(
@@ -203,6 +216,7 @@ def move_subset_votes(votes: DataFrame) -> DataFrame:
         F.col("b.award").alias("to_award"),
         F.col("b.votes").alias("to_votes"),
     )
+    pairs = stage(pairs, "subsets")  # read twice
     giving = pairs.select(F.col("award").alias("to_award"), "role", "name").distinct()
     moves = (
         pairs.join(giving, ["to_award", "role", "name"], "left_anti")

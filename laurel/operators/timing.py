@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from laurel.functions import predicates as P
 from laurel.functions import spans as S
+from laurel.session import stage
+
+WINDOWS = 1024  # windows of one bucket that a task compares with the posts there
 
 
 def position_stats(found: DataFrame, awards: DataFrame = None, half_width=50) -> DataFrame:
@@ -43,21 +46,31 @@ def posts_in_windows(posts: DataFrame, stats: DataFrame, half_width=50) -> DataF
     """Posts strictly inside the whole-numbered window of each award.
 
     Range join as an equi-join: a window touches at most three buckets of its own width,
-    and positions are unique, so a bucket of posts holds at most that many rows.
+    and positions are unique, so a bucket of posts holds at most that many rows.  Where many
+    windows lie on one place, they are dealt into parts, and the few posts there go to each.
     """
     width = 2 * half_width
     bounds = stats.where(F.col("mean").isNotNull()).select(
         "award", F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi")
     )
     windows = bounds.withColumn(
-        "bucket",
+        "_bucket",
         F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))),
     )
+    windows = stage(windows, "windows")  # read twice
+    parts = windows.groupBy("_bucket").agg(F.ceil(F.count("*") / WINDOWS).cast("int").alias("_parts"))
+    crowded = parts.where("_parts > 1")
+    windows = windows.join(crowded, "_bucket", "left").withColumn(
+        "_part", F.pmod(F.xxhash64("award"), F.coalesce("_parts", F.lit(1))).cast("int")
+    )
+    # buckets without windows end here, before anything is copied
+    near = posts.withColumn("_bucket", F.floor(F.col("pos") / width)).join(parts, "_bucket")
+    near = near.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     return (
-        posts.withColumn("bucket", F.floor(F.col("pos") / width))
-        .join(windows, "bucket")
+        near.drop("_parts")
+        .join(windows.drop("_parts"), ["_bucket", "_part"])
         .where((F.col("pos") > F.col("lo")) & (F.col("pos") < F.col("hi")))
-        .drop("bucket", "lo", "hi")
+        .drop("_bucket", "_part", "lo", "hi")
     )
 
 

@@ -3,6 +3,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from laurel import session
 from laurel.operators import evidence as E
 from laurel.operators import linkage as L
@@ -162,3 +164,17 @@ def test_stage_tables_are_dropped(spark):
     assert kept.count() == 5 and session.drop_stages(spark) == 1
     path = kept.inputFiles()
     assert path and not os.path.exists(path[0].replace("file://", ""))
+
+
+def test_many_windows_on_one_place(spark, monkeypatch):
+    monkeypatch.setattr(TI, "WINDOWS", 4)
+    means = {f"a{i}": 500.0 + i % 7 for i in range(90)} | {"far": 20.0, "low": 1.0, "none": None}
+    stats = spark.createDataFrame(
+        [(k, m, m and m - 5, m and m + 5) for k, m in means.items()], "award string, mean double, lo double, hi double"
+    )
+    posts = spark.range(1000).select(F.col("id").alias("pos"), F.lit("x").alias("bucket"))
+    got = TI.posts_in_windows(posts, stats, 5)
+    want = sorted((k, p) for k, m in means.items() if m is not None for p in range(1000) if int(m - 5) < p < int(m + 5))
+    assert sorted((r.award, r.pos) for r in got.collect()) == want
+    assert set(got.columns) == {"pos", "bucket", "award"}
+    assert TI.posts_in_windows(posts, stats.where("false"), 5).count() == 0

@@ -325,3 +325,26 @@ def test_pattern_mentions(spark, ignore_case):
     expected = {(r.award, r.post_id, r.pos) for r in every.collect()}
     got = [(r.award, r.post_id, r.pos) for r in L.pattern_mentions(posts, names_, ignore_case).collect()]
     assert len(expected) > 50 and sorted(got) == sorted(expected)
+
+
+@pytest.mark.parametrize("part", [3, 1024])
+def test_subset_votes_against_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(C, "TAKERS", part)
+    rng = random.Random(7)
+    awards = sorted({" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 6))) for _ in range(150)})
+    rows = [(a, "winner", "One Person", rng.randint(1, 9)) for a in awards]  # one person under all of them
+    rows += [(rng.choice(awards), rng.choice(["winner", "nominee"]), rng.choice(["A B", "C D"]), 1) for _ in range(60)]
+    rows += [(None, "winner", "A B", 2), ("", "winner", "A B", 1)]
+    held, total, votes = {}, Counter(), Counter()
+    for award, role, name, n in rows:
+        held.setdefault((role, name), set()).add(award)
+        total[award] += n
+    wider = {k: {a: [b for b in v if a is not None and b is not None and set(a.split(" ")) < set(b.split(" "))] for a in v} for k, v in held.items()}
+    for award, role, name, n in rows:
+        above = wider[role, name]
+        ends = [b for b in above[award] if not above[b]]
+        votes[min(ends, key=lambda b: (total[b], b)) if ends else award, role, name] += n
+    frame = spark.createDataFrame(rows, "award string, role string, name string, n long")
+    got = {(r.award, r.role, r.name): r.n for r in C.move_subset_votes(frame).collect()}
+    assert got == dict(votes)
+    assert C.move_subset_votes(frame.where("false")).count() == 0
