@@ -1,5 +1,7 @@
 """Cleaning, filters and accounts."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from laurel import constants as K
@@ -10,7 +12,9 @@ from laurel.functions import predicates as P
 from laurel.functions.spans import entity_spans
 from laurel.functions import text as T
 from laurel.operators import posts as O
-from laurel.sources.posts import first_posts
+from laurel.session import stage_dir
+from laurel.sources import sinks
+from laurel.sources.posts import first_posts, read_posts_json, read_text_csv
 
 
 
@@ -286,3 +290,29 @@ def _(spark, sf):
         P.names_overlap(span, F.lit("Small Golden The")).alias("overlaps"),
         P.may_merge(span, F.lit("Best Actor")).alias("mergeable"),
     )
+
+
+# --- files that hold records over several lines ------------------------------------------
+
+
+@query(
+    "array_posts",
+    "SELECT doc_id AS post_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, source AS account, text FROM documents",
+)
+def _(spark, sf):
+    """The documents as JSON arrays of posts, read back by byte ranges."""
+    docs = D.table(spark, sf, "documents")
+    user = F.struct(F.col("source").alias("screen_name"), F.col("doc_id").cast("long").alias("id"))
+    rows = docs.select("text", user.alias("user"), F.col("doc_id").alias("id"), (F.col("doc_id") * 1000).alias("timestamp_ms"))
+    folder = f"{stage_dir(spark)}/arrays-{uuid.uuid4().hex}"
+    rows.select(F.to_json(F.struct("*"))).write.option("lineSep", ",").text(folder)
+    return read_posts_json(spark, folder, one_array=True).select("post_id", "pos", "account", "text")
+
+
+@query("quoted_csv", "SELECT doc_id, source, text FROM documents WHERE text <> ''")
+def _(spark, sf):
+    """The documents as CSV with line ends in quotes, read back by byte ranges."""
+    docs = D.table(spark, sf, "documents").select("doc_id", "source", "text").where("text <> ''")
+    folder = f"{stage_dir(spark)}/csv-{uuid.uuid4().hex}"
+    sinks.write_csv(docs, folder)
+    return read_text_csv(spark, folder, "doc_id bigint, source string, text string")

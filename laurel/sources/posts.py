@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from laurel.operators.posts import dense_positions
+from laurel.sources import split
 
 RAW_POST = ST.StructType(
     [
@@ -33,10 +34,13 @@ def read_posts_json(
 ) -> DataFrame:
     """Posts with keys ``(post_id, pos, ts, account, text)``.
 
-    Files are JSON lines, which are split.  ``one_array``: a file is one JSON array, which
-    Spark reads in one task.  ``pos`` is the place by time and id, from 0 without gaps.
+    Files are JSON lines.  ``one_array``: a file is one JSON array.  Both are read by byte
+    ranges.  ``pos`` is the place by time and id, from 0 without gaps.
     """
-    raw = spark.read.schema(schema).json(path, multiLine=one_array)
+    if one_array:
+        raw = split.json_objects(spark, path).select(F.from_json("value", schema).alias("o")).select("o.*")
+    else:
+        raw = spark.read.schema(schema).json(path)
     text = F.col("text")
     if default_text is not None:
         text = F.coalesce(text, F.lit(default_text))
@@ -50,8 +54,19 @@ def read_posts_json(
 
 
 def read_text_csv(spark: SparkSession, path, schema="text STRING", header=True, multi_line=True) -> DataFrame:
-    """``multi_line``: quoted values may hold line ends, so a file is read in one task."""
-    return spark.read.schema(schema).csv(path, header=header, multiLine=multi_line, quote='"', escape='"')
+    """``multi_line``: quoted values may hold line ends; files are read by byte ranges all the same.
+
+    A value that holds a quote must then be quoted, with its quotes doubled.
+    """
+    if not multi_line:
+        return spark.read.schema(schema).csv(path, header=header, quote='"', escape='"')
+    records = split.csv_records(spark, path).where(F.trim("value") != "")
+    if header:
+        heads = records.groupBy("file").agg(F.min("record").alias("head"))
+        records = records.join(heads, "file").where(F.col("record") > F.col("head"))
+    schema = schema if isinstance(schema, str) else schema.simpleString()
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    return records.select(F.from_csv("value", schema, options).alias("o")).select("o.*")
 
 
 def as_posts(df: DataFrame, post_id, text, pos=None, ts=None, account=None, dense=True) -> DataFrame:

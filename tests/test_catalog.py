@@ -15,7 +15,7 @@ QUERIES, SQL = entry.queries(), entry.oracle_sql()
 SHORT = [
     "clean_event_posts", "reputable_posts", "first_fraction", "winner_evidence", "hope_triples",
     "presenter_pairs_window", "known_name_mentions", "host_names_known", "first_wins_distinct",
-    "event_windows", "winners_linked", "predicted_awards", "token_subset_move", "score_grid_exact",
+    "array_posts", "quoted_csv", "event_windows", "winners_linked", "predicted_awards", "token_subset_move", "score_grid_exact",
 ]
 NAMES = sorted(QUERIES) if os.environ.get("LAUREL_ALL") else SHORT
 

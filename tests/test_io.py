@@ -15,6 +15,7 @@ from laurel.plans import api
 from laurel.plans import questions as Q
 from laurel.sources import posts as R
 from laurel.sources import sinks as W
+from laurel.sources import split
 
 TWEETS = [
     "Ben Affleck wins best director - motion picture",
@@ -178,3 +179,60 @@ def test_many_windows_on_one_place(spark, monkeypatch):
     assert sorted((r.award, r.pos) for r in got.collect()) == want
     assert set(got.columns) == {"pos", "bucket", "award"}
     assert TI.posts_in_windows(posts, stats.where("false"), 5).count() == 0
+
+
+def small_ranges(spark, size):
+    """Read files by byte ranges of ``size`` while the block runs."""
+    from contextlib import contextmanager
+
+    @contextmanager
+    def run():
+        keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+        old = {k: spark.conf.get(k, None) for k in keys}
+        try:
+            for k, v in zip(keys, (size, 1, 1)):
+                spark.conf.set(k, v)
+            yield
+        finally:
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+    return run()
+
+
+ODD = ['a } b', '{', '"', '\\', '\\"}', 'x\ny', '', 'é}😀{', '[{"id": 1}]', "}" * 40, 'long ' * 60, '\\\\', ',', 'a,"b"\n\n"c"', "\n", "'"]
+
+
+def test_json_array_is_read_by_ranges(spark, tmp_path):
+    rows = [
+        {"text": t * (1 + i % 3), "user": {"screen_name": t[:5], "id": i}, "id": i, "timestamp_ms": 1000 * i, "more": {"a": [{"b": t}, {}]}}
+        for i, t in enumerate(ODD * 6)
+    ]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/one.json").write_text(json.dumps(rows[:60]))
+    (tmp_path / "a/two.json").write_text(" [\n" + ",\n".join(json.dumps(r, ensure_ascii=False, indent=1) for r in rows[60:]) + "\n]\n")
+    (tmp_path / "a/none.json").write_text("[]")
+    plain = spark.read.schema(R.RAW_POST).json(str(tmp_path / "a"), multiLine=True)
+    want = sorted((r.id, r.text, r.user.screen_name) for r in plain.collect())
+    assert len(want) == len(rows)
+    for size in (97, 400, 10**6):
+        with small_ranges(spark, size):
+            got = R.read_posts_json(spark, str(tmp_path / "a"), one_array=True)
+            assert sorted((r.post_id, r.text, r.account) for r in got.collect()) == want
+            tasks = split.pieces(spark, str(tmp_path / "a"), "}").select("file", "block").distinct().count()
+            assert (tasks > 20) == (size < 1000)
+
+
+def test_quoted_csv_is_read_by_ranges(spark, tmp_path):
+    texts = [t for t in ODD * 6 if t.strip()]
+    rows = spark.createDataFrame([(i, t, t[::-1]) for i, t in enumerate(texts)], "id int, text string, other string")
+    W.write_csv(rows.repartition(2), str(tmp_path / "c"))
+    (tmp_path / "c/crlf.csv").write_bytes(b'id,text,other\r\n900,"x\r\ny",z\r\n\r\n901,"a ""b"" c",\r\n902,,last')
+    schema = "id int, text string, other string"
+    back = {r.id: (r.text, r.other) for r in R.read_text_csv(spark, str(tmp_path / "c"), schema).collect()}
+    plain = spark.read.schema(schema).csv(str(tmp_path / "c"), header=True, multiLine=True, quote='"', escape='"')
+    assert {k: v for k, v in back.items() if k < 900} == {r.id: (r.text, r.other) for r in plain.where("id < 900").collect()}
+    for size in (53, 300):
+        with small_ranges(spark, size):
+            assert {r.id: (r.text, r.other) for r in R.read_text_csv(spark, str(tmp_path / "c"), schema).collect()} == back
+    assert back[901] == ('a "b" c', None) and back[902] == (None, "last") and len(back) == len(texts) + 3
