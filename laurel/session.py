@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+#: Spark's setting that removes shuffle files once the job that wrote them has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped = set()
 _staged = []
 
@@ -67,11 +69,17 @@ def stage(df: DataFrame, name="stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage of iterative jobs and lets several branches read one result;
-    the files outlive lost executors, unlike a local checkpoint.
+    the files outlive lost executors, unlike a local checkpoint.  The shuffles behind them
+    are removed, as nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    old = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, old)
     _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
