@@ -1,5 +1,7 @@
 """Counts, votes, records and set operations."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from laurel import constants as K
@@ -14,7 +16,8 @@ from laurel.functions import text as T
 from laurel.operators import evidence as E
 from laurel.operators import linkage as L
 from laurel.plans import questions as P
-from laurel.sources import sinks
+from laurel.session import stage_dir
+from laurel.sources import sinks, split
 
 NAMED = exploded(PEOPLE_SPANS)
 COUNTED = """counted AS (SELECT name, n, first_pos, first_idx::INTEGER AS first_idx FROM (
@@ -252,11 +255,14 @@ def _role_list(role, entry):
     return f"coalesce(string_agg({entry}, ', ' ORDER BY name) FILTER (WHERE role = '{role}'), '')"
 
 
+_VOTE_RECORDS = f"""WITH {EVENTS_SQL}, v AS (SELECT award, role, name, count(*) AS n FROM ev GROUP BY ALL)
+    SELECT award AS name, {_role_list('winner', "name || '=' || n")} AS winner, {_role_list('nominee', "name || '=' || n")} AS nominees,
+      {_role_list('presenter', "name || '=' || n")} AS presenters, sum(n)::BIGINT AS votes FROM v GROUP BY award"""
+
+
 @query(
     "vote_records",
-    f"""WITH {EVENTS_SQL}, v AS (SELECT award, role, name, count(*) AS n FROM ev GROUP BY ALL)
-    SELECT award AS name, {_role_list('winner', "name || '=' || n")} AS winner, {_role_list('nominee', "name || '=' || n")} AS nominees,
-      {_role_list('presenter', "name || '=' || n")} AS presenters, sum(n)::BIGINT AS votes FROM v GROUP BY award""",
+    _VOTE_RECORDS,
 )
 def _(spark, sf):
     records = E.award_records(E.votes(event_evidence(spark, sf)))
@@ -267,6 +273,21 @@ def _(spark, sf):
     return records.select("name", *shown, "votes")
 
 
+@query("long_vote_records", _VOTE_RECORDS)
+def _(spark, sf):
+    """The records written an entry a line, and read back by byte ranges."""
+    folder = f"{stage_dir(spark)}/records-{uuid.uuid4().hex}"
+    sinks.write_long_records(E.votes(event_evidence(spark, sf)), folder)
+    entry = "array<struct<name: string, n: bigint>>"
+    shape = f"name string, winner {entry}, nominees {entry}, presenters {entry}, votes bigint"
+    records = split.json_objects(spark, folder).select(F.from_json("value", shape).alias("o")).select("o.*")
+    shown = [
+        T.comma_list(F.transform(c, lambda e: F.concat(e["name"], F.lit("="), e["n"]))).alias(c)
+        for c in ("winner", "nominees", "presenters")
+    ]
+    return records.select("name", *shown, "votes")
+
+
 @query(
     "short_records",
     f"""WITH {EVENTS_SQL}, v AS (SELECT DISTINCT award, role, name FROM ev)

@@ -3,6 +3,9 @@
 ``precompute`` writes one table per question; the getters only read and link.
 """
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,22 +13,49 @@ from laurel import constants as K
 from laurel.operators import evidence as E
 from laurel.operators import scoring as G
 from laurel.plans import questions as Q
-from laurel.session import stage
+from laurel.session import drop_folder, stage
 from laurel.sources import sinks
 
 
-def precompute(raw: DataFrame, folder: str):
-    """Clean the posts and write the tables of the draft service under ``folder``."""
+def precompute(raw: DataFrame, folder: str, keep=2):
+    """Clean the posts and publish the tables of the draft service under ``folder``.
+
+    The tables go to a version of their own, and a line of the manifest makes it the one that
+    is read: readers see the old answers or the new ones, whatever fails on the way.  The last
+    ``keep`` versions stay, so that a reader that has begun can end.  One writer at a time.
+    """
+    spark = raw.sparkSession
     posts = stage(Q.clean_data(raw), "clean")
     wide = E.award_evidence(
         posts, K.WINNER_WORDS_WIDE, filter_ignores_case=True, drop_artefacts=False, suffix_rule=False
     )
     awards = stage(E.first_wins(wide, distinct=True), "winners")
     pairs = stage(E.presenters_by_award(E.presenter_pairs(posts, "sentence")), "presenters")
-    sinks.write_json(awards, f"{folder}/winners")
-    sinks.write_json(pairs, f"{folder}/presenters")
-    sinks.write_json(Q.hosts(posts, fraction=None, show_names=()).select("name", "n"), f"{folder}/hosts")
-    sinks.write_json(E.distinct_awards(awards, pairs), f"{folder}/awards")
+    done = versions(spark, folder)
+    number = done[0][0] + 1 if done else 1
+    name = f"version-{number}-{uuid.uuid4().hex}"
+    sinks.write_json(awards, f"{folder}/{name}/winners")
+    sinks.write_json(pairs, f"{folder}/{name}/presenters")
+    sinks.write_json(Q.hosts(posts, fraction=None, show_names=()).select("name", "n"), f"{folder}/{name}/hosts")
+    sinks.write_json(E.distinct_awards(awards, pairs), f"{folder}/{name}/awards")
+    line = spark.createDataFrame([(number, name)], MANIFEST).coalesce(1)
+    sinks.write_json(line, f"{folder}/manifest", mode="append")
+    for _, old in done[max(keep - 1, 0):]:
+        drop_folder(spark, f"{folder}/{old}")
+
+
+MANIFEST = "number BIGINT, name STRING"
+
+
+def versions(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """The published versions, newest first; one line was written for each run."""
+    try:
+        found = spark.read.schema(MANIFEST).json(f"{folder}/manifest")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [(r.number, r["name"]) for r in found.orderBy(F.desc("number")).collect()]
 
 
 TABLES = {
@@ -37,7 +67,8 @@ TABLES = {
 
 
 def read_table(spark: SparkSession, folder: str, question: str) -> DataFrame:
-    return spark.read.schema(TABLES[question]).json(f"{folder}/{question}")
+    """A table of the version published last."""
+    return spark.read.schema(TABLES[question]).json(f"{folder}/{versions(spark, folder)[0][1]}/{question}")
 
 
 def served_winners(spark, folder, awards: DataFrame) -> DataFrame:

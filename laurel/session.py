@@ -84,11 +84,15 @@ def stage(df: DataFrame, name="stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder on whatever file system it lies; false if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stages(spark: SparkSession) -> int:
     """Delete the stage tables of this process, once their results are written; returns how many."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     dropped = 0
     while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        dropped += path.getFileSystem(conf).delete(path, True)
+        dropped += drop_folder(spark, _staged.pop())
     return dropped

@@ -2,10 +2,13 @@
 
 import json
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from laurel import session
+from laurel.functions import similarity as M
 from laurel.operators import evidence as E
 from laurel.operators import linkage as L
 from laurel.operators import posts as O
@@ -236,3 +239,62 @@ def test_quoted_csv_is_read_by_ranges(spark, tmp_path):
         with small_ranges(spark, size):
             assert {r.id: (r.text, r.other) for r in R.read_text_csv(spark, str(tmp_path / "c"), schema).collect()} == back
     assert back[901] == ('a "b" c', None) and back[902] == (None, "last") and len(back) == len(texts) + 3
+
+
+def test_long_records_equal_whole_ones(spark, tmp_path):
+    rows = [("a", "winner", 'x "q" }', 2), ("a", "winner", "b", 1), ("a", "nominee", "y\n", 1), ("b", "presenter", "{", 5), ("c", "other", "z", 3)]
+    rows += [("a", "nominee", f"name {i}", i) for i in range(500)] + [(None, "winner", "n", 1)]
+    votes = spark.createDataFrame(rows, "award string, role string, name string, n bigint")
+    for counted in (True, False):
+        whole = [json.loads(r.value) for r in W.record_text(E.award_records(votes, counted), pretty=False).collect()]
+        folder = str(tmp_path / f"long{counted}")
+        W.write_long_records(votes.repartition(5), folder, counted)
+        with small_ranges(spark, 700):
+            got = [json.loads(r.value) for r in split.json_objects(spark, folder).collect()]
+        key = lambda r: json.dumps(r, sort_keys=True)
+        assert sorted(got, key=key) == sorted(whole, key=key)
+    assert W.long_record_lines(votes.limit(0)).count() == 0
+
+
+def test_readers_see_old_answers_until_all_is_written(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "served")
+    raw = lambda text: spark.createDataFrame([(i, i, None, "u", text) for i in range(2)], "post_id long, pos long, ts timestamp, account string, text string")
+    hosts = lambda: [r["name"] for r in api.read_table(spark, folder, "hosts").collect()]
+    api.precompute(raw("Amy Poehler hosting"), folder)
+    old = hosts()
+    write = W.write_json
+
+    def fails(df, path, mode="overwrite"):
+        if path.endswith("hosts"):
+            raise OSError("lost")
+        write(df, path, mode)
+
+    monkeypatch.setattr(W, "write_json", fails)
+    with pytest.raises(OSError):
+        api.precompute(raw("Tina Fey hosting"), folder)
+    assert hosts() == old == ["Amy Poehler"]
+    monkeypatch.undo()
+    for name in ("Tina Fey", "Ricky Gervais"):
+        api.precompute(raw(f"{name} hosting"), folder)
+        assert hosts() == [name]
+    assert [n for n, _ in api.versions(spark, folder)] == [3, 2, 1]
+    assert not os.path.exists(f"{folder}/{api.versions(spark, folder)[2][1]}")
+
+
+def test_blocks_miss_no_pair_that_scores(spark):
+    rng = random.Random(5)
+    vocabulary = ["the", "king", "kings", "of", "a", "art", "heart", "é", "b2"]
+    text = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 7)))
+    answers = [("nominees", rng.choice("xy"), text()) for _ in range(150)] + [("hosts", "", "the the the the"), ("hosts", "", " ")]
+    results = [("nominees", rng.choice("xyz"), text()) for _ in range(150)] + [("hosts", "", "the the the"), ("hosts", "", "he"), ("hosts", "", "")]
+    frame = lambda rows, c: spark.createDataFrame(rows, f"category string, award string, {c} string")
+    pairs = {(r.category, r.award, r.r, r.a) for r in G._block_pairs(frame(results, "r"), frame(answers, "a")).collect()}
+    want = set()
+    for c, w, r in results:
+        for _, _, a in (x for x in answers if x[:2] == (c, w)):
+            mine, theirs = r.split(), a.split()
+            longer = max(len(mine), len(theirs))
+            share = (min(len(mine), len(theirs)) / longer if longer else 0) if r in a or a in r else M.block_share(mine, theirs)
+            if share >= G.ACCEPT:
+                want.add((c, w, r, a))
+    assert len(want) > 100 and want <= pairs
