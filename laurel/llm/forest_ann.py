@@ -2,8 +2,9 @@
 
 Each tree halves a sample again and again between two of its points.  Every vector goes
 to one leaf of each tree.  A query walks all trees through one priority queue, whose order is
-the worst margin on the way to a node, and stops when the leaves it has opened hold enough
-vectors.  Those are ranked by their exact inner products.
+the sum of the squared margins by which it misses a node, and stops when the leaves it has
+opened hold enough vectors: a power of their number below one, so a share that falls as they
+grow.  Those are ranked by their exact inner products.
 """
 
 import heapq
@@ -15,18 +16,30 @@ from pyspark.sql import functions as F
 
 from laurel.llm.common import bounded_sample, stage
 
-TREES, DEPTH = 6, 5
+TREES = 6
 #: Vectors that the trees' cuts are fitted on, at most; all vectors are indexed.
 SAMPLE = 16_384
-#: A query opens leaves until they hold this share of all vectors (each tree's counted), or LEAST.
-SHARE, LEAST = 1.2, 4_000
-BLOCK = 4_096  # vectors of a leaf in one group
+#: A query opens leaves until they hold FACTOR * n ** POWER of n vectors, each tree's counted.
+FACTOR, POWER = 4.0, 0.85
+CUT = 32  # points of a sample that a leaf of the deepest trees gets
+BLOCK, ASKED = 4_096, 16_384  # vectors of a leaf, and queries, in one group at most
+ROWS = 256  # queries whose products are held at once
+
+
+def levels(n: int, sample: int = SAMPLE) -> int:
+    """Cuts on the way to a leaf: leaves of some 4 * sqrt(n) vectors, as long as the sample can tell them apart."""
+    return max(0, min(round(np.log2(max(n, 1)) / 2 - 2), int(np.log2(max(sample // CUT, 1)))))
+
+
+def reach(n: int) -> float:
+    """Vectors in the leaves that a query opens."""
+    return FACTOR * n**POWER
 
 
 class Forest:
     """Trees of equal depth; node k has the children 2k + 1 and 2k + 2."""
 
-    def __init__(self, sample: np.ndarray, trees=TREES, depth=DEPTH, seed=1):
+    def __init__(self, sample: np.ndarray, trees=TREES, depth=5, seed=1):
         rng = np.random.default_rng(seed)
         self.depth, self.inner = depth, 2**depth - 1
         size = sample.shape[1] if sample.size else 0
@@ -60,10 +73,10 @@ class Forest:
 
     def search(self, margins: np.ndarray, sizes: np.ndarray, enough: float) -> list[tuple[int, int]]:
         """The leaves that one query opens, best first; ``sizes`` by tree and leaf."""
-        queue = [(-np.inf, t, 0) for t in range(len(margins))]
+        queue = [(0.0, t, 0) for t in range(len(margins))]
         opened, held = [], 0
         while queue and held < enough:
-            worst, tree, node = heapq.heappop(queue)
+            missed, tree, node = heapq.heappop(queue)
             if node >= self.inner:
                 leaf = node - self.inner
                 if sizes[tree, leaf]:
@@ -71,8 +84,8 @@ class Forest:
                     held += sizes[tree, leaf]
                 continue
             m = margins[tree, node]
-            heapq.heappush(queue, (max(worst, m), tree, 2 * node + 1))
-            heapq.heappush(queue, (max(worst, -m), tree, 2 * node + 2))
+            heapq.heappush(queue, (missed + max(m, 0.0) ** 2, tree, 2 * node + 1))
+            heapq.heappush(queue, (missed + min(m, 0.0) ** 2, tree, 2 * node + 2))
         return opened
 
 
@@ -86,10 +99,11 @@ def usable(vectors: DataFrame, id_: str, vector: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, queries, k: int = 20, id_: str = "vec_id", vector: str = "embedding",
-            share: float = SHARE, least: int = LEAST, trees: int = TREES, depth: int = DEPTH, sample: int = SAMPLE) -> DataFrame:
+            enough: float | None = None, trees: int = TREES, depth: int | None = None, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found for each row where ``queries`` holds.
 
-    ``queries`` is a condition on ``vec_id``.  A query is no candidate of its own.  Scores are
+    ``queries`` is a condition on ``vec_id``; ``enough`` and ``depth`` are ``reach`` and
+    ``levels`` of the number of vectors if not given.  A query is no candidate of its own.  Scores are
     inner products in double precision; ties go to the smaller id.  Vectors that are null,
     zero, of another length than most, or that hold null or non-finite components take no
     part, nor do null ids; rows that repeat an id and a vector are one.  Fewer than ``k``
@@ -105,6 +119,8 @@ def nearest(vectors: DataFrame, queries, k: int = 20, id_: str = "vec_id", vecto
     points = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     points = stage(points.withColumn("point", F.col("ids")[0]), "points")
     n = points.count()
+    enough = reach(n) if enough is None else enough
+    depth = levels(n, sample) if depth is None else depth
     some = bounded_sample(points.select("point", "v"), sample, n, "point").select("v").collect()
     forest = Forest(np.array([r.v for r in some], float) if some else np.empty((0, 0)), trees, depth)
     sent = spark.sparkContext.broadcast(forest)
@@ -128,8 +144,8 @@ def nearest(vectors: DataFrame, queries, k: int = 20, id_: str = "vec_id", vecto
     for r in counts:
         sizes[r.tree, r["leaf"]] = r["count"]
     parts = -(-sizes // BLOCK)
-    enough = max(least, share * n)
     asked = rows.where(queries)
+    blocks = max(1, -(-asked.count() // ASKED))
     wanted = asked.groupBy("v").agg(F.min("vec_id").alias("query"))
 
     def route(batches):
@@ -153,32 +169,36 @@ def nearest(vectors: DataFrame, queries, k: int = 20, id_: str = "vec_id", vecto
                 )
 
     routed = wanted.select("query", "v").mapInArrow(route, "tree int, leaf int, part int, query long, v array<double>")
+    routed = routed.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
     leaf_parts = spark.createDataFrame(
         [(t, x, int(parts[t, x])) for t in range(trees) for x in range(2**depth)], "tree int, leaf int, parts int"
     )
     placed = filed.join(F.broadcast(leaf_parts), ["tree", "leaf"]).withColumn(
         "part", F.pmod(F.xxhash64(F.col("ids")[0]), F.greatest("parts", F.lit(1))).cast("int")
-    )
+    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def components(rows: pa.Table) -> np.ndarray:
+        return rows.column("v").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
 
     def rerank(_, left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"query": [], "vec_id": [], "score": []}
         if left.num_rows and right.num_rows:
-            q = np.array(left.column("v").to_pylist(), float)
-            c = np.array(right.column("v").to_pylist(), float)
-            ids = right.column("ids").to_pylist()
-            rough = q @ c.T
+            asked_for, ids = left.column("query").to_pylist(), right.column("ids").to_pylist()
+            q, c = components(left), components(right)
             keep = min(k + 8, len(c))  # equal products of unequal vectors may differ in the last bit here
-            best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-            for i, query in enumerate(left.column("query").to_pylist()):
-                exact = (c[best[i]] * q[i]).sum(axis=1)
-                some = sorted((-s, v) for s, j in zip(exact.tolist(), best[i].tolist()) for v in ids[j])[: k + 1]
-                out["query"] += [query] * len(some)
-                out["vec_id"] += [v for _, v in some]
-                out["score"] += [-s for s, _ in some]
+            for start in range(0, len(q), ROWS):
+                rough = q[start : start + ROWS] @ c.T
+                best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
+                for i, near in enumerate(best, start):
+                    exact = (c[near] * q[i]).sum(axis=1)
+                    some = sorted((-s, v) for s, j in zip(exact.tolist(), near.tolist()) for v in ids[j])[: k + 1]
+                    out["query"] += [asked_for[i]] * len(some)
+                    out["vec_id"] += [v for _, v in some]
+                    out["score"] += [-s for s, _ in some]
         return pa.table({"query": pa.array(out["query"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()),
                          "score": pa.array(out["score"], pa.float64())})
 
-    keys = ["tree", "leaf", "part"]
+    keys = ["tree", "leaf", "part", "block"]
     ranked = routed.groupBy(*keys).cogroup(placed.select(*keys, "ids", "v").groupBy(*keys)).applyInArrow(
         rerank, "query long, vec_id long, score double"
     )

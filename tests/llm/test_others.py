@@ -28,12 +28,15 @@ def brute_nearest(rows, asked, k):
 @pytest.mark.parametrize("block", [4096, 5])
 def test_nearest_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(forest_ann, "BLOCK", block)
+    monkeypatch.setattr(forest_ann, "ASKED", block)
+    monkeypatch.setattr(forest_ann, "ROWS", block)
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.standard_normal(8).astype("f4")]) for i in range(150)]
     rows += [(i, rows[0][1]) for i in range(200, 260)] + [rows[3]]  # copies of one vector; a repeated row
     rows += [(300, None), (301, [0.0] * 8), (302, [1.0] * 7), (303, [float("nan")] * 8), (304, [None] * 8), (None, [1.0] * 8)]
     df = spark.createDataFrame([(i, v, None, 1, 2) for i, v in rows], SHAPE)
-    got = forest_ann.nearest(df, F.col("vec_id") % 20 == 0, k=7).collect()
+    # all leaves are opened, so that the result is exact
+    got = forest_ann.nearest(df, F.col("vec_id") % 20 == 0, k=7, enough=np.inf).collect()
     want = brute_nearest(rows, lambda i: i % 20 == 0, 7)
     assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(got)] == [w[:3] for w in want]
     assert np.allclose([r.score for r in sorted(got)], [w[3] for w in want], rtol=0, atol=1e-12)
@@ -47,19 +50,30 @@ def test_few_or_no_vectors(spark):
 
 def test_recall_of_the_production_search():
     rng = np.random.default_rng(3)
-    x = rng.standard_normal((12_000, 64)) + rng.standard_normal((10, 64))[rng.integers(0, 10, 12_000)] * 0.5
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    forest = forest_ann.Forest(x[:8000])
-    leaves = forest.leaves(x)
-    sizes = np.array([np.bincount(leaves[:, t], minlength=2**forest.depth) for t in range(leaves.shape[1])])
-    hits = []
-    for i in range(0, 12_000, 400):
-        near = np.argsort(-(x @ x[i]))[1:21]
-        seen = np.zeros(len(x), bool)
-        for t, leaf in forest.search(forest.margins(x[i : i + 1])[0], sizes, forest_ann.SHARE * len(x)):
-            seen |= leaves[:, t] == leaf
-        hits.append(seen[near].mean())
-    assert np.mean(hits) >= 0.9
+    for n in (2_000, 12_000):
+        x = rng.standard_normal((n, 64)) + rng.standard_normal((10, 64))[rng.integers(0, 10, n)] * 0.5
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        forest = forest_ann.Forest(x[:8000], depth=forest_ann.levels(n))
+        leaves = forest.leaves(x)
+        sizes = np.array([np.bincount(leaves[:, t], minlength=2**forest.depth) for t in range(leaves.shape[1])])
+        hits = []
+        for i in range(0, n, n // 40):
+            near = np.argsort(-(x @ x[i]))[1:21]
+            seen = np.zeros(len(x), bool)
+            for t, leaf in forest.search(forest.margins(x[i : i + 1])[0], sizes, forest_ann.reach(n)):
+                seen |= leaves[:, t] == leaf
+            hits.append(seen[near].mean())
+        assert np.mean(hits) >= 0.9
+
+
+def test_the_share_opened_falls_and_trees_stay_bounded():
+    sizes = [10**k for k in range(1, 13)]
+    shares = [forest_ann.reach(n) / n for n in sizes]
+    assert shares == sorted(shares, reverse=True)
+    depths = [forest_ann.levels(n) for n in sizes]
+    assert depths == sorted(depths) and depths[0] == 0 and depths[-1] == 9
+    # six cuts a thousandfold growth, until the sample is used up
+    assert forest_ann.levels(51_282) == 6
 
 
 # --- pages -------------------------------------------------------------------------
