@@ -56,14 +56,14 @@ def read_posts_json(
 def read_text_csv(spark: SparkSession, path, schema="text STRING", header=True, multi_line=True) -> DataFrame:
     """``multi_line``: quoted values may hold line ends; files are read by byte ranges all the same.
 
-    A value that holds a quote must then be quoted, with its quotes doubled.
+    A value that holds a quote must then be quoted, with its quotes doubled.  ``header``: the
+    first record of a file is left out.
     """
     if not multi_line:
         return spark.read.schema(schema).csv(path, header=header, quote='"', escape='"')
     records = split.csv_records(spark, path).where(F.trim("value") != "")
     if header:
-        heads = records.groupBy("file").agg(F.min("record").alias("head"))
-        records = records.join(heads, "file").where(F.col("record") > F.col("head"))
+        records = records.where(~F.col("first"))
     schema = schema if isinstance(schema, str) else schema.simpleString()
     options = {"quote": '"', "escape": '"', "multiLine": "true"}
     return records.select(F.from_csv("value", schema, options).alias("o")).select("o.*")
