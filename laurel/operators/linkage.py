@@ -2,11 +2,14 @@
 
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from laurel import constants as K
+from laurel.functions import grams as G
 from laurel.functions import predicates as P
 from laurel.functions import similarity as M
 from laurel.functions import spans as S
@@ -16,6 +19,7 @@ from laurel.session import stage
 CHUNK = 2_000  # names handed to a task at once
 SEED = 1_000  # index entries that a target's first bound is made of
 PRODUCTS = 4_000_000  # products of one term in one group
+FILTER, SHIFTS = 1 << 20, (24, 32, 40, 48)  # 64-bit words of a key filter, and where a key's bits are read
 
 
 # --- TF-IDF cosine ------------------------------------------------------------------
@@ -300,28 +304,101 @@ def gram_sizes(anchors: DataFrame):
     return anchors.agg(F.collect_set(F.length("gram"))).scalar()
 
 
-def drop_contained(names: DataFrame, gram=6) -> DataFrame:
+def drop_contained(names: DataFrame) -> DataFrame:
     """Distinct names that stand in no longer name.
 
     Containment is transitive, so testing every longer name equals testing the kept ones.
-    Each name looks once, under its anchor, for a longer one that holds it.  Ids and lengths
-    travel to the join; the names themselves only meet where a key and the lengths fit.
+    Each name is filed under the hash of a substring that is more than half of it, a short
+    name under that of the whole.  Longer names look up their substrings of the sizes in use;
+    a filter of fixed size lets only those travel that some name may be filed under.  Where
+    the key is a whole name, one longer name with that key is enough.  The texts decide.
     """
     distinct = names.select(F.col("award").alias("name")).where(F.col("award").isNotNull()).distinct()
     numbered = stage(distinct.where(F.col("name") != "").withColumn("id", F.monotonically_increasing_id()), "names")
-    anchors = stage(anchors_of(numbered, gram), "anchors")
-    longer = numbered.select("id", F.length("name").alias("n"), F.col("name"), sizes_of(anchors).alias("sizes")).select(
-        F.col("id").alias("other"), F.col("n").alias("other_n"), F.explode(keys_in(F.col("name"), F.col("sizes"))).alias("key")
-    )
-    looked = anchors.select("key", "id", F.length("name").alias("n"))
-    pairs = longer.join(looked, "key").where("other_n > n").select("id", "other").distinct()
+    filed = stage(_filed(numbered), "keys")
+    sizes = sorted(r.size for r in filed.select("size").distinct().collect())  # a name's bits bound their number
+    listed = numbered.sparkSession.sparkContext.broadcast(_key_bits(filed))
+    found = numbered.mapInArrow(_substring_keys(sizes, listed), "whole boolean, key long, other long, other_n long")
+    found = stage(found, "found")
+    one = found.where("whole").groupBy("key").agg(F.max(F.struct("other_n", "other")).alias("o")).select("key", "o.*")
+    other = found.where("NOT whole").select("key", "other_n", "other")
+    looking = filed.where("n = size").join(one, "key").unionByName(filed.where("n > size").join(other, "key"))
+    pairs = stage(looking.where("other_n > n").select("id", "other"), "pairs")
     held = (
-        pairs.join(numbered.select(F.col("id").alias("other"), F.col("name").alias("whole")), "other")
-        .join(numbered, "id")
-        .where(F.contains("whole", "name"))
-        .select("id")
+        pairs.join(numbered, "id")
+        .join(numbered.select(F.col("id").alias("other"), F.col("name").alias("longer")), "other")
+        .where(F.contains("longer", "name"))
+        .select("id").distinct()
     )
-    return numbered.join(held, "id", "left_anti").select(F.col("name").alias("award"))
+    return numbered.join(stage(held, "held"), "id", "left_anti").select(F.col("name").alias("award"))
+
+
+def _filed(numbered: DataFrame) -> DataFrame:
+    """Rows ``(id, n, size, key)``: of a name's first, last and least substring, the one that fewest names share."""
+    offered = stage(numbered.mapInArrow(_name_keys, "id long, n long, size long, key long"), "offered")
+    several = offered.where("n > size")
+    frequency = several.groupBy("key").agg(F.count("*").alias("f"))
+    chosen = several.join(frequency, "key").groupBy("id", "n", "size").agg(F.min(F.struct("f", "key")).alias("m"))
+    return offered.where("n = size").unionByName(chosen.select("id", "n", "size", "m.key"))
+
+
+def _name_keys(batches):
+    for batch in G.slices(batches, "name"):
+        names = G.Names(batch.column("name"))
+        row, key = names.keys()
+        sizes = G.key_size(names.lengths)
+        columns = [batch.column("id").to_numpy()[row], names.lengths[row], sizes[row], key.view(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "n", "size", "key"])
+
+
+def _key_bits(filed: DataFrame) -> np.ndarray:
+    """A filter of four bits a key, in one of its 64-bit words: a word a row, ``FILTER`` at most."""
+    size = min(FILTER, 1 << max(4, filed.count().bit_length()))
+    place = lambda shift: F.pmod(F.shiftright("key", shift), F.lit(64)).cast("int")
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), place(shift)) for shift in SHIFTS]
+    both = F.bit_or(reduce(lambda x, y: x.bitwiseOR(y), bits)).alias("bits")
+    found = filed.groupBy(F.pmod("key", F.lit(size)).cast("int").alias("word")).agg(both).toArrow()
+    words = np.zeros(size, np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return words
+
+
+def _may_be_listed(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    bits = reduce(np.bitwise_or, (np.uint64(1) << ((keys >> np.uint64(shift)) & np.uint64(63)) for shift in SHIFTS))
+    return words[keys & np.uint64(len(words) - 1)] & bits == bits
+
+
+def _substring_keys(sizes, listed):
+    """Keys of the substrings of each name that some name may be filed under.
+
+    ``whole`` are those of a name's own size, given once a batch with the longest name that
+    has them; the others are given once a name.
+    """
+    def run(batches):
+        for batch in G.slices(batches, "name"):
+            names, ids = G.Names(batch.column("name")), batch.column("id").to_numpy()
+            order = np.argsort(-names.lengths, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            for size in sizes:
+                at = np.flatnonzero(names.left >= size)
+                key = names.of_size(size)[at]
+                hit = _may_be_listed(listed.value, key)
+                key, row = key[hit], place[names.row[at[hit]]]
+                for whole in (True, False):
+                    if whole:  # longest first
+                        first = np.lexsort((row, key))
+                        new = np.append(True, np.diff(key[first]) != 0)[: len(first)]
+                        k, r = key[first][new], order[row[first][new]]
+                    elif size < G.WHOLE:
+                        continue
+                    else:
+                        both = np.unique(np.stack([key, row.astype(np.uint64)]), axis=1)
+                        k, r = both[0], order[both[1].astype(np.int64)]
+                    columns = [np.full(len(k), whole), k.view(np.int64), ids[r], names.lengths[r]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["whole", "key", "other", "other_n"])
+
+    return run
 
 
 def longest_first(names: DataFrame, k=None) -> DataFrame:

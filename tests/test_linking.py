@@ -152,6 +152,23 @@ def test_drop_contained_and_mentions(spark):
         assert {(r.post_id, r.award) for r in found.collect()} == expected
 
 
+def test_drop_contained_meets_few_pairs(spark, monkeypatch):
+    """Names that share most of their words, and short ones that many hold, make few rows to compare."""
+    rows, plain = {}, L.stage
+
+    def counted(df, name="stage"):
+        rows[name] = plain(df, name)
+        return rows[name]
+
+    monkeypatch.setattr(L, "stage", counted)
+    long = [f"best actress in a long and common series - person {i:03d} é" for i in range(300)]
+    inner = ["actress in a long and", "common series - person 007 é", "in", "é", " - ", "ress in a l", "person 299 "]
+    other = ["actress  in a long and", "person 300", "ist", "best actress in a long and common series - person 007 éé", "x" * 5000]
+    got = sorted(r.award for r in L.drop_contained(column(spark, [*long, *inner, *other, "x" * 4097, None, ""], "award")).collect())
+    assert got == sorted([*long[:7], *long[8:], *other])
+    assert rows["pairs"].count() < 3 * 300 and rows["found"].count() < 10 * 300
+
+
 def may_merge(a, b):
     return all((k in a) == (k in b) for k in ["Actor", "Actress", "Director", "Screenplay"])
 
