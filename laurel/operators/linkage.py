@@ -5,6 +5,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +18,8 @@ from laurel.functions import text as T
 from laurel.session import stage
 
 CHUNK = 2_000  # names handed to a task at once
-SEED = 1_000  # index entries that a target's first bound is made of
-PRODUCTS = 4_000_000  # products of one term in one group
+ENTRIES = 4_000_000  # terms of targets, and of keys, that a task holds
+PRODUCTS = 2_000_000_000  # products of a task
 FILTER, SHIFTS = 1 << 20, (24, 32, 40, 48)  # 64-bit words of a key filter, and where a key's bits are read
 
 
@@ -27,7 +28,7 @@ FILTER, SHIFTS = 1 << 20, (24, 32, 40, 48)  # 64-bit words of a key filter, and
 
 def counted_terms(texts: DataFrame) -> DataFrame:
     """Rows ``(id, term, tf)``, made text by text from its sorted words, so without a shuffle."""
-    words = texts.select("id", F.explode(F.array(F.array_sort(M.tfidf_terms(F.col("text"))))).alias("w"))
+    words = texts.select("id", F.explode(F.array(F.sort_array(M.tfidf_terms(F.col("text"))))).alias("w"))
     word = lambda i: F.get("w", i - 1)
     first = lambda i: (i == 1) | (word(i) != word(i - 1))
     marked = words.where(F.size("w") > 0).select(
@@ -39,100 +40,110 @@ def counted_terms(texts: DataFrame) -> DataFrame:
     return marked.select("id", F.explode(runs).alias("r")).select("id", "r.term", "r.tf")
 
 
-def _term_weights(targets: DataFrame, keys: DataFrame, products: int) -> DataFrame:
-    """All terms with ``idf``, how many texts of each side hold them, and into how many ``splits`` they go."""
-    total = targets.select("id").unionAll(keys.select("id")).agg(F.count("*")).scalar()
+def _term_weights(targets: DataFrame, keys: DataFrame, total) -> DataFrame:
+    """Terms of two texts or more: a number ``t``, ``idf``, and how many texts of each side hold them."""
     terms_of = lambda texts: texts.select(F.explode(F.array_distinct(M.tfidf_terms(F.col("text")))).alias("term"))
     frequency = lambda texts, name: terms_of(texts).groupBy("term").agg(F.count("*").alias(name))
     none = F.lit(0)
     return (
         frequency(keys, "kdf").join(frequency(targets, "tdf"), "term", "full")
         .select("term", F.coalesce("kdf", none).alias("kdf"), F.coalesce("tdf", none).alias("tdf"))
+        .where("kdf + tdf > 1")
         .withColumn("idf", M.smooth_idf(total, F.col("kdf") + F.col("tdf")))
-        .withColumn("splits", (1 + F.floor(F.col("kdf") * F.col("tdf") / products)).cast("int"))
-    )
-
-
-def _postings(vectors: DataFrame) -> DataFrame:
-    """Rows ``(key, term, salt, w)`` of the key vectors; ``salt`` deals a hot term over its splits."""
-    entry = vectors.select("key", "norm", F.explode("entries").alias("e"))
-    return entry.select(
-        "key", F.col("e.term").alias("term"), F.pmod(F.xxhash64("key"), F.col("e.splits")).cast("int").alias("salt"),
-        (F.col("e.x") / F.col("norm")).alias("w"),
+        .withColumn("t", F.monotonically_increasing_id())
     )
 
 
-def tfidf_top_n(targets: DataFrame, keys: DataFrame, n=1, seed=SEED, products=PRODUCTS) -> DataFrame:
+def tfidf_top_n(targets: DataFrame, keys: DataFrame, n=1, entries=ENTRIES, products=PRODUCTS) -> DataFrame:
     """The ``n`` most similar keys per target: ``(target, key, sim, rank)``.
 
     ``targets`` and ``keys`` have columns ``(id, text)``, ids once each.  Weights are smooth
     TF-IDF over both lists together, l2-normalised; ties go to the smaller key id; similarity
     0 never matches.  Null and empty texts match nothing but count as texts.
 
-    An inverted index of the keys meets the targets term by term, rare terms first:
+    Both lists are dealt into groups of about ``entries`` terms, and each group of targets
+    meets each group of keys in a task, through an inverted index of the keys.  A task sends
+    on the ``n`` best keys of its targets, so pairs are never shuffled.  Where terms are
+    frequent, keys are dealt finer, so that a task has about ``products`` products.
 
-    1. A target's rarest terms, with up to ``seed`` index entries, give partial products;
-       the n-th largest is a lower bound of what the target's last place needs.
-    2. A target's most frequent terms are left out of the join as long as what they can add
-       together (the norm of their weights) stays below half of that bound.  The other terms
-       meet the index; a term with more than ``products`` products is split by key.
-    3. Pairs whose partial product and left-out norm reach the bound get the rest of their
-       product from the key's own vector.  The bounds lose no key, so the result is exact.
-
-    Lists of any length are frames only: nothing passes through the driver, and Spark sends
-    the targets' side to all tasks only where its files are small enough.
+    A term of a single text is in no product and has the same weight wherever it is, so
+    only the others are looked up.  Lists of any length are frames only.
     """
-    terms = stage(_term_weights(targets, keys, products), "terms")
-    x = F.col("tf") * F.col("idf")
-    entry = F.struct("term", "splits", x.alias("x"))
-    vectors = (
-        counted_terms(keys).join(terms, "term").groupBy(F.col("id").alias("key"))
-        .agg(F.sqrt(F.sum(x * x)).alias("norm"), F.collect_list(F.when(F.col("tdf") > 0, entry)).alias("entries"))
-        .where(F.size("entries") > 0)
-    )
-    vectors = stage(vectors, "vectors")
-
-    own = Window.partitionBy("target")
-    rare_first = own.orderBy("kdf", "term")
-    weights = (
-        counted_terms(targets).join(terms, "term")
-        .select(F.col("id").alias("target"), "term", "kdf", "splits", x.alias("x"))
-        .withColumn("w", F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(own))).where("kdf > 0")
-        .withColumn("upto", F.sum("kdf").over(rare_first))
-        .withColumn("tail", F.sqrt(F.sum(F.col("w") * F.col("w")).over(
-            rare_first.rowsBetween(Window.currentRow, Window.unboundedFollowing))))
-        .select("target", "term", "splits", "w", "tail", (F.greatest(F.lit(seed), F.col("kdf")) >= F.col("upto")).alias("is_seed"))
-    )
-    weights = stage(weights, "weights")
-
-    best_first = Window.partitionBy("target").orderBy(F.desc("part"))
-    product = F.sum(F.col("p.w") * F.col("t.w")).alias("part")
-    seeds = _postings(vectors).alias("p").join(weights.where("is_seed").alias("t"), "term")
-    found = seeds.groupBy("key", "target").agg(product)
-    bounds = found.withColumn("i", F.row_number().over(best_first)).where(F.col("i") == n).select("target", F.col("part").alias("low"))
-    bounded = stage(
-        weights.drop("is_seed").join(bounds, "target", "left").withColumn("low", F.coalesce("low", F.lit(0.0))), "bounded"
-    )
-
-    joined = F.col("tail") >= F.col("low") / 2
-    heads = bounded.where(joined).select(
-        "target", "term", "w", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt")
-    )
-    rest = bounded.groupBy("target").agg(
-        F.max("low").alias("low"), F.coalesce(F.max(F.when(~joined, F.col("tail"))), F.lit(0.0)).alias("left_out"),
-        F.collect_list(F.when(~joined, F.struct("term", "w"))).alias("rest"),
-    )
-    by_key = vectors.repartition("key")
-    parts = _postings(by_key).alias("p").join(heads.alias("t"), ["term", "salt"]).groupBy("key", "target").agg(product)
-    likely = parts.join(stage(rest, "rest"), "target").where(F.col("part") + F.col("left_out") >= F.col("low") - 1e-9)
-    by_term = F.map_from_entries(F.transform("entries", lambda e: F.struct(e["term"], e["x"])))
-    held = by_key.select("key", "norm", by_term.alias("of"))
-    more = F.aggregate(
-        "rest", F.lit(0.0), lambda sum_, r: sum_ + r["w"] * F.coalesce(F.try_element_at("of", r["term"]), F.lit(0.0))
+    total = targets.select("id").unionAll(keys.select("id")).agg(F.count("*")).scalar()
+    terms = stage(_term_weights(targets, keys, total), "terms")
+    once, x = M.smooth_idf(total, F.lit(1)), F.col("tf") * F.col("idf")
+
+    def vectors(texts, other, weight, name):
+        entry = F.when(F.col(other) > 0, F.struct("t", weight.alias("w")))
+        weighed = counted_terms(texts.where("id IS NOT NULL")).join(terms, "term", "left").withColumn("idf", F.coalesce("idf", once))
+        sums = weighed.groupBy("id").agg(F.sqrt(F.sum(x * x)).alias("norm"), F.collect_list(entry).alias("e"))
+        lists = sums.where(F.size("e") > 0).select(F.col("id").alias(name), "norm", F.col("e.t").alias("t"), F.col("e.w").alias("w"))
+        return stage(lists, "vectors")
+
+    sums = terms.where("kdf > 0 AND tdf > 0").agg(
+        F.sum("kdf"), F.sum("tdf"), F.sum(F.col("kdf").cast("double") * F.col("tdf"))
+    ).first()
+    held, asked, made = (v or 0 for v in sums)
+    target_groups = 1 + int(asked // entries)
+    key_groups = 1 + int(max(held / entries, made / products / target_groups))
+    dealt = lambda id_, groups: F.pmod(F.xxhash64(id_), F.lit(groups)).cast("int")
+    every = lambda groups: F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    looked = vectors(keys, "tdf", F.col("tf"), "key")
+    looked = looked.select("*", dealt("key", key_groups).alias("kg"), every(target_groups).alias("tg"))
+    asking = vectors(targets, "kdf", x * F.col("idf"), "target")
+    asking = asking.select("*", every(key_groups).alias("kg"), dealt("target", target_groups).alias("tg"))
+    id_type = lambda texts: texts.schema["id"].dataType.simpleString()
+    # by number, so that Spark doesn't put small but costly groups together
+    apart = lambda rows: rows.repartition(4 * key_groups * target_groups, "kg", "tg").groupBy("kg", "tg")
+    best = apart(asking).cogroup(apart(looked)).applyInArrow(
+        _best_keys(n), f"target {id_type(targets)}, key {id_type(keys)}, sim double"
     )
-    sims = likely.join(held, "key").select("target", "key", (F.col("part") + more / F.col("norm")).alias("sim"))
     by_sim = Window.partitionBy("target").orderBy(F.desc(F.round("sim", 12)), "key")
-    return sims.withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= n)
+    return best.withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= n)
+
+
+def _lists(table: pa.Table):
+    """The term numbers and weights of all rows one behind the other, and where each row begins and ends."""
+    of = table.column("t").combine_chunks()
+    weights = table.column("w").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
+    ends = np.cumsum(pc.list_value_length(of).to_numpy(zero_copy_only=False)) if len(of) else np.zeros(0, np.int64)
+    return of.flatten().to_numpy(), weights, np.append(0, ends)
+
+
+def _best_keys(n):
+    def run(targets: pa.Table, keys: pa.Table) -> pa.Table:
+        keys = keys.take(pc.sort_indices(keys.column("key")))  # of equal keys the first is the smaller
+        term, w, borders = _lists(keys)
+        row = np.repeat(np.arange(len(keys)), np.diff(borders))
+        w = w / keys.column("norm").to_numpy()[row]
+        order = np.argsort(term, kind="stable")
+        term, row, w = term[order], row[order], w[order]
+        # a key that comes twice has a term twice
+        new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
+        term, row, w = term[new], row[new], np.add.reduceat(w, new) if len(new) else w
+        begins = np.flatnonzero(np.diff(term, prepend=-1))
+        listed, ends = term[begins], np.append(begins[1:], len(term))
+
+        asked, weight, borders = _lists(targets)
+        weight = weight / targets.column("norm").to_numpy()[np.repeat(np.arange(len(targets)), np.diff(borders))]
+        at = np.searchsorted(listed, asked)
+        there = np.append(listed, -1)[at] == asked
+        found, sums = [], np.zeros(len(keys))
+        for i in range(len(targets)):
+            sums[:] = 0
+            own = slice(borders[i], borders[i + 1])
+            for j, x in zip(at[own][there[own]], weight[own][there[own]]):
+                begin, end = begins[j], ends[j]
+                sums[row[begin:end]] += x * w[begin:end]
+            least = np.partition(sums, -n)[-n] if len(sums) > n else 0
+            near = np.flatnonzero((sums > 0) & (sums >= least - 1e-12))
+            best = near[np.lexsort((near, -np.round(sums[near], 12)))[:n]]
+            found.append((np.full(len(best), i), best, sums[best]))
+        target, key, sim = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        columns = [targets.column("target").take(pa.array(target)), keys.column("key").take(pa.array(key)), pa.array(sim)]
+        return pa.table(columns, ["target", "key", "sim"])
+
+    return run
 
 
 def link_values(awards: DataFrame, values: DataFrame, n=1) -> DataFrame:

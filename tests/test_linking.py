@@ -139,6 +139,15 @@ def test_plans_of_linking_keep_the_driver_out(spark, tmp_path):
     assert found.where("key % 3000 <> target").count() == 0 and found.count() == 3000
 
 
+def test_linking_shuffles_no_pairs(spark):
+    """Texts that all share their words: only vectors and the best keys are dealt out, in several groups."""
+    texts = spark.range(200).selectExpr("id", "concat('best award w', id % 10) AS text")
+    found = L.tfidf_top_n(texts, texts, 2, entries=150, products=2_000)
+    assert {(r.target, r.key, r.rank) for r in found.collect()} == {(i, i % 10 + 10 * j, j + 1) for i in range(200) for j in range(2)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [key" not in plan and "Join" not in plan
+
+
 def test_drop_contained_and_mentions(spark):
     rng = random.Random(5)
     values = names(rng, 80) + ["a", "be", "best"]
