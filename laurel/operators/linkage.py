@@ -94,7 +94,8 @@ def tfidf_top_n(targets: DataFrame, keys: DataFrame, n=1, entries=ENTRIES, produ
     asking = asking.select("*", every(key_groups).alias("kg"), dealt("target", target_groups).alias("tg"))
     id_type = lambda texts: texts.schema["id"].dataType.simpleString()
     # by number, so that Spark doesn't put small but costly groups together
-    apart = lambda rows: rows.repartition(4 * key_groups * target_groups, "kg", "tg").groupBy("kg", "tg")
+    most = 2 * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    apart = lambda rows: rows.repartition(min(4 * key_groups * target_groups, most), "kg", "tg").groupBy("kg", "tg")
     best = apart(asking).cogroup(apart(looked)).applyInArrow(
         _best_keys(n), f"target {id_type(targets)}, key {id_type(keys)}, sim double"
     )
