@@ -27,8 +27,9 @@ LEAST = 3
 FIRST_WIDTH = 3  # almost every shorter prefix is kept
 SCALE = 1_000_000_000
 TOP_TERMS = 200
-SLICE = 8_000_000  # characters a task reads at once
-PAIRS = 1_000_000  # pairs of sources a task works out at once
+SLICE = 2_000_000  # characters a task reads at once
+POOL = 400_000  # rows a task holds to sum them before it sends them on; long ones count as more
+PAIRS = 250_000  # pairs of sources a task works out at once
 
 
 def _name_keys(names, seed):
@@ -65,9 +66,37 @@ def _slices(batches):
                 yield part, terms
 
 
+def _pooled(parts, names):
+    """Batches of the rows of all ``parts``, the counts of equal rows summed as far as ``POOL`` reaches.
+
+    A part is two 64-bit keys of each row, its count and its other columns.
+    """
+    def merged():
+        first, second, n = (np.concatenate(a) for a in zip(*(h[:3] for h in held)))
+        order, begins = grouped(first, second)
+        some = order[begins]
+        columns = [pa.concat_arrays(c).take(pa.array(some)) for c in zip(*(h[3] for h in held))]
+        return first[some], second[some], np.add.reduceat(n[order], begins), columns
+
+    weight = lambda part: len(part[0]) + sum(c.nbytes for c in part[3]) // 64
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += weight(part)
+        if size > POOL:
+            held = [merged()]
+            size = weight(held[0])
+            if 2 * size > POOL:
+                yield pa.RecordBatch.from_arrays([*held[0][3], pa.array(held[0][2])], names)
+                held, size = [], 0
+    if held:
+        *_, n, columns = merged()
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], names)
+
+
 def _refine(width, narrower, passed):
     """In how many documents each open prefix occurs; ``passed`` holds the level before."""
-    def run(batches):
+    def parts(batches):
         for part, terms in _slices(batches):
             langs = part.column("lang").dictionary_encode()
             code = langs.indices.to_numpy()
@@ -78,23 +107,20 @@ def _refine(width, narrower, passed):
                 if not len(terms):
                     continue
             first = _prefix_keys(terms, width, own)
-            order, begins = grouped(first, _prefix_keys(terms, width, own, 2), stable=True)
+            second = _prefix_keys(terms, width, own, 2)
+            order, begins = grouped(first, second, stable=True)
             # equal keys stand in the order of documents, so each new document shows as a change
             doc = terms.doc[order]
             fresh = np.append(True, doc[1:] != doc[:-1])
             fresh[begins] = True
-            some = terms.select(order[begins])
-            whole = some.lengths <= width
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.DictionaryArray.from_arrays(pa.array(code[some.doc], pa.int32()), langs.dictionary).dictionary_decode(),
-                    gather(some.data, some.starts, np.minimum(some.lengths, width)), pa.array(whole),
-                    pa.array(np.add.reduceat(fresh.astype(np.int64), begins)),
-                ],
-                ["lang", "key", "whole", "docs"],
-            )
+            at = order[begins]
+            some = terms.select(at)
+            yield first[at], second[at], np.add.reduceat(fresh.astype(np.int64), begins), [
+                langs.dictionary.take(pa.array(code[some.doc], pa.int32())),
+                gather(some.data, some.starts, np.minimum(some.lengths, width)), pa.array(some.lengths <= width),
+            ]
 
-    return run
+    return lambda batches: _pooled(parts(batches), ["lang", "key", "whole", "docs"])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -130,40 +156,52 @@ def kept_terms(docs: DataFrame, least=LEAST, first_width=FIRST_WIDTH) -> DataFra
 
 
 def _count(passed, widest):
-    """Occurrences of kept terms by language and source."""
-    def run(batches):
+    """Occurrences of kept terms by language and place of the source."""
+    def parts(batches):
         for part, terms in _slices(batches):
-            names = [part.column(c).dictionary_encode() for c in ("lang", "source")]
-            codes = [n.indices.to_numpy() for n in names]
-            lang, source = (_name_keys(n.dictionary, 1)[c] for n, c in zip(names, codes))
+            langs = part.column("lang").dictionary_encode()
+            code, place = langs.indices.to_numpy(), part.column("place").to_numpy()
+            lang = _name_keys(langs.dictionary, 1)[code]
             first = _prefix_keys(terms, widest, lang)
             inside = passed.value.has(first)
             terms, first = terms.select(inside), first[inside]
             if not len(terms):
                 continue
-            second = terms.hashes(2) ^ lang[terms.doc]
-            apart = mix64(source)[terms.doc]
-            order, begins = grouped(mix64(first ^ apart), mix64(second + apart))
-            some = terms.select(order[begins])
-            columns = [
-                pa.DictionaryArray.from_arrays(pa.array(c[some.doc], pa.int32()), n.dictionary).dictionary_decode()
-                for n, c in zip(names, codes)
+            apart = mix64(place.astype(np.uint64))[terms.doc]
+            first, second = mix64(first ^ apart), mix64((terms.hashes(2) ^ lang[terms.doc]) + apart)
+            order, begins = grouped(first, second)
+            at = order[begins]
+            some = terms.select(at)
+            yield first[at], second[at], np.diff(np.append(begins, len(order))), [
+                langs.dictionary.take(pa.array(code[some.doc], pa.int32())), pa.array(place[some.doc]),
+                gather(some.data, some.starts, some.lengths).cast(pa.string()),
             ]
-            columns += [gather(some.data, some.starts, some.lengths).cast(pa.string())]
-            columns += [pa.array(np.diff(np.append(begins, len(order))))]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n"])
 
-    return run
+    return lambda batches: _pooled(parts(batches), ["lang", "place", "term", "n"])
+
+
+def source_places(docs: DataFrame) -> DataFrame:
+    """Rows ``(lang, source, place)``: the sources of a language, numbered from 0."""
+    return (
+        _texts(docs).select("lang", "source").distinct()
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
+    )
+
 
+def term_counts(docs: DataFrame, kept: DataFrame, places: DataFrame) -> DataFrame:
+    """Rows ``(lang, term, entries, all)``: occurrences of a kept term, by place of the source and in all.
 
-def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows ``(lang, source, term, n)``: occurrences of the kept terms, where there are any."""
+    An entry is ``(place, n)``, one for each source of the language that has the term.
+    """
     widest = 1 << 62
     rows = kept.select("lang", F.col("term").cast("binary").alias("key"), F.lit(True).alias("whole"))
     sent = docs.sparkSession.sparkContext.broadcast(KeyFilter().with_keys(rows, _row_keys(widest)))
-    found = _texts(docs).mapInArrow(_count(sent, widest), "lang string, source string, term string, n long")
-    counted = found.groupBy("term", "lang", "source").agg(F.sum("n").alias("n"))
-    return counted.join(kept.select("term", "lang"), ["term", "lang"], "left_semi")
+    texts = _texts(docs).join(places, ["lang", "source"]).select("text", "lang", "place")
+    found = texts.mapInArrow(_count(sent, widest), "lang string, place int, term string, n long")
+    # dealt out by term once; all that follows a term stays in its task
+    summed = found.repartition("term", "lang").groupBy("term", "lang", "place").agg(F.sum("n").alias("n"))
+    lists = summed.groupBy("term", "lang").agg(F.collect_list(F.struct("place", "n")).alias("entries"), F.sum("n").alias("all"))
+    return lists.join(kept.select("term", "lang"), ["term", "lang"], "left_semi")
 
 
 def _share(count, total, size):
@@ -214,6 +252,28 @@ def _shared_gaps(batches):
             )
 
 
+def _contenders(top):
+    """Drops rows that at least ``top`` rows of their group surpass in value."""
+    def run(batches):
+        best = np.empty(0, np.int64), np.empty(0, np.int64)  # group and value of the first rows so far
+        for batch in batches:
+            group, value = batch.column("group").to_numpy(), batch.column("value").to_numpy()
+            both = [np.concatenate(c) for c in zip(best, (group, value))]
+            order = np.lexsort((-both[1], both[0]))
+            groups, values = both[0][order], both[1][order]
+            begins = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))[: len(groups)]
+            sizes = np.diff(np.append(begins, len(groups)))
+            in_front = np.arange(len(groups)) - np.repeat(begins, sizes) < top
+            best = groups[in_front], values[in_front]
+            # the least value that may still be among the first
+            least = values[begins + np.minimum(sizes, top) - 1]
+            bar = np.where(sizes >= top, least, np.iinfo(np.int64).min)
+            keep = value >= bar[np.searchsorted(groups[begins], group)]
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
 def audit(docs: DataFrame, least=LEAST, top=TOP_TERMS, first_width=FIRST_WIDTH) -> DataFrame:
     """How far each source's terms lie from other sources and from its language.
 
@@ -227,21 +287,40 @@ def audit(docs: DataFrame, least=LEAST, top=TOP_TERMS, first_width=FIRST_WIDTH)
     no pairs.  Other columns play no part; an empty table gives no rows.
     """
     kept = kept_terms(docs, least, first_width)
-    counts = stage(term_counts(docs, kept), "term-counts")
+    places = stage(source_places(docs), "places")
+    counts = stage(term_counts(docs, kept, places), "term-counts")
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sums = (
+        counts.select("lang", F.explode("entries").alias("e")).groupBy("lang", F.col("e.place").alias("place"))
+        .agg(F.sum("e.n").alias("total"))
+    )
     groups = (
-        _texts(docs).select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(sizes, "lang", "left")
-        .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v"))
+        places.join(sums, ["lang", "place"], "left").join(sizes, "lang", "left")
+        .select("lang", "source", "place", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v"))
         .withColumn("p0", _share(F.lit(0), F.col("total"), F.col("v")))
         .withColumn("group", F.monotonically_increasing_id())
     )
     groups = stage(groups, "groups")
+    # written first: Spark then knows how small it is, and needn't deal the terms by language
+    langs = stage(
+        groups.groupBy("lang").agg(
+            F.sort_array(F.collect_list(F.struct("place", "group", "total", "p0"))).alias("sources"),
+            F.sum("total").alias("lang_total"), F.first("v").alias("v"),
+        ), "langs",
+    )
+
+    def share_of(entry):
+        own = F.col("sources")[entry["place"]]
+        return F.struct(
+            own["group"].alias("group"), _share(entry["n"], own["total"], F.col("v")).alias("p"), own["p0"].alias("p0")
+        )
+
     terms = stage(
-        counts.join(groups, ["lang", "source"]).withColumn("p", _share(F.col("n"), F.col("total"), F.col("v")))
-        .select("group", "lang", "source", "term", "n", "p", "p0"),
-        "shares",
+        counts.join(langs, "lang").select(
+            "term", F.transform("entries", share_of).alias("entries"), _share(F.col("all"), F.col("lang_total"), F.col("v")).alias("q")
+        ), "shares",
     )
+    each = terms.select("term", "q", F.inline("entries"))
 
     pairs = groups.alias("a").join(
         groups.alias("b"), (F.col("a.lang") == F.col("b.lang")) & (F.col("a.group") != F.col("b.group"))
@@ -250,7 +329,7 @@ def audit(docs: DataFrame, least=LEAST, top=TOP_TERMS, first_width=FIRST_WIDTH)
     absent = _gap(F.col("a.p0"), F.col("b.p0"))
     nothing = pairs.where("a.v > 0").select(*ids, (F.col("a.v") * absent).alias("value"))
     # terms of one side only come from how often each share occurs there
-    shares = terms.groupBy("group", "p").agg(F.count(F.lit(1)).alias("terms")).withColumnRenamed("group", "own")
+    shares = stage(each.groupBy(F.col("group").alias("own"), "p").agg(F.count(F.lit(1)).alias("terms")), "share-counts")
     used = pairs.join(shares, F.col("a.group") == F.col("own")).select(
         *ids, (F.col("terms") * (_gap(F.col("p"), F.col("b.p0")) - absent)).alias("value")
     )
@@ -258,20 +337,17 @@ def audit(docs: DataFrame, least=LEAST, top=TOP_TERMS, first_width=FIRST_WIDTH)
         *ids, (F.col("terms") * (_gap(F.col("a.p0"), F.col("p")) - absent)).alias("value")
     )
     # a list holds each source of the language once at most
-    by_term = terms.groupBy("term", "lang").agg(F.collect_list(F.struct("group", "p", "p0")).alias("entries"))
-    both = by_term.where(F.size("entries") > 1).select("entries").mapInArrow(_shared_gaps, "a long, b long, value long")
+    both = terms.where(F.size("entries") > 1).select("entries").mapInArrow(_shared_gaps, "a long, b long, value long")
     gaps = nothing.unionByName(used).unionByName(missed).unionByName(both).groupBy("a", "b").agg(F.sum("value").alias("value"))
     pair_rows = pairs.join(gaps, (F.col("a.group") == gaps["a"]) & (F.col("b.group") == gaps["b"]), "left").select(
         "a.lang", "a.source", F.lit("pair").alias("part"), F.col("b.source").alias("item"),
         F.coalesce("value", F.lit(0)).alias("value"),
     )
 
-    whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("all"))
-    # written first: Spark then knows how small it is, and needn't deal the terms by language
-    totals = stage(sums.groupBy("lang").agg(F.sum("total").alias("lang_total")).join(sizes, "lang"), "totals")
-    usual = whole.join(totals, "lang").select("lang", "term", _share(F.col("all"), F.col("lang_total"), F.col("v")).alias("q"))
-    term_rows = terms.join(usual, ["lang", "term"]).where("p > q").select(
-        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), _gap(F.col("p"), F.col("q")).alias("value")
+    above = each.where("p > q").select("group", _gap(F.col("p"), F.col("q")).alias("value"), F.col("term").alias("item"))
+    first = above.mapInArrow(_contenders(top), "group long, value long, item string")
+    term_rows = first.join(groups.select("group", "lang", "source"), "group").select(
+        "lang", "source", F.lit("term").alias("part"), "item", "value"
     )
 
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")

@@ -158,6 +158,33 @@ def test_audit_with_a_full_filter_and_small_blocks(docs, rows, monkeypatch):
     assert collected(divergence.audit(docs, 3, 5)) == brute_audit(rows, 3, 5)
 
 
+def test_audit_with_small_slices_and_pools(docs, rows, monkeypatch):
+    monkeypatch.setattr(divergence, "SLICE", 40)
+    monkeypatch.setattr(divergence, "POOL", 3)
+    assert collected(divergence.audit(docs, 3, 2)) == brute_audit(rows, 3, 2)
+
+
+def test_a_task_sums_equal_rows_of_its_slices(monkeypatch):
+    monkeypatch.setattr(divergence, "SLICE", 10)
+    batch = pa.RecordBatch.from_pydict({"text": ["alpha beta alpha"] * 9 + ["beta"], "lang": ["en"] * 10})
+    [found] = divergence._refine(8, 0, None)([batch])
+    assert sorted(zip(found["key"].to_pylist(), found["docs"].to_pylist())) == [(b"alpha", 9), (b"beta", 10)]
+
+
+def test_contenders_keep_the_first_of_each_group():
+    rng = np.random.default_rng(6)
+    group, value = rng.integers(0, 5, 3000), rng.integers(0, 300, 3000)
+    batches = [
+        pa.RecordBatch.from_pydict({"group": group[i : i + 250], "value": value[i : i + 250], "item": [str(j) for j in range(i, i + 250)]})
+        for i in range(0, 3000, 250)
+    ]
+    sent = [j for b in divergence._contenders(7)(batches) for j in map(int, b["item"].to_pylist())]
+    assert len(sent) == len(set(sent)) < 1500
+    for g in range(5):
+        bar = np.sort(value[group == g])[-7]
+        assert set(np.flatnonzero((group == g) & (value >= bar))) <= set(sent)
+
+
 def test_long_kept_terms(spark):
     long_one = "é" * 300 + "a" * 1000
     found = divergence.kept_terms(frame(spark, [(i, f"{long_one} {long_one}b{i} x{i}y", "en", "s") for i in range(3)]))
