@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laurel.llm.common import Hashes, batches_of, stage, word_list
+from laurel.session import drop_stages, stages
 
 COMMON = 32_768  # words known by their rank
 CONTEXTS = 31  # of ``Dishes``, less one, where no number is given
@@ -281,7 +282,7 @@ def pair_chances(dishes: DataFrame, seed: int) -> tuple[DataFrame, int, int]:
         base = F.when(F.col("count") > 0, totals.base()).otherwise(NOVEL)
         return totals, totals.root(F.col("customers"), F.col("tables"), base)
 
-    kept = []
+    kept, first = [], stages() - 1
     totals, root = totals_and_root()
     for i in range(SWEEPS):
         mine = many.groupBy("context").agg((F.first("alone") + F.sum("tables")).alias("context_tables"))
@@ -294,6 +295,7 @@ def pair_chances(dishes: DataFrame, seed: int) -> tuple[DataFrame, int, int]:
         rows = words.drop("customers", "tables").join(sent, "word", "left").withColumn("customers", customers)
         rows = rows.drop("sent").withColumn("appeal", F.lit(new))
         words = stage(seated(rows, DISCOUNT[0], seed + 2 * i + 1), "words")
+        drop_stages(dishes.sparkSession, first, stages() - 2)  # a sweep reads the last one only
         totals, root = totals_and_root()
         if i >= BURN_IN:
             kept.append(i)
@@ -324,6 +326,7 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), held.alias("held"),
     )
+    first = stages()
     lexicon = Lexicon(common_words(rows.where("NOT held")))
     # pairs of held-out texts are dishes without customers, so that each pair meets its chance in one join
     dishes = pair_counts(rows, lexicon).groupBy("context", "word").agg(F.sum("n").alias("customers"))
@@ -333,7 +336,9 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
         "context", "word", F.log10("chance").alias("score"), F.log10(F.col("count") + 0.5).alias("base"),
         (F.col("count") > 0).cast("long").alias("known"),
     )
-    found = document_pairs(rows, lexicon).join(stage(chances, "chances"), ["context", "word"])
+    chances = stage(chances, "chances")
+    drop_stages(docs.sparkSession, first, stages() - 1)
+    found = document_pairs(rows, lexicon).join(chances, ["context", "word"])
     # rows of equal id and text share a key; each has its part of their sum, and one end mark (rank 0)
     copies = F.sum(F.when(F.col("word") == 0, F.col("n")))
     share = lambda c: (F.sum(F.col("n") * F.col(c)) / copies).alias(c)

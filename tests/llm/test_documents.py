@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from laurel import session
 from laurel.llm import digest_index, gam_quality, hamming_dedup, hpylm, language_id, mixing, packing
 from laurel.llm.common import held_out
 
@@ -432,6 +433,13 @@ def test_the_word_before_counts_however_rare(spark):
     assert got[100].score > got[101].score + 50
 
 
+def test_sweeps_leave_no_tables_behind(spark):
+    before = session.stages()
+    scored = hpylm.score_documents(frame(spark, [(i, f"a b c{i % 3}") for i in range(30)]), F.col("doc_id") % 5 == 1)
+    assert session.stages() == before + 1  # the chances
+    assert scored.count() == 30
+
+
 def in_memory(rows, seed=1):
     """Scores by ``Dishes``: all pairs in memory."""
     tokens = lambda t: [*t.split(), "\n"]
