@@ -9,7 +9,6 @@ piece's place off the plan.
 """
 
 import functools
-import itertools
 import re
 import zlib
 
@@ -60,7 +59,7 @@ class Recent(dict):
 
 
 class WordTokens:
-    """Token ids of texts, word by word through a cache.
+    """Token ids of texts, word by word through a cache of their bytes, which are joined.
 
     No token spans two words of the tokenizer's pattern.  Printable Latin-1 is split here
     and its words go straight to the tokenizer's merge model; any other text is cut at
@@ -68,26 +67,33 @@ class WordTokens:
     unless they are plain themselves.
     """
 
-    def __init__(self, path: str, limit=200_000):
+    def __init__(self, path: str, limit=400_000):
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters = byte_letters()
-        self.numbers = list(range(self.whole.get_vocab_size()))  # one object for each id
+        self.numbers = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
         self.words = Recent(self._word, limit)
 
     def _word(self, word):
         spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        return tuple([self.numbers[t.id] for t in self.model.tokenize(spelt)])
+        return b"".join([self.numbers[t.id] for t in self.model.tokenize(spelt)])
 
-    def encode(self, text: str | None) -> list[int]:
+    def encoded(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
         text = text or ""
         if PLAIN.fullmatch(text) and "<|" not in text:
-            return list(itertools.chain.from_iterable(map(self.words.__getitem__, WORD.findall(text.lower()))))
-        ids: list[int] = []
+            return b"".join(map(self.words.__getitem__, WORD.findall(text.lower())))
+        parts = []
         for part in text.replace("\n", " ").split(" "):
-            plain = PLAIN.fullmatch(part) and "<|" not in part
-            ids += self.encode(part) if plain else self.whole.encode(part, add_special_tokens=False).ids
-        return ids
+            if PLAIN.fullmatch(part) and "<|" not in part:
+                parts.append(self.encoded(part))
+            else:
+                ids = self.whole.encode(part, add_special_tokens=False).ids
+                parts.append(np.array(ids, "<u4").tobytes())
+        return b"".join(parts)
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.encoded(text), "<u4").tolist()
 
 
 @functools.lru_cache(1)
@@ -107,20 +113,20 @@ def token_pieces(docs: DataFrame, size=SIZE, tokenizer=None, with_ids=False) ->
     shape = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def cut(batches):
-        words = word_tokens(path)
+        words, end = word_tokens(path), END.to_bytes(4, "little")
         for batch in batches:
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.array([*words.encode(text.as_py()), END], "<u4")
-                for piece, start in enumerate(range(0, len(ids), size)):
-                    part = ids[start : start + size]
+                ids = words.encoded(text.as_py()) + end
+                for piece, start in enumerate(range(0, len(ids) // 4, size)):
+                    part = ids[4 * start : 4 * (start + size)]
                     out["doc_id"].append(doc_id)
                     out["piece"].append(piece)
                     out["start"].append(start)
-                    out["length"].append(len(part))
-                    out["ids_crc32"].append(zlib.crc32(part.tobytes()))
+                    out["length"].append(len(part) // 4)
+                    out["ids_crc32"].append(zlib.crc32(part))
                     if with_ids:
-                        out["ids"].append(part.astype(np.int32))
+                        out["ids"].append(np.frombuffer(part, "<i4"))
             kinds = {"piece": pa.int32(), "ids": pa.list_(pa.int32())}
             names = list(out) if with_ids else list(out)[:-1]
             yield pa.RecordBatch.from_arrays(

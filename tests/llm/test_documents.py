@@ -252,6 +252,17 @@ def test_languages_are_told_apart(spark, odd, empty):
 
 # --- packing -----------------------------------------------------------------------
 
+def test_bytes_of_tokens_equal_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"), 3)  # words are forgotten and made again
+    for text in ("", None, "Plain words, it's 42 plain words", "caf\u00e9 \u4f60\u597d\tb\nc", "a <|endoftext|> b"):
+        ids = np.array(whole.encode(text or "", add_special_tokens=False).ids, "<u4")
+        assert words.encoded(text) == ids.tobytes()
+
+
 def test_pieces_equal_the_tokenizer(odd):
     import zlib
 
