@@ -7,29 +7,38 @@ customers are seated by the Chinese-restaurant rule, and each of its tables send
 customer to the parent.  Gibbs sweeps seat each dish anew, given all others, and the
 predictive probabilities of the last sweeps are averaged.
 
-Dishes are Spark rows keyed by context and word, and so grow with the corpus.  A dish of one
+Dishes are dealt into buckets, whose number grows with the corpus: by their word if it is
+rare, else by their context if that is, else by both.  A task seats a bucket.  A dish of one
 customer always has one table: only larger ones are seated by a sweep, the others count in
-the sums of their context and word.  A word is known by a 64-bit hash; the common ones, a
-bounded list, by their rank, which is short to store and makes no difference to any figure.
+the sums of their context and word.  Between sweeps only sums travel: those of the common
+words, a bounded list, by way of the driver, those of rare contexts from bucket to bucket;
+rare words have all their dishes in one.  For the scores the texts are read again, and their
+pairs meet the seats in the buckets.  A word is known by a 63-bit hash; the common ones by
+their rank, which is short to store.
 """
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laurel.llm.common import Hashes, batches_of, stage, word_list
+from laurel.llm.common import batches_of, mix64, stage
+from laurel.llm.textscan import Words, byte_kinds
 from laurel.session import drop_stages, stages
 
-COMMON = 32_768  # words known by their rank
+COMMON = 65_536  # words known by their rank
+BUCKET_CHARS = 8_000_000  # of the corpus, for each bucket
+ROUNDS = 2  # in which the texts are scored, so that half of their pairs travel at once
 CONTEXTS = 31  # of ``Dishes``, less one, where no number is given
 DISCOUNT, STRENGTH = (0.8, 0.6), (10.0, 20.0)  # of the parent and of the contexts
 NOVEL = 0.5  # the base's share for words that were never seen
 SWEEPS, BURN_IN = 6, 3
 ONE_BY_ONE = 32
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line end
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 4_000_000
 
 
 def seat(customers: np.ndarray, appeal: np.ndarray, discount: float, rng) -> np.ndarray:
@@ -71,6 +80,10 @@ class Totals:
         """The base's share for each word seen."""
         return (1 - NOVEL) / max(self.words, 1)
 
+    def new_root(self) -> float:
+        """What the parent has for a new table of a word seen."""
+        return (STRENGTH[0] + DISCOUNT[0] * self.root_tables) * self.base()
+
     def root(self, customers, tables, base):
         new = STRENGTH[0] + DISCOUNT[0] * self.root_tables
         return (customers - DISCOUNT[0] * tables + new * base) / (STRENGTH[0] + self.root_customers)
@@ -128,16 +141,71 @@ class Lexicon:
         return np.where(self.sorted[at] == h, self.order[at], -1)
 
 
-def tokens_of(text: str | None, hashes: Hashes) -> np.ndarray:
-    return np.append(hashes.of(word_list(text)), END)
+#: What a row says, in the tables that go from sweep to sweep.
+STATE, NEAR, CONTEXT, WORD, ALL, PIECE, INFO = range(7)
+KEPT = SWEEPS - BURN_IN
+_HIST = [f"h{j}" for j in range(KEPT)]
+_NUMBERS = ["kind", "bucket", "code", "a", "b", *_HIST]
+SHAPE = "kind int, bucket int, code long, a long, b long, " + "".join(f"{h} long, " for h in _HIST) + "arrays array<array<long>>"
+_GAPS = byte_kinds(b" \t\n\x0b\x0c\r")
+
+
+def rows_of(kind, bucket, code=0, a=0, b=0, hist=(), arrays=None) -> pa.RecordBatch:
+    """Rows of ``SHAPE``: one for each code, or one for each list of arrays."""
+    n = len(arrays) if arrays is not None else np.size(code)
+    numbers = dict.fromkeys(_NUMBERS, 0) | {"kind": kind, "bucket": bucket, "code": code, "a": a, "b": b} | dict(zip(_HIST, hist))
+    kinds = {"kind": pa.int32(), "bucket": pa.int32()}
+    columns = [pa.array(np.broadcast_to(np.asarray(v, np.int64), n), pa.int64()).cast(kinds.get(c, pa.int64())) for c, v in numbers.items()]
+    if arrays is None:
+        nested = pa.nulls(n, pa.list_(pa.list_(pa.int64())))
+    else:
+        flat = [np.asarray(v, np.int64) for row in arrays for v in row]
+        inner = np.cumsum([0, *map(len, flat)]).astype(np.int32)
+        inner = pa.ListArray.from_arrays(inner, np.concatenate(flat) if flat else np.empty(0, np.int64))
+        nested = pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)]).astype(np.int32), inner)
+    return pa.RecordBatch.from_arrays([*columns, nested], [*_NUMBERS, "arrays"])
+
+
+def arrays_of(batch: pa.RecordBatch) -> list[list[np.ndarray]]:
+    """The arrays of each row."""
+    column = batch.column("arrays")
+    return [[np.asarray(v.values) for v in row] if row.is_valid else [] for row in column]
 
 
-def pairs_of(text: str | None, lexicon: Lexicon, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """The context of each token, which is the token before it, and the token."""
-    h = tokens_of(text, hashes)
+def one_bucket(batches):
+    """Everything a task got on its bucket: ``bucket, {kind: rows}``, or nothing."""
+    table = [b for b in batches if b.num_rows]
+    if not table:
+        return None, {}
+    table = pa.Table.from_batches(table)
+    kinds = np.asarray(table["kind"])
+    # a task has one bucket
+    return table["bucket"][0].as_py(), {k: table.filter(pa.array(kinds == k)).combine_chunks() for k in np.unique(kinds).tolist()}
+
+
+def columns_of(table: pa.Table, *names) -> list[np.ndarray]:
+    return [np.asarray(table[n]) for n in names]
+
+
+def pairs_of(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The context of each token, which is the token before it, the token, and the place of its text.
+
+    Common words are known by their ranks, others by negative hashes.
+    """
+    words = Words(texts, _GAPS)
+    h = words.hashes(0)
     ranks = lexicon.ranks(h)
-    code = np.where(ranks >= 0, ranks, h.astype(np.int64))
-    return np.append(code[-1:], code[:-1]), code
+    code = np.where(ranks >= 0, ranks, (h | np.uint64(1 << 63)).view(np.int64))
+    ends = np.searchsorted(words.doc, np.arange(1, len(texts) + 1))
+    word = np.insert(code, ends, 0)  # the end mark is the first common word
+    return np.append(0, word[:-1]), word, np.insert(words.doc, ends, np.arange(len(texts)))
+
+
+def buckets_of(context: np.ndarray, word: np.ndarray, most: int) -> np.ndarray:
+    """A dish lies with its word if that is rare, else with its context if that is rare."""
+    both = context * COMMON + word
+    key = np.where(word < 0, word, np.where(context < 0, context, both))
+    return (mix64(mix64(key.view(np.uint64)) + np.uint64(1)) % np.uint64(most)).astype(np.int64)
 
 
 def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
@@ -148,7 +216,7 @@ def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
     """
 
     def best(batches):
-        hashes, held, size = Hashes(), [], 0
+        held, size = [], 0
 
         def merged():
             words = np.concatenate([w for w, _ in held] or [np.empty(0, np.uint64)])
@@ -158,8 +226,7 @@ def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
 
         for whole in batches:
             for batch in batches_of(whole, "text"):
-                found = [hashes.of(word_list(t.as_py())) for t in batch.column("text")]
-                held.append(np.unique(np.concatenate(found), return_counts=True))
+                held.append(np.unique(Words(batch.column("text"), _GAPS).hashes(0), return_counts=True))
                 size += len(held[-1][0])
                 if size > 2_000_000:
                     held[:] = [merged()]
@@ -169,7 +236,7 @@ def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
                     size = len(held[0][0])
         words, ns = merged()
         keep = np.argsort(-ns, kind="stable")[:most]
-        yield pa.RecordBatch.from_arrays([pa.array(words[keep].astype(np.int64)), pa.array(ns[keep])], ["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(words[keep].view(np.int64)), pa.array(ns[keep])], ["word", "n"])
 
     rows = docs.where("text IS NOT NULL").select(F.col("text").cast("string").alias("text"))
     counts = stage(rows.mapInArrow(best, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "frequent")
@@ -180,138 +247,196 @@ def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
     return [int(END), *(r.word % 2**64 for r in top)]
 
 
-def _document_key(doc_id, text) -> int:
-    return xxhash.xxh3_64_intdigest(f"{doc_id}\n{text}".encode("utf-8", "surrogatepass")) - 2**63
-
-
 def _summed(n: np.ndarray, *keys: np.ndarray) -> list[np.ndarray]:
-    """The distinct rows of ``keys``, and the sum of ``n`` of each."""
+    """The distinct rows of ``keys``, the last one first in order, and the sum of ``n`` of each."""
     order = np.lexsort(keys)
     keys = [k[order] for k in keys]
     new = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
     return [*(k[new] for k in keys), np.add.reduceat(n[order], new)]
 
 
-def pair_counts(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``context, word, n``, summed by batch: every pair in the texts, with its count in training texts."""
-
-    def read(batches):
-        hashes = Hashes()
-        for whole in batches:
-            for batch in batches_of(whole, "text", CHUNK_CHARS):
-                found = [pairs_of(t, lexicon, hashes) for t in batch.column("text").to_pylist()]
-                sizes = [len(word) for _, word in found]
-                n = np.repeat([0 if held else 1 for held in batch.column("held").to_pylist()], sizes)
-                columns = _summed(n, *(np.concatenate(c) for c in zip(*found)))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["context", "word", "n"])
+def _by_code(code: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """The distinct codes, and the sums of ``values`` of each."""
+    found, at = np.unique(code, return_inverse=True)
+    return [found, *(np.bincount(at, v, len(found)).astype(np.int64) for v in values)]
 
-    return docs.mapInArrow(read, "context long, word long, n long")
 
+def pieces_of(docs: DataFrame, sent, most: int, rounds=1, turn=0, with_docs=False) -> DataFrame:
+    """Pairs of each batch, a row for each bucket: ``context, word, n`` with the counts in training texts.
 
-def document_pairs(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``key, context, word, n`` of each document."""
+    With documents, a pair has a count for each document, in training or not, and each batch
+    has a row that names its documents.  ``docs`` has ``row, doc_id, text, held``.
+    """
 
     def read(batches):
-        hashes = Hashes()
+        lexicon = Lexicon(sent.value)
         for whole in batches:
             for batch in batches_of(whole, "text", CHUNK_CHARS):
-                texts = batch.column("text").to_pylist()
-                found = [pairs_of(t, lexicon, hashes) for t in texts]
-                keys = [_document_key(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), texts)]
-                key = np.repeat(np.array(keys, np.int64), [len(word) for _, word in found])
-                context, word = (np.concatenate(c) for c in zip(*found))
-                context, word, key, n = _summed(np.ones(len(key), np.int64), context, word, key)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, context, word, n)], ["key", "context", "word", "n"])
-
-    return docs.mapInArrow(read, "key long, context long, word long, n long")
-
-
-def document_sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, held, key, n_tokens`` of every row."""
-
-    def read(batches):
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            keys = [_document_key(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), texts)]
-            sizes = [len(word_list(t)) + 1 for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())],
-                ["doc_id", "held", "key", "n_tokens"],
-            )
-
-    return docs.mapInArrow(read, "doc_id long, held boolean, key long, n_tokens long")
-
-
-def seated(rows: DataFrame, discount: float, seed: int) -> DataFrame:
-    """``rows`` with the ``tables`` of their ``customers``; their ``appeal`` goes."""
-    kept = [c for c in rows.columns if c != "appeal"]
-    keys = [c for c in ("word", "context") if c in kept]
+                context, word, doc = pairs_of(batch.column("text"), lexicon)
+                held, first = np.asarray(batch.column("held").to_pylist(), bool), batch.column("row")[0].as_py()
+                if with_docs:
+                    doc, word, context, n = _summed(np.ones(len(word), np.int64), doc, word, context)
+                    columns = [context, word, n, doc, n * ~held[doc]]
+                    if (at := int(mix64(np.array([first], np.uint64))[0] % np.uint64(most))) % rounds == turn:
+                        ids = batch.column("doc_id")
+                        known = np.asarray(ids.is_valid().to_pylist(), bool)
+                        yield rows_of(INFO, at, first, arrays=[[np.asarray(ids.fill_null(0)), known, held]])
+                else:
+                    word, context, n = _summed((~held[doc]).astype(np.int64), word, context)
+                    columns = [context, word, n]
+                bucket = buckets_of(context, word, most)
+                order = np.argsort(bucket, kind="stable")
+                bucket, columns = bucket[order], [c[order] for c in columns]
+                found, begins = np.unique(bucket, return_index=True)
+                ends = [*begins[1:], len(bucket)]
+                mine = [(k, i, j) for k, i, j in zip(found.tolist(), begins, ends) if k % rounds == turn]
+                if mine:
+                    yield rows_of(PIECE, [k for k, _, _ in mine], np.full(len(mine), first), arrays=[[c[i:j] for c in columns] for _, i, j in mine])
+
+    return docs.mapInArrow(read, SHAPE)
+
+
+def first_seats(batches):
+    """The dishes of a bucket, those of one customer as sums only."""
+    bucket, found = one_bucket(batches)
+    if bucket is None:
+        return
+    context, word, n = (np.concatenate(c) for c in zip(*arrays_of(found[PIECE])))
+    word, context, n = _summed(n, word, context)
+    alone, more = (n == 1).astype(np.int64), (n > 1).astype(np.int64)
+    rare = word < 0
+    code, count, one, many = _by_code(word[rare], n[rare], alone[rare], more[rare])
+    near, near_all, near_alone, near_many = _by_code(context[context < 0], *(v[context < 0] for v in (n, alone, more)))
+    m = n > 1
+    none = np.empty(0, np.int64)
+    yield rows_of(STATE, bucket, arrays=[[context[m], word[m], n[m], n[m] * 0, code, count, one, one + many, np.minimum(one + many, 1), none, none]])
+    yield rows_of(NEAR, bucket, near, near_all, near_alone, [near_many])
+    for kind, c in ((CONTEXT, context), (WORD, word)):
+        yield rows_of(kind, bucket, *(x := _by_code(c[c >= 0], *(v[c >= 0] for v in (n, alone, more))))[:3], [x[3]])
+    yield rows_of(ALL, bucket, 0, np.sum(one + many), np.count_nonzero(one + many), [count.sum()])
+    yield rows_of(ALL, bucket, 1, np.count_nonzero(count))
+
+
+def rare_at(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return np.minimum(np.searchsorted(codes, wanted), max(len(codes) - 1, 0))
+
+
+def values_of(code: np.ndarray, common: np.ndarray, rare_codes: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """The value of each code: from a list by rank, or beside the sorted codes of the rare ones."""
+    if not len(rare_codes):
+        return common[code]
+    return np.where(code >= 0, common[np.maximum(code, 0)], rare[rare_at(rare_codes, code)])
+
+
+def sweep_of(sent, seed: int, keep: bool):
+    """Seats the dishes of a bucket, then its rare words at the parent."""
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rng = np.random.default_rng([seed, *(batch.column(c)[0].as_py() % 2**64 for c in keys)])
-            customers, appeal = (np.asarray(batch.column(c)) for c in ("customers", "appeal"))
-            tables = pa.array(seat(customers, appeal, discount, rng))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), tables], [*kept, "tables"])
-
-    # in order, so that a task that runs again draws the same
-    shape = rows.select(kept).schema.add("tables", "long")
-    return rows.sortWithinPartitions(*keys).mapInArrow(run, shape)
-
-
-def pair_chances(dishes: DataFrame, seed: int) -> tuple[DataFrame, int, int]:
-    """``context, word, chance, count`` of each dish, the training tokens and the number of their words.
-
-    ``dishes`` has context, word and customers, which may be 0.  ``count`` is the word's.
-    """
-    alone = F.count_if(F.col("customers") == 1).alias("alone")
-    contexts = stage(dishes.groupBy("context").agg(F.sum("customers").alias("all"), alone), "contexts")
-    words = stage(
-        dishes.groupBy("word").agg(
-            F.sum("customers").alias("count"), alone, F.count_if(F.col("customers") > 0).alias("customers")
-        ).withColumn("tables", F.least("customers", F.lit(1))), "words",
-    )
-    tokens, n_words = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
-    many = dishes.where("customers > 1").join(contexts.select("context", "alone"), "context").withColumn("tables", F.lit(1))
-
-    def totals_and_root():
-        sums = words.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("customers", "tables"))).first()
-        totals = Totals((), (), *sums, n_words)
-        base = F.when(F.col("count") > 0, totals.base()).otherwise(NOVEL)
-        return totals, totals.root(F.col("customers"), F.col("tables"), base)
+        bucket, found = one_bucket(batches)
+        if STATE not in found:
+            return
+        totals, tables_common, root_common = sent.value
+        context, word, n, seats, code, count, one, customers, tables, *hist = arrays_of(found[STATE])[0]
+        near = near_all = near_alone = here = np.empty(0, np.int64)
+        past = [here] * KEPT
+        if NEAR in found:
+            near, near_alone, near_all, *past = columns_of(found[NEAR].sort_by("code"), "code", "a", "b", *_HIST)
+        rng = np.random.default_rng([seed, bucket])
+        root = totals.root(customers, tables, np.where(count > 0, totals.base(), NOVEL))
+        appeal = (STRENGTH[1] + DISCOUNT[1] * values_of(context, tables_common, near, near_all)) * values_of(word, root_common, code, root)
+        now = seat(n, appeal, DISCOUNT[1], rng)
+        rare = word < 0
+        customers = one + np.bincount(np.searchsorted(code, word[rare]), now[rare], len(code)).astype(np.int64)
+        tables = seat(customers, np.full(len(code), totals.new_root()), DISCOUNT[0], rng)
+        at = context < 0
+        here = np.bincount(np.searchsorted(near, context[at]), now[at], len(near)).astype(np.int64)
+        if keep:
+            seats, hist = seats + now, [np.append(h, v) for h, v in zip(hist, (customers, tables))]
+            past = [*past[1:], here]
+        yield rows_of(STATE, bucket, arrays=[[context, word, n, seats, code, count, one, customers, tables, *hist]])
+        yield rows_of(NEAR, bucket, near, near_alone, here, past)
+        for kind, c in ((CONTEXT, context), (WORD, word)):
+            yield rows_of(kind, bucket, *_by_code(c[c >= 0], now[c >= 0]))
+        yield rows_of(ALL, bucket, 0, customers.sum(), tables.sum())
+
+    return run
+
+
+def scores_of(sent):
+    """Sums over the pairs of a bucket for each document, and the names of documents."""
 
-    kept, first = [], stages() - 1
-    totals, root = totals_and_root()
-    for i in range(SWEEPS):
-        mine = many.groupBy("context").agg((F.first("alone") + F.sum("tables")).alias("context_tables"))
-        rows = many.drop("tables").join(mine, "context").join(words.select("word", root.alias("root")), "word")
-        rows = rows.withColumn("appeal", (STRENGTH[1] + DISCOUNT[1] * F.col("context_tables")) * F.col("root"))
-        many = stage(seated(rows.drop("context_tables", "root"), DISCOUNT[1], seed + 2 * i), "seated")
-        sent = many.groupBy("word").agg(F.sum("tables").alias("sent"))
-        customers = F.col("alone") + F.coalesce("sent", F.lit(0))
-        new = (STRENGTH[0] + DISCOUNT[0] * totals.root_tables) * totals.base()
-        rows = words.drop("customers", "tables").join(sent, "word", "left").withColumn("customers", customers)
-        rows = rows.drop("sent").withColumn("appeal", F.lit(new))
-        words = stage(seated(rows, DISCOUNT[0], seed + 2 * i + 1), "words")
-        drop_stages(dishes.sparkSession, first, stages() - 2)  # a sweep reads the last one only
-        totals, root = totals_and_root()
-        if i >= BURN_IN:
-            kept.append(i)
-            many = many.withColumn(f"tables_{i}", F.col("tables"))
-            words = words.withColumn(f"root_{i}", root)
-    mean = lambda columns: sum(columns[1:], columns[0]) / len(kept)
-    more = many.groupBy("context").agg(*(F.sum(f"tables_{i}").alias(f"more_{i}") for i in kept))
-    around = contexts.join(more, "context", "left").select(
-        "context", "all", *((F.col("alone") + F.coalesce(f"more_{i}", F.lit(0))).alias(f"in_{i}") for i in kept)
-    )
-    few = dishes.where("customers <= 1").select("context", "word", "customers", F.col("customers").cast("double").alias("seats"))
-    rows = many.select("context", "word", "customers", mean([F.col(f"tables_{i}") for i in kept]).alias("seats")).unionByName(few)
-    rows = rows.join(around, "context").join(words.select("word", "count", *(f"root_{i}" for i in kept)), "word")
-    parent = mean([(STRENGTH[1] + DISCOUNT[1] * F.col(f"in_{i}")) * F.col(f"root_{i}") for i in kept])
-    chance = (F.col("customers") - DISCOUNT[1] * F.col("seats") + parent) / (STRENGTH[1] + F.col("all"))
-    return rows.select("context", "word", chance.alias("chance"), "count"), tokens, n_words
+    def run(batches):
+        bucket, found = one_bucket(batches)
+        if bucket is None:
+            return
+        if INFO in found:
+            firsts = np.asarray(found[INFO]["code"])
+            for first, (ids, valid, held) in zip(firsts.tolist(), arrays_of(found[INFO])):
+                yield _partial(first, np.arange(len(ids)), ids=pa.array(ids, mask=valid == 0), held=pa.array(held == 1))
+        if PIECE not in found:
+            return
+        kept, all_common, count_common = sent.value
+        mine = arrays_of(found[PIECE])
+        context, word, n, doc, train = (np.concatenate(c) for c in zip(*mine))
+        part = np.repeat(np.arange(len(mine)), [len(r[0]) for r in mine])
+        order = np.lexsort((word, context))
+        context, word, n, doc, train, part = (v[order] for v in (context, word, n, doc, train, part))
+        new = np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1]))
+        pair, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        customers, context, word = np.add.reduceat(train, first), context[first], word[first]
+        _, _, _, tables, code, count, _, _, _, *hist = arrays_of(found[STATE])[0]
+        near = near_all = near_alone = np.empty(0, np.int64)
+        past = [near] * KEPT
+        if NEAR in found:
+            near, near_all, near_alone, *past = columns_of(found[NEAR].sort_by("code"), "code", "a", "b", *_HIST)
+        seats = customers.astype(float)
+        seats[customers > 1] = tables / KEPT
+        parent = 0
+        for j, (totals, tables_common, root_common) in enumerate(kept):
+            sat, held = (h[j * len(code) : (j + 1) * len(code)] for h in hist)
+            root = totals.root(sat, held, np.where(count > 0, totals.base(), NOVEL))
+            around = values_of(context, tables_common, near, near_alone + past[j])
+            parent = parent + (STRENGTH[1] + DISCOUNT[1] * around) * values_of(word, root_common, code, root) / KEPT
+        chance = (customers - DISCOUNT[1] * seats + parent) / (STRENGTH[1] + values_of(context, all_common, near, near_all))
+        seen = values_of(word, count_common, code, count)
+        groups, at = np.unique(part << 32 | doc, return_inverse=True)
+        sums = [np.bincount(at, n * v[pair], len(groups)) for v in (np.log10(chance), np.log10(seen + 0.5), seen > 0, np.ones(len(seen)))]
+        firsts = np.asarray(found[PIECE]["code"]).tolist()
+        ends = np.searchsorted(groups, np.arange(len(mine) + 1) << 32)
+        for first, i, j in zip(firsts, ends, ends[1:]):
+            yield _partial(first, groups[i:j] & 0xFFFFFFFF, [s[i:j] for s in sums])
+
+    return run
+
+
+def _partial(first, doc, sums=None, ids=None, held=None) -> pa.RecordBatch:
+    empty = np.empty(0)
+    lists = [doc.astype(np.int32), *(sums or [empty] * 4), pa.array([], pa.int64()) if ids is None else ids, pa.array([], pa.bool_()) if held is None else held]
+    columns = [pa.ListArray.from_arrays(np.array([0, len(v)], np.int32), v if isinstance(v, pa.Array) else pa.array(v)) for v in lists]
+    return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), *columns], ["first", "doc", *SUMS, "ids", "held"])
+
+
+SUMS = ["score", "base", "known", "n_tokens"]
+PARTS = "first long, doc array<int>, " + "".join(f"{c} array<double>, " for c in SUMS) + "ids array<long>, held array<boolean>"
+
+
+def batch_sums(batches):
+    """One row for each batch of documents that the task got: sums for each, names if they came."""
+    held: dict[int, list] = {}
+    for batch in batches:
+        columns = [batch.column(c) for c in ("doc", *SUMS, "ids", "held")]
+        for i, first in enumerate(batch.column("first").to_pylist()):
+            doc, *sums = (np.asarray(c[i].values) for c in columns[:5])
+            size = int(doc.max()) + 1 if len(doc) else 0
+            mine = held.setdefault(first, [np.zeros((4, size)), None, None])
+            if mine[0].shape[1] < size:
+                mine[0] = np.pad(mine[0], ((0, 0), (0, size - mine[0].shape[1])))
+            if len(ids := columns[5][i].values):
+                mine[1:] = ids, columns[6][i].values
+            if len(sums[0]):
+                mine[0][:, doc] += sums
+    for first, (sums, ids, out) in held.items():
+        yield _partial(first, np.arange(sums.shape[1]), list(sums), ids, out)
 
 
 def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
@@ -320,33 +445,92 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
     Learns from rows that ``held`` doesn't hold out.  Defined cases: a null text is empty
     and has one token, the end; a null id is never held out; rows that repeat id and text
     count, and are scored, as often as they come; without training rows every word is
-    novel.  Other columns play no part.
+    novel.  Other columns play no part.  ``docs`` is read several times and must give the
+    same rows in the same order each time, as tables do.
     """
+    spark = docs.sparkSession
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), held.alias("held"),
     )
     first = stages()
-    lexicon = Lexicon(common_words(rows.where("NOT held")))
-    # pairs of held-out texts are dishes without customers, so that each pair meets its chance in one join
-    dishes = pair_counts(rows, lexicon).groupBy("context", "word").agg(F.sum("n").alias("customers"))
-    chances, train_tokens, n_words = pair_chances(stage(dishes, "dishes"), seed)
-    each = float(np.log10(train_tokens + 0.5 * (n_words + 1)))
-    chances = chances.select(
-        "context", "word", F.log10("chance").alias("score"), F.log10(F.col("count") + 0.5).alias("base"),
-        (F.col("count") > 0).cast("long").alias("known"),
+    send = spark.sparkContext.broadcast
+    lexicon = common_words(rows)
+    words = send(lexicon)
+    size = len(lexicon)
+    chars = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    most = 2 * (1 + chars // (2 * BUCKET_CHARS))
+
+    def task(rows, run, shape=SHAPE):
+        return rows.repartitionById(most, F.col("bucket")).mapInArrow(run, shape)
+
+    def totals_by_code(table, kind, *columns):
+        sums = table.where(F.col("kind") == kind).groupBy("code").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()
+        out = np.zeros((len(columns), size), np.int64)
+        out[:, np.asarray(sums["code"])] = [np.asarray(sums[c]) for c in columns]
+        return out
+
+    made = stage(task(pieces_of(rows, words, most), first_seats), "dishes")
+    drop_stages(spark, first, stages() - 1)
+    all_common, context_alone, context_many = totals_by_code(made, CONTEXT, "a", "b", "h0")
+    count_common, word_alone, word_many = totals_by_code(made, WORD, "a", "b", "h0")
+    sums = {r.code: r for r in made.where(F.col("kind") == ALL).groupBy("code").agg(*(F.sum(c).alias(c) for c in ("a", "b", "h0"))).collect()}
+    rare_customers, rare_tables, rare_count = (sums[0].a, sums[0].b, sums[0].h0) if sums else (0, 0, 0)
+    n_words = int(np.count_nonzero(count_common)) + (sums[1].a if sums else 0)
+    train_tokens = int(count_common.sum()) + rare_count
+    # every bucket hears of all customers of its rare contexts
+    around = Window.partitionBy("code")
+    heard = made.where(F.col("kind") == NEAR).select(
+        "bucket", "code", *(F.sum(c).over(around).alias(c) for c in ("a", "b")), "h0", F.sum("h0").over(around).alias("many")
     )
-    chances = stage(chances, "chances")
-    drop_stages(docs.sparkSession, first, stages() - 1)
-    found = document_pairs(rows, lexicon).join(chances, ["context", "word"])
-    # rows of equal id and text share a key; each has its part of their sum, and one end mark (rank 0)
-    copies = F.sum(F.when(F.col("word") == 0, F.col("n")))
-    share = lambda c: (F.sum(F.col("n") * F.col(c)) / copies).alias(c)
-    sums = found.groupBy("key").agg(*(share(c) for c in ("score", "base", "known")))
-    return document_sizes(rows).join(sums, "key").select(
-        "doc_id", F.col("held").alias("held_out"), "n_tokens", F.col("known").cast("long").alias("n_known"),
-        F.lit(train_tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * each).alias("base_score"),
-        "score",
+    contexts = stage(heard, "contexts")
+    near = contexts.where("h0 > 0").select("bucket", "code", F.col("b").alias("a"), (F.col("b") + F.col("many")).alias("b"), *(F.lit(0).cast("long").alias(h) for h in _HIST))
+    customers, tables_common = word_alone + word_many, context_alone + context_many
+    tables = np.minimum(customers, 1)
+    rng = np.random.default_rng(seed)
+
+    def parent():
+        totals = Totals((), (), customers.sum() + rare_customers, tables.sum() + rare_tables, n_words)
+        return totals, tables_common, totals.root(customers, tables, np.where(count_common > 0, totals.base(), NOVEL))
+
+    def told(near):
+        return near.select(F.lit(NEAR).alias("kind"), "bucket", "code", "a", "b", *_HIST, F.lit(None).cast("array<array<long>>").alias("arrays"))
+
+    kept, now, state = [], parent(), made.where(F.col("kind") == STATE)
+    begun = stages() - 2
+    for i in range(SWEEPS):
+        keep = i >= BURN_IN
+        made = stage(task(state.union(told(near)), sweep_of(send(now), seed * SWEEPS + i, keep)), "swept")
+        drop_stages(spark, begun if i == 0 else stages() - 2, stages() - (2 if i == 0 else 1))
+        state = made.where(F.col("kind") == STATE)
+        near = made.where(F.col("kind") == NEAR).select("bucket", "code", "a", (F.col("a") + F.sum("b").over(around)).alias("b"), *_HIST)
+        tables_common = context_alone + totals_by_code(made, CONTEXT, "a")[0]
+        customers = word_alone + totals_by_code(made, WORD, "a")[0]
+        tables = seat(customers, np.full(size, now[0].new_root()), DISCOUNT[0], rng)
+        sums = made.where(F.col("kind") == ALL).agg(F.sum("a"), F.sum("b")).first()
+        rare_customers, rare_tables = sums[0] or 0, sums[1] or 0
+        now = parent()
+        if keep:
+            kept.append(now)
+    here = made.where(F.col("kind") == NEAR).select(F.lit(-1).alias("bucket"), "code", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"), *_HIST)
+    near = contexts.select("bucket", "code", "a", "b", *(F.lit(0).cast("long").alias(h) for h in _HIST)).union(here)
+    near = stage(near.select("bucket", "code", "a", "b", *(F.sum(h).over(around).alias(h) for h in _HIST)).where("bucket >= 0"), "near")
+    sent = send((kept, all_common, count_common))
+    halves = []
+    for turn in range(ROUNDS):
+        some = state.union(told(near)).where(F.col("bucket") % ROUNDS == turn)
+        found = task(pieces_of(rows, words, most, ROUNDS, turn, True).union(some), scores_of(sent), PARTS)
+        halves.append(stage(found.repartition("first").mapInArrow(batch_sums, PARTS), "half"))
+    whole = functools.reduce(DataFrame.union, halves).repartition("first").mapInArrow(batch_sums, PARTS)
+    whole = stage(whole, "scores")
+    drop_stages(spark, first, stages() - 1)
+    each = float(np.log10(train_tokens + 0.5 * (n_words + 1)))
+    lists = [F.col(c) for c in ("ids", "held", *SUMS)]
+    one = whole.select(F.explode(F.arrays_zip(*lists)).alias("d")).select("d.*")
+    return one.select(
+        F.col("ids").alias("doc_id"), F.col("held").alias("held_out"), F.col("n_tokens").cast("long").alias("n_tokens"),
+        F.col("known").cast("long").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * each).alias("base_score"), "score",
     )
 
 
@@ -357,5 +541,3 @@ def _common_chances(dishes: Dishes, totals: Totals) -> np.ndarray:
     out = totals.appeal(contexts)[:, None] * root[None, :]
     np.add.at(out, (dishes.context, dishes.word), dishes.customers - DISCOUNT[1] * dishes.tables)
     return out / (STRENGTH[1] + totals.customers)[:, None]
-
-

@@ -483,6 +483,27 @@ def test_scores_do_not_depend_on_how_words_are_counted(spark, monkeypatch, commo
     assert abs(sum(r.score for r in got) / sum(want.values()) - 1) < 0.003
 
 
+def test_many_buckets_give_the_same_scores(spark, monkeypatch):
+    words = hpylm.common_words
+    monkeypatch.setattr(hpylm, "common_words", lambda docs: words(docs, 4))
+    monkeypatch.setattr(hpylm, "BUCKET_CHARS", 2_000)
+    rng = np.random.default_rng(10)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.pareto(0.7, 80) if x < 1e4), i % 5 == 1) for i in range(60)]
+    got = hpylm.score_documents(frame(spark, [r[:2] for r in rows]), F.col("doc_id") % 5 == 1).collect()
+    want = in_memory(rows)
+    assert all(abs(r.score - want[r.doc_id]) < 0.02 * abs(want[r.doc_id]) for r in got)
+    assert abs(sum(r.score for r in got) / sum(want.values()) - 1) < 0.003
+
+
+def test_rare_words_have_all_dishes_in_one_bucket():
+    rng = np.random.default_rng(11)
+    context, word = rng.integers(-9, 9, 4000), rng.integers(-9, 9, 4000)
+    bucket = hpylm.buckets_of(context, word, 50)
+    assert all(len(set(bucket[word == w])) == 1 for w in range(-9, 0))
+    assert all(len(set(bucket[(word >= 0) & (context == c)])) == 1 for c in range(-9, 0))
+    assert len(set(bucket[(word >= 0) & (context >= 0)])) > 30
+
+
 # --- mixing ------------------------------------------------------------------------
 
 def test_shortage_stays_among_siblings(spark):
