@@ -146,7 +146,7 @@ STATE, NEAR, CONTEXT, WORD, ALL, PIECE, INFO = range(7)
 KEPT = SWEEPS - BURN_IN
 _HIST = [f"h{j}" for j in range(KEPT)]
 _NUMBERS = ["kind", "bucket", "code", "a", "b", *_HIST]
-SHAPE = "kind int, bucket int, code long, a long, b long, " + "".join(f"{h} long, " for h in _HIST) + "arrays array<array<long>>"
+SHAPE = "kind int, bucket int, code long, a long, b long, " + "".join(f"{h} long, " for h in _HIST) + "arrays array<binary>"
 _GAPS = byte_kinds(b" \t\n\x0b\x0c\r")
 
 
@@ -157,19 +157,16 @@ def rows_of(kind, bucket, code=0, a=0, b=0, hist=(), arrays=None) -> pa.RecordBa
     kinds = {"kind": pa.int32(), "bucket": pa.int32()}
     columns = [pa.array(np.broadcast_to(np.asarray(v, np.int64), n), pa.int64()).cast(kinds.get(c, pa.int64())) for c, v in numbers.items()]
     if arrays is None:
-        nested = pa.nulls(n, pa.list_(pa.list_(pa.int64())))
+        nested = pa.nulls(n, pa.list_(pa.binary()))
     else:
-        flat = [np.asarray(v, np.int64) for row in arrays for v in row]
-        inner = np.cumsum([0, *map(len, flat)]).astype(np.int32)
-        inner = pa.ListArray.from_arrays(inner, np.concatenate(flat) if flat else np.empty(0, np.int64))
-        nested = pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)]).astype(np.int32), inner)
+        flat = [np.asarray(v, np.int64).tobytes() for row in arrays for v in row]
+        nested = pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)]).astype(np.int32), pa.array(flat, pa.binary()))
     return pa.RecordBatch.from_arrays([*columns, nested], [*_NUMBERS, "arrays"])
 
 
 def arrays_of(batch: pa.RecordBatch) -> list[list[np.ndarray]]:
-    """The arrays of each row."""
-    column = batch.column("arrays")
-    return [[np.asarray(v.values) for v in row] if row.is_valid else [] for row in column]
+    """The arrays of each row, which travel as bytes."""
+    return [[np.frombuffer(v.as_buffer(), np.int64) for v in row] if row.is_valid else [] for row in batch.column("arrays")]
 
 
 def one_bucket(batches):
@@ -183,8 +180,14 @@ def one_bucket(batches):
     return table["bucket"][0].as_py(), {k: table.filter(pa.array(kinds == k)).combine_chunks() for k in np.unique(kinds).tolist()}
 
 
-def columns_of(table: pa.Table, *names) -> list[np.ndarray]:
-    return [np.asarray(table[n]) for n in names]
+def near_of(found: dict) -> list[np.ndarray]:
+    """What a bucket heard of its rare contexts, in the order of their codes: code, a, b and the kept sweeps'."""
+    if NEAR not in found:
+        return [np.empty(0, np.int64)] * (3 + KEPT)
+    heard = pa.concat_arrays([c.flatten() for c in found[NEAR]["near"].chunks])
+    columns = [np.asarray(heard.field(i)) for i in range(3 + KEPT)]
+    order = np.argsort(columns[0])
+    return [c[order] for c in columns]
 
 
 def pairs_of(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -247,9 +250,12 @@ def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
     return [int(END), *(r.word % 2**64 for r in top)]
 
 
-def _summed(n: np.ndarray, *keys: np.ndarray) -> list[np.ndarray]:
-    """The distinct rows of ``keys``, the last one first in order, and the sum of ``n`` of each."""
-    order = np.lexsort(keys)
+def _summed(n: np.ndarray, *keys: np.ndarray, ordered=0) -> list[np.ndarray]:
+    """The distinct rows of ``keys``, the last one first in order, and the sum of ``n`` of each.
+
+    By the first ``ordered`` keys they are in order already.
+    """
+    order = np.lexsort(keys[ordered:])
     keys = [k[order] for k in keys]
     new = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
     return [*(k[new] for k in keys), np.add.reduceat(n[order], new)]
@@ -275,7 +281,7 @@ def pieces_of(docs: DataFrame, sent, most: int, rounds=1, turn=0, with_docs=Fals
                 context, word, doc = pairs_of(batch.column("text"), lexicon)
                 held, first = np.asarray(batch.column("held").to_pylist(), bool), batch.column("row")[0].as_py()
                 if with_docs:
-                    doc, word, context, n = _summed(np.ones(len(word), np.int64), doc, word, context)
+                    doc, word, context, n = _summed(np.ones(len(word), np.int64), doc, word, context, ordered=1)
                     columns = [context, word, n, doc, n * ~held[doc]]
                     if (at := int(mix64(np.array([first], np.uint64))[0] % np.uint64(most))) % rounds == turn:
                         ids = batch.column("doc_id")
@@ -337,10 +343,7 @@ def sweep_of(sent, seed: int, keep: bool):
             return
         totals, tables_common, root_common = sent.value
         context, word, n, seats, code, count, one, customers, tables, *hist = arrays_of(found[STATE])[0]
-        near = near_all = near_alone = here = np.empty(0, np.int64)
-        past = [here] * KEPT
-        if NEAR in found:
-            near, near_alone, near_all, *past = columns_of(found[NEAR].sort_by("code"), "code", "a", "b", *_HIST)
+        near, near_alone, near_all, *past = near_of(found)
         rng = np.random.default_rng([seed, bucket])
         root = totals.root(customers, tables, np.where(count > 0, totals.base(), NOVEL))
         appeal = (STRENGTH[1] + DISCOUNT[1] * values_of(context, tables_common, near, near_all)) * values_of(word, root_common, code, root)
@@ -385,10 +388,7 @@ def scores_of(sent):
         pair, first = np.cumsum(new) - 1, np.flatnonzero(new)
         customers, context, word = np.add.reduceat(train, first), context[first], word[first]
         _, _, _, tables, code, count, _, _, _, *hist = arrays_of(found[STATE])[0]
-        near = near_all = near_alone = np.empty(0, np.int64)
-        past = [near] * KEPT
-        if NEAR in found:
-            near, near_all, near_alone, *past = columns_of(found[NEAR].sort_by("code"), "code", "a", "b", *_HIST)
+        near, near_all, near_alone, *past = near_of(found)
         seats = customers.astype(float)
         seats[customers > 1] = tables / KEPT
         parent = 0
@@ -493,14 +493,17 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
         totals = Totals((), (), customers.sum() + rare_customers, tables.sum() + rare_tables, n_words)
         return totals, tables_common, totals.root(customers, tables, np.where(count_common > 0, totals.base(), NOVEL))
 
-    def told(near):
-        return near.select(F.lit(NEAR).alias("kind"), "bucket", "code", "a", "b", *_HIST, F.lit(None).cast("array<array<long>>").alias("arrays"))
+    def told(others, near):
+        """With these rows, one for each bucket of what it hears, as rows are costly to hand to a task."""
+        values = F.collect_list(F.struct("code", "a", "b", *_HIST)).alias("near")
+        heard = near.groupBy("bucket").agg(values).withColumn("kind", F.lit(NEAR))
+        return others.unionByName(heard, allowMissingColumns=True)
 
     kept, now, state = [], parent(), made.where(F.col("kind") == STATE)
     begun = stages() - 2
     for i in range(SWEEPS):
         keep = i >= BURN_IN
-        made = stage(task(state.union(told(near)), sweep_of(send(now), seed * SWEEPS + i, keep)), "swept")
+        made = stage(task(told(state, near), sweep_of(send(now), seed * SWEEPS + i, keep)), "swept")
         drop_stages(spark, begun if i == 0 else stages() - 2, stages() - (2 if i == 0 else 1))
         state = made.where(F.col("kind") == STATE)
         near = made.where(F.col("kind") == NEAR).select("bucket", "code", "a", (F.col("a") + F.sum("b").over(around)).alias("b"), *_HIST)
@@ -515,11 +518,13 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
     here = made.where(F.col("kind") == NEAR).select(F.lit(-1).alias("bucket"), "code", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"), *_HIST)
     near = contexts.select("bucket", "code", "a", "b", *(F.lit(0).cast("long").alias(h) for h in _HIST)).union(here)
     near = stage(near.select("bucket", "code", "a", "b", *(F.sum(h).over(around).alias(h) for h in _HIST)).where("bucket >= 0"), "near")
+    drop_stages(spark, begun, begun + 1)  # of ``contexts``
     sent = send((kept, all_common, count_common))
     halves = []
     for turn in range(ROUNDS):
-        some = state.union(told(near)).where(F.col("bucket") % ROUNDS == turn)
-        found = task(pieces_of(rows, words, most, ROUNDS, turn, True).union(some), scores_of(sent), PARTS)
+        mine = F.col("bucket") % ROUNDS == turn
+        some = pieces_of(rows, words, most, ROUNDS, turn, True).union(state.where(mine))
+        found = task(told(some, near.where(mine)), scores_of(sent), PARTS)
         halves.append(stage(found.repartition("first").mapInArrow(batch_sums, PARTS), "half"))
     whole = functools.reduce(DataFrame.union, halves).repartition("first").mapInArrow(batch_sums, PARTS)
     whole = stage(whole, "scores")
