@@ -11,14 +11,12 @@ Dishes are dealt into buckets, whose number grows with the corpus: by their word
 rare, else by their context if that is, else by both.  A task seats a bucket.  A dish of one
 customer always has one table: only larger ones are seated by a sweep, the others count in
 the sums of their context and word.  Between sweeps only sums travel: those of the common
-words, a bounded list, by way of the driver, those of rare contexts from bucket to bucket;
-rare words have all their dishes in one.  For the scores the texts are read again, and their
-pairs meet the seats in the buckets.  A word is known by a 63-bit hash; the common ones by
-their rank, which is short to store.
+words, a bounded list, in rows of many and by way of the driver, those of rare contexts from
+bucket to bucket; rare words have all their dishes in one.  For the scores the texts are read
+again, and their pairs meet the seats in the buckets.  A word is known by a 63-bit hash; the
+common ones by their rank, which is short to store, and a row of pairs names each hash once.
 """
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,7 +29,7 @@ from laurel.session import drop_stages, stages
 
 COMMON = 65_536  # words known by their rank
 BUCKET_CHARS = 8_000_000  # of the corpus, for each bucket
-ROUNDS = 2  # in which the texts are scored, so that half of their pairs travel at once
+BLOCK = 2048  # common words whose sums travel in one row
 CONTEXTS = 31  # of ``Dishes``, less one, where no number is given
 DISCOUNT, STRENGTH = (0.8, 0.6), (10.0, 20.0)  # of the parent and of the contexts
 NOVEL = 0.5  # the base's share for words that were never seen
@@ -128,17 +126,29 @@ class Dishes:
 class Lexicon:
     """The common words, most frequent first, as sorted hashes with their ranks."""
 
+    BITS = 18  # by these first bits of a hash its neighbours are found
+
     def __init__(self, hashes: list[int]):
         found = np.array(hashes, np.uint64)
         self.order = np.argsort(found)
         self.sorted, self.size = found[self.order], len(found)
+        self.begins = np.searchsorted(self._first_bits(self.sorted), np.arange((1 << self.BITS) + 1))
+
+    def _first_bits(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - self.BITS)).view(np.int64)
 
     def ranks(self, h: np.ndarray) -> np.ndarray:
         """The rank of each word, -1 if it isn't common."""
-        if not self.size:
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.sorted, h), self.size - 1)
-        return np.where(self.sorted[at] == h, self.order[at], -1)
+        out, first = np.full(len(h), -1), self._first_bits(h)
+        at, end = self.begins[first], self.begins[first + 1]
+        left = np.flatnonzero(at < end)
+        at, end, h = at[left], end[left], h[left]
+        while len(left):
+            hit = self.sorted[at] == h
+            out[left[hit]] = self.order[at[hit]]
+            more = ~hit & (at + 1 < end)
+            left, at, end, h = left[more], at[more] + 1, end[more], h[more]
+        return out
 
 
 #: What a row says, in the tables that go from sweep to sweep.
@@ -146,8 +156,24 @@ STATE, NEAR, CONTEXT, WORD, ALL, PIECE, INFO = range(7)
 KEPT = SWEEPS - BURN_IN
 _HIST = [f"h{j}" for j in range(KEPT)]
 _NUMBERS = ["kind", "bucket", "code", "a", "b", *_HIST]
-SHAPE = "kind int, bucket int, code long, a long, b long, " + "".join(f"{h} long, " for h in _HIST) + "arrays array<binary>"
+SHAPE = "kind int, bucket int, code long, a long, b long, " + "".join(f"{h} long, " for h in _HIST) + "arrays binary"
 _GAPS = byte_kinds(b" \t\n\x0b\x0c\r")
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def _zipped(arrays: list[np.ndarray]) -> bytes:
+    """Arrays as bytes: the length of what was compressed, then their number, sizes and contents."""
+    raw = [v if v.dtype == np.int32 else np.asarray(v, np.int64) for v in arrays]
+    data = b"".join([np.array([len(raw), *(v.nbytes for v in raw)]).tobytes(), *(v.tobytes() for v in raw)])
+    return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True)
+
+
+def _unzipped(cell: pa.BinaryScalar) -> list[memoryview]:
+    buffer = cell.as_buffer()
+    data = memoryview(_ZSTD.decompress(buffer[8:], int.from_bytes(buffer[:8].to_pybytes(), "little")))
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    ends = np.cumsum([8 + 8 * n, *np.frombuffer(data, np.int64, n, 8)]).tolist()
+    return [data[i:j] for i, j in zip(ends, ends[1:])]
 
 
 def rows_of(kind, bucket, code=0, a=0, b=0, hist=(), arrays=None) -> pa.RecordBatch:
@@ -156,17 +182,56 @@ def rows_of(kind, bucket, code=0, a=0, b=0, hist=(), arrays=None) -> pa.RecordBa
     numbers = dict.fromkeys(_NUMBERS, 0) | {"kind": kind, "bucket": bucket, "code": code, "a": a, "b": b} | dict(zip(_HIST, hist))
     kinds = {"kind": pa.int32(), "bucket": pa.int32()}
     columns = [pa.array(np.broadcast_to(np.asarray(v, np.int64), n), pa.int64()).cast(kinds.get(c, pa.int64())) for c, v in numbers.items()]
-    if arrays is None:
-        nested = pa.nulls(n, pa.list_(pa.binary()))
-    else:
-        flat = [np.asarray(v, np.int64).tobytes() for row in arrays for v in row]
-        nested = pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)]).astype(np.int32), pa.array(flat, pa.binary()))
-    return pa.RecordBatch.from_arrays([*columns, nested], [*_NUMBERS, "arrays"])
+    held = pa.nulls(n, pa.binary()) if arrays is None else pa.array([_zipped(row) for row in arrays], pa.binary())
+    return pa.RecordBatch.from_arrays([*columns, held], [*_NUMBERS, "arrays"])
 
 
 def arrays_of(batch: pa.RecordBatch) -> list[list[np.ndarray]]:
     """The arrays of each row, which travel as bytes."""
-    return [[np.frombuffer(v.as_buffer(), np.int64) for v in row] if row.is_valid else [] for row in batch.column("arrays")]
+    return [[np.frombuffer(v, np.int64) for v in _unzipped(cell)] for cell in batch.column("arrays")]
+
+
+def packed(context: np.ndarray, word: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+    """Pairs in half the bytes: a list of the rare words, which are known by their places there, and the columns."""
+    rare = np.unique(np.concatenate([context[context < 0], word[word < 0]]))
+    short = (np.where(c < 0, -1 - np.searchsorted(rare, c), c) for c in (context, word))
+    return [rare, *(c.astype(np.int32) for c in (*short, *counts))]
+
+
+def unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The pairs of all rows as they were: ``context, word`` and the other columns, and the number of pairs of each row."""
+    out = []
+    for cell in batch.column("arrays"):
+        rare, *columns = _unzipped(cell)
+        context, word, *counts = (np.frombuffer(c, np.int32) for c in columns)
+        rare = np.append(np.frombuffer(rare, np.int64), 0)  # where a code isn't rare, its place isn't used
+        out.append([*(np.where(c < 0, rare[np.maximum(-1 - c, 0)], c) for c in (context, word)), *counts])
+    return [*(np.concatenate(c) for c in zip(*out)), np.array([len(row[0]) for row in out])]
+
+
+def blocks_of(kind: int, bucket: int, code: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
+    """Sums of ``values`` for each common word, a row for each block of words that has any."""
+    common = code >= 0
+    code = code[common]
+    n = int(code.max(initial=-1)) // BLOCK + 1
+    sums = np.array([np.bincount(code, v[common], n * BLOCK) for v in values]).astype(np.int64)
+    sums = sums.reshape(len(values), n, BLOCK).swapaxes(0, 1)
+    some = np.flatnonzero(sums.any(axis=(1, 2)))
+    return rows_of(kind, bucket, some, arrays=[[sums[i]] for i in some])
+
+
+def block_sums(batches):
+    """One row for each block that the task got, with the sums of all buckets."""
+    held: dict[tuple, np.ndarray] = {}
+    for batch in batches:
+        for key, cell in zip(zip(batch.column("kind").to_pylist(), batch.column("code").to_pylist()), batch.column("arrays")):
+            block = np.frombuffer(_unzipped(cell)[0], np.int64)
+            if key in held:
+                held[key] += block
+            else:
+                held[key] = block.copy()
+    for (kind, code), block in held.items():
+        yield rows_of(kind, 0, code, arrays=[[block]])
 
 
 def one_bucket(batches):
@@ -250,15 +315,27 @@ def common_words(docs: DataFrame, most: int = COMMON) -> list[int]:
     return [int(END), *(r.word % 2**64 for r in top)]
 
 
-def _summed(n: np.ndarray, *keys: np.ndarray, ordered=0) -> list[np.ndarray]:
-    """The distinct rows of ``keys``, the last one first in order, and the sum of ``n`` of each.
-
-    By the first ``ordered`` keys they are in order already.
-    """
-    order = np.lexsort(keys[ordered:])
+def _summed(n: np.ndarray, *keys: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows of ``keys``, the last one first in order, and the sum of ``n`` of each."""
+    order = np.lexsort(keys)
     keys = [k[order] for k in keys]
     new = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
-    return [*(k[new] for k in keys), np.add.reduceat(n[order], new)]
+    return [*(k[new] for k in keys), np.add.reduceat(n[order], new, dtype=np.int64)]
+
+
+def _dealt(most: int, context: np.ndarray, word: np.ndarray, doc: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """``bucket, context, word, doc, n`` with equal rows summed, by bucket and document.
+
+    Rows are put in order by one hash.  Should two pairs share it, one may come in several rows.
+    """
+    bucket = buckets_of(context, word, most)
+    bits = np.uint64(int(most).bit_length())
+    pair = mix64(mix64(context.view(np.uint64)) + word.view(np.uint64))
+    low = (doc.astype(np.uint64) << np.uint64(48)) | (pair >> np.uint64(16))
+    order = np.argsort((bucket.astype(np.uint64) << (np.uint64(64) - bits)) | (low >> bits))
+    keys = [k[order] for k in (bucket, context, word, doc)]
+    new = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys[1:]], axis=0)))
+    return [*(k[new] for k in keys), np.add.reduceat(n[order], new, dtype=np.int64)]
 
 
 def _by_code(code: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
@@ -267,37 +344,40 @@ def _by_code(code: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [found, *(np.bincount(at, v, len(found)).astype(np.int64) for v in values)]
 
 
-def pieces_of(docs: DataFrame, sent, most: int, rounds=1, turn=0, with_docs=False) -> DataFrame:
+def pieces_of(docs: DataFrame, sent, most: int, with_docs=False) -> DataFrame:
     """Pairs of each batch, a row for each bucket: ``context, word, n`` with the counts in training texts.
 
-    With documents, a pair has a count for each document, in training or not, and each batch
-    has a row that names its documents.  ``docs`` has ``row, doc_id, text, held``.
+    With documents, a pair has a count for each document, less than zero if that is held out,
+    and each batch has a row that names its documents, with what common words give to the base.
+    ``docs`` has ``row, doc_id, text, held``; ``sent`` the common words and, with documents,
+    their counts.
     """
 
     def read(batches):
-        lexicon = Lexicon(sent.value)
+        hashes, counts = sent.value
+        lexicon = Lexicon(hashes)
         for whole in batches:
             for batch in batches_of(whole, "text", CHUNK_CHARS):
                 context, word, doc = pairs_of(batch.column("text"), lexicon)
                 held, first = np.asarray(batch.column("held").to_pylist(), bool), batch.column("row")[0].as_py()
                 if with_docs:
-                    doc, word, context, n = _summed(np.ones(len(word), np.int64), doc, word, context, ordered=1)
-                    columns = [context, word, n, doc, n * ~held[doc]]
-                    if (at := int(mix64(np.array([first], np.uint64))[0] % np.uint64(most))) % rounds == turn:
-                        ids = batch.column("doc_id")
-                        known = np.asarray(ids.is_valid().to_pylist(), bool)
-                        yield rows_of(INFO, at, first, arrays=[[np.asarray(ids.fill_null(0)), known, held]])
+                    ids, size = batch.column("doc_id"), batch.num_rows
+                    at, seen = doc[word >= 0], counts[word[word >= 0]]
+                    base = np.bincount(at, np.log10(seen + 0.5), size).view(np.int64)
+                    known = np.asarray(ids.is_valid().to_pylist(), bool)
+                    says = [np.asarray(ids.fill_null(0)), known, held, np.bincount(doc, minlength=size), base, np.bincount(at, seen > 0, size)]
+                    yield rows_of(INFO, int(mix64(np.array([first], np.uint64))[0] % np.uint64(most)), first, arrays=[says])
+                    n = np.where(held[doc], -1, 1)
                 else:
-                    word, context, n = _summed((~held[doc]).astype(np.int64), word, context)
-                    columns = [context, word, n]
-                bucket = buckets_of(context, word, most)
-                order = np.argsort(bucket, kind="stable")
-                bucket, columns = bucket[order], [c[order] for c in columns]
+                    doc, n = np.zeros_like(doc), (~held[doc]).astype(np.int64)
+                bucket, context, word, doc, n = _dealt(most, context, word, doc, n)
                 found, begins = np.unique(bucket, return_index=True)
                 ends = [*begins[1:], len(bucket)]
-                mine = [(k, i, j) for k, i, j in zip(found.tolist(), begins, ends) if k % rounds == turn]
-                if mine:
-                    yield rows_of(PIECE, [k for k, _, _ in mine], np.full(len(mine), first), arrays=[[c[i:j] for c in columns] for _, i, j in mine])
+                # documents by the steps from one to the next, which are small
+                columns = [context, word, n, np.diff(doc, prepend=0)] if with_docs else [context, word, n]
+                for i in begins[1:] if with_docs else ():
+                    columns[3][i] = doc[i]
+                yield rows_of(PIECE, found, np.full(len(found), first), arrays=[packed(*(c[i:j] for c in columns)) for i, j in zip(begins, ends)])
 
     return docs.mapInArrow(read, SHAPE)
 
@@ -307,7 +387,7 @@ def first_seats(batches):
     bucket, found = one_bucket(batches)
     if bucket is None:
         return
-    context, word, n = (np.concatenate(c) for c in zip(*arrays_of(found[PIECE])))
+    context, word, n, _ = unpacked(found[PIECE])
     word, context, n = _summed(n, word, context)
     alone, more = (n == 1).astype(np.int64), (n > 1).astype(np.int64)
     rare = word < 0
@@ -318,7 +398,7 @@ def first_seats(batches):
     yield rows_of(STATE, bucket, arrays=[[context[m], word[m], n[m], n[m] * 0, code, count, one, one + many, np.minimum(one + many, 1), none, none]])
     yield rows_of(NEAR, bucket, near, near_all, near_alone, [near_many])
     for kind, c in ((CONTEXT, context), (WORD, word)):
-        yield rows_of(kind, bucket, *(x := _by_code(c[c >= 0], *(v[c >= 0] for v in (n, alone, more))))[:3], [x[3]])
+        yield blocks_of(kind, bucket, c, n, alone, more)
     yield rows_of(ALL, bucket, 0, np.sum(one + many), np.count_nonzero(one + many), [count.sum()])
     yield rows_of(ALL, bucket, 1, np.count_nonzero(count))
 
@@ -359,7 +439,7 @@ def sweep_of(sent, seed: int, keep: bool):
         yield rows_of(STATE, bucket, arrays=[[context, word, n, seats, code, count, one, customers, tables, *hist]])
         yield rows_of(NEAR, bucket, near, near_alone, here, past)
         for kind, c in ((CONTEXT, context), (WORD, word)):
-            yield rows_of(kind, bucket, *_by_code(c[c >= 0], now[c >= 0]))
+            yield blocks_of(kind, bucket, c, now)
         yield rows_of(ALL, bucket, 0, customers.sum(), tables.sum())
 
     return run
@@ -374,19 +454,26 @@ def scores_of(sent):
             return
         if INFO in found:
             firsts = np.asarray(found[INFO]["code"])
-            for first, (ids, valid, held) in zip(firsts.tolist(), arrays_of(found[INFO])):
-                yield _partial(first, np.arange(len(ids)), ids=pa.array(ids, mask=valid == 0), held=pa.array(held == 1))
+            for first, (ids, valid, held, n, base, known) in zip(firsts.tolist(), arrays_of(found[INFO])):
+                yield _partial(first, rare=np.arange(len(ids)), base=base.view(float), known=known, ids=pa.array(ids, mask=valid == 0), held=pa.array(held == 1), n_tokens=n)
         if PIECE not in found:
             return
-        kept, all_common, count_common = sent.value
-        mine = arrays_of(found[PIECE])
-        context, word, n, doc, train = (np.concatenate(c) for c in zip(*mine))
-        part = np.repeat(np.arange(len(mine)), [len(r[0]) for r in mine])
+        kept, all_common = sent.value
+        context, word, n, step, sizes = unpacked(found[PIECE])
+        firsts = np.asarray(found.pop(PIECE)["code"]).tolist()
+        part, doc = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(step, dtype=np.int64)
+        begins = np.cumsum(sizes) - sizes
+        doc -= np.repeat(doc[begins] - step[begins], sizes)  # the steps of each part begin at its first
+        # texts of different parts may have the same place
+        groups, at = _numbered(part << 32 | doc)
+        del part, doc, step
         order = np.lexsort((word, context))
-        context, word, n, doc, train, part = (v[order] for v in (context, word, n, doc, train, part))
+        context, word, n, at = (v[order] for v in (context, word, n, at))
+        del order
         new = np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1]))
         pair, first = np.cumsum(new) - 1, np.flatnonzero(new)
-        customers, context, word = np.add.reduceat(train, first), context[first], word[first]
+        customers, context, word = np.add.reduceat(np.maximum(n, 0), first, dtype=np.int64), context[first], word[first]
+        n = np.abs(n)
         _, _, _, tables, code, count, _, _, _, *hist = arrays_of(found[STATE])[0]
         near, near_all, near_alone, *past = near_of(found)
         seats = customers.astype(float)
@@ -398,45 +485,62 @@ def scores_of(sent):
             around = values_of(context, tables_common, near, near_alone + past[j])
             parent = parent + (STRENGTH[1] + DISCOUNT[1] * around) * values_of(word, root_common, code, root) / KEPT
         chance = (customers - DISCOUNT[1] * seats + parent) / (STRENGTH[1] + values_of(context, all_common, near, near_all))
-        seen = values_of(word, count_common, code, count)
-        groups, at = np.unique(part << 32 | doc, return_inverse=True)
-        sums = [np.bincount(at, n * v[pair], len(groups)) for v in (np.log10(chance), np.log10(seen + 0.5), seen > 0, np.ones(len(seen)))]
-        firsts = np.asarray(found[PIECE]["code"]).tolist()
-        ends = np.searchsorted(groups, np.arange(len(mine) + 1) << 32)
+        score = np.bincount(at, n * np.log10(chance)[pair], len(groups))
+        # the others' base came with the names
+        rare = word[pair] < 0
+        at, n, seen = at[rare], n[rare], count[rare_at(code, word[pair[rare]])]
+        has = np.bincount(at, minlength=len(groups)) > 0
+        base, known = (np.bincount(at, n * v, len(groups)) for v in (np.log10(seen + 0.5), seen > 0))
+        ends = np.searchsorted(groups, np.arange(len(firsts) + 1) << 32)
         for first, i, j in zip(firsts, ends, ends[1:]):
-            yield _partial(first, groups[i:j] & 0xFFFFFFFF, [s[i:j] for s in sums])
+            of, some = groups[i:j] & 0xFFFFFFFF, has[i:j]
+            yield _partial(first, doc=of, score=score[i:j], rare=of[some], base=base[i:j][some], known=known[i:j][some])
 
     return run
 
 
-def _partial(first, doc, sums=None, ids=None, held=None) -> pa.RecordBatch:
-    empty = np.empty(0)
-    lists = [doc.astype(np.int32), *(sums or [empty] * 4), pa.array([], pa.int64()) if ids is None else ids, pa.array([], pa.bool_()) if held is None else held]
-    columns = [pa.ListArray.from_arrays(np.array([0, len(v)], np.int32), v if isinstance(v, pa.Array) else pa.array(v)) for v in lists]
-    return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), *columns], ["first", "doc", *SUMS, "ids", "held"])
+def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of ``key``, which mostly comes in order, and the place of each among them."""
+    order = np.argsort(key, kind="stable")
+    inorder = key[order]
+    new = np.append(True, inorder[1:] != inorder[:-1])
+    at = np.empty(len(key), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return inorder[new], at
 
 
-SUMS = ["score", "base", "known", "n_tokens"]
-PARTS = "first long, doc array<int>, " + "".join(f"{c} array<double>, " for c in SUMS) + "ids array<long>, held array<boolean>"
+#: What a bucket, or the row of names, says of the documents of a batch.
+LISTS = {"doc": pa.int32(), "score": pa.float64(), "rare": pa.int32(), "base": pa.float64(), "known": pa.int32(), "ids": pa.int64(), "held": pa.bool_(), "n_tokens": pa.int32()}
+PARTS = "first long, doc array<int>, score array<double>, rare array<int>, base array<double>, known array<int>, ids array<long>, held array<boolean>, n_tokens array<int>"
+
+
+def _partial(first, **given) -> pa.RecordBatch:
+    columns = []
+    for name, kind in LISTS.items():
+        v = given.get(name, ())
+        v = v.cast(kind) if isinstance(v, pa.Array) else pa.array(np.asarray(v, kind.to_pandas_dtype()), kind)
+        columns.append(pa.ListArray.from_arrays(np.array([0, len(v)], np.int32), v))
+    return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), *columns], ["first", *LISTS])
 
 
 def batch_sums(batches):
-    """One row for each batch of documents that the task got: sums for each, names if they came."""
+    """One row for each batch of documents that the task got: sums for each, and names."""
     held: dict[int, list] = {}
     for batch in batches:
-        columns = [batch.column(c) for c in ("doc", *SUMS, "ids", "held")]
+        columns = [batch.column(c) for c in LISTS]
         for i, first in enumerate(batch.column("first").to_pylist()):
-            doc, *sums = (np.asarray(c[i].values) for c in columns[:5])
-            size = int(doc.max()) + 1 if len(doc) else 0
-            mine = held.setdefault(first, [np.zeros((4, size)), None, None])
+            doc, score, rare, base, known = (np.asarray(c[i].values) for c in columns[:5])
+            size = 1 + max(int(doc.max(initial=-1)), int(rare.max(initial=-1)))
+            mine = held.setdefault(first, [np.zeros((3, size)), {}])
             if mine[0].shape[1] < size:
                 mine[0] = np.pad(mine[0], ((0, 0), (0, size - mine[0].shape[1])))
-            if len(ids := columns[5][i].values):
-                mine[1:] = ids, columns[6][i].values
-            if len(sums[0]):
-                mine[0][:, doc] += sums
-    for first, (sums, ids, out) in held.items():
-        yield _partial(first, np.arange(sums.shape[1]), list(sums), ids, out)
+            if len(columns[5][i].values):
+                mine[1] = {c: v[i].values for c, v in zip(("ids", "held", "n_tokens"), columns[5:])}
+            mine[0][0, doc] += score
+            mine[0][1, rare] += base
+            mine[0][2, rare] += known
+    for first, ((score, base, known), names) in held.items():
+        yield _partial(first, doc=np.arange(len(score)), score=score, base=base, known=known, **names)
 
 
 def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
@@ -456,7 +560,7 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
     first = stages()
     send = spark.sparkContext.broadcast
     lexicon = common_words(rows)
-    words = send(lexicon)
+    words = send((lexicon, None))
     size = len(lexicon)
     chars = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     most = 2 * (1 + chars // (2 * BUCKET_CHARS))
@@ -464,16 +568,19 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
     def task(rows, run, shape=SHAPE):
         return rows.repartitionById(most, F.col("bucket")).mapInArrow(run, shape)
 
-    def totals_by_code(table, kind, *columns):
-        sums = table.where(F.col("kind") == kind).groupBy("code").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()
-        out = np.zeros((len(columns), size), np.int64)
-        out[:, np.asarray(sums["code"])] = [np.asarray(sums[c]) for c in columns]
-        return out
+    def common_sums(table):
+        """The sums of common contexts, and those of common words, a row for each value."""
+        blocks = table.where(F.col("kind").isin(CONTEXT, WORD)).repartition("kind", "code").mapInArrow(block_sums, SHAPE)
+        blocks = blocks.select("kind", "code", "arrays").toArrow()
+        found = {(kind, code): row[0].reshape(-1, BLOCK) for kind, code, row in zip(*(blocks[c].to_pylist() for c in ("kind", "code")), arrays_of(blocks))}
+        out = np.zeros((2, max((len(v) for v in found.values()), default=3), -(-size // BLOCK) * BLOCK), np.int64)
+        for (kind, code), sums in found.items():
+            out[int(kind == WORD), :, code * BLOCK : (code + 1) * BLOCK] = sums
+        return out[:, :, :size]
 
     made = stage(task(pieces_of(rows, words, most), first_seats), "dishes")
     drop_stages(spark, first, stages() - 1)
-    all_common, context_alone, context_many = totals_by_code(made, CONTEXT, "a", "b", "h0")
-    count_common, word_alone, word_many = totals_by_code(made, WORD, "a", "b", "h0")
+    (all_common, context_alone, context_many), (count_common, word_alone, word_many) = common_sums(made)
     sums = {r.code: r for r in made.where(F.col("kind") == ALL).groupBy("code").agg(*(F.sum(c).alias(c) for c in ("a", "b", "h0"))).collect()}
     rare_customers, rare_tables, rare_count = (sums[0].a, sums[0].b, sums[0].h0) if sums else (0, 0, 0)
     n_words = int(np.count_nonzero(count_common)) + (sums[1].a if sums else 0)
@@ -507,8 +614,8 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
         drop_stages(spark, begun if i == 0 else stages() - 2, stages() - (2 if i == 0 else 1))
         state = made.where(F.col("kind") == STATE)
         near = made.where(F.col("kind") == NEAR).select("bucket", "code", "a", (F.col("a") + F.sum("b").over(around)).alias("b"), *_HIST)
-        tables_common = context_alone + totals_by_code(made, CONTEXT, "a")[0]
-        customers = word_alone + totals_by_code(made, WORD, "a")[0]
+        of_contexts, of_words = common_sums(made)[:, 0]
+        tables_common, customers = context_alone + of_contexts, word_alone + of_words
         tables = seat(customers, np.full(size, now[0].new_root()), DISCOUNT[0], rng)
         sums = made.where(F.col("kind") == ALL).agg(F.sum("a"), F.sum("b")).first()
         rare_customers, rare_tables = sums[0] or 0, sums[1] or 0
@@ -519,18 +626,12 @@ def score_documents(docs: DataFrame, held: Column, seed: int = 1) -> DataFrame:
     near = contexts.select("bucket", "code", "a", "b", *(F.lit(0).cast("long").alias(h) for h in _HIST)).union(here)
     near = stage(near.select("bucket", "code", "a", "b", *(F.sum(h).over(around).alias(h) for h in _HIST)).where("bucket >= 0"), "near")
     drop_stages(spark, begun, begun + 1)  # of ``contexts``
-    sent = send((kept, all_common, count_common))
-    halves = []
-    for turn in range(ROUNDS):
-        mine = F.col("bucket") % ROUNDS == turn
-        some = pieces_of(rows, words, most, ROUNDS, turn, True).union(state.where(mine))
-        found = task(told(some, near.where(mine)), scores_of(sent), PARTS)
-        halves.append(stage(found.repartition("first").mapInArrow(batch_sums, PARTS), "half"))
-    whole = functools.reduce(DataFrame.union, halves).repartition("first").mapInArrow(batch_sums, PARTS)
-    whole = stage(whole, "scores")
+    some = pieces_of(rows, send((lexicon, count_common)), most, True).union(state)
+    found = task(told(some, near), scores_of(send((kept, all_common))), PARTS)
+    whole = stage(found.repartition("first").mapInArrow(batch_sums, PARTS), "scores")
     drop_stages(spark, first, stages() - 1)
     each = float(np.log10(train_tokens + 0.5 * (n_words + 1)))
-    lists = [F.col(c) for c in ("ids", "held", *SUMS)]
+    lists = [F.col(c) for c in ("ids", "held", "score", "base", "known", "n_tokens")]
     one = whole.select(F.explode(F.arrays_zip(*lists)).alias("d")).select("d.*")
     return one.select(
         F.col("ids").alias("doc_id"), F.col("held").alias("held_out"), F.col("n_tokens").cast("long").alias("n_tokens"),

@@ -495,6 +495,48 @@ def test_many_buckets_give_the_same_scores(spark, monkeypatch):
     assert abs(sum(r.score for r in got) / sum(want.values()) - 1) < 0.003
 
 
+def test_sums_of_common_words_travel_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(hpylm, "BUCKET_CHARS", 10_000)
+    rows_of, stage = {}, hpylm.stage
+
+    def counted(df, name="stage"):
+        out = stage(df, name)
+        rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(hpylm, "stage", counted)
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.integers(0, 900, 100))) for i in range(200)]
+    scored = hpylm.score_documents(frame(spark, rows), F.lit(False))
+    # every bucket has nearly all of 900 common words, whose sums were a row each
+    assert 0 < rows_of["dishes"] < 200 and 0 < rows_of["swept"] < 200
+    assert {r.n_known for r in scored.collect()} == {101}
+
+
+def test_pairs_travel_in_few_bytes_and_come_back_whole():
+    rng = np.random.default_rng(13)
+    rare = -rng.integers(1, 2**62, 300)
+    context, word = (np.where(rng.random(5000) < 0.2, rng.choice(rare, 5000), rng.integers(0, hpylm.COMMON, 5000)) for _ in range(2))
+    n = rng.integers(-3, 2**31 - 1, 5000)
+    some = [(0, 2000), (2000, 2001), (2001, 5000)]
+    batch = hpylm.rows_of(hpylm.PIECE, [4] * 3, [7, 8, 9], arrays=[hpylm.packed(context[i:j], word[i:j], n[i:j], n[i:j] * 0 + 1) for i, j in some])
+    *got, sizes = hpylm.unpacked(batch)
+    assert all(np.array_equal(a, b) for a, b in zip(got, (context, word, n, n * 0 + 1)))
+    assert sizes.tolist() == [j - i for i, j in some]
+    assert batch.nbytes < 12 * 5000  # 40 with eight bytes a number
+
+
+def test_equal_pairs_of_a_document_are_summed_and_dealt():
+    rng = np.random.default_rng(14)
+    context, word, doc = rng.integers(-5, 6, 6000), rng.integers(-5, 6, 6000), np.sort(rng.integers(0, 70_000, 6000) // 9000 * 9000)
+    bucket, c, w, d, n = hpylm._dealt(7, context, word, doc, np.ones(6000, np.int64))
+    assert np.all(np.diff(bucket) >= 0) and np.array_equal(bucket, hpylm.buckets_of(c, w, 7))
+    got = collections.Counter()
+    for key, x in zip(zip(c.tolist(), w.tolist(), d.tolist()), n.tolist()):
+        got[key] += x
+    assert got == collections.Counter(zip(context.tolist(), word.tolist(), doc.tolist()))
+
+
 def test_rare_words_have_all_dishes_in_one_bucket():
     rng = np.random.default_rng(11)
     context, word = rng.integers(-9, 9, 4000), rng.integers(-9, 9, 4000)
